@@ -138,3 +138,72 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws("/", F.lit("models"), F.col("symbol"), F.col("date").cast("string"), F.concat(F.lit("v"), F.col("v"))).alias("path"),
         F.timestamp_add("HOUR", F.col("v"), F.col("date").cast("timestamp")).alias("updated_at"),
     )
+
+
+def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as the JSON feed would carry them, with ``event_id``.
+
+    Of twenty messages one is a tick size, one a trade, one a depth update, one
+    broken, one names its event under ``type``, one has no name; the rest are quotes.
+    """
+    q = quotes(spark, sf_dir)
+    eid = F.col("update_id")
+    us = F.call_function("div", F.col("local_ts_ns"), F.lit(1000).cast("bigint"))
+
+    def ticker(field: str):
+        return F.struct(
+            F.lit("bookTicker").alias(field),
+            "symbol",
+            F.col("update_id").alias("updateID"),
+            F.col("bid_price").alias("bidPrice"),
+            F.col("bid_amount").alias("bidQty"),
+            F.col("ask_price").alias("askPrice"),
+            F.col("ask_amount").alias("askQty"),
+            us.alias("updateTime"),
+        )
+
+    size = F.struct(F.lit("symbol").alias("Event"), F.col("symbol").alias("Symbol"), F.lit(0.01).alias("TickSize"))
+    trade = F.struct(F.lit("trade").alias("event"), "symbol", F.col("bid_price").alias("price"), F.col("bid_amount").alias("qty"))
+    nameless = F.struct("symbol", F.col("bid_price").alias("price"))
+    step = F.sequence(F.lit(0), (eid % 3).cast("int"))
+    side = lambda start, sign, amount: F.transform(step, lambda k: F.array(F.round(start + sign * k * 0.01, 2), amount + k))
+    depth = F.struct(
+        F.lit("depth").alias("event"),
+        "symbol",
+        (F.col("update_id") - 2).alias("prevLastUpdateID"),
+        (F.col("update_id") - 1).alias("firstUpdateID"),
+        F.col("update_id").alias("lastUpdateID"),
+        side(F.col("bid_price"), -1, F.col("bid_amount")).alias("bids"),
+        side(F.col("ask_price"), 1, F.col("ask_amount")).alias("asks"),
+        us.alias("updateTime"),
+    )
+    k = eid % 20
+    value = (
+        F.when(k == 0, F.to_json(size))
+        .when(k == 1, F.to_json(trade))
+        .when(k == 2, F.substring(F.to_json(ticker("event")), 1, 40))
+        .when(k == 3, F.to_json(ticker("type")))
+        .when(k == 4, F.to_json(depth))
+        .when(k == 5, F.to_json(nameless))
+        .otherwise(F.to_json(ticker("event")))
+    )
+    return q.select(F.col("update_id").alias("event_id"), value.alias("value"))
+
+
+def quote_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valid quotes as bookTicker messages, and a tick size per symbol with each hundredth."""
+    q = quotes(spark, sf_dir).where("local_ts_ns >= ts_ns")
+    us = F.call_function("div", F.col("local_ts_ns"), F.lit(1000).cast("bigint"))
+    ticker = F.struct(
+        F.lit("bookTicker").alias("event"),
+        "symbol",
+        F.col("update_id").alias("updateID"),
+        F.col("bid_price").alias("bidPrice"),
+        F.col("ask_price").alias("askPrice"),
+        us.alias("updateTime"),
+    )
+    sizes = q.select("symbol").distinct().select(
+        F.lit(0).cast("bigint").alias("us"),
+        F.to_json(F.struct(F.lit("symbol").alias("Event"), F.col("symbol").alias("Symbol"), F.lit(0.01).alias("TickSize"))).alias("value"),
+    )
+    return q.select(us.alias("us"), F.to_json(ticker).alias("value")).unionByName(sizes)
