@@ -41,12 +41,18 @@ def pending_tasks(tasks: DataFrame, ledger: DataFrame, stats: DataFrame) -> Data
     return classify_tasks(tasks, ledger, stats).where("action = 'build'").drop("action")
 
 
-def failed_symbols(tasks: DataFrame, available_raw: DataFrame, use_prev_day: bool) -> DataFrame:
-    """Per symbol the tasks that lack a raw day; a symbol with any is skipped by training."""
+def failed_tasks(tasks: DataFrame, available_raw: DataFrame, use_prev_day: bool) -> DataFrame:
+    """``symbol, feature_date`` of the tasks that lack a raw day."""
     days = [F.col("feature_date")] + ([F.date_sub("feature_date", 1)] if use_prev_day else [])
     needed = tasks.select("symbol", "feature_date", F.explode(F.array(*days)).alias("date"))
     lacking = needed.join(available_raw.select("symbol", "date").distinct(), ["symbol", "date"], "left_anti")
-    return lacking.groupBy("symbol").agg(F.count_distinct("feature_date").alias("failed_dates"))
+    return lacking.select("symbol", "feature_date").distinct()
+
+
+def failed_symbols(tasks: DataFrame, available_raw: DataFrame, use_prev_day: bool) -> DataFrame:
+    """Symbols with a task that lacks a raw day, which training skips, and how many such days they have."""
+    failed = failed_tasks(tasks, available_raw, use_prev_day)
+    return failed.groupBy("symbol").agg(F.count(F.lit(1)).alias("failed_dates"))
 
 
 def job_status(outcomes: DataFrame) -> DataFrame:

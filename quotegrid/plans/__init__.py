@@ -2,7 +2,7 @@
 
 
 def _load():
-    from quotegrid.plans import catalog, grid_queries, stream_queries, table_queries  # noqa: F401
+    from quotegrid.plans import catalog, grid_queries, model_queries, stream_queries, table_queries  # noqa: F401
 
     return catalog
 

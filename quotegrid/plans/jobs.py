@@ -1,12 +1,25 @@
-"""Daily jobs over tables: raw backfill, feature build, training, publication."""
+"""Daily jobs over tables: raw backfill, feature build, research runs, production training."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+from dataclasses import dataclass
+from datetime import date, datetime
+from uuid import uuid4
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotegrid.config import GridConfig
-from quotegrid.sources.quotes import missing_partitions, with_day
+from quotegrid.config import FeatureConfig, GridConfig, TrainConfig
+from quotegrid.models.boosting import VolatilityModel, fit_symbols, labelled, verify_model
+from quotegrid.operators import ledger as lg
+from quotegrid.operators import registry as rg
+from quotegrid.operators import splits as sp
+from quotegrid.operators.features import feature_matrix
+from quotegrid.operators.metrics import evaluate
+from quotegrid.session import reliable_checkpoint, small_side
+from quotegrid.sources.quotes import missing_partitions, quotes_for, with_day, write_by_symbol_day
 from quotegrid.sources.vendor import vendor_day_scan, vendor_to_quotes
 
 
@@ -30,3 +43,200 @@ def backfill_raw(
     return wanted.withColumn("source", F.lit("files")).unionByName(
         filled.withColumn("source", F.lit("vendor")), allowMissingColumns=True
     )
+
+
+@dataclass(frozen=True)
+class Store:
+    """Where a run keeps its tables, all under one folder that executors share."""
+
+    root: str
+
+    def path(self, name: str) -> str:
+        return f"{self.root}/{name}"
+
+    def read(self, spark: SparkSession, name: str) -> DataFrame | None:
+        try:
+            return spark.read.parquet(self.path(name))
+        except AnalysisException:
+            return None
+
+    def stats(self, spark: SparkSession, name: str) -> DataFrame:
+        """Row count of each stored symbol-day."""
+        table = self.read(spark, name)
+        if table is None:
+            return spark.createDataFrame([], "symbol string, date date, rows bigint")
+        return table.groupBy("symbol", "date").agg(F.count(F.lit(1)).alias("rows"))
+
+    def ledger(self, spark: SparkSession, name: str) -> DataFrame:
+        return lg.read_ledger(spark, self.path(name))
+
+    def record(self, spark: SparkSession, name: str, stats: DataFrame, at: datetime) -> None:
+        """Append the verified partitions that the ledger lacks."""
+        fresh = lg.append_ledger(self.ledger(spark, name), stats, F.lit(at))
+        reliable_checkpoint(fresh).coalesce(1).write.mode("append").parquet(self.path(name))
+
+
+def build_features(
+    quotes: DataFrame, tasks: DataFrame, sizes: DataFrame, cfg: FeatureConfig, store: Store, now: datetime
+) -> DataFrame:
+    """Build all pending symbol-days in one job; returns ``symbol, feature_date`` of those that failed.
+
+    ``tasks`` holds ``symbol, date``. Recorded and present partitions are skipped,
+    present but unrecorded ones are counted and recorded, the rest is built. A task
+    fails if a raw day, its tick size or every row is missing.
+    """
+    spark = quotes.sparkSession
+    plan = reliable_checkpoint(lg.classify_tasks(tasks, store.ledger(spark, "feature_ledger"), store.stats(spark, "features")))
+    pending = plan.where("action = 'build'").select("symbol", F.col("date").alias("feature_date"))
+    if not pending.isEmpty():
+        raw = quotes_for(quotes, pending, cfg.grid)
+        lacking = lg.failed_tasks(pending, raw.select("symbol", "date").distinct(), cfg.grid.use_prev_day)
+        ready = pending.join(lacking, ["symbol", "feature_date"], "left_anti").join(small_side(sizes), "symbol")
+        ready = reliable_checkpoint(ready.select("symbol", "feature_date", "tick_size"))
+        rows = feature_matrix(raw, ready, cfg).withColumnRenamed("feature_date", "date")
+        write_by_symbol_day(rows, store.path("features"), "timestamp")
+    done = plan.where("action <> 'done'").select("symbol", "date")
+    built = store.stats(spark, "features").join(done, ["symbol", "date"], "left_semi")
+    store.record(spark, "feature_ledger", built, now)
+    return pending.join(
+        store.stats(spark, "features").select("symbol", F.col("date").alias("feature_date")),
+        ["symbol", "feature_date"],
+        "left_anti",
+    )
+
+
+def _write_day(df: DataFrame, path: str) -> None:
+    (
+        df.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("symbol", "date")
+        .parquet(path)
+    )
+
+
+def save_results(
+    model: VolatilityModel, test: DataFrame, label: str, cfg: TrainConfig, store: Store, prefix: str, model_date: date
+) -> str:
+    """Score the test days and store predictions, importances, summaries and the model of one fit.
+
+    All tables are cut by symbol and day, so a rerun replaces its own rows only.
+    """
+    spark = test.sparkSession
+    path = store.path(f"models/{model.symbol}/{model_date}/{uuid4().hex}")
+    model.save(path)
+    rows = labelled(test, label)
+    scored = model.score(rows).select("symbol", "date", "timestamp", F.col(label).alias("y_true"), "y_pred")
+    write_by_symbol_day(scored, store.path(f"{prefix}predictions"), "timestamp")
+    days = rows.select("date").distinct()
+    stored = spark.read.parquet(store.path(f"{prefix}predictions")).where(F.col("symbol") == model.symbol)
+    scores = evaluate(stored.join(days, "date", "left_semi"), ["symbol", "date"])
+    params = F.create_map(*[F.lit(v) for kv in cfg.tree_params().items() for v in kv])
+    summary = scores.select(
+        "symbol",
+        "date",
+        F.lit(model_date).alias("model_date"),
+        F.struct("n", "rmse", "mae", "corr", "qlike").alias("metrics"),
+        F.array(*[F.lit(c) for c in model.features]).alias("features_used"),
+        params.alias("params"),
+        F.lit(path).alias("path"),
+    )
+    _write_day(summary, store.path(f"{prefix}run_summary"))
+    # Importances are the same for all test days of a fit.
+    dated = model.importance(spark).join(days.withColumn("symbol", F.lit(model.symbol)), "symbol")
+    _write_day(dated, store.path(f"{prefix}feature_importance"))
+    return path
+
+
+def _split_rows(table: DataFrame, split: DataFrame) -> DataFrame:
+    """Feature rows with their role; the split is a few days per symbol."""
+    return table.join(small_side(split.select("symbol", "date", "role")), ["symbol", "date"])
+
+
+def run_walk_forward(
+    spans: DataFrame, features: Sequence[str], label: str, cfg: TrainConfig, store: Store, now: datetime, parallel: int = 4
+) -> dict[str, str]:
+    """Fit and score every complete, unrecorded window of ``spans`` (symbol, first_day, last_day).
+
+    Returns the failures by symbol and window. Windows are few (days over
+    ``test_days``); each is a set of distributed fits, one per symbol.
+    """
+    spark = spans.sparkSession
+    table = spark.read.parquet(store.path("features"))
+    splits = sp.walk_forward_splits(spans, cfg.train_days, cfg.val_days, cfg.test_days)
+    ready = sp.complete_windows(splits, store.stats(spark, "features"))
+    recorded = store.ledger(spark, "result_ledger").select("symbol", "date").distinct()
+    todo = (
+        ready.where("role = 'test'")
+        .join(recorded, ["symbol", "date"], "left_anti")
+        .groupBy("symbol", "window_id")
+        .agg(F.min("date").alias("first_test"))
+    )
+    ready = reliable_checkpoint(ready)
+    failures: dict[str, str] = {}
+    by_window: dict[int, list[str]] = {}
+    for r in todo.collect():
+        by_window.setdefault(r["window_id"], []).append(r["symbol"])
+    for window, symbols in sorted(by_window.items()):
+        split = ready.where(F.col("window_id") == window)
+        rows = _split_rows(table, split)
+        first = split.where("role = 'test'").agg(F.min("date")).first()[0]
+
+        def each(model: VolatilityModel, rows=rows, first=first) -> str:
+            test = rows.where("role = 'test'").where(F.col("symbol") == model.symbol).drop("role")
+            path = save_results(model, test, label, cfg, store, "", first)
+            if not verify_model(path):
+                raise RuntimeError("stored model does not load")
+            return path
+
+        done, failed = fit_symbols(rows, sorted(symbols), features, label, cfg, each, parallel)
+        failures |= {f"{s}/{window}": why for s, why in failed.items()}
+        scored = store.stats(spark, "predictions").join(
+            split.where("role = 'test'").where(F.col("symbol").isin(sorted(done))).select("symbol", "date"),
+            ["symbol", "date"],
+            "left_semi",
+        )
+        store.record(spark, "result_ledger", scored, now)
+    return failures
+
+
+def run_production(
+    quotes: DataFrame,
+    symbols: Sequence[str],
+    sizes: DataFrame,
+    reference_date: date,
+    fcfg: FeatureConfig,
+    cfg: TrainConfig,
+    store: Store,
+    now: datetime,
+    parallel: int = 4,
+) -> DataFrame:
+    """The daily run: prepare features, fit all symbols, publish, report.
+
+    The model date is the day before ``reference_date``. Symbols whose features
+    could not be prepared are skipped. A model is published by its registry row,
+    written only after the stored model was verified. Returns the exit code row.
+    """
+    spark = quotes.sparkSession
+    refs = spark.createDataFrame([(s, reference_date) for s in symbols], "symbol string, reference_date date")
+    needed = sp.required_feature_dates(refs, cfg.train_days, cfg.val_days).drop("reference_date")
+    tasks = needed.withColumnRenamed("feature_date", "date")
+    failed_tasks = build_features(quotes, tasks, sizes, fcfg, store, now)
+    bad = {r["symbol"] for r in failed_tasks.select("symbol").distinct().collect()}
+
+    targets = refs.select("symbol", sp.latest_complete_day(F.col("reference_date")).alias("target_date"))
+    split = reliable_checkpoint(sp.production_split(targets, cfg.train_days, cfg.val_days))
+    model_date = split.agg(F.max("target_date")).first()[0]
+    rows = _split_rows(spark.read.parquet(store.path("features")), split)
+
+    def each(model: VolatilityModel) -> str:
+        val = rows.where("role = 'val'").where(F.col("symbol") == model.symbol).drop("role")
+        return save_results(model, val, fcfg.label_column, cfg, store, "production_", model_date)
+
+    good = [s for s in symbols if s not in bad]
+    trained, _ = fit_symbols(rows, good, fcfg.feature_columns, fcfg.label_column, cfg, each, parallel)
+    published = {s: p for s, p in trained.items() if verify_model(p)}
+    if published:
+        entries = [(s, model_date, p, now) for s, p in sorted(published.items())]
+        rg.register(spark.createDataFrame(entries, rg.REGISTRY_SCHEMA), store.path("registry"))
+    outcomes = [(s, s in published, s in published) for s in symbols]
+    return lg.job_status(spark.createDataFrame(outcomes, "symbol string, trained boolean, published boolean"))

@@ -28,15 +28,9 @@ DELAY_MS = 1000
 )
 def event_router(spark, sf):
     """Every message with its route; fields only for the two routes the live features use."""
-    routed = route(td.event_messages(spark, sf))
-    used = live_messages(routed.select("event_id", "value").drop("event_id"))
-    quotes = used.where("route = 'bookTicker'").select("update_id", "symbol", "bid_price")
-    sizes = td.quotes(spark, sf).where("update_id % 20 = 0").select(F.col("update_id").alias("event_id"), "symbol")
-    sized = used.where("route = 'symbol'").groupBy("symbol").agg(F.max("tick_size").alias("tick_size"))
-    by_id = quotes.select(F.col("update_id").alias("event_id"), "update_id", "symbol", "bid_price").unionByName(
-        sizes.join(sized, "symbol"), allowMissingColumns=True
-    )
-    return routed.select("event_id", "route").join(by_id, "event_id", "left")
+    messages = td.event_messages(spark, sf)
+    used = live_messages(messages, keep=("event_id",)).select("event_id", "symbol", "update_id", "bid_price", "tick_size")
+    return route(messages).select("event_id", "route").join(used, "event_id", "left")
 
 
 @query(

@@ -75,13 +75,13 @@ def _live_fields(value: Column, route_col: Column) -> dict[str, Column]:
     }
 
 
-def live_messages(df: DataFrame, value: str = "value") -> DataFrame:
+def live_messages(df: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """The two events the live features use, tagged by ``route``; all else is skipped.
 
     Quotes without id or price and sizes without a number are skipped like broken JSON.
     """
     routed = route(df, value).where(F.col("route").isin(BOOK_TICKER, SYMBOL))
-    rows = routed.select("route", *[c.alias(n) for n, c in _live_fields(F.col(value), F.col("route")).items()])
+    rows = routed.select(*keep, "route", *[c.alias(n) for n, c in _live_fields(F.col(value), F.col("route")).items()])
     quote_ok = F.col("update_id").isNotNull() & F.col("time_us").isNotNull()
     for price in ("bid_price", "ask_price"):
         quote_ok = quote_ok & F.col(price).isNotNull() & ~F.isnan(price)
