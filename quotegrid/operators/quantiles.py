@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quotegrid.session import reliable_checkpoint
+from quotegrid.session import materialize
 
 # Distance to the outer quantiles that counts as outside, and the end of the normal scale.
 EDGE = 1e-7
@@ -42,7 +42,7 @@ def exact_quantiles(
     )
     width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cut = merged.repartitionByRange(width, *keys, "value").withColumn("bin", F.spark_partition_id())
-    cut = reliable_checkpoint(cut)
+    cut = materialize(cut)
 
     by_bin = Window.partitionBy(*keys).orderBy("bin")
     totals = (

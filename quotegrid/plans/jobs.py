@@ -18,7 +18,7 @@ from quotegrid.operators import registry as rg
 from quotegrid.operators import splits as sp
 from quotegrid.operators.features import feature_matrix
 from quotegrid.operators.metrics import evaluate
-from quotegrid.session import reliable_checkpoint, small_side
+from quotegrid.session import materialize, small_side
 from quotegrid.sources.quotes import missing_partitions, quotes_for, with_day, write_by_symbol_day
 from quotegrid.sources.vendor import vendor_day_scan, vendor_to_quotes
 
@@ -60,11 +60,13 @@ class Store:
         except AnalysisException:
             return None
 
-    def stats(self, spark: SparkSession, name: str) -> DataFrame:
-        """Row count of each stored symbol-day."""
+    def stats(self, spark: SparkSession, name: str, only: DataFrame | None = None) -> DataFrame:
+        """Row count of each stored symbol-day; ``only`` prunes the scan to its symbol-days."""
         table = self.read(spark, name)
         if table is None:
             return spark.createDataFrame([], "symbol string, date date, rows bigint")
+        if only is not None:
+            table = table.join(small_side(only.select("symbol", "date").distinct()), ["symbol", "date"], "left_semi")
         return table.groupBy("symbol", "date").agg(F.count(F.lit(1)).alias("rows"))
 
     def ledger(self, spark: SparkSession, name: str) -> DataFrame:
@@ -73,7 +75,7 @@ class Store:
     def record(self, spark: SparkSession, name: str, stats: DataFrame, at: datetime) -> None:
         """Append the verified partitions that the ledger lacks."""
         fresh = lg.append_ledger(self.ledger(spark, name), stats, F.lit(at))
-        reliable_checkpoint(fresh).coalesce(1).write.mode("append").parquet(self.path(name))
+        materialize(fresh).coalesce(1).write.mode("append").parquet(self.path(name))
 
 
 def build_features(
@@ -86,23 +88,21 @@ def build_features(
     fails if a raw day, its tick size or every row is missing.
     """
     spark = quotes.sparkSession
-    plan = reliable_checkpoint(lg.classify_tasks(tasks, store.ledger(spark, "feature_ledger"), store.stats(spark, "features")))
+    recorded = store.ledger(spark, "feature_ledger")
+    plan = materialize(lg.classify_tasks(tasks, recorded, store.stats(spark, "features", tasks)))
     pending = plan.where("action = 'build'").select("symbol", F.col("date").alias("feature_date"))
     if not pending.isEmpty():
         raw = quotes_for(quotes, pending, cfg.grid)
         lacking = lg.failed_tasks(pending, raw.select("symbol", "date").distinct(), cfg.grid.use_prev_day)
         ready = pending.join(lacking, ["symbol", "feature_date"], "left_anti").join(small_side(sizes), "symbol")
-        ready = reliable_checkpoint(ready.select("symbol", "feature_date", "tick_size"))
+        ready = materialize(ready.select("symbol", "feature_date", "tick_size"))
         rows = feature_matrix(raw, ready, cfg).withColumnRenamed("feature_date", "date")
         write_by_symbol_day(rows, store.path("features"), "timestamp")
     done = plan.where("action <> 'done'").select("symbol", "date")
-    built = store.stats(spark, "features").join(done, ["symbol", "date"], "left_semi")
+    built = materialize(store.stats(spark, "features", done))
     store.record(spark, "feature_ledger", built, now)
-    return pending.join(
-        store.stats(spark, "features").select("symbol", F.col("date").alias("feature_date")),
-        ["symbol", "feature_date"],
-        "left_anti",
-    )
+    present = built.select("symbol", F.col("date").alias("feature_date"))
+    return pending.join(present, ["symbol", "feature_date"], "left_anti")
 
 
 def _write_day(df: DataFrame, path: str) -> None:
@@ -171,7 +171,7 @@ def run_walk_forward(
         .groupBy("symbol", "window_id")
         .agg(F.min("date").alias("first_test"))
     )
-    ready = reliable_checkpoint(ready)
+    ready = materialize(ready)
     failures: dict[str, str] = {}
     by_window: dict[int, list[str]] = {}
     for r in todo.collect():
@@ -190,12 +190,8 @@ def run_walk_forward(
 
         done, failed = fit_symbols(rows, sorted(symbols), features, label, cfg, each, parallel)
         failures |= {f"{s}/{window}": why for s, why in failed.items()}
-        scored = store.stats(spark, "predictions").join(
-            split.where("role = 'test'").where(F.col("symbol").isin(sorted(done))).select("symbol", "date"),
-            ["symbol", "date"],
-            "left_semi",
-        )
-        store.record(spark, "result_ledger", scored, now)
+        tested = split.where("role = 'test'").where(F.col("symbol").isin(sorted(done)))
+        store.record(spark, "result_ledger", store.stats(spark, "predictions", tested), now)
     return failures
 
 
@@ -224,7 +220,7 @@ def run_production(
     bad = {r["symbol"] for r in failed_tasks.select("symbol").distinct().collect()}
 
     targets = refs.select("symbol", sp.latest_complete_day(F.col("reference_date")).alias("target_date"))
-    split = reliable_checkpoint(sp.production_split(targets, cfg.train_days, cfg.val_days))
+    split = materialize(sp.production_split(targets, cfg.train_days, cfg.val_days))
     model_date = split.agg(F.max("target_date")).first()[0]
     rows = _split_rows(spark.read.parquet(store.path("features")), split)
 

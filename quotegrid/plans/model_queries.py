@@ -15,7 +15,7 @@ from quotegrid.plans.catalog import query
 from quotegrid.plans.grid_queries import COARSE, features, live
 from quotegrid.plans.jobs import Store, run_production, run_walk_forward
 from quotegrid.plans.table_queries import LOOKBACK_DAYS
-from quotegrid.session import reliable_checkpoint, scratch_path
+from quotegrid.session import materialize, scratch_path
 from quotegrid.sources import testdata as td
 from quotegrid.sources.quotes import write_by_symbol_day
 from quotegrid.streaming.live import with_live_columns
@@ -39,7 +39,7 @@ def window_rows(spark, sf):
     split = sp.walk_forward_splits(first_feature_span(spark, sf), WINDOW.train_days, WINDOW.val_days, WINDOW.test_days)
     f = features(spark, sf)
     days = split.select("symbol", F.col("date").alias("feature_date"), "role")
-    return reliable_checkpoint(f.join(days, ["symbol", "feature_date"]))
+    return materialize(f.join(days, ["symbol", "feature_date"]))
 
 
 def symbols_of(spark, sf) -> list[str]:

@@ -1,9 +1,8 @@
 """Live features as a keyed stateful stream on event time.
 
 For each symbol every grid instant the watermark has passed is emitted once, with
-the newest quote by update id as of that instant. State per symbol is the quote
-in force, the quotes not yet reached, and prefix sums of the moves in fixed
-chunks: a window reads only the chunks at its far end.
+the newest quote by update id as of that instant. A window reads only the chunks
+of prefix sums at its far end, so its length costs state but no time.
 """
 
 from __future__ import annotations
@@ -39,7 +38,14 @@ def _newest_per_cell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.concat([sizes, quotes.drop_duplicates(["symbol", "cell"], keep="last")])
 
 
+ARRIVAL = np.dtype([("cell", "i8"), ("uid", "i8"), ("bid", "f8"), ("ask", "f8"), ("tick", "f8")])
+NO_ID = -(2**62)
+
+
 class LiveVolatility(StatefulProcessor):
+    """State: ``head`` (next instant, quote and size in force, last sums), arrivals not
+    yet reached and prefix sums, the latter two packed in chunks of instants."""
+
     def __init__(self, windows: list[int], warmup: int, interval_ns: int, origin_ns: int):
         self.windows, self.warmup = windows, warmup
         self.interval_ns, self.origin_ns = interval_ns, origin_ns
@@ -48,100 +54,107 @@ class LiveVolatility(StatefulProcessor):
         self.handle = handle
         self.head = handle.getValueState(
             "head",
-            "next_cell bigint, samples bigint, update_id bigint, bid double, ask double, tick double, mid_tick double, s1 bigint, s2 bigint",
+            "next_cell bigint, samples bigint, update_id bigint, bid double, ask double, tick double, "
+            "mid_tick double, s1 bigint, s2 bigint",
         )
-        self.pending = handle.getMapState("pending", "cell bigint", "update_id bigint, bid double, ask double, tick double")
+        self.pending = handle.getMapState("pending", "chunk bigint", "rows binary")
         self.sums = handle.getMapState("sums", "chunk bigint", "s1 binary, s2 binary")
 
     def close(self) -> None:
         pass
 
-    def _cell_ms(self, cell: int) -> int:
-        return (cell * self.interval_ns + self.origin_ns) // 1_000_000
-
     def handleInputRows(self, key, rows, timerValues):
-        head = self.head.get() if self.head.exists() else None
-        first = None
+        head = self.head.get() if self.head.exists() else (None, 0, NO_ID, None, None, None, None, 0, 0)
         for pdf in rows:
-            for r in pdf.itertuples(index=False):
-                if pd.isna(r.cell):  # a size without a time holds from the next instant on
-                    head = self._apply_size(head, float(r.tick_size))
-                    continue
-                cell = int(r.cell)
-                if head is not None and head[1]:  # a late update can still serve the next instant
-                    cell = max(cell, head[0])
-                old = self.pending.getValue((cell,)) if self.pending.containsKey((cell,)) else (None, None, None, None)
-                if not pd.isna(r.tick_size):
-                    new = (old[0], old[1], old[2], float(r.tick_size))
-                elif old[0] is None or int(r.update_id) > old[0]:
-                    new = (int(r.update_id), float(r.bid_price), float(r.ask_price), old[3])
-                else:
-                    continue
-                self.pending.updateValue((cell,), new)
-                first = cell if first is None else min(first, cell)
-        if head is None:
-            head = (None,) + (0,) + (None,) * 5 + (0, 0)
-        if head[0] is None and first is not None:
-            head = (first,) + tuple(head[1:])
-        elif first is not None and head[1] == 0:
-            head = (min(first, head[0]),) + tuple(head[1:])
+            head = self._take(head, pdf)
         yield from self._emit(key, head, timerValues)
 
-    def _apply_size(self, head, tick: float):
-        if head is None:
-            return (None, 0, None, None, None, tick, None, 0, 0)
-        return tuple(head[:5]) + (tick,) + tuple(head[6:])
-
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         if self.head.exists():
             yield from self._emit(key, self.head.get(), timerValues)
 
+    def _take(self, head, pdf):
+        """Store arrivals by the instant they serve."""
+        untimed = pdf["cell"].isna()
+        if untimed.any():  # a size without a time holds from the next instant on
+            head = (*head[:5], float(pdf.loc[untimed, "tick_size"].iloc[-1]), *head[6:])
+        pdf = pdf[~untimed]
+        if not len(pdf):
+            return head
+        new = np.empty(len(pdf), ARRIVAL)
+        new["cell"] = pdf["cell"].to_numpy(dtype="i8")
+        new["uid"] = pdf["update_id"].fillna(NO_ID).to_numpy(dtype="i8")
+        for f, c in (("bid", "bid_price"), ("ask", "ask_price"), ("tick", "tick_size")):
+            new[f] = pdf[c].to_numpy(dtype="f8")
+        if head[1]:  # a late update can still serve the next instant
+            new["cell"] = np.maximum(new["cell"], head[0])
+        else:
+            start = int(new["cell"].min())
+            head = (start if head[0] is None else min(start, head[0]), *head[1:])
+        chunk = new["cell"] // CHUNK
+        for c in np.unique(chunk):
+            rows = new[chunk == c]
+            old = self.pending.getValue((int(c),)) if self.pending.containsKey((int(c),)) else None
+            if old is not None:
+                rows = np.concatenate([np.frombuffer(old[0], ARRIVAL), rows])
+            self.pending.updateValue((int(c),), (_newest(rows).tobytes(),))
+        return head
+
     def _emit(self, key, head, timerValues):
         """Emit all instants before the watermark and wait for the next one."""
-        next_cell = head[0]
-        if next_cell is not None:
+        if head[0] is not None:
             passed_ns = timerValues.getCurrentWatermarkInMs() * 1_000_000 - 1 - self.origin_ns
             last = passed_ns // self.interval_ns
-            if last >= next_cell:
-                due = sorted((k[0], v) for k, v in self.pending.iterator() if k[0] <= last)
-                while next_cell <= last:
-                    upto = min(last, next_cell + EMIT - 1)
-                    part = [d for d in due if next_cell <= d[0] <= upto]
-                    head, out = self._advance(key, head, upto, part)
+            if last >= head[0]:
+                chunks = sorted(k[0] for k in self.pending.keys())
+                while head[0] <= last:
+                    upto = min(last, (head[0] // EMIT + 1) * EMIT - 1)
+                    due = self._due(chunks, upto)
+                    head, out = self._advance(key, head, upto, due)
                     if out is not None:
                         yield out
-                    next_cell = head[0]
-                for cell, _ in due:
-                    self.pending.removeKey((cell,))
-            at = self._cell_ms(next_cell) + 1
+            at = (head[0] * self.interval_ns + self.origin_ns) // 1_000_000 + 1
             if at not in set(self.handle.listTimers()):
                 self.handle.registerTimer(at)
         self.head.update(head)
 
+    def _due(self, chunks, upto):
+        """Take the arrivals up to an instant out of the state, in order."""
+        taken = [np.empty(0, ARRIVAL)]
+        while chunks and chunks[0] <= upto // CHUNK:
+            rows = np.frombuffer(self.pending.getValue((chunks[0],))[0], ARRIVAL)
+            taken.append(rows[rows["cell"] <= upto])
+            rest = rows[rows["cell"] > upto]
+            if len(rest):
+                self.pending.updateValue((chunks[0],), (rest.tobytes(),))
+                break
+            self.pending.removeKey((chunks.pop(0),))
+        return np.concatenate(taken)
+
     def _advance(self, key, head, upto, due):
         start, samples, uid, bid, ask, tick, mid, s1, s2 = head
-        n = upto - start + 1
-        mids = np.full(n, np.nan)
-        bounds = [d[0] - start for d in due] + [n]
-        if bounds[0] > 0:
-            mids[: bounds[0]] = _mid_tick(bid, ask, tick)
-        for j, (_, (u, b, a, t)) in enumerate(due):
-            if u is not None and (uid is None or u > uid):
-                uid, bid, ask = u, b, a
-            tick = t if t is not None else tick
-            mids[bounds[j] : bounds[j + 1]] = _mid_tick(bid, ask, tick)
+        quotes, sizes = due[np.isnan(due["tick"])], due[~np.isnan(due["tick"])]
+        best = np.maximum.accumulate(np.concatenate([[uid], quotes["uid"]]))
+        quotes = quotes[quotes["uid"] > best[:-1]]  # an older id never replaces a newer one
+        at = np.arange(start, upto + 1)
+        bids = _in_force(at, quotes["cell"], quotes["bid"], bid)
+        asks = _in_force(at, quotes["cell"], quotes["ask"], ask)
+        ticks = _in_force(at, sizes["cell"], sizes["tick"], tick)
+        mids = np.round((bids + asks) / 2.0 / ticks, 1)
+        if len(quotes):
+            uid, bid, ask = int(quotes["uid"][-1]), float(quotes["bid"][-1]), float(quotes["ask"][-1])
+        if len(sizes):
+            tick = float(sizes["tick"][-1])
         known = np.flatnonzero(~np.isnan(mids))
         if len(known) == 0:
             return (upto + 1, samples, uid, bid, ask, tick, mid, s1, s2), None
-        lo = int(known[0])  # once quote and size are known they stay known
-        mids = mids[lo:]
+        mids, cells = mids[known[0] :], at[known[0] :]  # once quote and size are known they stay known
         before = np.concatenate([[mids[0] if mid is None else mid], mids[:-1]])
         x = np.rint((mids - before) * 10).astype(np.int64)
         p1, p2 = s1 + np.cumsum(x), s2 + np.cumsum(x * x)
         counts = samples + 1 + np.arange(len(mids))
         vols = self._volatilities(counts, samples, p1, p2)
         self._store(samples, p1, p2)
-        cells = start + lo + np.arange(len(mids))
         out = pd.DataFrame(
             {
                 "symbol": key[0],
@@ -194,10 +207,19 @@ class LiveVolatility(StatefulProcessor):
                 self.sums.removeKey((chunk,))
 
 
-def _mid_tick(bid, ask, tick) -> float:
-    if bid is None or ask is None or not tick:
-        return np.nan
-    return round((bid + ask) / 2.0 / tick, 1)
+def _newest(rows: np.ndarray) -> np.ndarray:
+    """Per instant the quote with the highest update id and the last size, in order of instants."""
+    rows = rows[np.argsort(rows["uid"], kind="stable")]  # sizes carry no id and keep their arrival order
+    rows = rows[np.lexsort((np.isnan(rows["tick"]), rows["cell"]))]
+    is_last = np.ones(len(rows), bool)
+    is_last[:-1] = (rows["cell"][1:] != rows["cell"][:-1]) | (np.isnan(rows["tick"][1:]) != np.isnan(rows["tick"][:-1]))
+    return rows[is_last]
+
+
+def _in_force(at: np.ndarray, cells: np.ndarray, values: np.ndarray, before: float | None) -> np.ndarray:
+    """Value of the last change at or before each instant, else the one before all of them."""
+    k = np.searchsorted(cells, at, side="right")
+    return np.concatenate([[np.nan if before is None else before], values])[k]
 
 
 def live_features(events: DataFrame, cfg: FeatureConfig, warmup_minutes: int, delay: str = "1 second", value: str = "value") -> DataFrame:

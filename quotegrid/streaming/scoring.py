@@ -58,7 +58,8 @@ def score_live(rows: DataFrame, registry: DataFrame, cache: ModelCache, lookback
         part = model.score(dated.where(F.col("warm") & mine), "volatility").withColumn("status", F.lit("ok"))
         scored = part if scored is None else scored.unionByName(part)
     rest = dated.where(~(F.col("warm") & has_model)).withColumn("status", status_of(F.col("warm"), F.lit(False)))
-    return rest if scored is None else scored.unionByName(rest, allowMissingColumns=True)
+    rest = rest.withColumn("volatility", F.lit(None).cast("double"))
+    return rest if scored is None else scored.unionByName(rest)
 
 
 def score_and_send(
@@ -71,10 +72,12 @@ def score_and_send(
     cache = ModelCache()
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        scored = score_live(batch, read_registry(), cache, lookback_days, grid)
-        if "volatility" not in scored.columns:
-            scored = scored.withColumn("volatility", F.lit(None).cast("double"))
-        send(scored.select("timestamp", "symbol", "status", status_message().alias("value")), batch_id)
+        batch.persist()  # every model's branch reads the batch
+        try:
+            scored = score_live(batch, read_registry(), cache, lookback_days, grid)
+            send(scored.select("timestamp", "symbol", "status", status_message().alias("value")), batch_id)
+        finally:
+            batch.unpersist()
 
     run.cache = cache
     return run
