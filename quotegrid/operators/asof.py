@@ -16,10 +16,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quotegrid.config import GridConfig
+from quotegrid.config import DAY_NS, GridConfig
 from quotegrid.functions.time import (
     cell_ns,
     day_of_ns,
+    div,
     floor_div,
     session_origin_cell,
     session_start_ns,
@@ -157,13 +158,12 @@ def daily_frames(sessions: DataFrame, layout: BlockLayout) -> DataFrame:
     return sessions.withColumn("block", F.explode(blocks))
 
 
-def endless_frames(cells: DataFrame, grid: GridConfig, layout: BlockLayout, until_cell: Column | None = None) -> DataFrame:
-    """Blocks from a symbol's first cell to its last, or to the end of its last day."""
-    last = F.max("cell")
-    if until_cell is None:
-        day_end = floor_div(last, grid.points_per_day) * F.lit(grid.points_per_day) + F.lit(grid.points_per_day - 1)
-        until_cell = day_end
-    span = cells.groupBy("symbol").agg(F.min("cell").alias("first_cell"), until_cell.alias("last_cell"))
+def endless_frames(cells: DataFrame, grid: GridConfig, layout: BlockLayout) -> DataFrame:
+    """Blocks from a symbol's first cell to the end of the day of its last quote."""
+    next_day = floor_div(F.max("quote.local_ts_ns") + F.lit(grid.offset_ns), DAY_NS) + 1
+    last_cell = div(next_day * F.lit(DAY_NS) - F.lit(grid.offset_ns + grid.origin_ns), grid.interval_ns) - 1
+    span = cells.groupBy("symbol").agg(F.min("cell").alias("first_cell"), last_cell.alias("last_cell"))
+    span = span.where("first_cell <= last_cell")
     blocks = F.sequence(floor_div(F.col("first_cell"), layout.length), floor_div(F.col("last_cell"), layout.length))
     return span.select(
         "symbol",

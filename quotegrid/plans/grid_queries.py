@@ -296,7 +296,7 @@ def warmup_trim_query(spark, sf):
 LIVE_WINDOWS = {m: m * 60 // STEP_S for m in COARSE.vol_windows}
 LIVE_SQL = f"""{QUOTES_SQL},
 e AS (SELECT symbol, min((local_ts_ns + {STEP_S}000000000 - 1)//{STEP_S}000000000) AS c0,
-             max((local_ts_ns + {STEP_S}000000000 - 1)//{STEP_S}000000000)//{86400 // STEP_S}*{86400 // STEP_S} + {86400 // STEP_S - 1} AS c1
+             (max(local_ts_ns)//86400000000000 + 1)*{86400 // STEP_S} - 1 AS c1
       FROM v GROUP BY symbol),
 g AS (SELECT symbol, c0, unnest(range(c0, c1 + 1)) AS c FROM e),
 a AS (SELECT g.symbol, g.c, g.c - g.c0 + 1 AS samples, g.c*{STEP_S}000000000 AS t, round((ask_price + bid_price)/2/0.01, 1) AS mid_tick
