@@ -36,63 +36,61 @@ def exact_quantiles(
     keys = list(keys)
     merged = (
         df.where(F.col(value).isNotNull() & ~F.isnan(value))
-        .select(*keys, F.col(value).alias("value"))
-        .groupBy(*keys, "value")
-        .agg(F.count(F.lit(1)).alias("c"))
+        .select(*keys, F.col(value).alias("_value"))
+        .groupBy(*keys, "_value")
+        .agg(F.count(F.lit(1)).alias("_rows"))
     )
     width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cut = merged.repartitionByRange(width, *keys, "value").withColumn("bin", F.spark_partition_id())
-    cut = materialize(cut)
+    cut = materialize(
+        merged.repartitionByRange(width, *keys, "_value").withColumn("_bin", F.spark_partition_id()), "quantile-cut"
+    )
 
-    by_bin = Window.partitionBy(*keys).orderBy("bin")
+    # Rows before each range, and per group.
+    by_bin = Window.partitionBy(*keys).orderBy("_bin")
     totals = (
-        cut.groupBy(*keys, "bin")
-        .agg(F.sum("c").alias("c"))
-        .withColumn("at", F.sum("c").over(by_bin) - F.col("c"))
-        .withColumn("n", F.sum("c").over(Window.partitionBy(*keys)))
+        cut.groupBy(*keys, "_bin")
+        .agg(F.sum("_rows").alias("_rows"))
+        .withColumn("_at", F.sum("_rows").over(by_bin) - F.col("_rows"))
     )
-    sizes = totals.groupBy(*keys).agg(F.first("n").alias("n"))
+    sizes = totals.groupBy(*keys).agg(F.sum("_rows").alias("_n"))
+
+    # The two ranks around each asked quantile.
     if probs is not None:
-        asked = sizes.select(*keys, "n", F.posexplode(F.array(*[F.lit(float(p)) for p in probs])).alias("k", "p"))
+        asked = sizes.select(*keys, "_n", F.posexplode(F.array(*[F.lit(float(p)) for p in probs])).alias("_k", "_p"))
     else:
-        m = F.least(F.col("n"), F.lit(count).cast("bigint"))
-        asked = sizes.select(*keys, "n", m.alias("m"), F.explode(F.sequence(F.lit(0).cast("bigint"), m - 1)).alias("k"))
-        asked = asked.withColumn("p", F.when(F.col("m") > 1, F.col("k") / (F.col("m") - 1)).otherwise(0.0)).drop("m")
-    asked = asked.withColumn("pos", F.col("p") * (F.col("n") - 1))
-    ranks = asked.select(
-        *keys,
-        "k",
-        F.explode(F.array(F.floor("pos"), F.ceil("pos"))).alias("at"),
-        F.col("n").alias("size"),
-        F.col("pos"),
-    ).distinct()
-
-    # Which range holds each rank, then which value in it.
-    order = ("at", "is_rank")
+        last = F.least(F.col("_n"), F.lit(count).cast("bigint")) - 1
+        asked = sizes.select(*keys, "_n", last.alias("_last"), F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("_k"))
+        asked = asked.withColumn("_p", F.when(F.col("_last") > 0, F.col("_k") / F.col("_last")).otherwise(0.0))
+    asked = asked.withColumn("_pos", F.col("_p") * (F.col("_n") - 1))
+    either = F.explode(F.array(F.floor("_pos"), F.ceil("_pos"))).alias("_at")
+    ranks = asked.select(*keys, "_n", "_k", "_pos", either, F.lit(1).alias("_is_rank")).distinct()
+
+    # Which range holds each rank, then which value in it: the last one at or before the rank.
+    order = ("_at", "_is_rank")
+    starts = totals.select(*keys, "_at", "_bin", F.lit(0).alias("_is_rank"))
     located = (
-        totals.select(*keys, "at", "bin", F.lit(0).alias("is_rank"))
-        .unionByName(ranks.withColumn("is_rank", F.lit(1)), allowMissingColumns=True)
-        .withColumn("bin", F.last("bin", True).over(Window.partitionBy(*keys).orderBy(*order)))
-        .where("is_rank = 1")
+        starts.unionByName(ranks, allowMissingColumns=True)
+        .withColumn("_bin", F.last("_bin", True).over(Window.partitionBy(*keys).orderBy(*order)))
+        .where("_is_rank = 1")
     )
-    inside = Window.partitionBy(*keys, "bin").orderBy("value")
+    inside = Window.partitionBy(*keys, "_bin")
     placed = (
-        cut.join(located.select(*keys, "bin").distinct(), [*keys, "bin"], "left_semi")
-        .join(totals.select(*keys, "bin", F.col("at").alias("base")), [*keys, "bin"])
-        .withColumn("at", F.col("base") + F.sum("c").over(inside) - F.col("c"))
-        .select(*keys, "bin", "at", "value", F.lit(0).alias("is_rank"))
+        cut.join(located.select(*keys, "_bin").distinct(), [*keys, "_bin"], "left_semi")
+        .join(totals.select(*keys, "_bin", F.col("_at").alias("_base")), [*keys, "_bin"])
+        .withColumn("_at", F.col("_base") + F.sum("_rows").over(inside.orderBy("_value")) - F.col("_rows"))
+        .select(*keys, "_bin", "_at", "_value", F.lit(0).alias("_is_rank"))
     )
     found = (
         placed.unionByName(located, allowMissingColumns=True)
-        .withColumn("value", F.last("value", True).over(Window.partitionBy(*keys, "bin").orderBy(*order)))
-        .where("is_rank = 1")
+        .withColumn("_value", F.last("_value", True).over(inside.orderBy(*order)))
+        .where("_is_rank = 1")
     )
-    part = F.col("pos") - F.floor("pos")
-    lo, hi = F.min("value"), F.max("value")
-    points = found.groupBy(*keys, "k", "size", "pos").agg((lo + (hi - lo) * part).alias("q"))
+    part = F.col("_pos") - F.floor("_pos")
+    lo, hi = F.min("_value"), F.max("_value")
+    points = found.groupBy(*keys, "_n", "_k", "_pos").agg((lo + (hi - lo) * part).alias("_q"))
     return points.groupBy(*keys).agg(
-        F.first("size").alias("n"),
-        F.transform(F.sort_array(F.collect_list(F.struct("k", "q"))), lambda s: s["q"]).alias("quantiles"),
+        F.first("_n").alias("n"),
+        F.transform(F.sort_array(F.collect_list(F.struct("_k", "_q"))), lambda s: s["_q"]).alias("quantiles"),
     )
 
 

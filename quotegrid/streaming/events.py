@@ -42,18 +42,23 @@ def read_event_topic(spark: SparkSession, servers: str, topic: str, **options: s
     return reader.options(**options).load().select(F.col("value").cast("string").alias("value"))
 
 
-def route(df: DataFrame, value: str = "value") -> DataFrame:
-    """Add ``route``: the event name, ``unknown`` without one, or ``bad`` for broken JSON.
+def _envelope(value: Column | str) -> Column:
+    """A message as a map of texts: events name themselves in one of three fields."""
+    return F.from_json(value, "map<string,string>")
 
-    Messages name their event in one of three fields, so the envelope is read as a map.
-    """
-    envelope = F.from_json(value, "map<string,string>")
-    names = [F.try_element_at(F.col("_envelope"), F.lit(k)) for k in ("event", "Event", "type")]
-    return (
-        df.withColumn("_envelope", envelope)
-        .withColumn("route", F.when(F.col("_envelope").isNull(), "bad").otherwise(F.coalesce(*names, F.lit("unknown"))))
-        .drop("_envelope")
-    )
+
+def _field(envelope: Column, *names: str) -> Column:
+    return F.coalesce(*[F.try_element_at(envelope, F.lit(n)) for n in names])
+
+
+def _route(envelope: Column) -> Column:
+    name = F.coalesce(_field(envelope, "event", "Event", "type"), F.lit("unknown"))
+    return F.when(envelope.isNull(), "bad").otherwise(name)
+
+
+def route(df: DataFrame, value: str = "value") -> DataFrame:
+    """Add ``route``: the event name, ``unknown`` without one, or ``bad`` for broken JSON."""
+    return df.withColumn("_m", _envelope(value)).withColumn("route", _route(F.col("_m"))).drop("_m")
 
 
 def parse(df: DataFrame, event: str, value: str = "value") -> DataFrame:
@@ -61,27 +66,35 @@ def parse(df: DataFrame, event: str, value: str = "value") -> DataFrame:
     return df.where(F.col("route") == event).select(F.from_json(value, EVENT_SCHEMAS[event]).alias("m")).select("m.*")
 
 
-def _live_fields(value: Column, route_col: Column) -> dict[str, Column]:
-    q = F.from_json(value, EVENT_SCHEMAS["bookTicker"])
-    s = F.from_json(value, EVENT_SCHEMAS["symbol"])
-    is_size = route_col == SYMBOL
-    return {
-        "symbol": F.when(is_size, s["Symbol"]).otherwise(q["symbol"]),
-        "time_us": F.when(is_size, s["updateTime"]).otherwise(F.coalesce(q["updateTime"], q["time"], q["tradeTime"])),
-        "update_id": F.when(~is_size, q["updateID"]),
-        "bid_price": F.when(~is_size, q["bidPrice"]),
-        "ask_price": F.when(~is_size, q["askPrice"]),
-        "tick_size": F.when(is_size, s["TickSize"]),
-    }
-
-
 def live_messages(df: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """The two events the live features use, tagged by ``route``; all else is skipped.
 
-    Quotes without id or price and sizes without a number are skipped like broken JSON.
+    Numbers may come as JSON numbers or as text. Quotes without id, time or price
+    and sizes that are not positive are skipped like broken JSON.
     """
-    routed = route(df, value).where(F.col("route").isin(BOOK_TICKER, SYMBOL))
-    rows = routed.select(*keep, "route", *[c.alias(n) for n, c in _live_fields(F.col(value), F.col("route")).items()])
+    m = F.col("_m")
+    is_size = F.col("route") == SYMBOL
+
+    def number(name: str, kind: str, *names: str) -> Column:
+        return _field(m, *names).try_cast(kind).alias(name)
+
+    tagged = df.select(*keep, _envelope(value).alias("_m")).withColumn("route", _route(m))
+    rows = tagged.where(F.col("route").isin(BOOK_TICKER, SYMBOL)).select(
+        *keep,
+        "route",
+        F.when(is_size, _field(m, "Symbol")).otherwise(_field(m, "symbol")).alias("symbol"),
+        number("time_us", "bigint", "updateTime", "time", "tradeTime"),
+        number("update_id", "bigint", "updateID"),
+        number("bid_price", "double", "bidPrice"),
+        number("ask_price", "double", "askPrice"),
+        number("tick_size", "double", "TickSize"),
+    )
+    rows = rows.withColumns(
+        {
+            **{c: F.when(~is_size, F.col(c)) for c in ("update_id", "bid_price", "ask_price")},
+            "tick_size": F.when(is_size, F.col("tick_size")),
+        }
+    )
     quote_ok = F.col("update_id").isNotNull() & F.col("time_us").isNotNull()
     for price in ("bid_price", "ask_price"):
         quote_ok = quote_ok & F.col(price).isNotNull() & ~F.isnan(price)
