@@ -83,12 +83,17 @@ class BlockLayout:
     @classmethod
     def daily(cls, grid: GridConfig, back: int = 0, ahead: int = 0, whole_session: bool = False):
         first = 0 if whole_session else grid.target_from
-        length = min(max(back, ahead, grid.min_block_points), grid.session_points)
-        return cls(max(length, 1), back, ahead, first, grid.session_points)
+        length = min(cls._length(grid, back, ahead), grid.session_points)
+        return cls(length, back, ahead, first, grid.session_points)
 
     @classmethod
     def endless(cls, grid: GridConfig, back: int = 0, ahead: int = 0):
-        return cls(max(back, ahead, grid.min_block_points, 1), back, ahead, 0, None)
+        return cls(cls._length(grid, back, ahead), back, ahead, 0, None)
+
+    @staticmethod
+    def _length(grid: GridConfig, back: int, ahead: int) -> int:
+        """At least twice the lead-in, so that at most a third of a block's points are repeated."""
+        return max(2 * back, ahead, grid.min_block_points, 1)
 
     @property
     def blocks(self) -> int:
@@ -189,13 +194,12 @@ def block_runs(points: DataFrame, frames: DataFrame, layout: BlockLayout) -> Dat
     )
     if layout.points is not None:
         tails = tails.where(F.col("block") < layout.blocks)
-    # A tail may fall in a block before the first frame, so frames and tails meet by union.
-    so_far = Window.partitionBy("symbol", "feature_date").orderBy("block").rowsBetween(Window.unboundedPreceding, 0)
+    # A tail may fall in a block no frame has, so frames and tails meet by union. All rows up
+    # to a block count for it, its own tail included.
+    so_far = Window.partitionBy("symbol", "feature_date").orderBy("block").rangeBetween(Window.unboundedPreceding, 0)
     openings = (
         frames.withColumn("wanted", F.lit(True))
         .unionByName(tails, allowMissingColumns=True)
-        .groupBy(*BLOCK_KEYS)
-        .agg(F.max("tail").alias("tail"), F.bool_or("wanted").alias("wanted"), *[F.max(c).alias(c) for c in extra])
         .withColumn("tail", F.max("tail").over(so_far))
         .where("wanted")
         .select(

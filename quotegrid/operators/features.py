@@ -17,7 +17,7 @@ from quotegrid.operators.asof import (
     snap_to_cells,
 )
 from quotegrid.operators.rolling import dense_sums, ratio, rolling_std
-from quotegrid.session import compile_wide_projections
+from quotegrid.session import compile_wide_projections, small_side
 
 
 def _layout(cfg: FeatureConfig) -> BlockLayout:
@@ -25,21 +25,34 @@ def _layout(cfg: FeatureConfig) -> BlockLayout:
     return BlockLayout.daily(cfg.grid, back=max(ticks), ahead=cfg.grid.ticks(cfg.label_window))
 
 
-def daily_runs(quotes: DataFrame, sessions: DataFrame, cfg: FeatureConfig, strict: bool = False) -> DataFrame:
-    """Quote runs per block. ``sessions`` holds ``symbol, feature_date, tick_size``."""
+def daily_runs(
+    quotes: DataFrame, sessions: DataFrame, cfg: FeatureConfig, strict: bool = False, prune: bool = False
+) -> DataFrame:
+    """Quote runs per block. ``sessions`` holds ``symbol, feature_date, tick_size``.
+
+    ``prune`` drops the points of other sessions before they are shuffled. It reads
+    ``sessions`` once more, so it is for a stored list of tasks.
+    """
     layout = _layout(cfg)
     points = daily_points(snap_to_cells(quotes, cfg.grid, strict), cfg.grid)
+    if prune:
+        points = points.join(small_side(sessions.select("symbol", "feature_date")), ["symbol", "feature_date"], "left_semi")
     frames = daily_frames(sessions.select("symbol", "feature_date", "tick_size"), layout)
     return block_runs(points, frames, layout)
 
 
 def sampled_volatility(
-    quotes: DataFrame, sessions: DataFrame, cfg: FeatureConfig, ddof: int = 1, strict: bool = False
+    quotes: DataFrame,
+    sessions: DataFrame,
+    cfg: FeatureConfig,
+    ddof: int = 1,
+    strict: bool = False,
+    prune: bool = False,
 ) -> DataFrame:
     """Grid points of the feature dates with quote, move, volatilities and label, nothing dropped."""
     compile_wide_projections(quotes.sparkSession)
     layout = _layout(cfg)
-    dense = dense_sums(daily_runs(quotes, sessions, cfg, strict), layout)
+    dense = dense_sums(daily_runs(quotes, sessions, cfg, strict, prune), layout)
     windows = {c: cfg.grid.ticks(w) for c, w in zip(cfg.vol_columns, cfg.vol_windows, strict=True)}
     label = (cfg.label_column, cfg.grid.ticks(cfg.label_window))
     return (
@@ -75,9 +88,12 @@ def trim_warmup(df: DataFrame, cfg: FeatureConfig) -> DataFrame:
     return df.where(F.col("timestamp") >= start)
 
 
-def feature_matrix(quotes: DataFrame, sessions: DataFrame, cfg: FeatureConfig, strict: bool = False) -> DataFrame:
+def feature_matrix(
+    quotes: DataFrame, sessions: DataFrame, cfg: FeatureConfig, strict: bool = False, prune: bool = False
+) -> DataFrame:
     """``symbol, feature_date, timestamp``, the feature columns and the label."""
-    rows = trim_warmup(keep_complete(sampled_volatility(quotes, sessions, cfg, strict=strict), cfg), cfg)
+    sampled = sampled_volatility(quotes, sessions, cfg, strict=strict, prune=prune)
+    rows = trim_warmup(keep_complete(sampled, cfg), cfg)
     return rows.select(
         "symbol",
         "feature_date",

@@ -96,7 +96,7 @@ def build_features(
         lacking = lg.failed_tasks(pending, raw.select("symbol", "date").distinct(), cfg.grid.use_prev_day)
         ready = pending.join(lacking, ["symbol", "feature_date"], "left_anti").join(small_side(sizes), "symbol")
         ready = materialize(ready.select("symbol", "feature_date", "tick_size"))
-        rows = feature_matrix(raw, ready, cfg).withColumnRenamed("feature_date", "date")
+        rows = feature_matrix(raw, ready, cfg, prune=True).withColumnRenamed("feature_date", "date")
         write_by_symbol_day(rows, store.path("features"), "timestamp")
     done = plan.where("action <> 'done'").select("symbol", "date")
     built = materialize(store.stats(spark, "features", done))

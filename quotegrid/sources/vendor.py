@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from datetime import date, datetime, time, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,18 +13,19 @@ from quotegrid.functions.epochs import epoch_to_micros, exchange_name
 VENDOR_FIELDS = {"ask_amount": "askQty", "ask_price": "askPrice", "bid_price": "bidPrice", "bid_amount": "bidQty"}
 
 
+def hour_predicates(first_day: date, last_day: date, column: str = "receiveTime") -> list[str]:
+    """One condition per hour of the days, both ends included; each becomes a read task."""
+    first = datetime.combine(first_day, time())
+    hours = ((last_day - first_day).days + 1) * 24
+    edges = [first + timedelta(hours=h) for h in range(hours + 1)]
+    return [f"{column} >= '{a}' AND {column} < '{b}'" for a, b in zip(edges, edges[1:])]
+
+
 def read_vendor_table(
     spark: SparkSession, url: str, table: str, first_day: date, last_day: date, **options: str
 ) -> DataFrame:
-    """JDBC scan of whole days; one read task per hour, the time filter runs in the store."""
-    bounds, t = [], first_day
-    while t <= last_day:
-        for h in range(24):
-            lo = f"{t} {h:02d}:00:00"
-            hi = f"{t} {h + 1:02d}:00:00" if h < 23 else f"{t + timedelta(days=1)} 00:00:00"
-            bounds.append(f"receiveTime >= '{lo}' AND receiveTime < '{hi}'")
-        t += timedelta(days=1)
-    return spark.read.jdbc(url, table, predicates=bounds, properties=options)
+    """JDBC scan of whole days; the time filter runs in the store, other filters are pushed down by Spark."""
+    return spark.read.jdbc(url, table, predicates=hour_predicates(first_day, last_day), properties=options)
 
 
 def vendor_day_scan(vendor: DataFrame) -> DataFrame:

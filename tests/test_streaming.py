@@ -152,3 +152,29 @@ def test_status_message_leaves_volatility_out_unless_ok(spark):
     df = spark.createDataFrame([(1, "a", "ok", 0.5), (1, "a", "warmup", 0.5)], "timestamp bigint, symbol string, status string, volatility double")
     got = [json.loads(r[0]) for r in df.select(status_message()).collect()]
     assert got == [{"timestamp": 1, "symbol": "a", "status": "ok", "volatility": 0.5}, {"timestamp": 1, "symbol": "a", "status": "warmup"}]
+
+
+def test_downsampled_stream_equals_batch(spark, tmp_path):
+    from quotegrid.operators.metrics import downsample_last
+    from quotegrid.streaming.windows import downsample_last_stream
+
+    df = spark.range(200).select(
+        F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("symbol"),
+        (F.lit(19_000 * DAY) + F.col("id") * STEP).alias("timestamp"),
+        F.when(F.col("id") % 5 != 0, F.col("id").cast("double")).alias("x"),
+    )
+    df.repartition(5).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
+    q = (
+        downsample_last_stream(stream, "1 hour")
+        .writeStream.format("parquet")
+        .option("path", str(tmp_path / "out"))
+        .option("checkpointLocation", str(tmp_path / "state"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    got = {tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    want = {tuple(r) for r in downsample_last(df, 3_600_000_000_000).collect()}
+    end = max(t for _, t, _ in want)
+    assert got == {w for w in want if w[1] < end} and len(got) > 30

@@ -222,3 +222,12 @@ def test_latest_model_lookback(spark):
 def test_decimal_keeps_nanosecond_digits(spark):
     r = spark.range(1).select(epoch_to_micros(F.lit(Decimal("1704067200123456789"))).alias("us")).first()
     assert r.us == 1_704_067_200_123_456
+
+
+def test_vendor_hours_cover_the_days_once():
+    from quotegrid.sources.vendor import hour_predicates
+
+    got = hour_predicates(D(2024, 2, 28), D(2024, 2, 29))
+    assert len(got) == 48
+    assert got[0] == "receiveTime >= '2024-02-28 00:00:00' AND receiveTime < '2024-02-28 01:00:00'"
+    assert got[-1].endswith("receiveTime < '2024-03-01 00:00:00'")
