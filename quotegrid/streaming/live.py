@@ -21,9 +21,9 @@ from quotegrid.operators.features import ratio_columns
 from quotegrid.streaming.events import SYMBOL, live_messages
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# Instants packed into one state value; a burst is emitted in batches of some chunks.
 CHUNK = 4096
-# Instants emitted per output batch.
-EMIT = 16 * CHUNK
+CHUNKS_PER_BATCH = 16
 
 
 def use_rocksdb(spark: SparkSession) -> None:
@@ -46,8 +46,8 @@ class LiveVolatility(StatefulProcessor):
     """State: ``head`` (next instant, quote and size in force, last sums), arrivals not
     yet reached and prefix sums, the latter two packed in chunks of instants."""
 
-    def __init__(self, windows: list[int], warmup: int, interval_ns: int, origin_ns: int):
-        self.windows, self.warmup = windows, warmup
+    def __init__(self, windows: list[int], warmup: int, interval_ns: int, origin_ns: int, chunk: int = CHUNK):
+        self.windows, self.warmup, self.chunk = windows, warmup, chunk
         self.interval_ns, self.origin_ns = interval_ns, origin_ns
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -91,7 +91,7 @@ class LiveVolatility(StatefulProcessor):
         else:
             start = int(new["cell"].min())
             head = (start if head[0] is None else min(start, head[0]), *head[1:])
-        chunk = new["cell"] // CHUNK
+        chunk = new["cell"] // self.chunk
         for c in np.unique(chunk):
             rows = new[chunk == c]
             old = self.pending.getValue((int(c),)) if self.pending.containsKey((int(c),)) else None
@@ -107,8 +107,9 @@ class LiveVolatility(StatefulProcessor):
             last = passed_ns // self.interval_ns
             if last >= head[0]:
                 chunks = sorted(k[0] for k in self.pending.keys())
+                batch = CHUNKS_PER_BATCH * self.chunk
                 while head[0] <= last:
-                    upto = min(last, (head[0] // EMIT + 1) * EMIT - 1)
+                    upto = min(last, (head[0] // batch + 1) * batch - 1)
                     due = self._due(chunks, upto)
                     head, out = self._advance(key, head, upto, due)
                     if out is not None:
@@ -121,7 +122,7 @@ class LiveVolatility(StatefulProcessor):
     def _due(self, chunks, upto):
         """Take the arrivals up to an instant out of the state, in order."""
         taken = [np.empty(0, ARRIVAL)]
-        while chunks and chunks[0] <= upto // CHUNK:
+        while chunks and chunks[0] <= upto // self.chunk:
             rows = np.frombuffer(self.pending.getValue((chunks[0],))[0], ARRIVAL)
             taken.append(rows[rows["cell"] <= upto])
             rest = rows[rows["cell"] > upto]
@@ -185,24 +186,24 @@ class LiveVolatility(StatefulProcessor):
         old = np.flatnonzero((pos > 0) & ~new)
         if len(old):
             index = pos[old] - 1
-            for chunk in range(int(index[0]) // CHUNK, int(index[-1]) // CHUNK + 1):
+            for chunk in range(int(index[0]) // self.chunk, int(index[-1]) // self.chunk + 1):
                 c1, c2 = (np.frombuffer(v, np.int64) for v in self.sums.getValue((chunk,)))
-                here = index // CHUNK == chunk
-                b1[old[here]], b2[old[here]] = c1[index[here] % CHUNK], c2[index[here] % CHUNK]
+                here = index // self.chunk == chunk
+                b1[old[here]], b2[old[here]] = c1[index[here] % self.chunk], c2[index[here] % self.chunk]
         return b1, b2
 
     def _store(self, samples, p1, p2):
         """Append the new sums to their chunks and drop chunks no window reaches any more."""
         index = samples + np.arange(len(p1))
-        for chunk in range(int(index[0]) // CHUNK, int(index[-1]) // CHUNK + 1):
-            here = index // CHUNK == chunk
+        for chunk in range(int(index[0]) // self.chunk, int(index[-1]) // self.chunk + 1):
+            here = index // self.chunk == chunk
             n1, n2 = p1[here].tobytes(), p2[here].tobytes()
-            if index[here][0] % CHUNK:
+            if index[here][0] % self.chunk:
                 o1, o2 = self.sums.getValue((chunk,))
                 n1, n2 = bytes(o1) + n1, bytes(o2) + n2
             self.sums.updateValue((chunk,), (n1, n2))
-        oldest = (int(index[-1]) + 1 - max(self.windows)) // CHUNK - 1
-        for chunk in range(oldest, max(oldest - len(p1) // CHUNK - 2, -1), -1):
+        oldest = (int(index[-1]) + 1 - max(self.windows)) // self.chunk - 1
+        for chunk in range(oldest, max(oldest - len(p1) // self.chunk - 2, -1), -1):
             if chunk >= 0 and self.sums.containsKey((chunk,)):
                 self.sums.removeKey((chunk,))
 
@@ -222,13 +223,15 @@ def _in_force(at: np.ndarray, cells: np.ndarray, values: np.ndarray, before: flo
     return np.concatenate([[np.nan if before is None else before], values])[k]
 
 
-def live_features(events: DataFrame, cfg: FeatureConfig, warmup_minutes: int, delay: str = "1 second", value: str = "value") -> DataFrame:
-    """Feature rows per grid instant from a stream of JSON events."""
+def live_features(
+    events: DataFrame, cfg: FeatureConfig, warmup_minutes: int, delay: str = "1 second", chunk: int = CHUNK
+) -> DataFrame:
+    """Feature rows per grid instant from a stream of JSON events in column ``value``."""
     grid = cfg.grid
     ns = F.col("time_us") * 1000 - F.lit(grid.origin_ns)
     cell = floor_div(ns + F.lit(grid.interval_ns - 1), grid.interval_ns)
     rows = (
-        live_messages(events, value)
+        live_messages(events)
         .withColumn("cell", cell)
         .withColumn("event_time", F.when(F.col("route") != SYMBOL, F.timestamp_micros("time_us")))
         .withWatermark("event_time", delay)
@@ -236,9 +239,8 @@ def live_features(events: DataFrame, cfg: FeatureConfig, warmup_minutes: int, de
     )
     reduced = rows.mapInPandas(_newest_per_cell, rows.schema)
     vols = ", ".join(f"v{i} double" for i in range(len(cfg.vol_windows)))
-    processor = LiveVolatility(
-        [grid.ticks(w) for w in cfg.vol_windows], grid.ticks(warmup_minutes), grid.interval_ns, grid.origin_ns
-    )
+    windows = [grid.ticks(w) for w in cfg.vol_windows]
+    processor = LiveVolatility(windows, grid.ticks(warmup_minutes), grid.interval_ns, grid.origin_ns, chunk)
     sampled = reduced.groupBy("symbol").transformWithStateInPandas(
         statefulProcessor=processor,
         outputStructType=f"symbol string, timestamp bigint, samples bigint, warm boolean, mid_tick double, {vols}",

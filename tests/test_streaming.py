@@ -41,9 +41,9 @@ def write_lines(folder, name, msgs):
     (folder / name).write_text("".join((m if isinstance(m, str) else json.dumps(m)) + "\n" for m in msgs))
 
 
-def run(spark, folder, out, state, files_per_batch=1):
+def run(spark, folder, out, state, files_per_batch=1, chunk=4096):
     use_rocksdb(spark)
-    stream = live_features(read_event_files(spark, str(folder), files_per_batch), CFG, 60)
+    stream = live_features(read_event_files(spark, str(folder), files_per_batch), CFG, 60, chunk=chunk)
     q = (
         stream.select(*COLUMNS)
         .writeStream.format("parquet")
@@ -72,7 +72,8 @@ def assert_same(got, want, until):
         np.testing.assert_array_equal(got[c], want[c])
 
 
-def test_stream_equals_batch_at_any_split_and_after_a_restart(spark, tmp_path):
+@pytest.mark.parametrize("chunk", [5, 4096])
+def test_stream_equals_batch_at_any_split_and_after_a_restart(spark, tmp_path, chunk):
     rows = stream_rows()
     msgs = messages(rows)
     rng = np.random.default_rng(0)
@@ -80,11 +81,11 @@ def test_stream_equals_batch_at_any_split_and_after_a_restart(spark, tmp_path):
     parts = [msgs[a:b] for a, b in zip([0, *cuts], [*cuts, len(msgs)])]
     for k, part in enumerate(parts[:2]):
         write_lines(tmp_path / "in", f"{k}.json", part)
-    run(spark, tmp_path / "in", tmp_path / "out", tmp_path / "state")
+    run(spark, tmp_path / "in", tmp_path / "out", tmp_path / "state", chunk=chunk)
     # A second start goes on from the stored state.
     for k, part in enumerate(parts[2:], 2):
         write_lines(tmp_path / "in", f"{k}.json", part)
-    got = run(spark, tmp_path / "in", tmp_path / "out", tmp_path / "state")
+    got = run(spark, tmp_path / "in", tmp_path / "out", tmp_path / "state", chunk=chunk)
     assert not got.duplicated(["symbol", "timestamp"]).any()
     until = (max(r[2] for r in rows) // 1_000_000 - 1000) * 1_000_000
     assert_same(got, batch(spark, rows), until)
