@@ -247,7 +247,15 @@ def live_features(
         outputMode="Append",
         timeMode="EventTime",
     )
-    named = sampled.withColumnsRenamed({f"v{i}": c for i, c in enumerate(cfg.vol_columns)})
+    # NaN of an unfilled window leaves pandas as null.
+    named = sampled.select(
+        "symbol",
+        "timestamp",
+        "samples",
+        "warm",
+        "mid_tick",
+        *[F.coalesce(f"v{i}", F.lit(float("nan"))).alias(c) for i, c in enumerate(cfg.vol_columns)],
+    )
     return with_live_columns(named, cfg)
 
 

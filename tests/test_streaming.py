@@ -53,7 +53,9 @@ def run(spark, folder, out, state, files_per_batch=1, chunk=4096):
         .start()
     )
     q.awaitTermination()
-    return spark.read.parquet(str(out)).orderBy("symbol", "timestamp").toPandas()
+    got = spark.read.parquet(str(out))
+    assert got.where(" or ".join(f"{c} is null" for c in COLUMNS)).isEmpty()  # unfilled windows are NaN
+    return got.orderBy("symbol", "timestamp").toPandas()
 
 
 def batch(spark, rows):
