@@ -98,3 +98,35 @@ TIME_SQL = """CAST(hour(make_timestamp(t//1000)) AS DOUBLE) AS "hour",
 CAST(minute(make_timestamp(t//1000)) AS DOUBLE) AS "minute",
 round(sin(2*pi()*(hour(make_timestamp(t//1000))*60 + minute(make_timestamp(t//1000)))/1440), 9) AS tod_sin,
 round(cos(2*pi()*(hour(make_timestamp(t//1000))*60 + minute(make_timestamp(t//1000)))/1440), 9) AS tod_cos"""
+
+
+# Coefficients of algorithm AS 241 (Wichura 1988) for the normal quantile,
+# highest power first, numerator then denominator; good for 1e-11 < p < 1 - 1e-11.
+NORMAL_CENTRE = (
+    (2509.0809287301226727, 33430.575583588128105, 67265.770927008700853, 45921.953931549871457,
+     13731.693765509461125, 1971.5909503065514427, 133.14166789178437745, 3.3871328727963666080),
+    (5226.4952788528545610, 28729.085735721942674, 39307.895800092710610, 21213.794301586595867,
+     5394.1960214247511077, 687.18700749205790830, 42.313330701600911252, 1.0),
+)
+NORMAL_TAIL = (
+    (7.7454501427834140764e-4, 2.27238449892691845833e-2, 2.41780725177450611770e-1, 1.27045825245236838258,
+     3.64784832476320460504, 5.76949722146069140550, 4.63033784615654529590, 1.42343711074968357734),
+    (1.05075007164441684324e-9, 5.47593808499534494600e-4, 1.51986665636164571966e-2, 1.48103976427480074590e-1,
+     6.89767334985100004550e-1, 1.67638483018380384940, 2.05319162663775882187, 1.0),
+)
+
+
+def _poly_sql(coefficients: tuple[float, ...], r: str) -> str:
+    out = f"{coefficients[0]!r}::DOUBLE"
+    for c in coefficients[1:]:
+        out = f"({out}*{r} + {c!r}::DOUBLE)"
+    return out
+
+
+def normal_quantile_sql(p: str) -> str:
+    """Inverse of the normal distribution function for a column strictly between 0 and 1."""
+    c = f"(0.180625::DOUBLE - ({p} - 0.5::DOUBLE)*({p} - 0.5::DOUBLE))"
+    t = f"(sqrt(-ln(least({p}, 1.0::DOUBLE - {p}))) - 1.6::DOUBLE)"
+    centre = f"({p} - 0.5::DOUBLE)*{_poly_sql(NORMAL_CENTRE[0], c)}/{_poly_sql(NORMAL_CENTRE[1], c)}"
+    tail = f"{_poly_sql(NORMAL_TAIL[0], t)}/{_poly_sql(NORMAL_TAIL[1], t)}"
+    return f"CASE WHEN abs({p} - 0.5) <= 0.425 THEN {centre} WHEN {p} < 0.5 THEN -({tail}) ELSE {tail} END"

@@ -12,6 +12,8 @@ from quotegrid.operators.asof import QUOTE_FIELDS, asof_sample, sessions_of, val
 from quotegrid.operators.metrics import downsample_last, evaluate
 from quotegrid.operators.quality import drop_null_rows
 from quotegrid.operators.quantiles import (
+    EDGE,
+    NORMAL_LIMIT,
     collect_quantiles,
     describe,
     exact_quantiles,
@@ -23,6 +25,7 @@ from quotegrid.operators.rolling import mid_price, mid_tick
 from quotegrid.plans.catalog import (
     QUOTES_SQL,
     TIME_SQL,
+    normal_quantile_sql,
     query,
     ratio_sql,
     session_sql,
@@ -429,19 +432,23 @@ def label_quantiles_query(spark, sf):
     return out.select("symbol", F.col("k").cast("bigint").alias("k"), F.round("quantile", 6).alias("quantile"))
 
 
-@query(
-    "label_uniform",
-    f"""WITH {QUANTILES_SQL},
+RANKS_SQL = f"""{QUANTILES_SQL},
     e AS (SELECT symbol, min(q) AS lo, max(q) AS hi FROM qt GROUP BY symbol),
     dn AS (SELECT symbol, q, max(p) AS p FROM qt GROUP BY symbol, q),
     up AS (SELECT symbol, q, min(p) AS p FROM qt GROUP BY symbol, q),
     ds AS (SELECT *, lead(q) OVER w AS q2 FROM dn WINDOW w AS (PARTITION BY symbol ORDER BY q)),
     us AS (SELECT ds.symbol, ds.q, ds.p, ds.q2, up.p AS p2 FROM ds LEFT JOIN up ON up.symbol = ds.symbol AND up.q = ds.q2),
     at0 AS (SELECT y.symbol, y.feature_date, y.t, y.y, us.q, us.p, us.q2, us.p2, up.p AS first_p
-           FROM y ASOF JOIN us ON y.symbol = us.symbol AND y.y >= us.q LEFT JOIN up ON up.symbol = y.symbol AND up.q = y.y)
-    SELECT a.symbol, a.feature_date, t AS "timestamp", round(CASE WHEN y = lo THEN 0.0 WHEN y = hi THEN 1.0
-      WHEN y = a.q THEN (a.p + first_p)/2 ELSE a.p + (y - a.q)*(p2 - a.p)/(q2 - a.q) END, 6) AS u
-    FROM at0 a JOIN e ON e.symbol = a.symbol""",
+           FROM y ASOF JOIN us ON y.symbol = us.symbol AND y.y >= us.q LEFT JOIN up ON up.symbol = y.symbol AND up.q = y.y),
+    ranks AS (SELECT a.symbol, a.feature_date, t, y, lo, hi,
+      CASE WHEN y = a.q THEN (a.p + first_p)/2 ELSE a.p + (y - a.q)*(p2 - a.p)/(q2 - a.q) END AS u
+      FROM at0 a JOIN e ON e.symbol = a.symbol)"""
+
+
+@query(
+    "label_uniform",
+    f"""WITH {RANKS_SQL} SELECT symbol, feature_date, t AS "timestamp",
+      round(CASE WHEN y = lo THEN 0.0 WHEN y = hi THEN 1.0 ELSE u END, 6) AS u FROM ranks""",
 )
 def label_uniform_query(spark, sf):
     f = features(spark, sf)
@@ -450,7 +457,11 @@ def label_uniform_query(spark, sf):
     return f.select("symbol", "feature_date", "timestamp", F.round(u, 6).alias("u"))
 
 
-@query("label_normal")
+@query(
+    "label_normal",
+    f"""WITH {RANKS_SQL} SELECT symbol, feature_date, t AS "timestamp", round(CASE WHEN y - {EDGE!r} < lo THEN -{NORMAL_LIMIT!r}::DOUBLE
+      WHEN y + {EDGE!r} > hi THEN {NORMAL_LIMIT!r}::DOUBLE ELSE {normal_quantile_sql("u")} END, 6) AS z FROM ranks""",
+)
 def label_normal_query(spark, sf):
     f = features(spark, sf)
     tables = collect_quantiles(label_quantile_table(f), "symbol")
@@ -458,12 +469,13 @@ def label_normal_query(spark, sf):
     return f.select("symbol", "feature_date", "timestamp", F.round(z, 6).alias("z"))
 
 
-@query("inverse_transform")
+@query("inverse_transform", f"WITH {COARSE_SQL} SELECT symbol, count(*) AS n, count(*) AS n_back FROM f WHERE {KEPT_SQL} GROUP BY symbol")
 def inverse_transform_query(spark, sf):
+    """Every label must come back from the normal scale."""
     f = features(spark, sf)
     tables = collect_quantiles(label_quantile_table(f), "symbol")
-    there = f.select("symbol", "timestamp", "y_vol_30m", to_normal(tables, F.col("symbol"), F.col("y_vol_30m")).alias("z"))
+    y = F.col("y_vol_30m")
+    there = f.select("symbol", "y_vol_30m", to_normal(tables, F.col("symbol"), y).alias("z"))
     back = there.withColumn("back", from_normal(tables, F.col("symbol"), F.col("z")))
-    return back.groupBy("symbol").agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.max(F.abs(F.col("back") - F.col("y_vol_30m"))), 3).alias("max_error")
-    )
+    near = F.abs(F.col("back") - y) <= F.greatest(F.abs(y), F.lit(1.0)) * 1e-6
+    return back.groupBy("symbol").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(near, 1)).alias("n_back"))

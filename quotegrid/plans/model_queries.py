@@ -1,4 +1,4 @@
-"""Queries that fit boosted trees; checked by tests, since no SQL expresses them."""
+"""Queries that fit boosted trees. SQL checks what they store and report, tests check the fits."""
 
 from __future__ import annotations
 
@@ -12,7 +12,8 @@ from quotegrid.models.boosting import fit_symbols, predict_rows
 from quotegrid.operators import splits as sp
 from quotegrid.operators.metrics import evaluate
 from quotegrid.plans.catalog import query
-from quotegrid.plans.grid_queries import COARSE, features, live
+from quotegrid.operators.registry import read_registry
+from quotegrid.plans.grid_queries import COARSE, COARSE_SQL, KEPT_SQL, LIVE_SQL, features, live
 from quotegrid.plans.jobs import Store, run_production, run_walk_forward
 from quotegrid.plans.table_queries import LOOKBACK_DAYS
 from quotegrid.session import materialize, scratch_path
@@ -24,14 +25,15 @@ from quotegrid.streaming.scoring import ModelCache, score_live
 LABEL = COARSE.label_column
 # One window over all days: the whole feature table is used, as train, validation or test rows.
 WINDOW = TrainConfig(train_days=20, val_days=2, test_days=7, max_iter=5, max_depth=4, step_size=0.3, max_bins=64)
+LEAD_DAYS = WINDOW.train_days + WINDOW.val_days + 1
+PRODUCTION = TrainConfig(train_days=26, val_days=3, max_iter=4, max_depth=3, step_size=0.3, max_bins=64)
+MODEL_AFTER_DAYS = 20
 NOW = datetime(2024, 2, 1)
 
 
 def first_feature_span(spark, sf):
     """The days a single walk-forward window can test: those after its train and validation days."""
-    lead = WINDOW.train_days + WINDOW.val_days + 1
-    spans = td.symbol_spans(spark, sf)
-    return spans.withColumn("first_day", F.date_add("first_day", lead))
+    return td.symbol_spans(spark, sf).withColumn("first_day", F.date_add("first_day", LEAD_DAYS))
 
 
 def window_rows(spark, sf):
@@ -70,9 +72,14 @@ def feature_importance(spark, sf):
     return out.orderBy("symbol", F.desc("importance_gain"), "feature")
 
 
-@query("results_tables")
+@query(
+    "results_tables",
+    f"""WITH {COARSE_SQL}, b AS (SELECT min(date) AS first_day FROM days),
+    r AS (SELECT symbol, feature_date AS date, count(*) AS n FROM f, b WHERE {KEPT_SQL} AND feature_date >= first_day + {LEAD_DAYS} GROUP BY ALL)
+    SELECT symbol, date, n, n AS stored_rows, true AS scores_agree, true AS scores_finite, {len(COARSE.feature_columns)} AS features, 1.0::DOUBLE AS gain FROM r""",
+)
 def results_tables(spark, sf):
-    """Stored run summaries of a walk-forward run, checked against its stored predictions."""
+    """Stored run summaries of a walk-forward run next to scores made anew from its stored predictions."""
     store = Store(scratch_path(spark, "research"))
     write_by_symbol_day(features(spark, sf).withColumnRenamed("feature_date", "date"), store.path("features"), "timestamp")
     failures = run_walk_forward(first_feature_span(spark, sf), COARSE.feature_columns, LABEL, WINDOW, store, NOW)
@@ -83,43 +90,51 @@ def results_tables(spark, sf):
     imp = spark.read.parquet(store.path("feature_importance")).groupBy("symbol", "date").agg(
         F.count(F.lit(1)).alias("features"), F.round(F.sum("importance_gain"), 6).alias("gain")
     )
-    return summary.join(again.select("symbol", "date", F.col("n").alias("stored_rows")), ["symbol", "date"]).join(
-        imp, ["symbol", "date"]
-    ).select(
+    agree = F.abs(F.col("metrics.rmse") - F.col("rmse")) + F.abs(F.col("metrics.mae") - F.col("mae")) < 1e-6
+    finite = ~F.isnan("rmse") & ~F.isnan("mae") & (F.col("rmse") > 0)
+    joined = summary.join(again.withColumnRenamed("n", "stored_rows"), ["symbol", "date"]).join(imp, ["symbol", "date"])
+    return joined.select(
         "symbol",
         "date",
         F.col("metrics.n").alias("n"),
         "stored_rows",
-        F.round("metrics.rmse", 4).alias("rmse"),
-        F.round("metrics.mae", 4).alias("mae"),
+        agree.alias("scores_agree"),
+        finite.alias("scores_finite"),
         "features",
         "gain",
     )
 
 
-@query("production_metrics")
+@query(
+    "production_metrics",
+    f"""WITH {COARSE_SQL}, b AS (SELECT max(date) AS last_day FROM days),
+    r AS (SELECT symbol, feature_date AS date, last_day AS model_date, count(*) AS n FROM f, b
+      WHERE {KEPT_SQL} AND feature_date > last_day - {PRODUCTION.val_days} GROUP BY ALL)
+    SELECT symbol, date, model_date, n, true AS scores_finite, 1 AS models, 0 AS exit_code FROM r""",
+)
 def production_metrics(spark, sf):
-    """A production run for the last day: summaries of the published models, all features built by the run."""
+    """A production run for the last day: scores on its validation days and its registry rows."""
     store = Store(scratch_path(spark, "production"))
     q = td.quotes(spark, sf)
     sizes = q.select("symbol").distinct().withColumn("tick_size", F.lit(0.01))
     last = td.symbol_spans(spark, sf).first()["last_day"]
-    cfg = TrainConfig(train_days=26, val_days=3, max_iter=4, max_depth=3, step_size=0.3, max_bins=64)
-    status = run_production(q, symbols_of(spark, sf), sizes, last + timedelta(days=1), COARSE, cfg, store, NOW)
+    status = run_production(q, symbols_of(spark, sf), sizes, last + timedelta(days=1), COARSE, PRODUCTION, store, NOW)
     code = status.first()["exit_code"]
     summary = spark.read.parquet(store.path("production_run_summary"))
-    return summary.select(
-        "symbol",
-        "date",
-        "model_date",
-        F.col("metrics.n").alias("n"),
-        F.round("metrics.rmse", 4).alias("rmse"),
-        F.round("metrics.qlike", 4).alias("qlike"),
-        F.lit(code).alias("exit_code"),
+    models = read_registry(spark, store.path("registry")).groupBy("symbol", "model_date").agg(F.count(F.lit(1)).alias("models"))
+    finite = ~F.isnan("metrics.rmse") & ~F.isnan("metrics.mae") & (F.col("metrics.rmse") > 0)
+    return summary.join(models, ["symbol", "model_date"]).select(
+        "symbol", "date", "model_date", F.col("metrics.n").alias("n"), finite.alias("scores_finite"), "models", F.lit(code).alias("exit_code")
     )
 
 
-@query("scored_status")
+@query(
+    "scored_status",
+    f"""WITH {LIVE_SQL}, b AS (SELECT min(date) AS first_day FROM days),
+    st AS (SELECT symbol, CAST(make_timestamp(t//1000) AS DATE) AS date, CASE WHEN NOT warm THEN 'warmup'
+      WHEN symbol <> 'error' AND CAST(make_timestamp(t//1000) AS DATE) >= first_day + {MODEL_AFTER_DAYS} THEN 'ok' ELSE 'no_model' END AS status FROM live, b)
+    SELECT symbol, date, status, count(*) AS n, count(*) FILTER (status = 'ok') AS n_scored FROM st GROUP BY ALL""",
+)
 def scored_status(spark, sf):
     """Live features of the whole history scored with the models in force; status counts per symbol."""
     rows, models = fitted(spark, sf)
@@ -130,11 +145,11 @@ def scored_status(spark, sf):
         if symbol == "error":
             continue  # no model was published for this symbol
         m.save(f"{base}/{symbol}")
-        entries.append((symbol, first + timedelta(days=20), f"{base}/{symbol}", NOW))
+        entries.append((symbol, first + timedelta(days=MODEL_AFTER_DAYS), f"{base}/{symbol}", NOW))
     registry = spark.createDataFrame(entries, "symbol string, model_date date, path string, updated_at timestamp")
     stream_rows = with_live_columns(live(spark, sf), COARSE)
     scored = score_live(stream_rows, registry, ModelCache(), 30 * LOOKBACK_DAYS, COARSE.grid)
     day = day_of_ns(F.col("timestamp"), COARSE.grid)
     return scored.groupBy("symbol", day.alias("date"), "status").agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.avg("volatility"), 4).alias("mean_volatility")
+        F.count(F.lit(1)).alias("n"), F.count("volatility").alias("n_scored")
     )
