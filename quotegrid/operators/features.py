@@ -20,7 +20,7 @@ from quotegrid.operators.rolling import dense_sums, ratio, rolling_std
 from quotegrid.session import compile_wide_projections, small_side
 
 
-def _layout(cfg: FeatureConfig) -> BlockLayout:
+def feature_layout(cfg: FeatureConfig) -> BlockLayout:
     ticks = [cfg.grid.ticks(w) for w in cfg.vol_windows]
     return BlockLayout.daily(cfg.grid, back=max(ticks), ahead=cfg.grid.ticks(cfg.label_window))
 
@@ -33,7 +33,7 @@ def daily_runs(
     ``prune`` drops the points of other sessions before they are shuffled. It reads
     ``sessions`` once more, so it is for a stored list of tasks.
     """
-    layout = _layout(cfg)
+    layout = feature_layout(cfg)
     points = daily_points(snap_to_cells(quotes, cfg.grid, strict), cfg.grid)
     if prune:
         points = points.join(small_side(sessions.select("symbol", "feature_date")), ["symbol", "feature_date"], "left_semi")
@@ -51,7 +51,7 @@ def sampled_volatility(
 ) -> DataFrame:
     """Grid points of the feature dates with quote, move, volatilities and label, nothing dropped."""
     compile_wide_projections(quotes.sparkSession)
-    layout = _layout(cfg)
+    layout = feature_layout(cfg)
     dense = dense_sums(daily_runs(quotes, sessions, cfg, strict, prune), layout)
     windows = {c: cfg.grid.ticks(w) for c, w in zip(cfg.vol_columns, cfg.vol_windows, strict=True)}
     label = (cfg.label_column, cfg.grid.ticks(cfg.label_window))

@@ -16,7 +16,7 @@ from quotegrid.models.boosting import VolatilityModel, fit_symbols, labelled, ve
 from quotegrid.operators import ledger as lg
 from quotegrid.operators import registry as rg
 from quotegrid.operators import splits as sp
-from quotegrid.operators.features import feature_matrix
+from quotegrid.operators.features import feature_layout, feature_matrix
 from quotegrid.operators.metrics import evaluate
 from quotegrid.session import materialize, small_side
 from quotegrid.sources.quotes import missing_partitions, quotes_for, with_day, write_by_symbol_day
@@ -78,31 +78,57 @@ class Store:
         materialize(fresh).coalesce(1).write.mode("append").parquet(self.path(name))
 
 
+def day_batches(pending: DataFrame, cfg: FeatureConfig, blocks_per_task: int) -> list[tuple[date, date]]:
+    """Spans of feature dates, each small enough that a task sorts few blocks of grid points."""
+    width = int(pending.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    most = max(blocks_per_task * width // feature_layout(cfg).blocks, 1)
+    spans: list[list] = []
+    for r in pending.groupBy("feature_date").count().orderBy("feature_date").collect():
+        if spans and spans[-1][2] + r["count"] <= most:
+            spans[-1][1:] = [r["feature_date"], spans[-1][2] + r["count"]]
+        else:
+            spans.append([r["feature_date"], r["feature_date"], r["count"]])
+    return [(first, last) for first, last, _ in spans]
+
+
 def build_features(
-    quotes: DataFrame, tasks: DataFrame, sizes: DataFrame, cfg: FeatureConfig, store: Store, now: datetime
+    quotes: DataFrame,
+    tasks: DataFrame,
+    sizes: DataFrame,
+    cfg: FeatureConfig,
+    store: Store,
+    now: datetime,
+    blocks_per_task: int = 4,
 ) -> DataFrame:
-    """Build all pending symbol-days in one job; returns ``symbol, feature_date`` of those that failed.
+    """Build all pending symbol-days; returns ``symbol, feature_date`` of those that failed.
 
     ``tasks`` holds ``symbol, date``. Recorded and present partitions are skipped,
     present but unrecorded ones are counted and recorded, the rest is built. A task
     fails if a raw day, its tick size or every row is missing.
+
+    A long backfill runs as one job per span of days, as wide as the cluster, and
+    each is recorded when it is done: a broken run goes on where it stopped.
     """
     spark = quotes.sparkSession
     recorded = store.ledger(spark, "feature_ledger")
     plan = materialize(lg.classify_tasks(tasks, recorded, store.stats(spark, "features", tasks)))
+    found = plan.where("action = 'verify'").select("symbol", "date")
+    if not found.isEmpty():
+        store.record(spark, "feature_ledger", store.stats(spark, "features", found), now)
     pending = plan.where("action = 'build'").select("symbol", F.col("date").alias("feature_date"))
-    if not pending.isEmpty():
-        raw = quotes_for(quotes, pending, cfg.grid)
-        lacking = lg.failed_tasks(pending, raw.select("symbol", "date").distinct(), cfg.grid.use_prev_day)
-        ready = pending.join(lacking, ["symbol", "feature_date"], "left_anti").join(small_side(sizes), "symbol")
+    for first, last in day_batches(pending, cfg, blocks_per_task):
+        batch = pending.where(F.col("feature_date").between(first, last))
+        raw = quotes_for(quotes, batch, cfg.grid)
+        lacking = lg.failed_tasks(batch, raw.select("symbol", "date").distinct(), cfg.grid.use_prev_day)
+        ready = batch.join(lacking, ["symbol", "feature_date"], "left_anti").join(small_side(sizes), "symbol")
         ready = materialize(ready.select("symbol", "feature_date", "tick_size"))
         rows = feature_matrix(raw, ready, cfg, prune=True).withColumnRenamed("feature_date", "date")
         write_by_symbol_day(rows, store.path("features"), "timestamp")
-    done = plan.where("action <> 'done'").select("symbol", "date")
-    built = materialize(store.stats(spark, "features", done))
-    store.record(spark, "feature_ledger", built, now)
-    present = built.select("symbol", F.col("date").alias("feature_date"))
-    return pending.join(present, ["symbol", "feature_date"], "left_anti")
+        built = ready.select("symbol", F.col("feature_date").alias("date"))
+        store.record(spark, "feature_ledger", store.stats(spark, "features", built), now)
+    wanted = pending.withColumnRenamed("feature_date", "date")
+    present = store.stats(spark, "features", wanted).select("symbol", F.col("date").alias("feature_date"))
+    return materialize(pending.join(present, ["symbol", "feature_date"], "left_anti"))
 
 
 def _write_day(df: DataFrame, path: str) -> None:

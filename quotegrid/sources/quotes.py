@@ -108,10 +108,13 @@ def quotes_for(quotes: DataFrame, tasks: DataFrame, grid: GridConfig) -> DataFra
 
 
 def write_by_symbol_day(df: DataFrame, path: str, time_col: str, mode: str = "overwrite", date_col: str = "date") -> None:
-    """Parquet in ``symbol``/day folders; an overwrite replaces only the days it holds."""
+    """Parquet in ``symbol``/day folders; an overwrite replaces only the days it holds.
+
+    A rebalance lets AQE split what is still too large for one file and join what is too small.
+    """
     sliced = df.withColumn("_slice", div(F.col(time_col), WRITE_SLICE_NS))
     (
-        sliced.repartition("symbol", date_col, "_slice")
+        sliced.hint("rebalance", F.col("symbol"), F.col(date_col), F.col("_slice"))
         .sortWithinPartitions("symbol", date_col, time_col)
         .drop("_slice")
         .write.mode(mode)

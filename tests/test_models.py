@@ -8,7 +8,7 @@ from brute import DAY, QUOTE_SCHEMA, random_quotes
 from quotegrid.config import FeatureConfig, GridConfig, TrainConfig
 from quotegrid.models.boosting import VolatilityModel, fit_model, fit_symbols, verify_model
 from quotegrid.operators import registry as rg
-from quotegrid.plans.jobs import Store, build_features, run_production, run_walk_forward
+from quotegrid.plans.jobs import Store, build_features, day_batches, run_production, run_walk_forward
 from quotegrid.streaming.scoring import ModelCache, score_live
 
 STEP = 600_000_000_000
@@ -58,6 +58,19 @@ def test_feature_build_is_incremental(spark, quotes, sizes, tmp_path):
     assert s.ledger(spark, "feature_ledger").count() == 12
 
 
+def test_a_backfill_in_many_spans_equals_one(spark, quotes, sizes, store, tmp_path):
+    s = Store(str(tmp_path))
+    wanted = tasks(spark, ["a", "b"], range(1, 8))
+    pending = wanted.withColumnRenamed("date", "feature_date")
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len(day_batches(pending, FEATURES, 4)) == -(-7 // (4 * width // 2))
+    assert len(day_batches(pending, FEATURES, 1)) == -(-7 // (width // 2)) > 1
+    assert build_features(quotes, wanted, sizes, FEATURES, s, NOW, blocks_per_task=1).count() == 0
+    a, b = (spark.read.parquet(x.path("features")) for x in (s, store))
+    assert a.count() == b.count() and a.exceptAll(b.select(*a.columns)).isEmpty()
+    assert s.ledger(spark, "feature_ledger").count() == 14
+
+
 def test_unrecorded_partition_is_recorded_not_rebuilt(spark, quotes, sizes, tmp_path):
     s = Store(str(tmp_path))
     build_features(quotes, tasks(spark, ["a"], [2, 3]), sizes, FEATURES, s, NOW)
