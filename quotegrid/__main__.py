@@ -7,7 +7,6 @@ import sys
 from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from quotegrid.jobconfig import JobConfig, load_config
 from quotegrid.operators import splits as sp
@@ -64,7 +63,11 @@ def live(spark: SparkSession, cfg: JobConfig, available_now: bool) -> int:
         messages.select("value").write.mode("overwrite").text(f"{cfg.live.out}/batch={batch_id}")
 
     body = score_and_send(
-        lambda: read_registry(spark, Store(cfg.store).path("registry")), send, cfg.live.lookback_days, cfg.features.grid
+        lambda: read_registry(spark, Store(cfg.store).path("registry")),
+        send,
+        cfg.features.feature_columns,
+        cfg.live.lookback_days,
+        cfg.features.grid,
     )
     writer = (
         live_features(events, cfg.features, cfg.live.warmup_minutes, cfg.live.delay)

@@ -15,12 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotegrid.config import TrainConfig
+from quotegrid.models.worker import MISSING
 from quotegrid.operators.metrics import downsample_last, evaluate
 from quotegrid.operators.quantiles import collect_quantiles, exact_quantiles, from_normal, to_normal
 
-# All features are at least -1 where present, and volatilities and ratios at least 0.
-MISSING = -2.0
-
 
 @dataclass
 class VolatilityModel:
@@ -47,13 +45,23 @@ class VolatilityModel:
         return spark.createDataFrame(rows, schema).orderBy(F.desc("importance_gain"), "feature")
 
     def save(self, path: str) -> None:
+        """Store the trees, the feature list and the quantiles; the nodes once more as a flat table."""
         spark = SparkSession.active()
         self.trees.write().overwrite().save(f"{path}/trees")
-        meta = spark.createDataFrame(
-            [(self.symbol, self.features, [float(v) for v in self.quantiles])],
-            "symbol string, features array<string>, quantiles array<double>",
+        meta = [(self.symbol, self.features, [float(v) for v in self.quantiles], list(self.trees.treeWeights))]
+        schema = "symbol string, features array<string>, quantiles array<double>, weights array<double>"
+        spark.createDataFrame(meta, schema).coalesce(1).write.mode("overwrite").parquet(f"{path}/meta")
+        node = F.col("nodeData")
+        nodes = spark.read.parquet(f"{path}/trees/data").select(
+            F.col("treeID").alias("tree"),
+            node["id"].alias("id"),
+            node["leftChild"].alias("left"),
+            node["rightChild"].alias("right"),
+            node["split"]["featureIndex"].alias("feature"),
+            F.get(node["split"]["leftCategoriesOrThreshold"], F.lit(0)).alias("threshold"),
+            node["prediction"].alias("value"),
         )
-        meta.coalesce(1).write.mode("overwrite").parquet(f"{path}/meta")
+        nodes.coalesce(1).write.mode("overwrite").parquet(f"{path}/nodes")
 
     @classmethod
     def load(cls, path: str) -> VolatilityModel:

@@ -39,5 +39,5 @@ def latest_models(asks: DataFrame, registry: DataFrame, lookback_days: int) -> D
     )
     best = served.groupBy("symbol", "date").agg(F.max("m").alias("m"))
     return asks.join(best, ["symbol", "date"], "left").select(
-        *asks.columns, F.col("m.model_date").alias("model_date"), F.col("m.path").alias("path")
+        *asks.columns, *[F.col(f"m.{c}").alias(c) for c in ("model_date", "path", "updated_at")]
     )

@@ -20,7 +20,7 @@ from quotegrid.session import materialize, scratch_path
 from quotegrid.sources import testdata as td
 from quotegrid.sources.quotes import write_by_symbol_day
 from quotegrid.streaming.live import with_live_columns
-from quotegrid.streaming.scoring import ModelCache, score_live
+from quotegrid.streaming.scoring import score_live
 
 LABEL = COARSE.label_column
 # One window over all days: the whole feature table is used, as train, validation or test rows.
@@ -148,7 +148,7 @@ def scored_status(spark, sf):
         entries.append((symbol, first + timedelta(days=MODEL_AFTER_DAYS), f"{base}/{symbol}", NOW))
     registry = spark.createDataFrame(entries, "symbol string, model_date date, path string, updated_at timestamp")
     stream_rows = with_live_columns(live(spark, sf), COARSE)
-    scored = score_live(stream_rows, registry, ModelCache(), 30 * LOOKBACK_DAYS, COARSE.grid)
+    scored = score_live(stream_rows, registry, COARSE.feature_columns, 30 * LOOKBACK_DAYS, COARSE.grid)
     day = day_of_ns(F.col("timestamp"), COARSE.grid)
     return scored.groupBy("symbol", day.alias("date"), "status").agg(
         F.count(F.lit(1)).alias("n"), F.count("volatility").alias("n_scored")

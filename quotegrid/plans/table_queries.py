@@ -484,4 +484,4 @@ def model_registry(spark, sf):
 )
 def latest_model(spark, sf):
     asks = sp.calendar(td.symbol_spans(spark, sf), "first_day", "last_day")
-    return rg.latest_models(asks, rg.current_models(td.registry(spark, sf)), LOOKBACK_DAYS)
+    return rg.latest_models(asks, rg.current_models(td.registry(spark, sf)), LOOKBACK_DAYS).drop("updated_at")

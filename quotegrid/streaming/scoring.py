@@ -2,82 +2,53 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from datetime import datetime
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quotegrid.config import GridConfig
 from quotegrid.functions.time import day_of_ns
-from quotegrid.models.boosting import VolatilityModel
+from quotegrid.models.worker import predicted_volatility
 from quotegrid.operators.registry import current_models, latest_models
 from quotegrid.streaming.events import status_message, status_of
 
 
-class ModelCache:
-    """Loaded models by path; a path published again under a newer time is loaded anew."""
+def score_live(
+    rows: DataFrame, registry: DataFrame, features: Sequence[str], lookback_days: int, grid: GridConfig
+) -> DataFrame:
+    """Add ``status`` and ``volatility`` to feature rows, all symbols in one pass.
 
-    def __init__(self):
-        self._models: dict[str, tuple[datetime, VolatilityModel | None]] = {}
-        self.loads = 0
-
-    def get(self, path: str, updated_at: datetime) -> VolatilityModel | None:
-        known = self._models.get(path)
-        if known is None or known[0] != updated_at:
-            try:
-                model = VolatilityModel.load(path)
-                self.loads += 1
-            except Exception:
-                model = known[1] if known else None  # a failed reload keeps the model in use
-            self._models[path] = (updated_at, model)
-        return self._models[path][1]
-
-
-def score_live(rows: DataFrame, registry: DataFrame, cache: ModelCache, lookback_days: int, grid: GridConfig) -> DataFrame:
-    """Add ``status`` and ``volatility`` to feature rows.
-
-    The models of a batch are few (one per symbol and day), so they are looked up
-    in the driver; the rows never leave the executors.
+    The registry names the model of each symbol and day; a row whose model cannot
+    be read has status ``no_model``.
     """
     dated = rows.withColumn("date", day_of_ns(F.col("timestamp"), grid))
-    models = latest_models(dated.where("warm").select("symbol", "date").distinct(), current_models(registry), lookback_days)
-    found = models.where("path is not null").join(
-        current_models(registry).select("symbol", "model_date", "updated_at"), ["symbol", "model_date"]
-    )
-    by_path: dict[str, tuple[VolatilityModel, list]] = {}
-    for r in found.select("symbol", "date", "path", "updated_at").collect():
-        model = cache.get(r["path"], r["updated_at"])
-        if model is not None:
-            by_path.setdefault(r["path"], (model, []))[1].append(r["date"])
-    scored = None
-    has_model = F.lit(False)
-    for model, dates in by_path.values():
-        mine = (F.col("symbol") == model.symbol) & F.col("date").isin(dates)
-        has_model = has_model | mine
-        part = model.score(dated.where(F.col("warm") & mine), "volatility").withColumn("status", F.lit("ok"))
-        scored = part if scored is None else scored.unionByName(part)
-    rest = dated.where(~(F.col("warm") & has_model)).withColumn("status", status_of(F.col("warm"), F.lit(False)))
-    rest = rest.withColumn("volatility", F.lit(None).cast("double"))
-    return rest if scored is None else scored.unionByName(rest)
+    asks = dated.where("warm").select("symbol", "date").distinct()
+    models = latest_models(asks, current_models(registry), lookback_days).withColumn("warm", F.lit(True))
+    found = dated.join(models, ["symbol", "date", "warm"], "left")
+    vol = predicted_volatility(F.col("symbol"), F.col("path"), F.col("updated_at"), features)
+    scored = found.withColumn("volatility", vol)
+    return scored.withColumn("status", status_of(F.col("warm"), F.col("volatility").isNotNull()))
 
 
 def score_and_send(
     read_registry: Callable[[], DataFrame],
     send: Callable[[DataFrame, int], None],
+    features: Sequence[str],
     lookback_days: int,
     grid: GridConfig,
 ) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` body: look up models, score, hand JSON messages (``value``) to ``send``."""
-    cache = ModelCache()
+    """A ``foreachBatch`` body: look up models, score, hand JSON messages (``value``) to ``send``.
+
+    The registry is read anew for every batch, so a published model is used from the next batch on.
+    """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()  # every model's branch reads the batch
+        batch.persist()  # read for the days asked and for the rows
         try:
-            scored = score_live(batch, read_registry(), cache, lookback_days, grid)
+            scored = score_live(batch, read_registry(), features, lookback_days, grid)
             send(scored.select("timestamp", "symbol", "status", status_message().alias("value")), batch_id)
         finally:
             batch.unpersist()
 
-    run.cache = cache
     return run

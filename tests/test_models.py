@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from brute import DAY, QUOTE_SCHEMA, random_quotes
 from quotegrid.config import FeatureConfig, GridConfig, TrainConfig
 from quotegrid.models.boosting import VolatilityModel, fit_model, fit_symbols, verify_model
+from quotegrid.models.worker import ModelCache
 from quotegrid.operators import registry as rg
 from quotegrid.plans.jobs import Store, build_features, day_batches, run_production, run_walk_forward
-from quotegrid.streaming.scoring import ModelCache, score_live
+from quotegrid.streaming.scoring import score_live
 
 STEP = 600_000_000_000
 NOW = dt.datetime(2024, 5, 1)
@@ -132,25 +133,43 @@ def test_empty_training_data_fails_that_symbol_only(spark, store):
     assert list(models) == ["a"] and list(failed) == ["none"]
 
 
-def test_live_scoring_status_and_reload(spark, store, tmp_path):
+def test_live_scoring_equals_batch_scoring_and_reloads(spark, store, tmp_path):
     rows = spark.read.parquet(store.path("features")).where("symbol in ('a', 'b')")
-    train, val = rows.where(F.col("date") <= day(4)), rows.where(F.col("date") == day(5))
-    m = fit_model("a", train.where("symbol = 'a'"), val.where("symbol = 'a'"), FEATURES.feature_columns, FEATURES.label_column, CFG)
+    a = rows.where("symbol = 'a'")
+    first = fit_model("a", a.where(F.col("date") <= day(4)), a.where(F.col("date") == day(5)), FEATURES.feature_columns, FEATURES.label_column, CFG)
+    second = fit_model("a", a.where(F.col("date") <= day(2)), a.where(F.col("date") == day(3)), FEATURES.feature_columns, FEATURES.label_column, CFG)
     path = str(tmp_path / "m")
-    m.save(path)
     live = rows.where(F.col("date") == day(6)).drop("date").withColumn("warm", F.col("hour") >= 2)
-    cache = ModelCache()
+    live = live.withColumn("vol_30m", F.when(F.col("minute") == 10, F.lit(float("nan"))).otherwise(F.col("vol_30m")))
+
+    def scored(at, where=path):
+        registry = spark.createDataFrame([("a", day(5), where, at)], rg.REGISTRY_SCHEMA)
+        return score_live(live, registry, FEATURES.feature_columns, 2, FEATURES.grid)
+
+    def check(model, out):
+        want = {r.timestamp: r.y_pred for r in model.score(live.where("warm and symbol = 'a'")).collect()}
+        got = {r.timestamp: r.volatility for r in out.where("status = 'ok'").collect()}
+        assert got.keys() == want.keys() and len(got) > 50
+        assert all(got[t] == pytest.approx(want[t], rel=1e-9) for t in got)
+
+    first.save(path)
+    out = scored(NOW)
+    check(first, out)
+    counts = {(r.symbol, r.status) for r in out.select("symbol", "status").distinct().collect()}
+    assert counts == {("a", "ok"), ("a", "warmup"), ("b", "no_model"), ("b", "warmup")}
+    assert out.where("status <> 'ok' and volatility is not null").isEmpty()
+    second.save(path)
+    check(second, scored(NOW + dt.timedelta(hours=1)))
+
 
-    def statuses(at):
-        registry = spark.createDataFrame([("a", day(5), path, at)], rg.REGISTRY_SCHEMA)
-        out = score_live(live, registry, cache, 2, FEATURES.grid)
-        counts = {(r.symbol, r.status): r for r in out.groupBy("symbol", "status").agg(F.count("volatility").alias("v"), F.count(F.lit(1)).alias("n")).collect()}
-        return counts
-
-    got = statuses(NOW)
-    assert set(got) == {("a", "ok"), ("a", "warmup"), ("b", "no_model"), ("b", "warmup")}
-    assert got["a", "ok"].v == got["a", "ok"].n > 0 and got["b", "no_model"].v == 0
-    statuses(NOW)
-    assert cache.loads == 1
-    statuses(NOW + dt.timedelta(hours=1))
-    assert cache.loads == 2
+def test_a_worker_keeps_the_last_good_model(spark, store, tmp_path):
+    rows = spark.read.parquet(store.path("features")).where("symbol = 'a'")
+    m = fit_model("a", rows.where(F.col("date") <= day(4)), rows.where(F.col("date") == day(5)), FEATURES.feature_columns, FEATURES.label_column, CFG)
+    m.save(str(tmp_path / "m"))
+    cache = ModelCache()
+    assert cache.get("a", str(tmp_path / "gone"), 1) is None
+    good = cache.get("a", "file:" + str(tmp_path / "m"), 1)
+    assert cache.get("a", "file:" + str(tmp_path / "m"), 1) is good
+    assert cache.get("a", str(tmp_path / "gone"), 2) is good
+    assert cache.get("b", str(tmp_path / "gone"), 3) is None
+    assert cache.get("a", "file:" + str(tmp_path / "m"), 2) is not good

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from brute import DAY, QUOTE_SCHEMA, random_quotes
 from quotegrid.config import FeatureConfig, GridConfig
 from quotegrid.operators.features import live_volatility
-from quotegrid.plans.grid_queries import COARSE
 from quotegrid.streaming.events import depth_levels, live_messages, parse, read_event_files, route, status_message
 from quotegrid.streaming.live import live_features, use_rocksdb
 from quotegrid.streaming.scoring import score_and_send
@@ -124,7 +123,7 @@ def test_scored_stream_sends_status_messages(spark, tmp_path):
     use_rocksdb(spark)
     sent = []
     registry = lambda: spark.createDataFrame([], "symbol string, model_date date, path string, updated_at timestamp")
-    body = score_and_send(registry, lambda df, _: sent.extend(df.collect()), 30, CFG.grid)
+    body = score_and_send(registry, lambda df, _: sent.extend(df.collect()), CFG.feature_columns, 30, CFG.grid)
     stream = live_features(read_event_files(spark, str(tmp_path / "in")), CFG, 60)
     q = stream.writeStream.foreachBatch(body).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
     q.awaitTermination()
