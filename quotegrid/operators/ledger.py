@@ -25,13 +25,16 @@ def append_ledger(ledger: DataFrame, stats: DataFrame, verified_at: Column) -> D
 
 
 def classify_tasks(tasks: DataFrame, ledger: DataFrame, stats: DataFrame) -> DataFrame:
-    """``done``: recorded and present. ``verify``: present with rows but not recorded. ``build``: the rest."""
-    recorded = ledger.select("symbol", "date").distinct().withColumn("recorded", F.lit(True))
+    """``done``: recorded and present in full. ``verify``: present but not recorded. ``build``: the rest.
+
+    A partition with fewer rows than were recorded has lost files and is built again.
+    """
+    recorded = ledger.groupBy("symbol", "date").agg(F.max_by("rows", "verified_at").alias("recorded_rows"))
     present = stats.select("symbol", "date", F.col("rows").alias("present_rows"))
     joined = tasks.join(recorded, ["symbol", "date"], "left").join(present, ["symbol", "date"], "left")
     action = (
-        F.when(F.col("recorded") & F.col("present_rows").isNotNull(), "done")
-        .when(F.col("present_rows") > 0, "verify")
+        F.when(F.col("present_rows") >= F.col("recorded_rows"), "done")
+        .when(F.col("recorded_rows").isNull() & (F.col("present_rows") > 0), "verify")
         .otherwise("build")
     )
     return joined.select(*tasks.columns, action.alias("action"))

@@ -54,15 +54,15 @@ class Store:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def read(self, spark: SparkSession, name: str) -> DataFrame | None:
+    def read(self, spark: SparkSession, name: str, skip_corrupt: bool = False) -> DataFrame | None:
         try:
-            return spark.read.parquet(self.path(name))
+            return spark.read.option("ignoreCorruptFiles", skip_corrupt).parquet(self.path(name))
         except AnalysisException:
             return None
 
     def stats(self, spark: SparkSession, name: str, only: DataFrame | None = None) -> DataFrame:
-        """Row count of each stored symbol-day; ``only`` prunes the scan to its symbol-days."""
-        table = self.read(spark, name)
+        """Readable rows of each stored symbol-day; ``only`` prunes the scan to its symbol-days."""
+        table = self.read(spark, name, skip_corrupt=True)
         if table is None:
             return spark.createDataFrame([], "symbol string, date date, rows bigint")
         if only is not None:
@@ -102,8 +102,8 @@ def build_features(
 ) -> DataFrame:
     """Build all pending symbol-days; returns ``symbol, feature_date`` of those that failed.
 
-    ``tasks`` holds ``symbol, date``. Recorded and present partitions are skipped,
-    present but unrecorded ones are counted and recorded, the rest is built. A task
+    ``tasks`` holds ``symbol, date``. Recorded and whole partitions are skipped,
+    unrecorded ones are counted and recorded, missing or broken ones are built. A task
     fails if a raw day, its tick size or every row is missing.
 
     A long backfill runs as one job per span of days, as wide as the cluster, and

@@ -413,8 +413,8 @@ def accepted_updates_query(spark, sf):
 
 @query(
     "pending_tasks",
-    f"""WITH {SPANS_SQL}, {PARTITIONS_SQL} SELECT symbol, date, CASE WHEN day(date) <= 12 AND rows IS NOT NULL THEN 'done'
-     WHEN rows > 0 THEN 'verify' ELSE 'build' END AS action FROM cal LEFT JOIN pt USING (symbol, date)""",
+    f"""WITH {SPANS_SQL}, {PARTITIONS_SQL} SELECT symbol, date, CASE WHEN day(date) <= 12 AND rows >= 1 THEN 'done'
+     WHEN day(date) > 12 AND rows > 0 THEN 'verify' ELSE 'build' END AS action FROM cal LEFT JOIN pt USING (symbol, date)""",
 )
 def pending_tasks(spark, sf):
     tasks = sp.calendar(td.symbol_spans(spark, sf), "first_day", "last_day")

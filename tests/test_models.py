@@ -83,6 +83,17 @@ def test_unrecorded_partition_is_recorded_not_rebuilt(spark, quotes, sizes, tmp_
     assert sorted(str(f) for f in (tmp_path / "features").rglob("*.parquet")) == files
 
 
+def test_broken_partition_is_built_again(spark, quotes, sizes, tmp_path):
+    s = Store(str(tmp_path))
+    build_features(quotes, tasks(spark, ["a"], [2, 3]), sizes, FEATURES, s, NOW)
+    before = {r.date: r.rows for r in s.stats(spark, "features").collect()}
+    for f in (tmp_path / "features" / "symbol=a" / f"date={day(3)}").glob("*.parquet"):
+        f.write_bytes(b"broken")
+    assert {r.date for r in s.stats(spark, "features").collect()} == {day(2)}
+    assert build_features(quotes, tasks(spark, ["a"], [2, 3]), sizes, FEATURES, s, NOW).count() == 0
+    assert {r.date: r.rows for r in s.stats(spark, "features").collect()} == before
+
+
 def test_walk_forward_run(spark, store):
     spans = spark.createDataFrame([("a", day(4), day(5)), ("b", day(4), day(5))], "symbol string, first_day date, last_day date")
     assert run_walk_forward(spans, FEATURES.feature_columns, FEATURES.label_column, CFG, store, NOW) == {}

@@ -182,11 +182,14 @@ def test_missing_ranges_and_completeness(spark):
 
 
 def test_task_actions(spark):
-    tasks = spark.createDataFrame([(s, D(2024, 1, 1)) for s in "abcd"], "symbol string, date date")
-    ledger = spark.createDataFrame([("a", D(2024, 1, 1)), ("b", D(2024, 1, 1))], "symbol string, date date")
-    stats = spark.createDataFrame([("a", D(2024, 1, 1), 5), ("c", D(2024, 1, 1), 7), ("d", D(2024, 1, 1), 0)], "symbol string, date date, rows bigint")
+    at = dt.datetime(2024, 1, 2)
+    tasks = spark.createDataFrame([(s, D(2024, 1, 1)) for s in "abcde"], "symbol string, date date")
+    ledger = spark.createDataFrame([(s, D(2024, 1, 1), 5, at) for s in "abe"], lg.LEDGER_SCHEMA)
+    rows = [("a", D(2024, 1, 1), 5), ("c", D(2024, 1, 1), 7), ("d", D(2024, 1, 1), 0), ("e", D(2024, 1, 1), 4)]
+    stats = spark.createDataFrame(rows, "symbol string, date date, rows bigint")
     got = {r.symbol: r.action for r in lg.classify_tasks(tasks, ledger, stats).collect()}
-    assert got == {"a": "done", "b": "build", "c": "verify", "d": "build"}
+    assert got == {"a": "done", "b": "build", "c": "verify", "d": "build", "e": "build"}
+    stats = stats.where("symbol in ('a', 'c', 'd')")
     assert [r.symbol for r in lg.append_ledger(ledger, stats, F.lit("2024-01-01")).collect()] == ["c"]
 
 
