@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -26,7 +27,9 @@ def build_session(app: str = "quotegrid", master: str | None = None, **conf: str
     }
     for k, v in settings.items():
         b = b.config(k, v)
-    return b.getOrCreate()
+    spark = b.getOrCreate()
+    ship_package(spark)
+    return spark
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -80,3 +83,26 @@ def compile_wide_projections(spark: SparkSession) -> None:
     name = "spark.sql.codegen.hugeMethodLimit"
     if spark.conf.get(name) == "65535":
         spark.conf.set(name, "8000")
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package wherever the driver was started.
+
+    Executors get it as a zip; the workers Spark starts beside the driver (for
+    stateful streams) find it on their path.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(sc.applicationId)
+    package = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(package)
+    known = sc.environment.get("PYTHONPATH") or os.environ.get("PYTHONPATH")
+    sc.environment["PYTHONPATH"] = os.pathsep.join([root, known]) if known else root
+    archive = shutil.make_archive(
+        os.path.join(tempfile.mkdtemp(prefix="quotegrid-"), "quotegrid"), "zip", root, os.path.basename(package)
+    )
+    sc.addPyFile(archive)
