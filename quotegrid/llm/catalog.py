@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quotegrid.llm import fingerprints
+from quotegrid.llm import fingerprints, pieces
 from quotegrid.llm.common import table
 
 
@@ -13,8 +13,18 @@ def op1_document_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return fingerprints.fingerprint_pairs(docs, fingerprints.rarity_ranks(docs))
 
 
+def piece_model() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op2_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
+    return pieces.round_trip_digests(table(spark, sf, "documents"), piece_model())
+
+
 def queries():
-    return {f.__name__: f for f in (op1_document_fingerprints,)}
+    return {f.__name__: f for f in (op1_document_fingerprints, op2_sentencepiece)}
 
 
 def oracles():
