@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,7 +39,7 @@ def row_slices(batches: Iterator[pa.RecordBatch], text: str, limit: int) -> Iter
     """The rows in slices of about ``limit`` bytes of text; a longer text is a slice of its own."""
     for batch in batches:
         col = batch.column(batch.schema.get_field_index(text))
-        sizes = pa.compute.fill_null(pa.compute.binary_length(col), 0).to_pylist()
+        sizes = pc.fill_null(pc.binary_length(col), 0).to_pylist()
         start = held = 0
         for i, n in enumerate(sizes):
             if held and held + n > limit:
