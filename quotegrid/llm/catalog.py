@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quotegrid.llm import fingerprints, pieces
+from quotegrid.llm import chat, fingerprints, pieces
 from quotegrid.llm.common import table
 
 
@@ -23,8 +23,18 @@ def op2_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
     return pieces.round_trip_digests(table(spark, sf, "documents"), piece_model())
 
 
+def op3_chat_formatting(spark: SparkSession, sf: str) -> DataFrame:
+    said = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    odd = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-1, 0, "user", odd), (-1, 1, "assistant", odd)], said.schema)
+    return chat.read_back(chat.format_turns(said.unionByName(more)))
+
+
+QUERIES = (op1_document_fingerprints, op2_sentencepiece, op3_chat_formatting)
+
+
 def queries():
-    return {f.__name__: f for f in (op1_document_fingerprints, op2_sentencepiece)}
+    return {f.__name__: f for f in QUERIES}
 
 
 def oracles():
