@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quotegrid.llm import chat, fingerprints, pieces
+from quotegrid.llm import chat, fingerprints, pieces, simhash
 from quotegrid.llm.common import table
 
 
@@ -30,7 +31,12 @@ def op3_chat_formatting(spark: SparkSession, sf: str) -> DataFrame:
     return chat.read_back(chat.format_turns(said.unionByName(more)))
 
 
-QUERIES = (op1_document_fingerprints, op2_sentencepiece, op3_chat_formatting)
+def op6_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf, "documents"), shingle=4, radius=4)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+QUERIES = (op1_document_fingerprints, op2_sentencepiece, op3_chat_formatting, op6_simhash_near_dedup)
 
 
 def queries():
