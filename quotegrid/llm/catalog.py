@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotegrid.llm import chat, fingerprints, pieces, simhash
+from quotegrid.llm import chat, fingerprints, mixing, pieces, simhash, sql
 from quotegrid.llm.common import table
 
 
@@ -36,7 +36,17 @@ def op6_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = (op1_document_fingerprints, op2_sentencepiece, op3_chat_formatting, op6_simhash_near_dedup)
+def op8_mixing_sources(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.mix(table(spark, sf, "documents"))
+
+
+QUERIES = (
+    op1_document_fingerprints,
+    op2_sentencepiece,
+    op3_chat_formatting,
+    op6_simhash_near_dedup,
+    op8_mixing_sources,
+)
 
 
 def queries():
@@ -44,4 +54,4 @@ def queries():
 
 
 def oracles():
-    return {}
+    return {op8_mixing_sources.__name__: sql.OP8}
