@@ -18,6 +18,8 @@ as often as they come. Other columns are not looked at. Reruns agree.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -74,14 +76,16 @@ def balance(cells: DataFrame, margins: dict[str, DataFrame], most: float = 3.0,
             rate = F.least(F.exp("tilt"), F.lit(cap))
             sums = cells.groupBy(name).agg(
                 F.sum(F.col("size") * rate).alias("now"),
-                F.sum(F.when(rate < cap, F.col("size") * rate).otherwise(0.0)).alias("slope"),
+                F.sum(F.when(F.exp("tilt") < cap, F.col("size") * rate).otherwise(0.0)).alias("free"),
             )
             goal = targets.select(F.col(name).alias("_of"), "target")
             step = sums.join(goal, sums[name].eqNullSafe(F.col("_of"))).select(
                 "_of",
                 # nothing to take: the multiplier that leaves less than a word of any corpus
                 F.when(F.col("target") <= 0, -100.0)
-                .when(F.col("slope") > 0, (F.col("target") - F.col("now")) / F.col("slope"))
+                # upwards only those below the cap still move, downwards all
+                .when(F.col("now") > F.col("target"), F.col("target") / F.col("now") - 1)
+                .when(F.col("free") > 0, F.least((F.col("target") - F.col("now")) / F.col("free"), F.lit(math.log(cap))))
                 .otherwise(0.0)
                 .alias("step"),
                 F.when(F.col("target") > 0, F.abs(F.col("now") / F.col("target") - 1)).otherwise(0.0).alias("off"),
@@ -89,9 +93,9 @@ def balance(cells: DataFrame, margins: dict[str, DataFrame], most: float = 3.0,
             step = materialize(step, "newton")
             worst = step.agg(F.max("off")).first()[0] or 0.0
             off = max(off, worst)
-            if worst > close or _ == 0:
+            if worst > close:
                 cells = cells.join(step.drop("off"), cells[name].eqNullSafe(F.col("_of")), "left")
-                tilt = F.col("tilt") + F.coalesce(F.least("step", F.lit(5.0)), F.lit(0.0))
+                tilt = F.col("tilt") + F.coalesce("step", F.lit(0.0))
                 cells = materialize(cells.withColumn("tilt", tilt).drop("_of", "step"), "newton")
         if off <= close:
             break
