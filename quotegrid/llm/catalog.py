@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotegrid.llm import chat, fingerprints, mixing, pieces, simhash, sql
+from quotegrid.llm import chat, fingerprints, mixing, pieces, quality, simhash, sql
 from quotegrid.llm.common import table
 
 
@@ -40,12 +40,17 @@ def op8_mixing_sources(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(table(spark, sf, "documents"))
 
 
+def op9_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.quality_verdicts(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 QUERIES = (
     op1_document_fingerprints,
     op2_sentencepiece,
     op3_chat_formatting,
     op6_simhash_near_dedup,
     op8_mixing_sources,
+    op9_quality_rules,
 )
 
 
@@ -54,4 +59,4 @@ def queries():
 
 
 def oracles():
-    return {op8_mixing_sources.__name__: sql.OP8}
+    return {op8_mixing_sources.__name__: sql.OP8, op9_quality_rules.__name__: sql.OP9}

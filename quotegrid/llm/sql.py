@@ -64,3 +64,73 @@ select f.doc_id, f.size, f.source_size, f.target, f.copies + coalesce(p.more, 0)
 from first f left join picked p on p.source is not distinct from f.source and p.picked = f.doc_id
 """
 )
+
+_RULES = """
+  select * from (values
+    ('symbols', 1, [0.02, 0.05, 0.1, 0.2, 0.3, 0.5, 1.0]::double[]),
+    ('long_words', 1, [5.5, 6.0, 6.5, 7.0, 8.0, 10.0, 12.0]::double[]),
+    ('short_words', -1, [4.0, 3.5, 3.0, 2.5, 2.0]::double[]),
+    ('dup_lines', 1, [0.1, 0.2, 0.3, 0.5]::double[]),
+    ('repeats', 1, [0.05, 0.1, 0.15]::double[])) r(rule, sign, cutoffs)
+"""
+
+OP9 = (
+    r"""
+with texts as (
+  select row_number() over () as r, doc_id, lang, coalesce(text, '') as text from documents),
+words as (
+  select r, unnest(list) as word, generate_subscripts(list, 1) as pos
+  from (select r, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as list from texts)),
+windows as (
+  select r, pos, case when lead(word, 4) over w is not null then concat_ws(' ', word, lead(word, 1) over w,
+    lead(word, 2) over w, lead(word, 3) over w, lead(word, 4) over w) end as five
+  from words window w as (partition by r order by pos)),
+twice as (
+  select r, pos from (select r, pos, five, count(*) over (partition by r, five) as n from windows where five is not null) where n > 1),
+covered as (
+  select r, sum(least(5, coalesce(pos - before, 5)))::bigint as n
+  from (select r, pos, lag(pos) over (partition by r order by pos) as before from twice) group by r),
+lines as (
+  select r, count(*) as n_lines, count(*) - count(distinct line) as n_dup from (
+    select r, unnest(string_split(text, chr(10))) as line from texts)
+  where regexp_matches(line, '[^\x20\x09-\x0D]') group by r),
+counted as (select r, count(*) as n_words, sum(length(word))::bigint as word_chars from words group by r),
+figures as (
+  select t.doc_id, t.lang as stratum, coalesce(c.n_words, 0)::bigint as n_words, coalesce(c.word_chars, 0)::bigint as word_chars,
+    length(regexp_replace(t.text, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols, coalesce(l.n_lines, 0)::bigint as n_lines,
+    coalesce(l.n_dup, 0)::bigint as n_dup_lines, coalesce(v.n, 0)::bigint as n_repeat_words
+  from texts t left join counted c using (r) left join lines l using (r) left join covered v using (r)),
+judged as (
+  select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed,
+    map {'symbols': n_symbols / nullif(n_words, 0), 'long_words': word_chars / nullif(n_words, 0),
+      'short_words': word_chars / nullif(n_words, 0), 'dup_lines': n_dup_lines / nullif(n_lines, 0),
+      'repeats': n_repeat_words / nullif(n_words, 0)} as ratios
+  from figures),
+good as (select doc_id, max(quality) = 1 as good from labels where quality is not null group by doc_id),
+rules as ("""
+    + _RULES
+    + """),
+tests as (select rule, sign, unnest(cutoffs) as cutoff, generate_subscripts(cutoffs, 1) as leniency from rules),
+counts as (
+  select j.stratum, t.rule, t.sign, t.cutoff, t.leniency, count(*) filter (g.good) as n,
+    count(*) filter (g.good and coalesce((j.ratios[t.rule] - t.cutoff) * t.sign > 0, false)) as k,
+    count(*) filter (not g.good and coalesce((j.ratios[t.rule] - t.cutoff) * t.sign > 0, false)) as bad
+  from judged j join good g using (doc_id), tests t where not j.base_failed group by all),
+tails as (
+  select *, case when k >= n * 0.01 then 1.0 else (select sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1)
+      + i * ln(0.01::double) + (n - i) * ln(0.99::double))) from range(0, k + 1) x(i)) end as tail
+  from counts),
+chosen as (
+  select stratum, rule, sign, arg_max(cutoff, (bad - k) * 1000 + leniency) as cutoff from tails
+  where bad > k and tail <= 0.05 / ((select count(*) from (select distinct stratum from counts)) * (select count(*) from tests))
+  group by all),
+rejected as (
+  select j.doc_id, j.stratum, j.n_words, j.word_chars, j.n_symbols, j.n_dup_lines, j.n_repeat_words, j.base_failed,
+    exists (select 1 from chosen c where c.stratum is not distinct from j.stratum
+      and (j.ratios[c.rule] - c.cutoff) * c.sign > 0) as hit
+  from judged j)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  not base_failed and not hit as kept
+from rejected
+"""
+)
