@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotegrid.llm import chat, fingerprints, mixing, pieces, quality, simhash, sql
-from quotegrid.llm.common import table
+from quotegrid.llm import chat, fingerprints, language, mixing, pieces, quality, simhash, sql
+from quotegrid.llm.common import held_out, table
 
 
 def op1_document_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
@@ -31,6 +31,13 @@ def op3_chat_formatting(spark: SparkSession, sf: str) -> DataFrame:
     return chat.read_back(chat.format_turns(said.unionByName(more)))
 
 
+def op5_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    model = language.learn(docs.where(~held_out(F.col("doc_id"))))
+    out = held_out(F.col("doc_id")).alias("held_out")
+    return language.predict_languages(docs, model).select("doc_id", out, "lang_pred", "score", "margin", "accepted")
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf, "documents"), shingle=4, radius=4)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -48,6 +55,7 @@ QUERIES = (
     op1_document_fingerprints,
     op2_sentencepiece,
     op3_chat_formatting,
+    op5_language_id,
     op6_simhash_near_dedup,
     op8_mixing_sources,
     op9_quality_rules,
