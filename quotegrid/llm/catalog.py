@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotegrid.llm import chat, fingerprints, language, mixing, pieces, quality, simhash, sql
+from quotegrid.llm import chat, fingerprints, language, mixing, pieces, quality, simhash, sql, toxicity
 from quotegrid.llm.common import held_out, table
 
 
@@ -43,6 +43,12 @@ def op6_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    found = toxicity.toxicity(docs, labels.where(~held_out(F.col("doc_id"))))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "evidence")
+
+
 def op8_mixing_sources(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(table(spark, sf, "documents"))
 
@@ -57,6 +63,7 @@ QUERIES = (
     op3_chat_formatting,
     op5_language_id,
     op6_simhash_near_dedup,
+    op7_toxicity,
     op8_mixing_sources,
     op9_quality_rules,
 )
