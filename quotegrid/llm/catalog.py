@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotegrid.llm import chat, fingerprints, language, mixing, pieces, quality, simhash, sql, toxicity
+from quotegrid.llm import chat, fingerprints, language, mixing, pieces, quality, simhash, sql, toxicity, wrappers
 from quotegrid.llm.common import held_out, table
 
 
@@ -57,6 +57,10 @@ def op9_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality.quality_verdicts(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op10_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    return wrappers.main_texts(table(spark, sf, "pages"))
+
+
 QUERIES = (
     op1_document_fingerprints,
     op2_sentencepiece,
@@ -66,6 +70,7 @@ QUERIES = (
     op7_toxicity,
     op8_mixing_sources,
     op9_quality_rules,
+    op10_html_extraction,
 )
 
 

@@ -196,9 +196,10 @@ class BlockMaxIndex:
         return rows, cosines
 
     def vote(self, rows: np.ndarray, cosines: np.ndarray) -> float:
-        """Share of toxic examples; an example at distance d weighs 1 / (d + 0.1)."""
-        w = self.weight[rows] / (1.1 - np.minimum(cosines, 1.0))
-        return float((w * self.toxic[rows]).sum() / w.sum())
+        """Share of toxic examples; one with cosine c weighs c / (1.1 - c), and examples without a term weigh 1."""
+        near = np.minimum(cosines, 1.0)
+        w = self.weight[rows] * near / (1.1 - near)
+        return float(((w * self.toxic[rows]).sum() + self.plain) / (w.sum() + 1.0))
 
 
 @dataclass
