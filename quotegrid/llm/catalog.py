@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotegrid.llm import chat, fingerprints, language, mixing, pieces, quality, simhash, sql, toxicity, wrappers
+from quotegrid.llm import chat, fingerprints, language, lines, mixing, pieces, quality, simhash, sql, toxicity, wrappers
 from quotegrid.llm.common import held_out, table
 
 
@@ -31,6 +31,11 @@ def op3_chat_formatting(spark: SparkSession, sf: str) -> DataFrame:
     return chat.read_back(chat.format_turns(said.unionByName(more)))
 
 
+def op4_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return lines.dedup_lines(docs, counts=True).select("doc_id", "text", "n_lines", "n_removed")
+
+
 def op5_language_id(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     model = language.learn(docs.where(~held_out(F.col("doc_id"))))
@@ -65,6 +70,7 @@ QUERIES = (
     op1_document_fingerprints,
     op2_sentencepiece,
     op3_chat_formatting,
+    op4_line_dedup,
     op5_language_id,
     op6_simhash_near_dedup,
     op7_toxicity,
