@@ -36,3 +36,12 @@ def bit_filter(values: DataFrame, *columns: str) -> Callable[..., Column]:
         return F.call_function("shiftright", word, (p % 64).cast("int")).bitwiseAND(1) == 1
 
     return test
+
+
+def without_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` without the rows of these ``doc_id``s; few of the rows that stay are shuffled."""
+    ids = materialize(ids.select("doc_id").distinct(), "ids")
+    hit = bit_filter(ids, "doc_id")(F.col("doc_id"))
+    of = ids.withColumnRenamed("doc_id", "_gone_id")
+    kept = docs.where(hit).join(of, F.col("doc_id").eqNullSafe(F.col("_gone_id")), "left_anti")
+    return docs.where(~hit).unionByName(kept)

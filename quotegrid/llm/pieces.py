@@ -276,17 +276,20 @@ def _piecewise(m: PieceModel, ids: list[int], drop: bool) -> str:
     return "".join(out)[1 if drop else 0 :]
 
 
+def _id_lists(ids: list[np.ndarray]) -> pa.Array:
+    offsets = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+    flat = np.concatenate(ids).view("<i4") if ids else np.empty(0, "<i4")
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+
+
 def encode_texts(docs: DataFrame, path: str) -> DataFrame:
     """``doc_id`` and ``ids`` (with the begin and end ids) of each whole text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(path)
         for part in row_slices(batches, "text", SLICE):
-            ids = [x.view("<i4") for x in encoder.encode(part.column(1).to_pylist())]
-            offsets = np.cumsum([0, *map(len, ids)])
-            flat = pa.array(np.concatenate(ids) if ids else np.empty(0, "<i4"))
-            column = pa.LargeListArray.from_arrays(pa.array(offsets, pa.int64()), flat).cast(pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([part.column(0), column], names=["doc_id", "ids"])
+            ids = encoder.encode(part.column(1).to_pylist())
+            yield pa.RecordBatch.from_arrays([part.column(0), _id_lists(ids)], names=["doc_id", "ids"])
 
     return texts(docs).mapInArrow(run, "doc_id long, ids array<int>")
 
@@ -305,27 +308,29 @@ def decode_ids(encoded: DataFrame, path: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
 
 
-def round_trip_digests(docs: DataFrame, path: str) -> DataFrame:
+def round_trip_digests(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
     """Encodes each text, decodes the ids, and returns digests of both, in one pass without a shuffle.
 
-    doc_id, n_tokens, ids_sha256 (ids as little-endian unsigned 32-bit integers), decoded_sha256.
+    doc_id, n_tokens, ids_sha256 (ids as little-endian unsigned 32-bit integers), decoded_sha256; ids on request.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(path)
         for part in row_slices(batches, "text", SLICE):
             ids = encoder.encode(part.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part.column(0),
-                    pa.array([len(x) for x in ids], pa.int64()),
-                    pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
-                    pa.array([hashlib.sha256(decode(encoder.m, x.tolist()).encode()).hexdigest() for x in ids], pa.string()),
-                ],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
-
-    return texts(docs).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+            sha = lambda raw: hashlib.sha256(raw).hexdigest()
+            columns = {
+                "doc_id": part.column(0),
+                "n_tokens": pa.array([len(x) for x in ids], pa.int64()),
+                "ids_sha256": pa.array([sha(x) for x in ids], pa.string()),
+                "decoded_sha256": pa.array([sha(decode(encoder.m, x.tolist()).encode()) for x in ids], pa.string()),
+            }
+            if with_ids:
+                columns["ids"] = _id_lists(ids)
+            yield pa.RecordBatch.from_pydict(columns)
+
+    kind = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return texts(docs).mapInArrow(run, kind + ", ids array<int>" * with_ids)
 
 
 def count_tokens(docs: DataFrame, path: str) -> DataFrame:

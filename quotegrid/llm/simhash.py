@@ -30,6 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quotegrid.llm.bitfilter import bit_filter, without_ids
 from quotegrid.llm.common import row_slices, texts
 from quotegrid.llm.components import connected_components
 from quotegrid.session import materialize
@@ -187,6 +188,13 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataF
 
 def keep_one(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
     """The rows of ``docs`` without near copies: of each group the document with the smallest id stays, once."""
-    kept = near_duplicates(docs, shingle, radius).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    ids = kept.select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(ids, docs["doc_id"].eqNullSafe(F.col("_kept_id")), "left_semi").dropDuplicates(["doc_id"])
+    found = materialize(near_duplicates(docs, shingle, radius), "near-copies")
+    copies = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id")
+    left = without_ids(docs, copies)
+    again = found.groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if not again.limit(1).count():
+        return left
+    # rows that repeat an id: one of them stays
+    again = materialize(again, "ids")
+    hit = bit_filter(again, "doc_id")(F.col("doc_id"))
+    return left.where(~hit).unionByName(left.where(hit).dropDuplicates(["doc_id"]))
