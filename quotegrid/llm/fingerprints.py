@@ -263,7 +263,7 @@ def with_successor(docs: DataFrame) -> DataFrame:
     rows = texts(docs).withColumn("at", F.col("doc_id").cast("double"))
     n = 8 * width(spark)
     cuts = sorted(set(rows.approxQuantile("at", [i / n for i in range(1, n)], 1 / (4 * n))))
-    splits = [-float("inf"), *cuts, float("inf")]
+    splits = [-float("inf"), *(cuts or [0.0]), float("inf")]
     rows = Bucketizer(splits=splits, inputCol="at", outputCol="cut", handleInvalid="keep").transform(rows)
     bucket = F.when(F.col("doc_id").isNull(), -1).otherwise(F.col("cut")).cast("int")
     rows = rows.select(bucket.alias("bucket"), F.lit(0).alias("guest"), "doc_id", "text")
