@@ -2,10 +2,10 @@
 
 Terms are a text's words and the first letters of its longer words, both lower-cased. The vocabulary are the
 terms that go with the label: of the terms in a bounded sample of labelled documents, those that come more often
-in toxic ones by a chi-square test, corrected for the number of terms tested. Term frequencies of this vocabulary are taken from every whole text, and
+in toxic ones, several times as often by a chi-square test that is corrected for the number of terms tested. Term frequencies of this vocabulary are taken from every whole text, and
 document frequencies counted over all of them. The sample's vectors form an inverted index in blocks of
-``BLOCK`` examples that knows each term's largest weight in each block. A search takes blocks in the order of
-the cosine they could at most reach, and ends when no block can reach the k-th best any more, so
+``BLOCK`` examples that knows each term's largest weight in each block, and so the cosine that a block can at most
+reach. A search looks at the highest blocks first, and then only at blocks that can reach the k-th best cosine, so
 the nearest examples are exact. They vote with weights that fall with distance. Votes of the examples
 themselves, each left out of its own search, calibrate the vote (isotonic). The nearest examples are the evidence.
 
@@ -37,10 +37,13 @@ from quotegrid.session import materialize
 PER_CLASS = 8192  # labelled examples of each label that are learnt from
 VOCABULARY = 4096  # terms
 LEAST = 3  # toxic examples that have a term
+LIFT = 3  # times as often in toxic documents, at least
 CHANCE = 0.01  # that any term is taken without going with the label
 STEM = 4  # letters
 NEIGHBOURS = 16
 BLOCK = 64
+FIRST = 8  # blocks looked at first
+KNOWN = 50_000  # vectors whose scores a task keeps
 SLICE = 1 << 20
 
 _WORDS = re.compile(r"[^\W\d_]+").findall
@@ -90,7 +93,8 @@ def vocabulary(examples: DataFrame) -> list[str]:
     chi = lean.cast("double") * lean / n1 * n / n0 / with_term / F.greatest(n - with_term, F.lit(1)) if n0 and n1 else F.lit(0.0)
     per = materialize(per, "terms")
     z = NormalDist().inv_cdf(1 - CHANCE / 2 / max(1, per.count()))
-    best = per.withColumn("chi", chi).where((lean > 0) & (F.col("chi") >= z * z))
+    often = F.col("a") * n0 >= LIFT * F.col("c") * n1
+    best = per.withColumn("chi", chi).where((lean > 0) & often & (F.col("chi") >= z * z))
     return [r["term"] for r in best.orderBy(F.desc("chi"), "term").limit(VOCABULARY).collect()]
 
 
@@ -131,7 +135,8 @@ class BlockMaxIndex:
     ids: np.ndarray  # of the examples, ascending inside a block order
     toxic: np.ndarray
     weight: np.ndarray
-    postings: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=dict)
+    # of each term: rows, weights, blocks, largest weight in each block
+    postings: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=dict)
     plain: float = 0.0  # share of toxic examples among those without a term
 
     @classmethod
@@ -158,42 +163,45 @@ class BlockMaxIndex:
             rows = np.array([r for r, _ in found])
             w = np.array([v for _, v in found])
             blocks, first = np.unique(rows // BLOCK, return_index=True)
-            out.postings[t] = (rows, w, blocks, np.append(first, rows.size), np.maximum.reduceat(w, first))
+            out.postings[t] = (rows, w, blocks, np.maximum.reduceat(w, first))
         return out
 
     def search(self, terms, counts, k: int = NEIGHBOURS, without: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Rows and cosines of the k nearest examples with a term in common, nearest first."""
         at, q = _unit(terms, counts, self.idf)
         mine = [(w, *self.postings[t]) for t, w in zip(at.tolist(), q.tolist(), strict=True) if t in self.postings and w > 0]
-        rows, cosines = np.empty(0, np.int64), np.empty(0)
         if not mine:
-            return rows, cosines
-        bound = np.zeros(-(-self.ids.size // BLOCK))
-        for w, _, _, blocks, _, most in mine:
-            bound[blocks] += w * most
-        order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 0]
-        step, pos, least = 4, 0, 0.0
-        while pos < order.size and (rows.size < k or bound[order[pos]] >= least - 1e-12):
-            todo = np.sort(order[pos : pos + step])
-            pos, step = pos + step, 2 * step
-            score = np.zeros(todo.size * BLOCK)
-            for w, at_rows, weights, blocks, cuts, _ in mine:
-                there = np.searchsorted(blocks, todo)
-                hit = np.flatnonzero((there < blocks.size) & (blocks[np.minimum(there, blocks.size - 1)] == todo))
-                for j in hit.tolist():
-                    a, b = cuts[there[j]], cuts[there[j] + 1]
-                    score[at_rows[a:b] - todo[j] * BLOCK + j * BLOCK] += w * weights[a:b]
-            got = np.flatnonzero(score)
-            new = todo[got // BLOCK] * BLOCK + got % BLOCK
-            if without is not None:
-                keep = self.ids[new] != without
-                got, new = got[keep], new[keep]
-            rows, cosines = np.concatenate([rows, new]), np.concatenate([cosines, score[got]])
-            best = np.lexsort((self.ids[rows], -np.round(cosines, 12)))[:k]
-            rows, cosines = rows[best], cosines[best]
-            least = cosines[-1] if rows.size else 0.0
-        return rows, cosines
+            return np.empty(0, np.int64), np.empty(0)
+        n = -(-self.ids.size // BLOCK)
+        bound = np.bincount(
+            np.concatenate([m[3] for m in mine]), np.concatenate([m[0] * m[4] for m in mine]), minlength=n
+        )
+        rows = np.concatenate([m[1] for m in mine])
+        parts = np.concatenate([m[0] * m[2] for m in mine])
+        of = rows // BLOCK
+        # the blocks with the highest bounds give a k-th best; then all blocks that may still reach it
+        chosen = np.zeros(n, bool)
+        chosen[np.argpartition(bound, -FIRST)[-FIRST:] if n > FIRST else slice(None)] = True
+        best, cosines = self._exact(rows, parts, of, chosen, k, without)
+        least = cosines[-1] if best.size == k else 0.0
+        more = bound >= least - 1e-9
+        if best.size < k or (more & ~chosen).any():
+            best, cosines = self._exact(rows, parts, of, more & (bound > 0), k, without)
+        return best, cosines
+
+    def _exact(self, rows, parts, of, chosen, k, without):
+        """The k best of the chosen blocks."""
+        inside = chosen[of]
+        score = np.bincount(rows[inside], parts[inside], minlength=self.ids.size)
+        got = np.flatnonzero(score)
+        if without is not None:
+            got = got[self.ids[got] != without]
+        value = np.round(score[got], 12)
+        if got.size > 4 * k:  # ties of the k-th stay for the id to decide
+            near = value >= np.partition(value, -k)[-k]
+            got, value = got[near], value[near]
+        order = np.lexsort((self.ids[got], -value))[:k]
+        return got[order], value[order]
 
     def vote(self, rows: np.ndarray, cosines: np.ndarray) -> float:
         """Share of toxic examples; one with cosine c weighs c / (1.1 - c), and examples without a term weigh 1."""
@@ -248,7 +256,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> tuple[ToxicityModel, DataFrame]
     """The model, and the vectors of all documents (written once, read for frequencies and for scores)."""
     spark = docs.sparkSession
     sample = F.broadcast(sampled_labels(labels))  # 2 * PER_CLASS rows, about
-    terms = vocabulary(texts(docs).join(sample, "doc_id"))
+    terms = vocabulary(texts(docs).join(sample, "doc_id").dropDuplicates(["text", "toxic"]))  # copies once
     vectors = materialize(term_vectors(docs, terms), "vectors")
     total = vectors.count()
     df = np.zeros(len(terms))
@@ -282,9 +290,19 @@ def scores(vectors: DataFrame, model: ToxicityModel) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))
+        known: dict[tuple, tuple] = {}
+
+        def look(terms: list[int], counts: list[int]) -> tuple:
+            key = (*terms, *counts) if len(terms) > 1 else tuple(terms)  # one term has one direction
+            if key not in known:
+                if len(known) > KNOWN:
+                    known.clear()
+                known[key] = held.value.score(terms, counts)
+            return known[key]
+
         for batch in batches:
             terms, counts = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-            found = [held.value.score(t, c) for t, c in zip(terms, counts, strict=True)]
+            found = [look(t, c) for t, c in zip(terms, counts, strict=True)]
             near = [[{"doc_id": i, "cosine": c, "toxic": y} for i, c, y in e] for _, e in found]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([s for s, _ in found], pa.float64()), pa.array(near, kind)], names=["doc_id", "score", "evidence"]
