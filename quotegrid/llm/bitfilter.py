@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quotegrid.llm.common import packed
 from quotegrid.session import materialize
 
 PAGE = 1024  # words of 64 bits
@@ -42,6 +43,7 @@ def without_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """``docs`` without the rows of these ``doc_id``s; few of the rows that stay are shuffled."""
     ids = materialize(ids.select("doc_id").distinct(), "ids")
     hit = bit_filter(ids, "doc_id")(F.col("doc_id"))
-    of = ids.withColumnRenamed("doc_id", "_gone_id")
-    kept = docs.where(hit).join(of, F.col("doc_id").eqNullSafe(F.col("_gone_id")), "left_anti")
-    return docs.where(~hit).unionByName(kept)
+    rows, unpack = packed(docs, "doc_id")
+    of = ids.withColumnRenamed("doc_id", "gone")
+    kept = rows.where(hit).join(of, F.col("doc_id").eqNullSafe(F.col("gone")), "left_anti")
+    return unpack(rows.where(~hit).unionByName(kept))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -26,6 +26,20 @@ def texts(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
+def packed(docs: DataFrame, *used: str) -> tuple[DataFrame, Callable[..., DataFrame]]:
+    """The columns ``used`` and all others as one (``rest``), so that no name can clash; and the way back.
+
+    The way back takes names of columns to put behind those of ``docs``.
+    """
+    others = [c for c in docs.columns if c not in used]
+    rest = F.struct(*[docs[f"`{c}`"].alias(c) for c in others]) if others else F.lit(None).cast("int")
+
+    def unpack(df: DataFrame, *more: str) -> DataFrame:
+        return df.select(*[c if c in used else F.col("rest")[c].alias(c) for c in docs.columns], *more)
+
+    return docs.select(*used, rest.alias("rest")), unpack
+
+
 def held_out(doc_id: Column) -> Column:
     """Rows nothing is learnt from: crc32 of the id as text is divisible by 5."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))

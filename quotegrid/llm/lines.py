@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quotegrid.llm.bitfilter import bit_filter
+from quotegrid.llm.common import packed
 from quotegrid.llm.components import connected_components
 from quotegrid.session import materialize
 
@@ -182,11 +183,13 @@ def _marks(dropped: DataFrame) -> DataFrame:
 def dedup_lines(docs: DataFrame, cfg: LineConfig = LineConfig(), counts: bool = False) -> DataFrame:
     """``docs`` with the texts rewritten; with ``counts`` also ``n_lines`` (before) and ``n_removed``."""
     marks = _marks(dropped_lines(docs, cfg))
+    rows, unpack = packed(docs, "doc_id", "text")
     lines = F.split("text", "\n", -1)
     before = F.coalesce(F.when(F.col("text").isNotNull(), F.size(lines)), F.lit(0))
-    hit = F.col("text").isNotNull() & F.coalesce(bit_filter(marks, "_t")(F.xxhash64("text")), F.lit(False))
-    met = docs.where(hit).withColumn("_h", F.xxhash64("text"))
-    met = met.join(marks, (F.col("_h") == F.col("_t")) & F.col("doc_id").eqNullSafe(F.col("_d")), "left")
+    hash_ = F.xxhash64("text")
+    hit = F.col("text").isNotNull() & F.coalesce(bit_filter(marks, "_t")(hash_), F.lit(False))
+    met = rows.where(hit).withColumn("hash", hash_)
+    met = met.join(marks, (F.col("hash") == F.col("_t")) & F.col("doc_id").eqNullSafe(F.col("_d")), "left")
 
     def stays(_, i):
         word = F.coalesce(F.get("_gone", F.shiftright(i, 6)), F.lit(0).cast("long"))
@@ -194,8 +197,6 @@ def dedup_lines(docs: DataFrame, cfg: LineConfig = LineConfig(), counts: bool =
 
     kept = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(F.filter(lines, stays), "\n"))
     removed = F.coalesce(F.aggregate("_gone", F.lit(0), lambda n, w: n + F.bit_count(w)), F.lit(0))
-    same = docs.where(~hit)
-    if counts:
-        same = same.withColumns({"n_lines": before, "n_removed": F.lit(0)})
-        met = met.withColumns({"n_lines": before, "n_removed": removed})
-    return same.unionByName(met.withColumn("text", kept).drop("_h", "_d", "_t", "_gone"))
+    same = rows.where(~hit).select("doc_id", "text", "rest", before.alias("n_lines"), F.lit(0).alias("n_removed"))
+    met = met.select("doc_id", kept.alias("text"), "rest", before.alias("n_lines"), removed.alias("n_removed"))
+    return unpack(same.unionByName(met), *("n_lines", "n_removed") * counts)

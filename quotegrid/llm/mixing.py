@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quotegrid.llm.common import WORD
+from quotegrid.llm.common import WORD, packed
 from quotegrid.session import materialize
 
 CELL = 1 << 16  # documents ranked in one group
@@ -176,9 +176,15 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3) ->
 def take(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3) -> DataFrame:
     """The mix itself: each row of ``docs`` as often as it is taken, in the columns of ``docs``.
 
-    Repeated rows of one id get the copies of all of them, dealt to one row.
+    Rows that share an id share the copies of all of them.
     """
-    per = mix(docs, weights, most).groupBy("doc_id").agg(F.sum("copies").cast("int").alias("_copies"))
-    per = per.withColumnRenamed("doc_id", "_id").where("_copies > 0")
-    once = docs.join(per, docs["doc_id"].eqNullSafe(F.col("_id")))
-    return once.select(*docs.columns, F.explode(F.sequence(F.lit(1), "_copies")).alias("_copy")).drop("_copy")
+    per = mix(docs, weights, most).groupBy("doc_id").agg(F.sum("copies").cast("int").alias("copies"), F.count("*").alias("n"))
+    per = per.where("copies > 0").withColumnRenamed("doc_id", "id")
+    rows, unpack = packed(docs, "doc_id")
+    met = rows.join(per, F.col("doc_id").eqNullSafe(F.col("id")))
+    # rows of one id are equally often taken, as far as their number goes into the copies
+    again = met.where("n > 1")
+    turn = F.row_number().over(Window.partitionBy("doc_id").orderBy("rest"))
+    again = again.withColumn("copies", (F.floor(F.col("copies") / F.col("n")) + F.when(turn <= F.col("copies") % F.col("n"), 1).otherwise(0)).cast("int"))
+    both = met.where("n = 1").unionByName(again.where("copies > 0"))
+    return unpack(both.select("doc_id", "rest", F.explode(F.sequence(F.lit(1), "copies")).alias("copy")))

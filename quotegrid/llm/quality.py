@@ -159,8 +159,8 @@ def quality_verdicts(
     docs: DataFrame, labels: DataFrame, cfg: RiskConfig = RiskConfig(), rules: tuple[Rule, ...] = RULES
 ) -> DataFrame:
     """doc_id, the figures, base_failed and kept of every document. ``labels``: doc_id and quality (1: good)."""
-    rows = materialize(text_figures(docs.withColumnRenamed("lang", "_lang"), "doc_id", "_lang"), "figures")
-    rows = rows.withColumnRenamed("_lang", "stratum").withColumn("base_failed", base_failed())
+    narrow = docs.select("doc_id", "text", F.col("lang").alias("stratum"))
+    rows = materialize(text_figures(narrow, "doc_id", "stratum"), "figures").withColumn("base_failed", base_failed())
     good = labels.where("quality is not null").groupBy("doc_id").agg((F.max("quality") == 1).alias("good"))
     labelled = rows.where(~F.col("base_failed")).join(good, "doc_id")
     cuts = certified_cutoffs(labelled, cfg, rules).withColumnRenamed("stratum", "_stratum")

@@ -61,7 +61,7 @@ def fingerprints_of(batch: list[str], shingle: int) -> np.ndarray:
             continue
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         ends = np.cumsum(sizes + 1) - 1
-        begins = (ends - sizes)[: 1 - shingle].tolist()
+        begins = (ends - sizes)[: len(words) - shingle + 1].tolist()
         ends = ends[shingle - 1 :].tolist()
         hashes.append(b"".join([digest(joined[a:b], SEED) for a, b in zip(begins, ends, strict=True)]))
         counts[i] = len(begins)
@@ -97,7 +97,7 @@ def document_fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
 
 
 def _quarters(fp: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(fp.view(np.uint16).reshape(-1, 4)).astype(np.int16)
+    return np.bitwise_count(np.ascontiguousarray(fp).view(np.uint16).reshape(-1, 4)).astype(np.int16)
 
 
 def _merge(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
