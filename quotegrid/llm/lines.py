@@ -70,7 +70,9 @@ def line_table(docs: DataFrame, cfg: LineConfig = LineConfig()) -> DataFrame:
     split = rows.select("doc_id", "t", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
     words = split.select("doc_id", "t", "pos", words_of(F.col("line")).alias("words")).where(F.size("words") >= cfg.min_words)
     chars = F.length(F.array_join("words", " "))
-    each = words.select("doc_id", "t", "pos", F.xxhash64("words").alias("h"), chars.alias("chars"), F.explode("words").alias("w"))
+    # the line's own columns before its words are dealt out, or they would be computed for each word
+    marked = words.select("doc_id", "t", "pos", "words", F.xxhash64("words").alias("h"), chars.alias("chars"))
+    each = marked.select("doc_id", "t", "pos", "h", "chars", F.explode("words").alias("w"))
     each = each.select("doc_id", "t", "pos", "h", "chars", F.xxhash64("w").alias("wh"))
     sums = each.groupBy("doc_id", "t", "pos", "h", "chars").agg(F.count("*").alias("n"), *_lanes(F.col("wh")))
     return sums.select("doc_id", "t", "pos", "h", _majority(F.col("n")).alias("sim"), "chars")
