@@ -28,7 +28,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     cfg = lines.LineConfig()
     marked = docs.withColumn("_before", F.length("text"))
     found = lines.dedup_lines(marked, cfg)
-    long = F.exists(F.split("text", "\n", -1), lambda x: F.size(lines.words_of(x)) >= cfg.min_words)
+    long = F.exists(F.split("text", "\n", -1), lambda x: lines.n_words(lines.normal(x)) >= cfg.min_words)
     lost = F.coalesce(F.length("text") < F.col("_before"), F.lit(False))
     kept = found.where(~lost | long).drop("_before")
     return kept.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast("long")))

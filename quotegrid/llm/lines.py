@@ -3,8 +3,8 @@
 Lines are normalised to their lower-cased words. A line's SimHash is taken over its words: 64 counters, two in each
 of 32 sums, are added up while words stream by. Two lines within ``radius`` bits agree in two of five blocks
 of the SimHash at least (pigeonhole), so each pair of blocks is a join key. In a group of equal keys every line is compared
-with the group's first one; only those it does not match are compared with the rest of the group, so that thousands of copies
-make a star and not all pairs, and no link between groups is lost. Candidates within the radius and of fitting
+with the group's first one; those it does not match are compared with all of the group that is not connected to them by then,
+so that thousands of copies make a star and not all pairs, and no link between groups is lost. Candidates within the radius and of fitting
 lengths are verified by edit similarity of the normalised lines. Of each connected group of lines the first
 occurrence stays: smallest document id, first place in it.
 
@@ -31,6 +31,7 @@ from quotegrid.llm.components import connected_components
 from quotegrid.session import materialize
 
 BLOCKS = (13, 13, 13, 13, 12)  # bits
+FEW = 24  # edits
 
 
 @dataclass(frozen=True)
@@ -40,8 +41,13 @@ class LineConfig:
     radius: int = 3  # differing bits of two SimHashes
 
 
-def words_of(line: Column) -> Column:
-    return F.array_remove(F.split(F.lower(line), r"[^\p{L}\p{N}]+", -1), "")
+def normal(line: Column) -> Column:
+    """Lower case; one space for every run of ASCII characters that are no letters or digits."""
+    return F.trim(F.regexp_replace(F.lower(line), r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", " "))
+
+
+def n_words(norm: Column) -> Column:
+    return F.when(norm == "", 0).otherwise(F.length(norm) - F.length(F.replace(norm, F.lit(" "), F.lit(""))) + 1)
 
 
 def _signed(x: int) -> int:
@@ -55,27 +61,32 @@ def _lanes(word_hash: Column) -> list[Column]:
 
 
 def _majority(n: Column) -> Column:
-    """The bits that are set in more than half of the words."""
-    parts = []
-    for i in range(32):
-        s = F.col(f"s{i}")
-        parts.append(F.when(2 * s.bitwiseAND(F.lit((1 << 32) - 1)) > n, F.lit(1 << i)).otherwise(F.lit(0)))
-        parts.append(F.when(2 * F.shiftrightunsigned(s, 32) > n, F.lit(_signed(1 << (i + 32)))).otherwise(F.lit(0)))
-    return reduce(lambda a, b: a.bitwiseOR(b), parts)
+    """The bits that are set in more than half of the words. A loop over the sums, as code for 64 bits would not be compiled."""
+
+    def bits(s: Column, i: Column) -> Column:
+        # n - 2 * count is negative, and its sign bit 1, if more than half have the bit
+        low = F.shiftrightunsigned(n - 2 * s.bitwiseAND(F.lit((1 << 32) - 1)), 63)
+        high = F.shiftrightunsigned(n - 2 * F.shiftrightunsigned(s, 32), 63)
+        shift = lambda x, k: F.call_function("shiftleft", x, k)
+        return shift(low, i).bitwiseOR(shift(high, i + 32))
+
+    each = F.transform(F.array(*[F.col(f"s{i}") for i in range(32)]), bits)
+    return F.aggregate(each, F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(b))
 
 
 def line_table(docs: DataFrame, cfg: LineConfig = LineConfig()) -> DataFrame:
     """doc_id, t (hash of the text), pos, h (hash of the normalised line), sim, chars of each line long enough."""
     rows = docs.where("text is not null").select("doc_id", F.xxhash64("text").alias("t"), "text")
     split = rows.select("doc_id", "t", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
-    words = split.select("doc_id", "t", "pos", words_of(F.col("line")).alias("words")).where(F.size("words") >= cfg.min_words)
-    chars = F.length(F.array_join("words", " "))
+    norm = split.select("doc_id", "t", "pos", normal(F.col("line")).alias("norm"))
     # the line's own columns before its words are dealt out, or they would be computed for each word
-    marked = words.select("doc_id", "t", "pos", "words", F.xxhash64("words").alias("h"), chars.alias("chars"))
+    chars = F.length("norm").alias("chars")
+    marked = norm.select("doc_id", "t", "pos", F.split("norm", " ", -1).alias("words"), F.xxhash64("norm").alias("h"), chars)
     each = marked.select("doc_id", "t", "pos", "h", "chars", F.explode("words").alias("w"))
     each = each.select("doc_id", "t", "pos", "h", "chars", F.xxhash64("w").alias("wh"))
     sums = each.groupBy("doc_id", "t", "pos", "h", "chars").agg(F.count("*").alias("n"), *_lanes(F.col("wh")))
-    return sums.select("doc_id", "t", "pos", "h", _majority(F.col("n")).alias("sim"), "chars")
+    # short lines go here, as a filter ahead of the words would cut every line into words twice
+    return sums.where(F.col("n") >= cfg.min_words).select("doc_id", "t", "pos", "h", _majority(F.col("n")).alias("sim"), "chars")
 
 
 def _keys() -> Column:
@@ -111,7 +122,7 @@ def _fetch(docs: DataFrame, occurrences: DataFrame, wanted: DataFrame) -> DataFr
     of = one.withColumnsRenamed({"doc_id": "_d", "t": "_t"})
     met = texts.join(of, (F.col("t") == F.col("_t")) & F.col("doc_id").eqNullSafe(F.col("_d")))
     line = F.get(F.split("text", "\n", -1), F.col("pos"))
-    return materialize(met.select("h", F.array_join(words_of(line), " ").alias("line")).distinct(), "lines")
+    return materialize(met.select("h", normal(line).alias("line")).distinct(), "lines")
 
 
 def _verified(pairs: DataFrame, lines: DataFrame, cfg: LineConfig) -> DataFrame:
@@ -119,9 +130,18 @@ def _verified(pairs: DataFrame, lines: DataFrame, cfg: LineConfig) -> DataFrame:
     both = pairs.join(lines.select(F.col("h").alias("a"), F.col("line").alias("x")), "a")
     both = both.join(lines.select(F.col("h").alias("b"), F.col("line").alias("y")), "b")
     most = F.greatest(F.length("x"), F.length("y"))
-    # as many edits as the similarity allows; -1 stands for more
+    # as many edits as the similarity allows; -1 stands for more. Copies have few, and few are found fast
     allowed = F.floor((1 - F.lit(cfg.similarity)) * most + 1e-9).cast("int")
-    return both.where(F.call_function("levenshtein", F.col("x"), F.col("y"), allowed) >= 0).select("a", "b")
+    within = lambda n: F.call_function("levenshtein", F.col("x"), F.col("y"), n) >= 0
+    return both.where(within(F.least(allowed, F.lit(FEW))) | ((allowed > FEW) & within(allowed))).select("a", "b")
+
+
+def _apart(pairs: DataFrame, linked: DataFrame) -> DataFrame:
+    """The pairs whose ends the links do not connect."""
+    of = materialize(connected_components(linked), "groups")
+    side = lambda c: of.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}"))
+    both = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
+    return both.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
 
 
 def line_links(docs: DataFrame, occurrences: DataFrame, cfg: LineConfig = LineConfig()) -> DataFrame:
@@ -139,12 +159,19 @@ def line_links(docs: DataFrame, occurrences: DataFrame, cfg: LineConfig = LineCo
     near = star.join(unique, "h").alias("x").join(heads.alias("y"), "first").where(_near("x", "y", cfg))
     near = materialize(near.select(F.col("first").alias("a"), F.col("h").alias("b")), "near")
     lines = _fetch(docs, occurrences, near.select(F.explode(F.array("a", "b")).alias("h")).distinct())
-    linked = materialize(_verified(near, lines, cfg), "linked")
-    # the others with the rest of their group
+    # one first line for each line, then the others as far as they would connect more
+    one = near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    linked = materialize(_verified(one, lines, cfg), "linked")
+    more = _apart(near.join(one, ["a", "b"], "left_anti"), linked)
+    linked = materialize(linked.unionByName(_verified(more, lines, cfg)), "linked")
+    # the others with the rest of their group, as far as the stars have not connected them already
+    groups = materialize(connected_components(linked), "groups").withColumnRenamed("node", "h")
+    large = members.where("n > 2").join(groups, "h", "left").withColumn("group", F.coalesce("component", "h"))
+    large = materialize(large.select("key", "first", "h", "sim", "chars", "group"), "members")
     tied = linked.select(F.col("a").alias("first"), F.col("b").alias("h"))
-    loose = members.where("n > 2").join(tied, ["first", "h"], "left_anti").alias("x")
-    rest = loose.join(members.where("n > 2").alias("y"), F.col("x.key") == F.col("y.key"))
-    rest = rest.where((F.col("x.h") != F.col("y.h")) & _near("x", "y", cfg))
+    loose = large.join(tied, ["first", "h"], "left_anti").alias("x")
+    rest = loose.join(large.alias("y"), F.col("x.key") == F.col("y.key"))
+    rest = rest.where((F.col("x.group") != F.col("y.group")) & _near("x", "y", cfg))
     pairs = rest.select(F.least("x.h", "y.h").alias("a"), F.greatest("x.h", "y.h").alias("b")).distinct()
     pairs = materialize(pairs, "near")
     missing = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct().join(lines, "h", "left_anti")

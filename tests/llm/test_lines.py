@@ -12,7 +12,7 @@ CFG = X.LineConfig()
 
 
 def words(line):
-    return [w for w in regex.split(r"[^\p{L}\p{N}]+", line.lower()) if w]
+    return [w for w in regex.split(r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", line.lower()) if w]
 
 
 def simhash(ws):
