@@ -43,9 +43,12 @@ def production(spark: SparkSession, cfg: JobConfig, now: datetime, reference_dat
     sizes = cfg.tick_sizes(spark)
     store = Store(cfg.store)
     quotes = cfg.load_quotes(spark)
+    reasons: dict[str, str] = {}
     status = run_production(
-        quotes, cfg.symbols, sizes, reference_date, cfg.features, cfg.train, store, now, cfg.parallel_fits
+        quotes, cfg.symbols, sizes, reference_date, cfg.features, cfg.train, store, now, cfg.parallel_fits, reasons
     ).first()
+    for symbol, why in sorted(reasons.items()):
+        print(f"failed: {symbol}: {why}")
     print(f"trained {status['trained']} of {status['symbols']} symbols, published {status['published']}")
     return status["exit_code"]
 

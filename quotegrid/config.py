@@ -108,6 +108,8 @@ class TrainConfig:
     feature_fraction: float = 0.8
     max_bins: int = 255
     seed: int = 42
+    # Fixed value: trees without a lower validation error after which a fit looks no further.
+    patience: int = 50
 
     def tree_params(self) -> dict[str, str]:
         names = ("max_iter", "max_depth", "step_size", "min_instances", "feature_fraction", "max_bins", "seed")

@@ -15,7 +15,7 @@ from quotegrid.config import (
     TrainConfig,
 )
 from quotegrid.sources.assets import read_assets, tick_sizes
-from quotegrid.sources.quotes import list_quote_files, read_quote_files, resolve_sources
+from quotegrid.sources.quotes import QuoteFiles
 
 
 def _make(cls, values: dict | None, **more):
@@ -66,18 +66,13 @@ class JobConfig:
     def tick_sizes(self, spark: SparkSession) -> DataFrame:
         return tick_sizes(read_assets(spark, self.assets), self.instrument_type)
 
-    def load_quotes(self, spark: SparkSession) -> DataFrame:
-        """The quote table, or the best file of every symbol-day below the roots."""
+    def load_quotes(self, spark: SparkSession) -> DataFrame | QuoteFiles:
+        """The quote table, or the best file of every symbol-day below the roots, opened as days are asked for."""
         if self.quotes:
             return spark.read.parquet(self.quotes)
         if not self.quote_files:
             raise ValueError("set quotes or quote_files")
-        best = resolve_sources(list_quote_files(spark, self.quote_files))
-        # A list of file names is what a scan needs in the driver anyway.
-        paths = [r["path"] for r in best.select("path").orderBy("path").collect()]
-        if not paths:
-            raise FileNotFoundError(f"no quote files below {sorted(self.quote_files.values())}")
-        return read_quote_files(spark, paths)
+        return QuoteFiles(spark, self.quote_files)
 
 
 def load_config(path: str) -> JobConfig:

@@ -96,7 +96,10 @@ def labelled(rows: DataFrame, label: str) -> DataFrame:
 def fit_model(
     symbol: str, train: DataFrame, val: DataFrame, features: Sequence[str], label: str, cfg: TrainConfig
 ) -> VolatilityModel:
-    """Fit one symbol on ``train``, stopping early on ``val``; rows hold that symbol only."""
+    """Fit one symbol on ``train``, cut where ``val`` is predicted best; rows hold that symbol only.
+
+    All ``max_iter`` trees are grown, as Spark's own early stopping ends at the first tree that brings little.
+    """
     features = [c for c in features if c in train.columns]
     if cfg.downsample_ns:
         train, val = downsample_last(train, cfg.downsample_ns), downsample_last(val, cfg.downsample_ns)
@@ -104,15 +107,12 @@ def fit_model(
     if train.isEmpty() or val.isEmpty():
         raise ValueError(f"{symbol}: train or validation data is empty")
     tables = collect_quantiles(exact_quantiles(train, ["symbol"], label, count=cfg.quantiles), "symbol")
-    rows = train.withColumn("held_out", F.lit(False)).unionByName(val.withColumn("held_out", F.lit(True)))
-    rows = assemble(rows, features).select(
-        "features", "held_out", to_normal(tables, F.lit(symbol), F.col(label)).alias("z")
-    )
+    z = to_normal(tables, F.lit(symbol), F.col(label)).alias("z")
+    rows, held = (assemble(df, features).select("features", z) for df in (train, val))
     trees = GBTRegressor(
         featuresCol="features",
         labelCol="z",
         lossType="squared",
-        validationIndicatorCol="held_out",
         maxIter=cfg.max_iter,
         maxDepth=cfg.max_depth,
         stepSize=cfg.step_size,
@@ -122,7 +122,34 @@ def fit_model(
         maxBins=cfg.max_bins,
         seed=cfg.seed,
     ).fit(rows)
-    return VolatilityModel(symbol, trees, tables[symbol], features)
+    best = best_iteration(trees.evaluateEachIteration(held, "squared"), cfg.patience)
+    return VolatilityModel(symbol, first_trees(trees, best), tables[symbol], features)
+
+
+def best_iteration(errors: Sequence[float], patience: int) -> int:
+    """Trees up to the lowest validation error, looking no further once ``patience`` trees brought none lower."""
+    best = 0
+    for k, error in enumerate(errors):
+        if error < errors[best]:
+            best = k
+        elif k - best >= patience:
+            break
+    return best + 1
+
+
+def first_trees(model: GBTRegressionModel, n: int) -> GBTRegressionModel:
+    """The model of the first ``n`` trees."""
+    old = model._java_obj
+    if n >= len(old.trees()):
+        return model
+    jvm, sc = SparkSession.active()._jvm, SparkSession.active().sparkContext
+    trees = sc._gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, n)
+    weights = sc._gateway.new_array(jvm.double, n)
+    for k in range(n):
+        trees[k], weights[k] = old.trees()[k], old.treeWeights()[k]
+    cut = jvm.org.apache.spark.ml.regression.GBTRegressionModel(old.uid(), trees, weights, old.numFeatures())
+    old.copyValues(cut, old.extractParamMap())
+    return GBTRegressionModel(cut)
 
 
 def fit_symbols(

@@ -21,7 +21,7 @@ from quotegrid.operators.quantiles import from_normal_array
 # All features are at least -1 where present, and volatilities and ratios at least 0.
 MISSING = -2.0
 # Models one worker keeps; others are read again when they are met.
-KEEP = 64
+KEEP = 512
 ROWS_AT_ONCE = 1024
 
 
@@ -70,26 +70,27 @@ class TreeArrays:
 
 
 class ModelCache:
-    """Models by path. A path published again is read anew; if that fails the symbol's last model stays."""
+    """The newest model of each symbol. A path published again is read anew.
+
+    If that fails the symbol's model so far is used, and the new one is tried again at the next rows. At most
+    ``KEEP`` models are kept; others are read when they are met.
+    """
 
     def __init__(self):
-        self.models: OrderedDict[str, tuple[object, TreeArrays | None]] = OrderedDict()
-        self.last: dict[str, TreeArrays] = {}
+        self.models: OrderedDict[str, tuple[str, object, TreeArrays]] = OrderedDict()
 
     def get(self, symbol: str, path: str, version) -> TreeArrays | None:
-        known = self.models.get(path)
-        if known is None or known[0] != version:
+        known = self.models.get(symbol)
+        if known is None or known[:2] != (path, version):
             try:
-                model = TreeArrays(path)
+                self.models[symbol] = known = (path, version, TreeArrays(path))
             except Exception:
-                model = self.last.get(symbol)
-            self.models[path] = known = (version, model)
-        self.models.move_to_end(path)
+                if known is None:
+                    return None
+        self.models.move_to_end(symbol)
         while len(self.models) > KEEP:
             self.models.popitem(last=False)
-        if known[1] is not None:
-            self.last[symbol] = known[1]
-        return known[1]
+        return known[2]
 
 
 _CACHE = ModelCache()

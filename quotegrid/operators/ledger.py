@@ -10,17 +10,22 @@ LEDGER_SCHEMA = "symbol string, date date, rows bigint, verified_at timestamp"
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """The ledger table; a missing or unreadable one is empty."""
+    """The ledger table; a missing one, and each unreadable file of it, is empty."""
     try:
-        ledger = spark.read.parquet(path)
-        return ledger.select("symbol", "date", "rows", "verified_at")
+        return spark.read.schema(LEDGER_SCHEMA).option("ignoreCorruptFiles", True).parquet(path)
     except AnalysisException:
         return spark.createDataFrame([], LEDGER_SCHEMA)
 
 
+def newest(ledger: DataFrame) -> DataFrame:
+    """The rows recorded last for each partition."""
+    return ledger.groupBy("symbol", "date").agg(F.max_by("rows", "verified_at").alias("recorded_rows"))
+
+
 def append_ledger(ledger: DataFrame, stats: DataFrame, verified_at: Column) -> DataFrame:
-    """New ledger rows: non-empty partitions that are not recorded yet."""
-    fresh = stats.where("rows > 0").join(ledger.select("symbol", "date").distinct(), ["symbol", "date"], "left_anti")
+    """New ledger rows: non-empty partitions that are not recorded with this count; the newest row holds."""
+    known = newest(ledger).select("symbol", "date", F.col("recorded_rows").alias("rows"))
+    fresh = stats.where("rows > 0").join(known, ["symbol", "date", "rows"], "left_anti")
     return fresh.select("symbol", "date", "rows", verified_at.cast("timestamp").alias("verified_at"))
 
 
@@ -29,7 +34,7 @@ def classify_tasks(tasks: DataFrame, ledger: DataFrame, stats: DataFrame) -> Dat
 
     A partition with fewer rows than were recorded has lost files and is built again.
     """
-    recorded = ledger.groupBy("symbol", "date").agg(F.max_by("rows", "verified_at").alias("recorded_rows"))
+    recorded = newest(ledger)
     present = stats.select("symbol", "date", F.col("rows").alias("present_rows"))
     joined = tasks.join(recorded, ["symbol", "date"], "left").join(present, ["symbol", "date"], "left")
     action = (

@@ -13,11 +13,14 @@ NAN = float("nan")
 
 
 def qlike_term(y: Column, yhat: Column) -> Column:
-    """``r - ln r - 1`` for ``r = y / yhat`` with the limits of IEEE arithmetic written out."""
+    """``r - ln r - 1`` for ``r = y / yhat`` with the limits of IEEE arithmetic written out.
+
+    A ratio of 0, from a zero value or an infinite forecast, gives infinity.
+    """
     r = F.try_divide(y, yhat)
     return (
         F.when(yhat == 0, F.lit(NAN))
-        .when(y == 0, F.lit(float("inf")))
+        .when(r == 0, F.lit(float("inf")))
         .when(r < 0, F.lit(NAN))
         .otherwise(r - F.ln(r) - 1)
     )

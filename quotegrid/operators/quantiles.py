@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from math import erfc
 from statistics import NormalDist
 
 import numpy as np
@@ -118,6 +119,42 @@ def collect_quantiles(table: DataFrame, key: str) -> dict[str, np.ndarray]:
     return {r[0]: np.asarray(r[1], dtype=float) for r in rows}
 
 
+# Coefficients of algorithm AS 241 (Wichura 1988) for the normal quantile,
+# highest power first, numerator then denominator: the centre, the tails, the far tails.
+AS241 = (
+    (
+        (2509.0809287301226727, 33430.575583588128105, 67265.770927008700853, 45921.953931549871457,
+         13731.693765509461125, 1971.5909503065514427, 133.14166789178437745, 3.3871328727963666080),
+        (5226.4952788528545610, 28729.085735721942674, 39307.895800092710610, 21213.794301586595867,
+         5394.1960214247511077, 687.18700749205790830, 42.313330701600911252, 1.0),
+    ),
+    (
+        (7.7454501427834140764e-4, 2.27238449892691845833e-2, 2.41780725177450611770e-1, 1.27045825245236838258,
+         3.64784832476320460504, 5.76949722146069140550, 4.63033784615654529590, 1.42343711074968357734),
+        (1.05075007164441684324e-9, 5.47593808499534494600e-4, 1.51986665636164571966e-2, 1.48103976427480074590e-1,
+         6.89767334985100004550e-1, 1.67638483018380384940, 2.05319162663775882187, 1.0),
+    ),
+    (
+        (2.01033439929228813265e-7, 2.71155556874348757815e-5, 1.24266094738807843860e-3, 2.65321895265761230930e-2,
+         2.96560571828504891230e-1, 1.78482653991729133580, 5.46378491116411436990, 6.65790464350110377720),
+        (2.04426310338993978564e-15, 1.42151175831644588870e-7, 1.84631831751005468180e-5, 7.86869131145613259100e-4,
+         1.48753612908506148525e-2, 1.36929880922735805310e-1, 5.99832206555887937690e-1, 1.0),
+    ),
+)
+
+
+def normal_quantile(p: np.ndarray) -> np.ndarray:
+    """Inverse of the normal distribution function; infinite at 0 and 1."""
+    q = p - 0.5
+    with np.errstate(divide="ignore", invalid="ignore"):
+        r = np.sqrt(-np.log(np.minimum(p, 1 - p)))
+        c = 0.180625 - q * q
+        ratio = lambda k, x: np.polyval(AS241[k][0], x) / np.polyval(AS241[k][1], x)
+        tail = np.where(r <= 5.0, ratio(1, r - 1.6), ratio(2, r - 5.0))
+        z = np.where(np.abs(q) <= 0.425, q * ratio(0, c), np.copysign(tail, q))
+    return np.where(p <= 0.0, -np.inf, np.where(p >= 1.0, np.inf, z))
+
+
 def _uniform(x: np.ndarray, q: np.ndarray) -> np.ndarray:
     """Rank in [0, 1]; a value equal to several quantiles takes the middle of their ranks."""
     r = np.linspace(0.0, 1.0, len(q))
@@ -135,14 +172,11 @@ def to_normal_array(x: np.ndarray, q: np.ndarray) -> np.ndarray:
     u = _uniform(x, q)
     u[x + EDGE > q[-1]] = 1.0
     u[x - EDGE < q[0]] = 0.0
-    inv = NormalDist().inv_cdf
-    z = np.array([inv(v) if 0.0 < v < 1.0 else (-math.inf if v <= 0.0 else math.inf) for v in u], dtype=float)
-    return np.clip(z, -NORMAL_LIMIT, NORMAL_LIMIT)
+    return np.clip(normal_quantile(u), -NORMAL_LIMIT, NORMAL_LIMIT)
 
 
 def from_normal_array(z: np.ndarray, q: np.ndarray) -> np.ndarray:
-    cdf = NormalDist().cdf
-    u = np.array([cdf(v) for v in z], dtype=float)
+    u = np.array([0.5 * erfc(v) for v in (z * -math.sqrt(0.5)).tolist()], dtype=float)
     x = np.interp(u, np.linspace(0.0, 1.0, len(q)), q)
     x[u + EDGE > 1] = q[-1]
     x[u - EDGE < 0] = q[0]

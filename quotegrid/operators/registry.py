@@ -12,7 +12,7 @@ REGISTRY_SCHEMA = "symbol string, model_date date, path string, updated_at times
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
     try:
-        return spark.read.schema(REGISTRY_SCHEMA).parquet(path)
+        return spark.read.schema(REGISTRY_SCHEMA).option("ignoreCorruptFiles", True).parquet(path)
     except AnalysisException:
         return spark.createDataFrame([], REGISTRY_SCHEMA)
 

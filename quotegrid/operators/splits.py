@@ -71,6 +71,12 @@ def walk_forward_splits(spans: DataFrame, train_days: int, val_days: int, test_d
     return _explode_roles(windows.withColumn("roles", roles)).drop("first_day", "last_day")
 
 
+def missing_days(splits: DataFrame, present: DataFrame) -> DataFrame:
+    """``symbol, window_id, days``: the days that keep a window from being complete."""
+    absent = splits.join(present.select("symbol", "date").distinct(), ["symbol", "date"], "left_anti")
+    return absent.groupBy("symbol", "window_id").agg(F.array_sort(F.collect_set("date")).alias("days"))
+
+
 def complete_windows(splits: DataFrame, present: DataFrame) -> DataFrame:
     """Splits of the windows of which every day is present; one missing day fails the window."""
     have = present.select("symbol", "date").distinct().withColumn("have", F.lit(True))

@@ -61,13 +61,28 @@ class Store:
             return None
 
     def stats(self, spark: SparkSession, name: str, only: DataFrame | None = None) -> DataFrame:
-        """Readable rows of each stored symbol-day; ``only`` prunes the scan to its symbol-days."""
+        """Rows of each stored symbol-day; ``only`` prunes the scan to its symbol-days.
+
+        A symbol-day with a file that cannot be read counts as empty: what is left of it is not the day.
+        """
         table = self.read(spark, name, skip_corrupt=True)
         if table is None:
             return spark.createDataFrame([], "symbol string, date date, rows bigint")
-        if only is not None:
-            table = table.join(small_side(only.select("symbol", "date").distinct()), ["symbol", "date"], "left_semi")
-        return table.groupBy("symbol", "date").agg(F.count(F.lit(1)).alias("rows"))
+        days = None if only is None else small_side(only.select("symbol", "date").distinct())
+        files = self.files(spark, name, days).groupBy("symbol", "date").agg(F.count("*").alias("stored"))
+        rows = table.select("symbol", "date", F.col("_metadata.file_name").alias("file"))
+        if days is not None:
+            rows = rows.join(days, ["symbol", "date"], "left_semi")
+        read = rows.groupBy("symbol", "date", "file").agg(F.count("*").alias("n"))
+        read = read.groupBy("symbol", "date").agg(F.sum("n").alias("n"), F.count("*").alias("readable"))
+        whole = F.when(F.col("readable") == F.col("stored"), F.col("n"))
+        return files.join(read, ["symbol", "date"], "left").select("symbol", "date", F.coalesce(whole, F.lit(0)).alias("rows"))
+
+    def files(self, spark: SparkSession, name: str, days: DataFrame | None = None) -> DataFrame:
+        """``symbol, date, file`` of the stored files, from the listing alone."""
+        listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(self.path(name))
+        listed = listed.select("symbol", F.col("date").cast("date").alias("date"), F.element_at(F.split("path", "/"), -1).alias("file"))
+        return listed if days is None else listed.join(days, ["symbol", "date"], "left_semi")
 
     def ledger(self, spark: SparkSession, name: str) -> DataFrame:
         return lg.read_ledger(spark, self.path(name))
@@ -104,7 +119,8 @@ def build_features(
 
     ``tasks`` holds ``symbol, date``. Recorded and whole partitions are skipped,
     unrecorded ones are counted and recorded, missing or broken ones are built. A task
-    fails if a raw day, its tick size or every row is missing.
+    fails if a raw day, its tick size or every row is missing. What an earlier run left of a
+    failed partition stays on disk, but is not the day: the task is returned as failed.
 
     A long backfill runs as one job per span of days, as wide as the cluster, and
     each is recorded when it is done: a broken run goes on where it stopped.
@@ -116,21 +132,32 @@ def build_features(
     if not found.isEmpty():
         store.record(spark, "feature_ledger", store.stats(spark, "features", found), now)
     pending = plan.where("action = 'build'").select("symbol", F.col("date").alias("feature_date"))
+    wanted = pending.withColumnRenamed("feature_date", "date")
+    there = store.read(spark, "features") is not None
+    old = materialize(store.files(spark, "features", small_side(wanted))) if there else None
     for first, last in day_batches(pending, cfg, blocks_per_task):
         batch = pending.where(F.col("feature_date").between(first, last))
-        raw = quotes_for(quotes, batch, cfg.grid)
-        lacking = lg.failed_tasks(batch, raw.select("symbol", "date").distinct(), cfg.grid.use_prev_day)
+        raw, days = quotes_for(quotes, batch, cfg.grid)
+        lacking = lg.failed_tasks(batch, days, cfg.grid.use_prev_day)
         ready = batch.join(lacking, ["symbol", "feature_date"], "left_anti").join(small_side(sizes), "symbol")
         ready = materialize(ready.select("symbol", "feature_date", "tick_size"))
         rows = feature_matrix(raw, ready, cfg, prune=True).withColumnRenamed("feature_date", "date")
         write_by_symbol_day(rows, store.path("features"), "timestamp")
-        built = ready.select("symbol", F.col("feature_date").alias("date"))
+        built = _written(store, spark, ready.select("symbol", F.col("feature_date").alias("date")), old)
         store.record(spark, "feature_ledger", store.stats(spark, "features", built), now)
-    wanted = pending.withColumnRenamed("feature_date", "date")
-    present = store.stats(spark, "features", wanted).select("symbol", F.col("date").alias("feature_date"))
+    present = _written(store, spark, wanted, old).withColumnRenamed("date", "feature_date")
     return materialize(pending.join(present, ["symbol", "feature_date"], "left_anti"))
 
 
+def _written(store: Store, spark: SparkSession, days: DataFrame, old: DataFrame | None) -> DataFrame:
+    """Those of the days that have a file which was not there before."""
+    if store.read(spark, "features") is None:
+        return days.where(F.lit(False))
+    now = store.files(spark, "features", small_side(days))
+    new = now if old is None else now.join(old, ["symbol", "date", "file"], "left_anti")
+    return materialize(new.select("symbol", "date").distinct())
+
+
 def _write_day(df: DataFrame, path: str) -> None:
     (
         df.write.mode("overwrite")
@@ -183,13 +210,15 @@ def run_walk_forward(
 ) -> dict[str, str]:
     """Fit and score every complete, unrecorded window of ``spans`` (symbol, first_day, last_day).
 
-    Returns the failures by symbol and window. Windows are few (days over
-    ``test_days``); each is a set of distributed fits, one per symbol.
+    Returns the failures by symbol and window, a window with missing days among them. Windows are
+    few (days over ``test_days``); each is a set of distributed fits, one per symbol.
     """
     spark = spans.sparkSession
     table = spark.read.parquet(store.path("features"))
     splits = sp.walk_forward_splits(spans, cfg.train_days, cfg.val_days, cfg.test_days)
-    ready = sp.complete_windows(splits, store.stats(spark, "features"))
+    splits = materialize(splits)
+    stored = materialize(store.stats(spark, "features", splits).where("rows > 0"))
+    ready = sp.complete_windows(splits, stored)
     recorded = store.ledger(spark, "result_ledger").select("symbol", "date").distinct()
     todo = (
         ready.where("role = 'test'")
@@ -198,7 +227,10 @@ def run_walk_forward(
         .agg(F.min("date").alias("first_test"))
     )
     ready = materialize(ready)
-    failures: dict[str, str] = {}
+    failures = {
+        f"{r['symbol']}/{r['window_id']}": "missing feature days: " + ", ".join(map(str, r["days"]))
+        for r in sp.missing_days(splits, stored).collect()
+    }
     by_window: dict[int, list[str]] = {}
     for r in todo.collect():
         by_window.setdefault(r["window_id"], []).append(r["symbol"])
@@ -231,12 +263,14 @@ def run_production(
     store: Store,
     now: datetime,
     parallel: int = 4,
+    reasons: dict[str, str] | None = None,
 ) -> DataFrame:
     """The daily run: prepare features, fit all symbols, publish, report.
 
     The model date is the day before ``reference_date``. Symbols whose features
     could not be prepared are skipped. A model is published by its registry row,
-    written only after the stored model was verified. Returns the exit code row.
+    written only after the stored model was verified. Returns the exit code row;
+    ``reasons`` is filled with why symbols failed.
     """
     spark = quotes.sparkSession
     refs = spark.createDataFrame([(s, reference_date) for s in symbols], "symbol string, reference_date date")
@@ -255,10 +289,13 @@ def run_production(
         return save_results(model, val, fcfg.label_column, cfg, store, "production_", model_date)
 
     good = [s for s in symbols if s not in bad]
-    trained, _ = fit_symbols(rows, good, fcfg.feature_columns, fcfg.label_column, cfg, each, parallel)
+    trained, unfit = fit_symbols(rows, good, fcfg.feature_columns, fcfg.label_column, cfg, each, parallel)
     published = {s: p for s, p in trained.items() if verify_model(p)}
     if published:
         entries = [(s, model_date, p, now) for s, p in sorted(published.items())]
         rg.register(spark.createDataFrame(entries, rg.REGISTRY_SCHEMA), store.path("registry"))
+    if reasons is not None:
+        reasons |= {s: "features could not be prepared" for s in bad} | unfit
+        reasons |= {s: "the stored model does not load" for s in trained if s not in published}
     outcomes = [(s, s in published, s in published) for s in symbols]
     return lg.job_status(spark.createDataFrame(outcomes, "symbol string, trained boolean, published boolean"))

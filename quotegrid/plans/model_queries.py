@@ -39,6 +39,7 @@ def first_feature_span(spark, sf):
 def window_rows(spark, sf):
     """Feature rows with their role in the window, written once since every fit reads them."""
     split = sp.walk_forward_splits(first_feature_span(spark, sf), WINDOW.train_days, WINDOW.val_days, WINDOW.test_days)
+    split = split.where("window_id = 0")  # later windows would give a day several roles
     f = features(spark, sf)
     days = split.select("symbol", F.col("date").alias("feature_date"), "role")
     return materialize(f.join(days, ["symbol", "feature_date"]))

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quotegrid.config import GridConfig
 from quotegrid.functions.time import day_of_ns, div
-from quotegrid.session import small_side
+from quotegrid.session import materialize, small_side
 
 QUOTE_CSV_SCHEMA = T.StructType(
     [
@@ -34,8 +35,11 @@ WRITE_SLICE_NS = 4 * 3_600_000_000_000
 
 
 def read_quote_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Scan quote CSV files (plain, gzip or zstd); microseconds become nanoseconds."""
-    raw = spark.read.schema(QUOTE_CSV_SCHEMA).option("header", True).csv(paths)
+    """Scan quote CSV files (plain, gzip or zstd); microseconds become nanoseconds.
+
+    A file whose header names other columns, or in another order, is an error and never bound by position.
+    """
+    raw = spark.read.schema(QUOTE_CSV_SCHEMA).option("header", True).option("enforceSchema", False).csv(paths)
     return raw.select(
         "exchange",
         "symbol",
@@ -57,15 +61,26 @@ def source_priority(root: Column, extension: Column) -> Column:
 
 
 def list_quote_files(spark: SparkSession, roots: dict[str, str]) -> DataFrame:
-    """Manifest ``symbol, date, priority, path`` of the quote files below each root."""
-    parts = []
+    """Manifest ``symbol, date, priority, path`` of the quote files below each root.
+
+    A root that does not exist has no files; a root of another name is an error.
+    """
+    known = {name for name, _ in SOURCE_ORDER}
+    if unknown := set(roots) - known:
+        raise ValueError(f"unknown quote roots {sorted(unknown)}; known are {sorted(known)}")
+    parts = [spark.createDataFrame([], "path string, root string")]
     for name, path in roots.items():
-        files = (
-            spark.read.format("binaryFile")
-            .option("recursiveFileLookup", True)
-            .option("pathGlobFilter", "*_book_ticker_*")
-            .load(path)
-        )
+        try:
+            files = (
+                spark.read.format("binaryFile")
+                .option("recursiveFileLookup", True)
+                .option("pathGlobFilter", "*_book_ticker_*")
+                .load(path)
+            )
+        except AnalysisException as exc:
+            if exc.getCondition() != "PATH_NOT_FOUND":
+                raise
+            continue
         parts.append(files.select("path", F.lit(name).alias("root")))
     listing = parts[0]
     for p in parts[1:]:
@@ -85,6 +100,28 @@ def resolve_sources(manifest: DataFrame) -> DataFrame:
     return manifest.groupBy("symbol", "date").agg(best).select("symbol", "date", "best.priority", "best.path")
 
 
+class QuoteFiles:
+    """Quote files below some roots; a job opens those of the raw days it needs.
+
+    The listing is read once and kept as a small table.
+    """
+
+    def __init__(self, spark: SparkSession, roots: dict[str, str]):
+        self.spark = spark
+        self.best = materialize(resolve_sources(list_quote_files(spark, roots)), "quote-files")
+        if self.best.isEmpty():
+            raise FileNotFoundError(f"no quote files below {sorted(roots.values())}")
+
+    def for_days(self, raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Quotes of the ``(symbol, date)`` days, and which of the days have a file."""
+        have = materialize(self.best.join(raw, ["symbol", "date"], "left_semi"), "quote-files")
+        # file names of the asked days only; a scan needs them in the driver anyway
+        paths = [r["path"] for r in have.select("path").orderBy("path").collect()]
+        if not paths:
+            return self.spark.createDataFrame([], read_quote_files(self.spark, [self.best.first()["path"]]).schema), have
+        return read_quote_files(self.spark, paths), have
+
+
 def missing_partitions(required: DataFrame, present: DataFrame) -> DataFrame:
     return required.join(present.select("symbol", "date").distinct(), ["symbol", "date"], "left_anti")
 
@@ -99,12 +136,20 @@ def serve_feature_days(quotes: DataFrame, grid: GridConfig) -> DataFrame:
     return with_day(quotes, grid).withColumn("feature_date", F.explode(days))
 
 
-def quotes_for(quotes: DataFrame, tasks: DataFrame, grid: GridConfig) -> DataFrame:
-    """Quotes of the raw days that the ``(symbol, feature_date)`` tasks need."""
+def quotes_for(quotes: DataFrame | QuoteFiles, tasks: DataFrame, grid: GridConfig) -> tuple[DataFrame, DataFrame]:
+    """Quotes of the raw days that the ``(symbol, feature_date)`` tasks need, and the days that are there.
+
+    Of quote files only those days' files are opened, and the listing tells which days are there. A quote
+    table should have a ``date`` column it is partitioned by, or it is scanned as a whole.
+    """
     days = [F.col("feature_date"), F.date_sub("feature_date", 1)] if grid.use_prev_day else [F.col("feature_date")]
     raw = tasks.select("symbol", F.explode(F.array(*days)).alias("date")).distinct()
+    if isinstance(quotes, QuoteFiles):
+        rows, have = quotes.for_days(raw)
+        return with_day(rows, grid).join(small_side(raw), ["symbol", "date"], "left_semi"), have.select("symbol", "date")
     dated = quotes if "date" in quotes.columns else with_day(quotes, grid)
-    return dated.join(small_side(raw), ["symbol", "date"], "left_semi")
+    rows = dated.join(small_side(raw), ["symbol", "date"], "left_semi")
+    return rows, rows.select("symbol", "date").distinct()
 
 
 def write_by_symbol_day(df: DataFrame, path: str, time_col: str, mode: str = "overwrite", date_col: str = "date") -> None:

@@ -36,9 +36,9 @@ def vendor_day_scan(vendor: DataFrame) -> DataFrame:
 
 
 def _number(vendor: DataFrame, name: str) -> Column:
-    """A numeric column read from text: bad text is null, an absent column is NaN."""
+    """A numeric column read from text; bad text and an absent column are null."""
     if name not in vendor.columns:
-        return F.lit(float("nan"))
+        return F.lit(None).cast("double")
     return F.col(name).try_cast("double")
 
 

@@ -66,11 +66,16 @@ def parse(df: DataFrame, event: str, value: str = "value") -> DataFrame:
     return df.where(F.col("route") == event).select(F.from_json(value, EVENT_SCHEMAS[event]).alias("m")).select("m.*")
 
 
+# Microseconds from the year 2000 to the year 2200; seconds, milliseconds and nanoseconds lie outside.
+PLAUSIBLE_US = (946_684_800_000_000, 7_258_118_400_000_000)
+
+
 def live_messages(df: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """The two events the live features use, tagged by ``route``; all else is skipped.
 
     Numbers may come as JSON numbers or as text. Quotes without id, time or price
-    and sizes that are not positive are skipped like broken JSON.
+    and sizes that are not positive are skipped like broken JSON, and so are infinite values and
+    times outside ``PLAUSIBLE_US``: one of them would move the watermark for all symbols.
     """
     m = F.col("_m")
     is_size = F.col("route") == SYMBOL
@@ -95,10 +100,11 @@ def live_messages(df: DataFrame, value: str = "value", keep: tuple[str, ...] = (
             "tick_size": F.when(is_size, F.col("tick_size")),
         }
     )
-    quote_ok = F.col("update_id").isNotNull() & F.col("time_us").isNotNull()
+    finite = lambda c: F.coalesce(F.abs(c) < float("inf"), F.lit(False))
+    quote_ok = F.col("update_id").isNotNull() & F.coalesce(F.col("time_us").between(*PLAUSIBLE_US), F.lit(False))
     for price in ("bid_price", "ask_price"):
-        quote_ok = quote_ok & F.col(price).isNotNull() & ~F.isnan(price)
-    size_ok = F.coalesce((F.col("tick_size") > 0) & ~F.isnan("tick_size"), F.lit(False))
+        quote_ok = quote_ok & finite(price)
+    size_ok = F.coalesce(F.col("tick_size") > 0, F.lit(False)) & finite("tick_size")
     ok = F.when(F.col("route") == SYMBOL, size_ok).otherwise(quote_ok)
     return rows.where(F.col("symbol").isNotNull() & ok)
 

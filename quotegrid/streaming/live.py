@@ -235,7 +235,9 @@ def live_features(
         .withColumn("cell", cell)
         .withColumn("event_time", F.when(F.col("route") != SYMBOL, F.timestamp_micros("time_us")))
         .withWatermark("event_time", delay)
-        .select("symbol", "cell", "update_id", "bid_price", "ask_price", "tick_size", "event_time")
+        # The watermark only drives the timers: without the time column no late row is dropped,
+        # and a late quote with a newer id serves the next instant.
+        .select("symbol", "cell", "update_id", "bid_price", "ask_price", "tick_size")
     )
     reduced = rows.mapInPandas(_newest_per_cell, rows.schema)
     vols = ", ".join(f"v{i} double" for i in range(len(cfg.vol_windows)))

@@ -89,7 +89,7 @@ def test_broken_partition_is_built_again(spark, quotes, sizes, tmp_path):
     before = {r.date: r.rows for r in s.stats(spark, "features").collect()}
     for f in (tmp_path / "features" / "symbol=a" / f"date={day(3)}").glob("*.parquet"):
         f.write_bytes(b"broken")
-    assert {r.date for r in s.stats(spark, "features").collect()} == {day(2)}
+    assert {r.date for r in s.stats(spark, "features").where("rows > 0").collect()} == {day(2)}
     assert build_features(quotes, tasks(spark, ["a"], [2, 3]), sizes, FEATURES, s, NOW).count() == 0
     assert {r.date: r.rows for r in s.stats(spark, "features").collect()} == before
 

@@ -52,7 +52,7 @@ def test_vendor_rows_without_optional_columns(spark):
     v = spark.createDataFrame([("a", "1704067200", None), ("a", "x", "5")], "symbol string, eventTimeUnix string, receiveTime string")
     rows = vendor_to_quotes(v, 42).collect()
     assert len(rows) == 1 and rows[0].local_ts_ns == 42_000 and rows[0].exchange == "binance-futures"
-    assert math.isnan(rows[0].ask_price) and rows[0].update_id is None
+    assert rows[0].ask_price is None and rows[0].update_id is None
 
 
 def test_quote_files_in_three_formats_and_their_priority(spark, tmp_path):
