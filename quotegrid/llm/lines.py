@@ -1,7 +1,7 @@
 """Fuzzy line deduplication across documents, with DataFrame operations only.
 
-Lines are normalised to their lower-cased words. A line's SimHash is taken over its words: 64 counters, two in each
-of 32 sums, are added up while words stream by. Two lines within ``radius`` bits agree in two of five blocks
+Lines are normalised to their lower-cased words. A line's SimHash is taken over its pairs of neighbouring words (single words
+would give all lines of a language nearly the same bits): 64 counters, two in each of 32 sums, are added up while pairs stream by. Two lines within ``radius`` bits agree in two of five blocks
 of the SimHash at least (pigeonhole), so each pair of blocks is a join key. In a group of equal keys every line is compared
 with the group's first one; those it does not match are compared with all of the group that is not connected to them by then,
 so that thousands of copies make a star and not all pairs, and no link between groups is lost. Candidates within the radius and of fitting
@@ -61,17 +61,13 @@ def _lanes(word_hash: Column) -> list[Column]:
 
 
 def _majority(n: Column) -> Column:
-    """The bits that are set in more than half of the words. A loop over the sums, as code for 64 bits would not be compiled."""
+    """The bits that are set in more than half of the features, two counters at a time.
 
-    def bits(s: Column, i: Column) -> Column:
-        # n - 2 * count is negative, and its sign bit 1, if more than half have the bit
-        low = F.shiftrightunsigned(n - 2 * s.bitwiseAND(F.lit((1 << 32) - 1)), 63)
-        high = F.shiftrightunsigned(n - 2 * F.shiftrightunsigned(s, 32), 63)
-        shift = lambda x, k: F.call_function("shiftleft", x, k)
-        return shift(low, i).bitwiseOR(shift(high, i + 32))
-
-    each = F.transform(F.array(*[F.col(f"s{i}") for i in range(32)]), bits)
-    return F.aggregate(each, F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(b))
+    Twice a count and 2^30 - 1 - n reaches bit 30 of its half if, and only if, it is more than n.
+    """
+    reach = (F.lit((1 << 30) - 1) - n) * F.lit((1 << 32) + 1)
+    both = [F.shiftrightunsigned(2 * F.col(f"s{i}") + reach, 30).bitwiseAND(F.lit((1 << 32) + 1)) for i in range(32)]
+    return reduce(lambda a, b: a.bitwiseOR(b), [F.shiftleft(x, i) for i, x in enumerate(both)])
 
 
 def line_table(docs: DataFrame, cfg: LineConfig = LineConfig()) -> DataFrame:
@@ -82,11 +78,13 @@ def line_table(docs: DataFrame, cfg: LineConfig = LineConfig()) -> DataFrame:
     # the line's own columns before its words are dealt out, or they would be computed for each word
     chars = F.length("norm").alias("chars")
     marked = norm.select("doc_id", "t", "pos", F.split("norm", " ", -1).alias("words"), F.xxhash64("norm").alias("h"), chars)
-    each = marked.select("doc_id", "t", "pos", "h", "chars", F.explode("words").alias("w"))
-    each = each.select("doc_id", "t", "pos", "h", "chars", F.xxhash64("w").alias("wh"))
+    pairs = F.explode(F.sequence(F.lit(0), F.greatest(F.size("words") - 2, F.lit(0)))).alias("i")
+    each = marked.select("doc_id", "t", "pos", "h", "chars", "words", pairs)
+    pair = F.xxhash64(F.get("words", F.col("i")), F.get("words", F.col("i") + 1))
+    each = each.select("doc_id", "t", "pos", "h", "chars", pair.alias("wh"))
     sums = each.groupBy("doc_id", "t", "pos", "h", "chars").agg(F.count("*").alias("n"), *_lanes(F.col("wh")))
     # short lines go here, as a filter ahead of the words would cut every line into words twice
-    return sums.where(F.col("n") >= cfg.min_words).select("doc_id", "t", "pos", "h", _majority(F.col("n")).alias("sim"), "chars")
+    return sums.where(F.col("n") >= cfg.min_words - 1).select("doc_id", "t", "pos", "h", _majority(F.col("n")).alias("sim"), "chars")
 
 
 def _keys() -> Column:

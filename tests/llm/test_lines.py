@@ -16,7 +16,7 @@ def words(line):
 
 
 def simhash(ws):
-    h = [xxhash.xxh64_intdigest(w.encode(), 42) for w in ws]
+    h = [xxhash.xxh64_intdigest(b.encode(), xxhash.xxh64_intdigest(a.encode(), 42)) for a, b in zip(ws, ws[1:], strict=False)]
     return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
 
 
