@@ -31,7 +31,7 @@ from quotegrid.llm.components import connected_components
 from quotegrid.session import materialize
 
 BLOCKS = (13, 13, 13, 13, 12)  # bits
-FEW = 24  # edits
+FEW = (6, 24)  # edits that are tried first
 
 
 @dataclass(frozen=True)
@@ -131,7 +131,10 @@ def _verified(pairs: DataFrame, lines: DataFrame, cfg: LineConfig) -> DataFrame:
     # as many edits as the similarity allows; -1 stands for more. Copies have few, and few are found fast
     allowed = F.floor((1 - F.lit(cfg.similarity)) * most + 1e-9).cast("int")
     within = lambda n: F.call_function("levenshtein", F.col("x"), F.col("y"), n) >= 0
-    return both.where(within(F.least(allowed, F.lit(FEW))) | ((allowed > FEW) & within(allowed))).select("a", "b")
+    found = within(F.least(allowed, F.lit(FEW[0])))
+    for few, more in zip(FEW, (*(F.least(allowed, F.lit(n)) for n in FEW[1:]), allowed), strict=True):
+        found = found | ((allowed > few) & within(more))
+    return both.where(found).select("a", "b")
 
 
 def _apart(pairs: DataFrame, linked: DataFrame) -> DataFrame:
