@@ -107,7 +107,7 @@ class QuoteFiles:
     """
 
     def __init__(self, spark: SparkSession, roots: dict[str, str]):
-        self.spark = spark
+        self.sparkSession = spark
         self.best = materialize(resolve_sources(list_quote_files(spark, roots)), "quote-files")
         if self.best.isEmpty():
             raise FileNotFoundError(f"no quote files below {sorted(roots.values())}")
@@ -118,8 +118,8 @@ class QuoteFiles:
         # file names of the asked days only; a scan needs them in the driver anyway
         paths = [r["path"] for r in have.select("path").orderBy("path").collect()]
         if not paths:
-            return self.spark.createDataFrame([], read_quote_files(self.spark, [self.best.first()["path"]]).schema), have
-        return read_quote_files(self.spark, paths), have
+            return self.sparkSession.createDataFrame([], read_quote_files(self.sparkSession, [self.best.first()["path"]]).schema), have
+        return read_quote_files(self.sparkSession, paths), have
 
 
 def missing_partitions(required: DataFrame, present: DataFrame) -> DataFrame:

@@ -135,8 +135,8 @@ def test_scored_stream_sends_status_messages(spark, tmp_path):
 
 def test_routes_and_depth(spark):
     lines = [
-        '{"event": "bookTicker", "symbol": "a", "updateID": 1, "bidPrice": 1, "askPrice": 2, "updateTime": 5}',
-        '{"type": "bookTicker", "symbol": "a", "updateID": 2, "bidPrice": 1, "askPrice": 2, "time": 6}',
+        '{"event": "bookTicker", "symbol": "a", "updateID": 1, "bidPrice": 1, "askPrice": 2, "updateTime": 1700000000000005}',
+        '{"type": "bookTicker", "symbol": "a", "updateID": 2, "bidPrice": 1, "askPrice": 2, "time": 1700000000000006}',
         '{"Event": "symbol", "Symbol": "a", "TickSize": "0.5"}',
         '{"event": "depth", "symbol": "a", "lastUpdateID": 9, "bids": [[1.5, 2], [1.4, 3]], "asks": [[1.6, 4]]}',
         '{"symbol": "a"}',
@@ -145,7 +145,7 @@ def test_routes_and_depth(spark):
     df = route(spark.createDataFrame([(l,) for l in lines], "value string"))
     assert [r.route for r in df.collect()] == ["bookTicker", "bookTicker", "symbol", "depth", "unknown", "bad"]
     live = live_messages(df).collect()
-    assert [(r.route, r.update_id, r.time_us, r.tick_size) for r in live] == [("bookTicker", 1, 5, None), ("bookTicker", 2, 6, None), ("symbol", None, None, 0.5)]
+    assert [(r.route, r.update_id, r.time_us, r.tick_size) for r in live] == [("bookTicker", 1, 1700000000000005, None), ("bookTicker", 2, 1700000000000006, None), ("symbol", None, None, 0.5)]
     levels = [tuple(r) for r in depth_levels(parse(df, "depth")).collect()]
     assert sorted(levels) == [("a", 9, "ask", 0, 1.6, 4.0), ("a", 9, "bid", 0, 1.5, 2.0), ("a", 9, "bid", 1, 1.4, 3.0)]
 
