@@ -194,6 +194,7 @@ def dropped_lines(docs: DataFrame, cfg: LineConfig = LineConfig()) -> DataFrame:
     repeated = found.where(bit_filter(of, "h")(F.col("h"))).join(of, "h").select("doc_id", "t", "pos", "group")
     repeated = materialize(repeated, "repeated")
     first = repeated.groupBy("group").agg(F.min(F.struct("doc_id", "t", "pos")).alias("first"))
+    first = materialize(first, "first")  # apart from the join, which can then split a large group
     here = F.struct("doc_id", "t", "pos")
     return repeated.join(first, "group").where(~here.eqNullSafe(F.col("first"))).select("doc_id", "t", "pos")
 
