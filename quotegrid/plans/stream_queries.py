@@ -11,7 +11,7 @@ from quotegrid.plans.grid_queries import COARSE, LIVE_SQL, LIVE_WARMUP_MINUTES,
 from quotegrid.plans.table_queries import LOOKBACK_DAYS
 from quotegrid.session import scratch_path
 from quotegrid.sources import testdata as td
-from quotegrid.streaming.events import depth_levels, live_messages, parse, read_event_files, route, status_message, status_of
+from quotegrid.streaming.events import depth_levels, parse, read_event_files, route, status_message, status_of, tag_messages
 from quotegrid.streaming.live import live_features, use_rocksdb
 
 DELAY_MS = 1000
@@ -28,9 +28,9 @@ DELAY_MS = 1000
 )
 def event_router(spark, sf):
     """Every message with its route; fields only for the two routes the live features use."""
-    messages = td.event_messages(spark, sf)
-    used = live_messages(messages, keep=("event_id",)).select("event_id", "symbol", "update_id", "bid_price", "tick_size")
-    return route(messages).select("event_id", "route").join(used, "event_id", "left")
+    tagged = tag_messages(td.event_messages(spark, sf), keep=("event_id",))
+    fields = [F.when(F.col("used"), F.col(c)).alias(c) for c in ("symbol", "update_id", "bid_price", "tick_size")]
+    return tagged.select("event_id", "route", *fields)
 
 
 @query(

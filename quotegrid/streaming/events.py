@@ -71,7 +71,12 @@ PLAUSIBLE_US = (946_684_800_000_000, 7_258_118_400_000_000)
 
 
 def live_messages(df: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
-    """The two events the live features use, tagged by ``route``; all else is skipped.
+    """The two events the live features use, tagged by ``route``; all else is skipped."""
+    return tag_messages(df, value, keep).where("used").drop("used")
+
+
+def tag_messages(df: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
+    """All messages with their ``route``, the live features' fields, and whether they are ``used``. Parsed once.
 
     Numbers may come as JSON numbers or as text. Quotes without id, time or price
     and sizes that are not positive are skipped like broken JSON, and so are infinite values and
@@ -84,7 +89,7 @@ def live_messages(df: DataFrame, value: str = "value", keep: tuple[str, ...] = (
         return _field(m, *names).try_cast(kind).alias(name)
 
     tagged = df.select(*keep, _envelope(value).alias("_m")).withColumn("route", _route(m))
-    rows = tagged.where(F.col("route").isin(BOOK_TICKER, SYMBOL)).select(
+    rows = tagged.select(
         *keep,
         "route",
         F.when(is_size, _field(m, "Symbol")).otherwise(_field(m, "symbol")).alias("symbol"),
@@ -106,7 +111,8 @@ def live_messages(df: DataFrame, value: str = "value", keep: tuple[str, ...] = (
         quote_ok = quote_ok & finite(price)
     size_ok = F.coalesce(F.col("tick_size") > 0, F.lit(False)) & finite("tick_size")
     ok = F.when(F.col("route") == SYMBOL, size_ok).otherwise(quote_ok)
-    return rows.where(F.col("symbol").isNotNull() & ok)
+    used = F.col("route").isin(BOOK_TICKER, SYMBOL) & F.col("symbol").isNotNull() & ok
+    return rows.withColumn("used", F.coalesce(used, F.lit(False)))
 
 
 def depth_levels(depth: DataFrame) -> DataFrame:
