@@ -12,7 +12,8 @@ Texts are not shuffled to find the groups. Where lines have to be fetched for ve
 rewritten, a bit set sends on only the documents concerned.
 
 Defined results: lines of fewer than ``min_words`` words are no candidates and stay, blank ones too; a null text stays null;
-rows that repeat a document (same id and text) are one document and are rewritten alike; a null id comes first;
+rows that repeat a document (same id and text) are one document and are rewritten alike (a counter holds
+2^29 pairs of words of a line, over all rows that repeat it); a null id comes first;
 a document may be left without a line (its text is then empty); other columns stay as they are.
 """
 
