@@ -43,7 +43,7 @@ STEM = 4  # letters
 NEIGHBOURS = 16
 BLOCK = 64
 FIRST = 8  # blocks looked at first
-KNOWN = 50_000  # vectors whose scores a task keeps
+KNOWN = 10_000  # vectors whose scores a task keeps
 SLICE = 1 << 20
 
 _WORDS = re.compile(r"[^\W\d_]+").findall
@@ -75,7 +75,7 @@ def vocabulary(examples: DataFrame) -> list[str]:
     """Terms that go with the label, from ``text`` and ``toxic`` of the sample."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in row_slices(batches, "text", 16 * SLICE):
+        for part in row_slices(batches, "text", 4 * SLICE):
             seen: dict[str, list[int]] = defaultdict(lambda: [0, 0])
             for text, toxic in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                 for term in term_counts(text):
