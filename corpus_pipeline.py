@@ -23,14 +23,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated lines go. A document that lost lines and has none of five words left was a copy and goes, too."""
+    """Repeated lines go. A document that lost lines and has no word left was a copy and goes, too."""
     ship_package(spark)
-    cfg = lines.LineConfig()
     marked = docs.withColumn("_before", F.length("text"))
-    found = lines.dedup_lines(marked, cfg)
-    long = F.exists(F.split("text", "\n", -1), lambda x: lines.n_words(lines.normal(x)) >= cfg.min_words)
+    found = lines.dedup_lines(marked)
     lost = F.coalesce(F.length("text") < F.col("_before"), F.lit(False))
-    kept = found.where(~lost | long).drop("_before")
+    kept = found.where(~lost | (lines.normal(F.col("text")) != "")).drop("_before")
     return kept.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast("long")))
 
 

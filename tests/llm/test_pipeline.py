@@ -99,6 +99,15 @@ def test_odd_and_empty_tables_go_through(spark):
         assert docs.count() >= 0
 
 
+def test_a_document_with_any_word_left_stays(spark):
+    licence = "this text may be copied under the terms of the licence"
+    poem = "\n".join(f"verse {i}" for i in range(300))
+    rows = [(1, licence), (2, f"{licence}\n{poem}"), (3, licence), (4, f"{licence}\n...\n"), (5, "..."), (6, f"日本語\n{licence}")]
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.dedup_lines(spark, docs, SF).collect()}
+    assert got == {i: (t, len(t)) for i, t in {1: licence, 2: poem, 5: "...", 6: "日本語"}.items()}
+
+
 def test_registered():
     import __spark_entry__ as entry
 
