@@ -7,7 +7,7 @@ that the dictionary holds, so that even a word or two makes a compressed block.
 still narrow is a rejection: ``accepted`` is false, the nearest language is reported all the same.
 
 Text is lower-cased and cut down to its letters first. Whole texts are encoded, in blocks; learning looks at
-``PIECES`` texts of a language, chosen by a hash of the text.
+``PIECE`` characters of ``PIECES`` texts of a language, texts and places in them chosen by hashes of the text. Equal pieces count once.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0, and so is everything if nothing
 was learnt; equal sizes go to the language with more labelled texts; repeated rows give repeated rows;
@@ -69,12 +69,16 @@ def learn(labelled: DataFrame) -> LanguageModel:
         return LanguageModel({})
     share = F.create_map(*[F.lit(x) for n, lang in counts for x in (lang, min(1.0, 4 * PIECES / n))])
     chance = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sampled = rows.select("lang", F.substring("text", 1, PIECE).alias("piece"), F.xxhash64("text").alias("h"), chance.alias("p"))
+    places = F.greatest(F.length("text") - PIECE, F.lit(0)) + 1
+    start = F.pmod(F.xxhash64("text", F.lit("place")), places).cast("int") + 1
+    sampled = rows.select("lang", F.col("text").substr(start, F.lit(PIECE)).alias("piece"), F.xxhash64("text").alias("h"), chance.alias("p"))
     sampled = sampled.where(F.col("p") < share[F.col("lang")])
     pieces: dict[str, list] = {lang: [] for _, lang in counts}
     for r in sampled.groupBy("lang", "h").agg(F.min("p").alias("p"), F.min("piece").alias("piece")).collect():  # copies once
         pieces[r["lang"]].append((r["p"], r["h"], r["piece"]))
-    joined = {lang: b" ".join(letters(x[2]) for x in sorted(found)[:PIECES]) for lang, found in pieces.items()}
+    # equal pieces once, and none without a letter
+    unique = {lang: [x for x in dict.fromkeys(letters(f[2]) for f in sorted(found)) if x][:PIECES] for lang, found in pieces.items()}
+    joined = {lang: b" ".join(found) for lang, found in unique.items()}
     return LanguageModel({lang: raw for lang, raw in joined.items() if len(raw) >= 8})
 
 

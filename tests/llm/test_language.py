@@ -37,3 +37,11 @@ def test_copies_of_one_text_are_learnt_once(spark):
     rows += [(f"ein deutscher satz nummer {i} der sammlung", "de") for i in range(50)]
     model = X.learn(spark.createDataFrame(rows, "text string, lang string"))
     assert model.dictionaries["en"].count(b"the same text again") <= 1
+
+
+def test_a_common_opening_does_not_fill_the_dictionary(spark):
+    header = "all rights reserved by the publisher of this archive " * 12
+    body = lambda i: " ".join(f"w{chr(97 + (i * k) % 26)}{chr(97 + (i + k) % 26)}{chr(97 + k % 26)}" for k in range(2000))
+    model = X.learn(spark.createDataFrame([(header + body(i), "en") for i in range(100)], "text string, lang string"))
+    raw = model.dictionaries["en"]
+    assert len(raw) > 20 * X.PIECE and raw.count(b"publisher") < 60
