@@ -5,7 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotegrid.llm import chat, fingerprints, language, lines, mixing, pieces, quality, simhash, sql, toxicity, wrappers
+from quotegrid.llm import (
+    archives,
+    chat,
+    fingerprints,
+    language,
+    lines,
+    mixing,
+    periods,
+    pieces,
+    quality,
+    simhash,
+    sql,
+    toxicity,
+    tries,
+    wrappers,
+)
 from quotegrid.llm.common import held_out, table
 
 
@@ -66,6 +81,20 @@ def op10_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
     return wrappers.main_texts(table(spark, sf, "pages"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    docs = periods.with_made_runs(table(spark, sf, "documents"))
+    return periods.run_digests(periods.find_runs(docs))
+
+
+def op12_warc(spark: SparkSession, sf: str) -> DataFrame:
+    return archives.archive_and_read_back(table(spark, sf, "pages"))
+
+
+def op13_conversation_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    turns = tries.turn_table(table(spark, sf, "conversations"))
+    return tries.prefix_trie(tries.rebuilt_turns(turns))
+
+
 QUERIES = (
     op1_document_fingerprints,
     op2_sentencepiece,
@@ -77,6 +106,9 @@ QUERIES = (
     op8_mixing_sources,
     op9_quality_rules,
     op10_html_extraction,
+    op11_periodic_runs,
+    op12_warc,
+    op13_conversation_prefix_trie,
 )
 
 
@@ -85,4 +117,9 @@ def queries():
 
 
 def oracles():
-    return {op8_mixing_sources.__name__: sql.OP8, op9_quality_rules.__name__: sql.OP9}
+    return {
+        op8_mixing_sources.__name__: sql.OP8,
+        op9_quality_rules.__name__: sql.OP9,
+        op12_warc.__name__: sql.OP12,
+        op13_conversation_prefix_trie.__name__: sql.OP13,
+    }

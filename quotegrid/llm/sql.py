@@ -134,3 +134,65 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 from rejected
 """
 )
+
+OP12 = """
+with payloads as (
+  select page_id, coalesce(html, '') as html, strlen(coalesce(html, ''))::bigint as n from pages),
+kept as (
+  select *, n >= 1000 and page_id <> max(page_id) over (partition by html) as is_copy,
+    max(page_id) over (partition by html) as largest from payloads)
+select page_id, n as payload_bytes, sha1(html) as payload_digest,
+  case when is_copy then 'revisit' else 'response' end as record_type,
+  case when is_copy then largest end as refers_to
+from kept
+"""
+
+# crc32 of a text of ASCII characters, bit by bit: -1 stands for a step, other numbers are taken in
+CRC32 = (
+    "xor(4294967295, list_reduce(list_prepend(4294967295::bigint, flatten(list_transform(string_split({x}, ''),"
+    " lambda c: [ascii(c)::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))),"
+    " lambda crc, b: case when b >= 0 then xor(crc, b) else xor(crc >> 1, (crc & 1) * 3988292384) end))"
+)
+
+OP13 = (
+    """
+with turns as (
+  select conv_id, row_number() over (partition by conv_id order by turn nulls first, role, text) - 1 as pos,
+    coalesce(role, '') as role, coalesce(text, '') as text from conversations),
+sizes as (select conv_id, count(*) as n from turns group by conv_id),
+plan as (
+  select c.conv_id, c.h, c.base, least(c.h, coalesce(s.n, 0)) as lent
+  from (select conv_id, conv_id - conv_id % 100 as base, """
+    + CRC32.format(x="conv_id::varchar")
+    + """ % 6 as h from sizes) c
+    left join sizes s on s.conv_id = c.base),
+rebuilt as (
+  select p.conv_id, t.pos + 1 as depth, t.role, t.text from plan p join turns t on t.conv_id = p.base and t.pos < p.lent
+  union all
+  select p.conv_id, p.lent + t.pos - p.h + 1, t.role, t.text from plan p join turns t on t.conv_id = p.conv_id and t.pos >= p.h
+  union all
+  select conv_id, 0, '', '' from plan),
+paths as (
+  select conv_id, depth, length(text) as chars,
+    sha256(string_agg(strlen(role) || ',' || strlen(text) || ',' || role || text, '') over (partition by conv_id order by depth)) as name
+  from rebuilt),
+members as (
+  select *, lag(name) over (partition by conv_id order by depth) as parent, max(depth) over (partition by conv_id) as most from paths),
+nodes as (
+  select depth, name, any_value(parent) as parent, any_value(chars) as chars, min(conv_id) as conv_id, count(*) as n_convs,
+    coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (depth = most), '') as ends
+  from members group by depth, name),
+kids as (select depth - 1 as depth, parent as name, count(*) as n from nodes where depth > 0 group by all),
+full_nodes as (
+  select n.*, coalesce(k.n, 0) as n_children, (n.n_convs - 1) * n.chars as saved
+  from nodes n left join kids k using (depth, name)),
+-- every node with each of its ancestors, itself among them
+totals as (
+  select m.depth, m.name, sum(y.saved) as saved, count(*) filter (y.n_children = 0) as leaves
+  from full_nodes y join members m on m.conv_id = y.conv_id and m.depth <= y.depth group by m.depth, m.name)
+select n.conv_id, n.depth::bigint as depth, p.conv_id as parent_conv_id, n.n_convs, n.n_children::bigint as n_children,
+  t.leaves::bigint as n_leaves, t.saved::bigint as saved_tokens, sha256(n.ends) as ends_sha256
+from full_nodes n join totals t using (depth, name)
+  left join nodes p on p.depth = n.depth - 1 and p.name = n.parent
+"""
+)
