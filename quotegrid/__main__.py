@@ -25,7 +25,7 @@ def _spans(spark: SparkSession, cfg: JobConfig) -> DataFrame:
 
 def features(spark: SparkSession, cfg: JobConfig, now: datetime) -> int:
     tasks = sp.calendar(_spans(spark, cfg), "first_day", "last_day")
-    failed = build_features(cfg.load_quotes(spark), tasks, cfg.tick_sizes(spark), cfg.features, Store(cfg.store), now)
+    failed = build_features(cfg.load_quotes(spark, now), tasks, cfg.tick_sizes(spark), cfg.features, Store(cfg.store), now)
     for r in failed.orderBy("symbol", "feature_date").collect():
         print(f"failed: {r['symbol']} {r['feature_date']}")
     return 0 if failed.isEmpty() else 1
@@ -42,7 +42,7 @@ def research(spark: SparkSession, cfg: JobConfig, now: datetime) -> int:
 def production(spark: SparkSession, cfg: JobConfig, now: datetime, reference_date: date) -> int:
     sizes = cfg.tick_sizes(spark)
     store = Store(cfg.store)
-    quotes = cfg.load_quotes(spark)
+    quotes = cfg.load_quotes(spark, now)
     reasons: dict[str, str] = {}
     status = run_production(
         quotes, cfg.symbols, sizes, reference_date, cfg.features, cfg.train, store, now, cfg.parallel_fits, reasons

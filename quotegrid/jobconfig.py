@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field, fields
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,6 +16,8 @@ from quotegrid.config import (
 )
 from quotegrid.sources.assets import read_assets, tick_sizes
 from quotegrid.sources.quotes import QuoteFiles
+from quotegrid.sources.rawdays import BackfilledQuotes, RawDays, vendor_fetch
+from quotegrid.sources.vendor_source import VendorStore
 
 
 def _make(cls, values: dict | None, **more):
@@ -49,6 +51,8 @@ class JobConfig:
     instrument_type: str = "future"
     quotes: str | None = None
     quote_files: dict[str, str] = field(default_factory=dict)
+    vendor: VendorStore | None = None  # where raw days come from that the quotes lack
+    raw_days: str | None = None  # folder of fetched raw days; below the store, if not set
     features: FeatureConfig = field(default_factory=FeatureConfig)
     train: TrainConfig = field(default_factory=TrainConfig)
     live: LiveConfig = field(default_factory=LiveConfig)
@@ -61,18 +65,28 @@ class JobConfig:
         features = _make(FeatureConfig, conf.pop("features", None), grid=grid)
         train = _make(TrainConfig, conf.pop("train", None))
         live = _make(LiveConfig, conf.pop("live", None))
-        return _make(cls, conf, features=features, train=train, live=live)
+        vendor = conf.pop("vendor", None)
+        vendor = None if vendor is None else _make(VendorStore, vendor)
+        return _make(cls, conf, features=features, train=train, live=live, vendor=vendor)
 
     def tick_sizes(self, spark: SparkSession) -> DataFrame:
         return tick_sizes(read_assets(spark, self.assets), self.instrument_type)
 
-    def load_quotes(self, spark: SparkSession) -> DataFrame | QuoteFiles:
-        """The quote table, or the best file of every symbol-day below the roots, opened as days are asked for."""
+    def load_quotes(self, spark: SparkSession, now: datetime) -> DataFrame | QuoteFiles | BackfilledQuotes:
+        """The quote table, or the best file of every symbol-day below the roots, opened as days are asked for.
+
+        With a vendor store, days that are in neither are fetched from it once and kept as raw days.
+        """
         if self.quotes:
-            return spark.read.parquet(self.quotes)
-        if not self.quote_files:
+            quotes = spark.read.parquet(self.quotes)
+        elif self.quote_files:
+            quotes = QuoteFiles(spark, self.quote_files, may_be_empty=self.vendor is not None)
+        else:
             raise ValueError("set quotes or quote_files")
-        return QuoteFiles(spark, self.quote_files)
+        if self.vendor is None and self.raw_days is None:
+            return quotes
+        days = RawDays(self.raw_days or f"{self.store}/raw_days")
+        return BackfilledQuotes(quotes, days, self.vendor and vendor_fetch(self.vendor, now), now)
 
 
 def load_config(path: str) -> JobConfig:

@@ -11,13 +11,17 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quotegrid.config import TrainConfig
-from quotegrid.models.worker import MISSING
-from quotegrid.operators.metrics import downsample_last, evaluate
+from quotegrid.models.worker import MISSING, predicted_volatility
+from quotegrid.operators.metrics import downsample_last
 from quotegrid.operators.quantiles import collect_quantiles, exact_quantiles, from_normal, to_normal
+from quotegrid.session import small_side
+
+
+IMPORTANCE = "symbol string, feature string, importance_gain double, importance_split bigint"
 
 
 @dataclass
@@ -41,8 +45,7 @@ class VolatilityModel:
         for tree in self.trees.trees:
             splits.update(int(i) for i in re.findall(r"If \(feature (\d+) ", tree.toDebugString))
         rows = [(self.symbol, f, float(gains[i]), splits[i]) for i, f in enumerate(self.features)]
-        schema = "symbol string, feature string, importance_gain double, importance_split bigint"
-        return spark.createDataFrame(rows, schema).orderBy(F.desc("importance_gain"), "feature")
+        return spark.createDataFrame(rows, IMPORTANCE).orderBy(F.desc("importance_gain"), "feature")
 
     def save(self, path: str) -> None:
         """Store the trees, the feature list and the quantiles; the nodes once more as a flat table."""
@@ -60,6 +63,7 @@ class VolatilityModel:
             node["split"]["featureIndex"].alias("feature"),
             F.get(node["split"]["leftCategoriesOrThreshold"], F.lit(0)).alias("threshold"),
             node["prediction"].alias("value"),
+            (node["gain"] * F.get(node["impurityStats"], F.lit(0))).alias("gain"),
         )
         nodes.coalesce(1).write.mode("overwrite").parquet(f"{path}/nodes")
 
@@ -73,6 +77,26 @@ class VolatilityModel:
         )
 
 
+def stored_importance(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Gain share and split count of every feature of all the stored models, from their nodes, in one pass."""
+    if not paths:
+        return spark.createDataFrame([], IMPORTANCE)
+    model = F.regexp_extract(F.col("_metadata.file_path"), "^(.*)/(?:meta|nodes)/[^/]*$", 1).alias("model")
+    meta = spark.read.parquet(*[f"{p}/meta" for p in paths]).select("symbol", model, F.posexplode("features").alias("k", "feature"))
+    nodes = spark.read.parquet(*[f"{p}/nodes" for p in paths]).where("left >= 0")
+    used = nodes.select(model, F.col("feature").alias("k"), "gain").groupBy("model", "k")
+    used = used.agg(F.sum("gain").alias("gain"), F.count(F.lit(1)).alias("splits"))
+    both = meta.join(used, ["model", "k"], "left")
+    # models are few trees: a window over the features of one
+    share = F.col("gain") / F.sum("gain").over(Window.partitionBy("model"))
+    return both.select(
+        "symbol",
+        "feature",
+        F.coalesce(share, F.lit(0.0)).alias("importance_gain"),
+        F.coalesce("splits", F.lit(0)).cast("bigint").alias("importance_split"),
+    )
+
+
 def verify_model(path: str) -> bool:
     """Whether a stored model loads and has features."""
     try:
@@ -98,7 +122,8 @@ def fit_model(
 ) -> VolatilityModel:
     """Fit one symbol on ``train``, cut where ``val`` is predicted best; rows hold that symbol only.
 
-    All ``max_iter`` trees are grown, as Spark's own early stopping ends at the first tree that brings little.
+    Spark's own early stopping ends at the first tree that brings little. So two and a half times ``patience`` trees are grown, then
+    twice as many as long as fewer than ``patience`` follow the best one. A longer fit begins with the same trees.
     """
     features = [c for c in features if c in train.columns]
     if cfg.downsample_ns:
@@ -109,11 +134,10 @@ def fit_model(
     tables = collect_quantiles(exact_quantiles(train, ["symbol"], label, count=cfg.quantiles), "symbol")
     z = to_normal(tables, F.lit(symbol), F.col(label)).alias("z")
     rows, held = (assemble(df, features).select("features", z) for df in (train, val))
-    trees = GBTRegressor(
+    grower = GBTRegressor(
         featuresCol="features",
         labelCol="z",
         lossType="squared",
-        maxIter=cfg.max_iter,
         maxDepth=cfg.max_depth,
         stepSize=cfg.step_size,
         minInstancesPerNode=cfg.min_instances,
@@ -121,8 +145,18 @@ def fit_model(
         subsamplingRate=1.0,
         maxBins=cfg.max_bins,
         seed=cfg.seed,
-    ).fit(rows)
-    best = best_iteration(trees.evaluateEachIteration(held, "squared"), cfg.patience)
+    )
+    rows.persist()  # read by every tree
+    try:
+        grown = min(cfg.max_iter, max(1, 5 * cfg.patience // 2))
+        while True:
+            trees = grower.setMaxIter(grown).fit(rows)
+            best = best_iteration(trees.evaluateEachIteration(held, "squared"), cfg.patience)
+            if best + cfg.patience <= grown or grown >= cfg.max_iter:
+                break
+            grown = min(cfg.max_iter, 2 * grown)
+    finally:
+        rows.unpersist()
     return VolatilityModel(symbol, first_trees(trees, best), tables[symbol], features)
 
 
@@ -190,18 +224,10 @@ def fit_symbols(
     return done, failed
 
 
-def predict_rows(models: dict[str, VolatilityModel], rows: DataFrame, label: str) -> DataFrame:
-    """``symbol, feature_date, timestamp, y_true, y_pred`` over all models' symbols."""
-    out = None
-    for symbol, model in sorted(models.items()):
-        part = model.score(labelled(rows.where(F.col("symbol") == symbol), label)).select(
-            "symbol", "feature_date", "timestamp", F.col(label).alias("y_true"), "y_pred"
-        )
-        out = part if out is None else out.unionByName(part)
-    if out is None:
-        raise ValueError("no model to score with")
-    return out
-
-
-def score_summary(predictions: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return evaluate(predictions, keys)
+def score_stored(rows: DataFrame, paths: dict[str, str], label: str, features: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """``symbol``, the keys, ``y_true`` and ``y_pred`` of labelled rows: all symbols in one pass, each by its stored model."""
+    models = rows.sparkSession.createDataFrame(sorted(paths.items()), "symbol string, path string")
+    named = labelled(rows, label).join(small_side(models), "symbol")
+    names = [c for c in features if c in rows.columns]
+    scored = predicted_volatility(F.col("symbol"), F.col("path"), F.lit(0), names)
+    return named.select("symbol", *keys, F.col(label).alias("y_true"), scored.alias("y_pred"))

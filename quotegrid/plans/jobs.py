@@ -11,38 +11,16 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotegrid.config import FeatureConfig, GridConfig, TrainConfig
-from quotegrid.models.boosting import VolatilityModel, fit_symbols, labelled, verify_model
+from quotegrid.config import FeatureConfig, TrainConfig
+from quotegrid.models.boosting import VolatilityModel, fit_symbols, labelled, score_stored, stored_importance, verify_model
 from quotegrid.operators import ledger as lg
 from quotegrid.operators import registry as rg
 from quotegrid.operators import splits as sp
 from quotegrid.operators.features import feature_layout, feature_matrix
 from quotegrid.operators.metrics import evaluate
 from quotegrid.session import materialize, small_side
-from quotegrid.sources.quotes import missing_partitions, quotes_for, with_day, write_by_symbol_day
-from quotegrid.sources.vendor import vendor_day_scan, vendor_to_quotes
-
-
-def backfill_raw(
-    files: DataFrame,
-    required: DataFrame,
-    present: DataFrame,
-    vendor: DataFrame,
-    ingest_time_us: int,
-    grid: GridConfig,
-    exchange: str | None = None,
-) -> DataFrame:
-    """Quotes of the required symbol-days: from files where present, else from the vendor store.
-
-    ``files`` are the dated quotes of the ``present`` symbol-days; ``source`` tells where a row is from.
-    """
-    lacking = missing_partitions(required, present)
-    fetched = vendor_day_scan(vendor).join(lacking, ["symbol", "date"], "left_semi")
-    filled = with_day(vendor_to_quotes(fetched.drop("date"), ingest_time_us, exchange), grid)
-    wanted = files.join(required.select("symbol", "date").distinct(), ["symbol", "date"], "left_semi")
-    return wanted.withColumn("source", F.lit("files")).unionByName(
-        filled.withColumn("source", F.lit("vendor")), allowMissingColumns=True
-    )
+from quotegrid.sources.quotes import QuoteFiles, quotes_for, write_by_symbol_day
+from quotegrid.sources.rawdays import BackfilledQuotes
 
 
 @dataclass(frozen=True)
@@ -107,7 +85,7 @@ def day_batches(pending: DataFrame, cfg: FeatureConfig, blocks_per_task: int) ->
 
 
 def build_features(
-    quotes: DataFrame,
+    quotes: DataFrame | QuoteFiles | BackfilledQuotes,
     tasks: DataFrame,
     sizes: DataFrame,
     cfg: FeatureConfig,
@@ -158,46 +136,55 @@ def _written(store: Store, spark: SparkSession, days: DataFrame, old: DataFrame
     return materialize(new.select("symbol", "date").distinct())
 
 
-def _write_day(df: DataFrame, path: str) -> None:
+def _write_days(df: DataFrame, path: str) -> None:
+    """A small table by date; only the days it holds are replaced, and of those the symbols it holds."""
     (
-        df.write.mode("overwrite")
+        df.repartition("date")
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("symbol", "date")
+        .partitionBy("date", "symbol")
         .parquet(path)
     )
 
 
+def save_model(model: VolatilityModel, store: Store, model_date: date) -> str:
+    """Store the model of one fit under a new path."""
+    path = store.path(f"models/{model.symbol}/{model_date}/{uuid4().hex}")
+    model.save(path)
+    if not verify_model(path):
+        raise RuntimeError("the stored model does not load")
+    return path
+
+
 def save_results(
-    model: VolatilityModel, test: DataFrame, label: str, cfg: TrainConfig, store: Store, prefix: str, model_date: date
-) -> str:
-    """Score the test days and store predictions, importances, summaries and the model of one fit.
+    paths: dict[str, str], test: DataFrame, features: Sequence[str], label: str, cfg: TrainConfig, store: Store, prefix: str, model_date: date
+) -> DataFrame:
+    """Score the test rows of all fits of a window and store predictions, importances and summaries; returns the predictions.
 
-    All tables are cut by symbol and day, so a rerun replaces its own rows only.
+    Each table is written once for all symbols. A rerun replaces the symbol-days it tests and no others.
     """
     spark = test.sparkSession
-    path = store.path(f"models/{model.symbol}/{model_date}/{uuid4().hex}")
-    model.save(path)
-    rows = labelled(test, label)
-    scored = model.score(rows).select("symbol", "date", "timestamp", F.col(label).alias("y_true"), "y_pred")
+    scored = score_stored(test, paths, label, features, ["date", "timestamp"])
     write_by_symbol_day(scored, store.path(f"{prefix}predictions"), "timestamp")
-    days = rows.select("date").distinct()
-    stored = spark.read.parquet(store.path(f"{prefix}predictions")).where(F.col("symbol") == model.symbol)
-    scores = evaluate(stored.join(days, "date", "left_semi"), ["symbol", "date"])
+    days = materialize(labelled(test, label).select("symbol", "date").distinct())
+    stored = spark.read.parquet(store.path(f"{prefix}predictions")).join(small_side(days), ["symbol", "date"], "left_semi")
     params = F.create_map(*[F.lit(v) for kv in cfg.tree_params().items() for v in kv])
-    summary = scores.select(
+    of = spark.createDataFrame(sorted(paths.items()), "symbol string, path string")
+    importance = materialize(stored_importance(spark, sorted(paths.values())))
+    summary = evaluate(stored, ["symbol", "date"]).join(of, "symbol")
+    summary = summary.select(
         "symbol",
         "date",
         F.lit(model_date).alias("model_date"),
         F.struct("n", "rmse", "mae", "corr", "qlike").alias("metrics"),
-        F.array(*[F.lit(c) for c in model.features]).alias("features_used"),
+        F.array(*[F.lit(c) for c in features if c in test.columns]).alias("features_used"),
         params.alias("params"),
-        F.lit(path).alias("path"),
+        "path",
     )
-    _write_day(summary, store.path(f"{prefix}run_summary"))
+    _write_days(summary, store.path(f"{prefix}run_summary"))
     # Importances are the same for all test days of a fit.
-    dated = model.importance(spark).join(days.withColumn("symbol", F.lit(model.symbol)), "symbol")
-    _write_day(dated, store.path(f"{prefix}feature_importance"))
-    return path
+    _write_days(importance.join(days, "symbol"), store.path(f"{prefix}feature_importance"))
+    return stored
 
 
 def _split_rows(table: DataFrame, split: DataFrame) -> DataFrame:
@@ -214,7 +201,7 @@ def run_walk_forward(
     few (days over ``test_days``); each is a set of distributed fits, one per symbol.
     """
     spark = spans.sparkSession
-    table = spark.read.parquet(store.path("features"))
+    table = store.read(spark, "features")
     splits = sp.walk_forward_splits(spans, cfg.train_days, cfg.val_days, cfg.test_days)
     splits = materialize(splits)
     stored = materialize(store.stats(spark, "features", splits).where("rows > 0"))
@@ -239,22 +226,21 @@ def run_walk_forward(
         rows = _split_rows(table, split)
         first = split.where("role = 'test'").agg(F.min("date")).first()[0]
 
-        def each(model: VolatilityModel, rows=rows, first=first) -> str:
-            test = rows.where("role = 'test'").where(F.col("symbol") == model.symbol).drop("role")
-            path = save_results(model, test, label, cfg, store, "", first)
-            if not verify_model(path):
-                raise RuntimeError("stored model does not load")
-            return path
-
-        done, failed = fit_symbols(rows, sorted(symbols), features, label, cfg, each, parallel)
+        done, failed = fit_symbols(
+            rows, sorted(symbols), features, label, cfg, lambda m, first=first: save_model(m, store, first), parallel
+        )
         failures |= {f"{s}/{window}": why for s, why in failed.items()}
+        if not done:
+            continue
+        test = rows.where("role = 'test'").drop("role")
+        save_results(done, test, features, label, cfg, store, "", first)
         tested = split.where("role = 'test'").where(F.col("symbol").isin(sorted(done)))
         store.record(spark, "result_ledger", store.stats(spark, "predictions", tested), now)
     return failures
 
 
 def run_production(
-    quotes: DataFrame,
+    quotes: DataFrame | QuoteFiles | BackfilledQuotes,
     symbols: Sequence[str],
     sizes: DataFrame,
     reference_date: date,
@@ -282,20 +268,51 @@ def run_production(
     targets = refs.select("symbol", sp.latest_complete_day(F.col("reference_date")).alias("target_date"))
     split = materialize(sp.production_split(targets, cfg.train_days, cfg.val_days))
     model_date = split.agg(F.max("target_date")).first()[0]
-    rows = _split_rows(spark.read.parquet(store.path("features")), split)
-
-    def each(model: VolatilityModel) -> str:
-        val = rows.where("role = 'val'").where(F.col("symbol") == model.symbol).drop("role")
-        return save_results(model, val, fcfg.label_column, cfg, store, "production_", model_date)
-
-    good = [s for s in symbols if s not in bad]
-    trained, unfit = fit_symbols(rows, good, fcfg.feature_columns, fcfg.label_column, cfg, each, parallel)
-    published = {s: p for s, p in trained.items() if verify_model(p)}
+    table = store.read(spark, "features")
+    good = [s for s in symbols if s not in bad] if table is not None else []
+    unfit = {s: "there are no feature rows" for s in symbols if s not in bad and s not in good}
+    published: dict[str, str] = {}
+    if good:
+        rows = _split_rows(table, split)
+        published, failed = fit_symbols(
+            rows, good, fcfg.feature_columns, fcfg.label_column, cfg, lambda m: save_model(m, store, model_date), parallel
+        )
+        unfit |= failed
     if published:
+        val = rows.where("role = 'val'").drop("role")
+        scored = save_results(published, val, fcfg.feature_columns, fcfg.label_column, cfg, store, "production_", model_date)
+        production_summary(scored, split, published, fcfg, cfg, store, model_date, now)
         entries = [(s, model_date, p, now) for s, p in sorted(published.items())]
         rg.register(spark.createDataFrame(entries, rg.REGISTRY_SCHEMA), store.path("registry"))
     if reasons is not None:
         reasons |= {s: "features could not be prepared" for s in bad} | unfit
-        reasons |= {s: "the stored model does not load" for s in trained if s not in published}
+        if isinstance(quotes, BackfilledQuotes):
+            for (s, d), why in sorted(quotes.why.items()):
+                reasons[s] = f"{reasons.get(s, '')}; raw day {d}: {why}".removeprefix("; ")
     outcomes = [(s, s in published, s in published) for s in symbols]
     return lg.job_status(spark.createDataFrame(outcomes, "symbol string, trained boolean, published boolean"))
+
+
+def production_summary(
+    scored: DataFrame, split: DataFrame, paths: dict[str, str], fcfg: FeatureConfig, cfg: TrainConfig, store: Store, model_date: date, now: datetime
+) -> None:
+    """One row per published model: its train and validation dates, and its scores over all validation rows."""
+    spark = scored.sparkSession
+    dates = lambda role: F.array_sort(F.collect_set(F.when(F.col("role") == role, F.col("date"))))
+    days = split.groupBy("symbol").agg(dates("train").alias("train_dates"), dates("val").alias("val_dates"))
+    of = spark.createDataFrame(sorted(paths.items()), "symbol string, path string")
+    overall = evaluate(scored, ["symbol"]).join(of, "symbol").join(days, "symbol")
+    params = F.create_map(*[F.lit(v) for kv in cfg.tree_params().items() for v in kv])
+    rows = overall.select(
+        "symbol",
+        F.lit("production").alias("mode"),
+        "train_dates",
+        "val_dates",
+        F.struct("n", "rmse", "mae", "corr", "qlike").alias("validation_metrics"),
+        F.array(*[F.lit(c) for c in fcfg.feature_columns]).alias("features_used"),
+        params.alias("params"),
+        "path",
+        F.lit(now).alias("updated_at"),
+        F.lit(model_date).alias("date"),
+    )
+    _write_days(rows, store.path("production_summary"))

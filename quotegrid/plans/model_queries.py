@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from quotegrid.config import TrainConfig
 from quotegrid.functions.time import day_of_ns
-from quotegrid.models.boosting import fit_symbols, predict_rows
+from quotegrid.models.boosting import fit_symbols, score_stored, stored_importance
 from quotegrid.operators import splits as sp
 from quotegrid.operators.metrics import evaluate
 from quotegrid.plans.catalog import query
@@ -16,17 +16,18 @@ from quotegrid.operators.registry import read_registry
 from quotegrid.plans.grid_queries import COARSE, COARSE_SQL, KEPT_SQL, LIVE_SQL, features, live
 from quotegrid.plans.jobs import Store, run_production, run_walk_forward
 from quotegrid.plans.table_queries import LOOKBACK_DAYS
-from quotegrid.session import materialize, scratch_path
+from quotegrid.session import scratch_path
 from quotegrid.sources import testdata as td
 from quotegrid.sources.quotes import write_by_symbol_day
 from quotegrid.streaming.live import with_live_columns
 from quotegrid.streaming.scoring import score_live
 
 LABEL = COARSE.label_column
-# One window over all days: the whole feature table is used, as train, validation or test rows.
-WINDOW = TrainConfig(train_days=20, val_days=2, test_days=7, max_iter=5, max_depth=4, step_size=0.3, max_bins=64)
+# One window over all 30 days: the whole feature table is used, as train, validation or test rows. Longer tables have
+# more windows. Small trees, but as many as the validation days ask for.
+WINDOW = TrainConfig(train_days=20, val_days=2, test_days=7, max_iter=60, patience=4, max_depth=4, step_size=0.3, max_bins=64)
 LEAD_DAYS = WINDOW.train_days + WINDOW.val_days + 1
-PRODUCTION = TrainConfig(train_days=26, val_days=3, max_iter=4, max_depth=3, step_size=0.3, max_bins=64)
+PRODUCTION = TrainConfig(train_days=26, val_days=3, max_iter=60, patience=4, max_depth=3, step_size=0.3, max_bins=64)
 MODEL_AFTER_DAYS = 20
 NOW = datetime(2024, 2, 1)
 
@@ -37,12 +38,14 @@ def first_feature_span(spark, sf):
 
 
 def window_rows(spark, sf):
-    """Feature rows with their role in the window, written once since every fit reads them."""
+    """Feature rows with window and role, written once by window and symbol since every fit reads its own."""
     split = sp.walk_forward_splits(first_feature_span(spark, sf), WINDOW.train_days, WINDOW.val_days, WINDOW.test_days)
-    split = split.where("window_id = 0")  # later windows would give a day several roles
     f = features(spark, sf)
-    days = split.select("symbol", F.col("date").alias("feature_date"), "role")
-    return materialize(f.join(days, ["symbol", "feature_date"]))
+    days = split.select("symbol", F.col("date").alias("feature_date"), "window_id", "role")
+    path = scratch_path(spark, "window-rows")
+    rows = f.join(days, ["symbol", "feature_date"]).withColumn("part", F.col("symbol"))
+    rows.repartition("window_id", "part", "feature_date").write.partitionBy("window_id", "part").parquet(path)
+    return spark.read.parquet(path)
 
 
 def symbols_of(spark, sf) -> list[str]:
@@ -50,27 +53,45 @@ def symbols_of(spark, sf) -> list[str]:
 
 
 def fitted(spark, sf):
+    """The rows, and by window the paths of the symbols' stored models."""
     rows = window_rows(spark, sf)
-    models, failed = fit_symbols(rows, symbols_of(spark, sf), COARSE.feature_columns, LABEL, WINDOW)
-    if failed:
-        raise RuntimeError(f"fits failed: {failed}")
-    return rows, models
+    base = scratch_path(spark, "models")
+    paths: dict[int, dict[str, str]] = {}
+    for window in sorted(r["window_id"] for r in rows.select("window_id").distinct().collect()):
+
+        def save(model, window=window) -> str:
+            model.save(path := f"{base}/{window}/{model.symbol}")
+            return path
+
+        mine = rows.where(F.col("window_id") == window)
+        paths[window], failed = fit_symbols(mine, symbols_of(spark, sf), COARSE.feature_columns, LABEL, WINDOW, save)
+        if failed:
+            raise RuntimeError(f"fits failed: {failed}")
+    return rows, paths
+
+
+def _union(parts):
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 @query("gbt_predict")
 def gbt_predict(spark, sf):
-    rows, models = fitted(spark, sf)
-    return predict_rows(models, rows.where("role = 'test'").drop("role"), LABEL)
+    """Every test row, scored by the stored model of its window and symbol; all symbols in one pass."""
+    rows, paths = fitted(spark, sf)
+    tests = rows.where("role = 'test'")
+    keys = ["feature_date", "timestamp"]
+    return _union([score_stored(tests.where(F.col("window_id") == w), p, LABEL, COARSE.feature_columns, keys) for w, p in paths.items()])
 
 
 @query("feature_importance")
 def feature_importance(spark, sf):
-    _, models = fitted(spark, sf)
-    out = None
-    for _, m in sorted(models.items()):
-        part = m.importance(spark)
-        out = part if out is None else out.unionByName(part)
-    return out.orderBy("symbol", F.desc("importance_gain"), "feature")
+    """Gain share and splits of every feature, from the stored trees' nodes."""
+    _, paths = fitted(spark, sf)
+    parts = [stored_importance(spark, sorted(p.values())).withColumn("window_id", F.lit(w).cast("bigint")) for w, p in paths.items()]
+    return _union(parts).orderBy("window_id", "symbol", F.desc("importance_gain"), "feature")
 
 
 @query(
@@ -115,12 +136,7 @@ def results_tables(spark, sf):
 )
 def production_metrics(spark, sf):
     """A production run for the last day: scores on its validation days and its registry rows."""
-    store = Store(scratch_path(spark, "production"))
-    q = td.quotes(spark, sf)
-    sizes = q.select("symbol").distinct().withColumn("tick_size", F.lit(0.01))
-    last = td.symbol_spans(spark, sf).first()["last_day"]
-    status = run_production(q, symbols_of(spark, sf), sizes, last + timedelta(days=1), COARSE, PRODUCTION, store, NOW)
-    code = status.first()["exit_code"]
+    store, code = production_run(spark, sf)
     summary = spark.read.parquet(store.path("production_run_summary"))
     models = read_registry(spark, store.path("registry")).groupBy("symbol", "model_date").agg(F.count(F.lit(1)).alias("models"))
     finite = ~F.isnan("metrics.rmse") & ~F.isnan("metrics.mae") & (F.col("metrics.rmse") > 0)
@@ -129,6 +145,49 @@ def production_metrics(spark, sf):
     )
 
 
+def production_run(spark, sf):
+    """The store of a production run after the last day, and its exit code."""
+    store = Store(scratch_path(spark, "production"))
+    q = td.quotes(spark, sf)
+    sizes = q.select("symbol").distinct().withColumn("tick_size", F.lit(0.01))
+    last = td.symbol_spans(spark, sf).first()["last_day"]
+    status = run_production(q, symbols_of(spark, sf), sizes, last + timedelta(days=1), COARSE, PRODUCTION, store, NOW)
+    return store, status.first()["exit_code"]
+
+
+@query(
+    "production_summary",
+    f"""WITH {COARSE_SQL}, b AS (SELECT max(date) AS last_day FROM days),
+    r AS (SELECT symbol, last_day AS model_date, count(*) AS n, count(DISTINCT feature_date) AS scored_days FROM f, b
+      WHERE {KEPT_SQL} AND feature_date > last_day - {PRODUCTION.val_days} GROUP BY ALL)
+    SELECT symbol, model_date, 'production' AS mode, n, model_date - {PRODUCTION.val_days - 1} AS first_val_day, model_date AS last_val_day,
+      {PRODUCTION.val_days}::BIGINT AS val_days, model_date - {PRODUCTION.val_days + PRODUCTION.train_days - 1} AS first_train_day,
+      model_date - {PRODUCTION.val_days} AS last_train_day, {PRODUCTION.train_days}::BIGINT AS train_days, true AS agrees FROM r""",
+)
+def production_summary(spark, sf):
+    """What a production run says of its models; its overall scores next to those of the stored predictions."""
+    store, _ = production_run(spark, sf)
+    told = spark.read.parquet(store.path("production_summary"))
+    again = evaluate(spark.read.parquet(store.path("production_predictions")), ["symbol"]).select("symbol", "rmse", "mae", "qlike")
+    near = [F.abs(F.col(f"validation_metrics.{m}") - F.col(m)) < 1e-9 for m in ("rmse", "mae", "qlike")]
+    edge = lambda c: (F.array_min(c), F.array_max(c), F.size(c).cast("bigint"))
+    first_train, last_train, n_train = edge("train_dates")
+    first_val, last_val, n_val = edge("val_dates")
+    return told.join(again, "symbol").select(
+        "symbol",
+        F.col("date").alias("model_date"),
+        "mode",
+        F.col("validation_metrics.n").alias("n"),
+        first_val.alias("first_val_day"),
+        last_val.alias("last_val_day"),
+        n_val.alias("val_days"),
+        first_train.alias("first_train_day"),
+        last_train.alias("last_train_day"),
+        n_train.alias("train_days"),
+        (near[0] & near[1] & near[2]).alias("agrees"),
+    )
+
+
 @query(
     "scored_status",
     f"""WITH {LIVE_SQL}, b AS (SELECT min(date) AS first_day FROM days),
@@ -138,15 +197,15 @@ def production_metrics(spark, sf):
 )
 def scored_status(spark, sf):
     """Live features of the whole history scored with the models in force; status counts per symbol."""
-    rows, models = fitted(spark, sf)
-    base = scratch_path(spark, "models")
+    _, paths = fitted(spark, sf)
     first = td.symbol_spans(spark, sf).first()["first_day"]
-    entries = []
-    for symbol, m in sorted(models.items()):
-        if symbol == "error":
-            continue  # no model was published for this symbol
-        m.save(f"{base}/{symbol}")
-        entries.append((symbol, first + timedelta(days=MODEL_AFTER_DAYS), f"{base}/{symbol}", NOW))
+    # no model was published for one symbol; each window's models are in force from its own days on
+    entries = [
+        (symbol, first + timedelta(days=MODEL_AFTER_DAYS + WINDOW.test_days * k), path, NOW)
+        for k, window in enumerate(sorted(paths))
+        for symbol, path in sorted(paths[window].items())
+        if symbol != "error"
+    ]
     registry = spark.createDataFrame(entries, "symbol string, model_date date, path string, updated_at timestamp")
     stream_rows = with_live_columns(live(spark, sf), COARSE)
     scored = score_live(stream_rows, registry, COARSE.feature_columns, 30 * LOOKBACK_DAYS, COARSE.grid)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from quotegrid.config import GridConfig
@@ -18,6 +20,7 @@ from quotegrid.session import scratch_path
 from quotegrid.sources import testdata as td
 from quotegrid.sources.assets import join_tick_size, parse_assets, unknown_symbols
 from quotegrid.sources.quotes import (
+    QuoteTable,
     missing_partitions,
     read_partition,
     read_quote_files,
@@ -28,10 +31,12 @@ from quotegrid.sources.quotes import (
     write_by_symbol_day,
     write_quote_csv,
 )
+from quotegrid.sources.rawdays import BackfilledQuotes, RawDays, dated_quotes
 from quotegrid.sources.vendor import vendor_day_scan, vendor_to_quotes
 
 UTC_DAYS = GridConfig()
 INGEST_TIME_US = 1_706_745_600_000_000
+INGEST_TIME = datetime(2024, 2, 1)
 TRAIN_DAYS, VAL_DAYS, TEST_DAYS = 7, 1, 2
 LOOKBACK_DAYS = 2
 
@@ -170,12 +175,18 @@ RAW_TASKS_SQL = f"""{SPANS_SQL}, resolved AS (SELECT symbol, date FROM cal WHERE
     WHERE (event_type, CAST(ts AS DATE)) IN (SELECT (symbol, date) FROM resolved) GROUP BY ALL""",
 )
 def raw_backfill(spark, sf):
-    from quotegrid.plans.jobs import backfill_raw
-
-    required = sp.calendar(td.symbol_spans(spark, sf), "first_day", "last_day")
+    """Days without a file are fetched, committed and read back; files serve the others."""
+    required = sp.calendar(td.symbol_spans(spark, sf), "first_day", "last_day").select("symbol", "date")
     present = td.manifest(spark, sf).select("symbol", "date").distinct()
     files = with_day(td.quotes(spark, sf), UTC_DAYS).join(present, ["symbol", "date"], "left_semi")
-    raw = backfill_raw(files, required, present, td.vendor_rows(spark, sf), INGEST_TIME_US, UTC_DAYS)
+    vendor = vendor_day_scan(td.vendor_rows(spark, sf))
+    source = BackfilledQuotes(
+        QuoteTable(files, UTC_DAYS, present),
+        RawDays(scratch_path(spark, "raw-days")),
+        lambda _, days: dated_quotes(vendor, INGEST_TIME),
+        INGEST_TIME,
+    )
+    raw, _ = source.for_days(required)
     return raw.groupBy("symbol", "date", "source").agg(F.count(F.lit(1)).alias("rows"))
 
 

@@ -26,6 +26,11 @@ QUOTE_CSV_SCHEMA = T.StructType(
     ]
 )
 
+QUOTE_COLUMNS = (
+    "exchange string, symbol string, ts_ns bigint, local_ts_ns bigint, update_id bigint, bid_price double,"
+    " ask_price double, bid_amount double, ask_amount double"
+)
+
 # Name of a symbol-day quote file and the order in which candidates are tried.
 QUOTE_FILE_PATTERN = r"binance-futures_book_ticker_(\d{4}-\d{2}-\d{2})_([^/]+?)(\.csv\.zst|\.csv\.gz)$"
 SOURCE_ORDER = (("primary", ".csv.zst"), ("primary", ".csv.gz"), ("fallback", ".csv.zst"), ("fallback", ".csv.gz"))
@@ -106,10 +111,10 @@ class QuoteFiles:
     The listing is read once and kept as a small table.
     """
 
-    def __init__(self, spark: SparkSession, roots: dict[str, str]):
+    def __init__(self, spark: SparkSession, roots: dict[str, str], may_be_empty: bool = False):
         self.sparkSession = spark
         self.best = materialize(resolve_sources(list_quote_files(spark, roots)), "quote-files")
-        if self.best.isEmpty():
+        if not may_be_empty and self.best.isEmpty():
             raise FileNotFoundError(f"no quote files below {sorted(roots.values())}")
 
     def for_days(self, raw: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -118,7 +123,7 @@ class QuoteFiles:
         # file names of the asked days only; a scan needs them in the driver anyway
         paths = [r["path"] for r in have.select("path").orderBy("path").collect()]
         if not paths:
-            return self.sparkSession.createDataFrame([], read_quote_files(self.sparkSession, [self.best.first()["path"]]).schema), have
+            return self.sparkSession.createDataFrame([], QUOTE_COLUMNS), have
         return read_quote_files(self.sparkSession, paths), have
 
 
@@ -136,20 +141,33 @@ def serve_feature_days(quotes: DataFrame, grid: GridConfig) -> DataFrame:
     return with_day(quotes, grid).withColumn("feature_date", F.explode(days))
 
 
-def quotes_for(quotes: DataFrame | QuoteFiles, tasks: DataFrame, grid: GridConfig) -> tuple[DataFrame, DataFrame]:
+class QuoteTable:
+    """Quotes of a table, which should have a ``date`` column it is partitioned by, or it is scanned as a whole.
+
+    Days with a row are there, unless ``present`` (symbol, date) says which.
+    """
+
+    def __init__(self, quotes: DataFrame, grid: GridConfig = GridConfig(), present: DataFrame | None = None):
+        self.sparkSession, self.present = quotes.sparkSession, present
+        self.quotes = quotes if "date" in quotes.columns else with_day(quotes, grid)
+
+    def for_days(self, raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+        rows = self.quotes.join(small_side(raw), ["symbol", "date"], "left_semi")
+        there = rows.select("symbol", "date").distinct() if self.present is None else self.present.join(raw, ["symbol", "date"], "left_semi")
+        return rows, there
+
+
+def quotes_for(quotes, tasks: DataFrame, grid: GridConfig) -> tuple[DataFrame, DataFrame]:
     """Quotes of the raw days that the ``(symbol, feature_date)`` tasks need, and the days that are there.
 
-    Of quote files only those days' files are opened, and the listing tells which days are there. A quote
-    table should have a ``date`` column it is partitioned by, or it is scanned as a whole.
+    ``quotes`` is a table or something with ``for_days``: of quote files only those days' files are opened.
     """
     days = [F.col("feature_date"), F.date_sub("feature_date", 1)] if grid.use_prev_day else [F.col("feature_date")]
     raw = tasks.select("symbol", F.explode(F.array(*days)).alias("date")).distinct()
-    if isinstance(quotes, QuoteFiles):
-        rows, have = quotes.for_days(raw)
-        return with_day(rows, grid).join(small_side(raw), ["symbol", "date"], "left_semi"), have.select("symbol", "date")
-    dated = quotes if "date" in quotes.columns else with_day(quotes, grid)
-    rows = dated.join(small_side(raw), ["symbol", "date"], "left_semi")
-    return rows, rows.select("symbol", "date").distinct()
+    if isinstance(quotes, DataFrame):
+        return QuoteTable(quotes, grid).for_days(raw)
+    rows, have = quotes.for_days(raw)
+    return with_day(rows, grid).join(small_side(raw), ["symbol", "date"], "left_semi"), have.select("symbol", "date")
 
 
 def write_by_symbol_day(df: DataFrame, path: str, time_col: str, mode: str = "overwrite", date_col: str = "date") -> None:
