@@ -383,7 +383,8 @@ def read_archives(index: DataFrame, folder: str, size: int = CHUNK, payloads: bo
     An archive is read by one task, from its start to its end; the index tells its size, and writers keep it bounded.
     """
     spark = index.sparkSession
-    archives = index.select("archive").distinct().repartition(width(spark), "archive")
+    # by range: a hash partitioning would be taken from the distinct before it, whose tasks are joined when rows are few
+    archives = index.select("archive").distinct().repartitionByRange(width(spark), "archive")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, path = files.open_folder(folder)
