@@ -169,7 +169,8 @@ def production_summary(spark, sf):
     store, _ = production_run(spark, sf)
     told = spark.read.parquet(store.path("production_summary"))
     again = evaluate(spark.read.parquet(store.path("production_predictions")), ["symbol"]).select("symbol", "rmse", "mae", "qlike")
-    near = [F.abs(F.col(f"validation_metrics.{m}") - F.col(m)) < 1e-9 for m in ("rmse", "mae", "qlike")]
+    told_of = lambda m: F.col(f"validation_metrics.{m}")
+    near = [F.abs(told_of(m) - F.col(m)) <= 1e-9 * F.greatest(F.abs(told_of(m)), F.lit(1.0)) for m in ("rmse", "mae", "qlike")]
     edge = lambda c: (F.array_min(c), F.array_max(c), F.size(c).cast("bigint"))
     first_train, last_train, n_train = edge("train_dates")
     first_val, last_val, n_val = edge("val_dates")
