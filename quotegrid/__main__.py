@@ -14,8 +14,9 @@ from quotegrid.operators.registry import read_registry
 from quotegrid.plans.jobs import Store, build_features, run_production, run_walk_forward
 from quotegrid.session import build_session
 from quotegrid.streaming.events import read_event_files, read_event_topic
-from quotegrid.streaming.live import live_features, use_rocksdb
+from quotegrid.streaming.live import clock, live_features, use_rocksdb
 from quotegrid.streaming.scoring import score_and_send
+from quotegrid.streaming.sinks import CommitLog, folder_sink, sent_once, topic_sink
 
 
 def _spans(spark: SparkSession, cfg: JobConfig) -> DataFrame:
@@ -54,27 +55,29 @@ def production(spark: SparkSession, cfg: JobConfig, now: datetime, reference_dat
 
 
 def live(spark: SparkSession, cfg: JobConfig, available_now: bool) -> int:
-    """Score the event stream and write one JSON message per instant until stopped."""
+    """Score the event stream and send one JSON message per instant until stopped."""
     use_rocksdb(spark)
     if cfg.live.kafka_servers:
         events = read_event_topic(spark, cfg.live.kafka_servers, cfg.live.events)
     else:
         events = read_event_files(spark, cfg.live.events)
 
-    def send(messages: DataFrame, batch_id: int) -> None:
-        # One folder per batch, replaced if the batch is run again.
-        messages.select("value").write.mode("overwrite").text(f"{cfg.live.out}/batch={batch_id}")
-
+    conf = cfg.live
+    sink = topic_sink(conf.kafka_servers, conf.out) if conf.kafka_servers else folder_sink(conf.out)
+    log = CommitLog(spark, conf.log or f"{conf.checkpoint.rstrip('/')}-sent")
     body = score_and_send(
         lambda: read_registry(spark, Store(cfg.store).path("registry")),
-        send,
+        sent_once(sink, log),
         cfg.features.feature_columns,
         cfg.live.lookback_days,
         cfg.features.grid,
     )
+    ticks = clock(spark, conf.clock_per_second) if conf.clock_per_second else None
+    rows = live_features(
+        events, cfg.features, conf.warmup_minutes, conf.delay, ticks=ticks, max_ahead_s=conf.max_ahead_s, max_age_s=conf.max_age_s
+    )
     writer = (
-        live_features(events, cfg.features, cfg.live.warmup_minutes, cfg.live.delay)
-        .writeStream.foreachBatch(body)
+        rows.writeStream.foreachBatch(body)
         .option("checkpointLocation", cfg.live.checkpoint)
     )
     if available_now:

@@ -30,7 +30,10 @@ def _make(cls, values: dict | None, **more):
 
 @dataclass(frozen=True)
 class LiveConfig:
-    """``events`` is a folder of JSON lines; with ``kafka_servers`` it is a topic."""
+    """``events`` is a folder of JSON lines and ``out`` a folder of messages; with ``kafka_servers`` both are topics.
+
+    ``clock_per_second`` ticks move the grid on while the feed is silent; 0 is for recorded feeds.
+    """
 
     events: str = ""
     out: str = ""
@@ -39,6 +42,10 @@ class LiveConfig:
     warmup_minutes: int = DEFAULT_LIVE_WARMUP_MINUTES
     lookback_days: int = DEFAULT_MODEL_LOOKBACK_DAYS
     delay: str = "1 second"
+    clock_per_second: int = 0
+    max_ahead_s: int = 60
+    max_age_s: int | None = None
+    log: str | None = None  # folder of the log of sent batches; beside the checkpoint, if not set
 
 
 @dataclass(frozen=True)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 # Event names and message fields of the feed; times are in microseconds.
 BOOK_TICKER = "bookTicker"
 SYMBOL = "symbol"
+CLOCK = "clock"  # not of the feed: the time, told to a stream whose feed is silent
 IGNORED_EVENTS = ("trade", "depth", "account", "order", "position", "balance")
 EVENT_SCHEMAS = {
     "order": "event string, account string, clOrdID string, orderID string, symbol string, side string, "

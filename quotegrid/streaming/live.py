@@ -7,6 +7,7 @@ of prefix sums at its far end, so its length costs state but no time.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,7 +19,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from quotegrid.config import FeatureConfig
 from quotegrid.functions.time import floor_div, time_of_day_columns
 from quotegrid.operators.features import ratio_columns
-from quotegrid.streaming.events import SYMBOL, live_messages
+from quotegrid.streaming.events import CLOCK, SYMBOL, live_messages
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 # Instants packed into one state value; a burst is emitted in batches of some chunks.
@@ -31,8 +32,9 @@ def use_rocksdb(spark: SparkSession) -> None:
 
 
 def _newest_per_cell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Map-side reduction: of the quotes for one instant only the highest update id matters."""
+    """Map-side reduction: of the quotes for one instant only the highest update id matters. Clock rows end here."""
     for pdf in batches:
+        pdf = pdf[pdf["symbol"].notna()]
         sizes = pdf[pdf["tick_size"].notna()]
         quotes = pdf[pdf["tick_size"].isna()].sort_values("update_id", kind="stable")
         yield pd.concat([sizes, quotes.drop_duplicates(["symbol", "cell"], keep="last")])
@@ -49,22 +51,24 @@ class LiveVolatility(StatefulProcessor):
     def __init__(self, windows: list[int], warmup: int, interval_ns: int, origin_ns: int, chunk: int = CHUNK):
         self.windows, self.warmup, self.chunk = windows, warmup, chunk
         self.interval_ns, self.origin_ns = interval_ns, origin_ns
+        # as many squares of it as a window has points still fit in a long; windows with a larger move have no volatility
+        self.largest = math.isqrt((2**63 - 1) // (2 * max(windows)))
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.head = handle.getValueState(
             "head",
             "next_cell bigint, samples bigint, update_id bigint, bid double, ask double, tick double, "
-            "mid_tick double, s1 bigint, s2 bigint",
+            "mid_tick double, s1 bigint, s2 bigint, bad bigint",
         )
         self.pending = handle.getMapState("pending", "chunk bigint", "rows binary")
-        self.sums = handle.getMapState("sums", "chunk bigint", "s1 binary, s2 binary")
+        self.sums = handle.getMapState("sums", "chunk bigint", "s1 binary, s2 binary, bad binary")
 
     def close(self) -> None:
         pass
 
     def handleInputRows(self, key, rows, timerValues):
-        head = self.head.get() if self.head.exists() else (None, 0, NO_ID, None, None, None, None, 0, 0)
+        head = self.head.get() if self.head.exists() else (None, 0, NO_ID, None, None, None, None, 0, 0, 0)
         for pdf in rows:
             head = self._take(head, pdf)
         yield from self._emit(key, head, timerValues)
@@ -133,7 +137,7 @@ class LiveVolatility(StatefulProcessor):
         return np.concatenate(taken)
 
     def _advance(self, key, head, upto, due):
-        start, samples, uid, bid, ask, tick, mid, s1, s2 = head
+        start, samples, uid, bid, ask, tick, mid, *sums = head
         quotes, sizes = due[np.isnan(due["tick"])], due[~np.isnan(due["tick"])]
         best = np.maximum.accumulate(np.concatenate([[uid], quotes["uid"]]))
         quotes = quotes[quotes["uid"] > best[:-1]]  # an older id never replaces a newer one
@@ -141,21 +145,26 @@ class LiveVolatility(StatefulProcessor):
         bids = _in_force(at, quotes["cell"], quotes["bid"], bid)
         asks = _in_force(at, quotes["cell"], quotes["ask"], ask)
         ticks = _in_force(at, sizes["cell"], sizes["tick"], tick)
-        mids = np.round((bids + asks) / 2.0 / ticks, 1)
+        with np.errstate(over="ignore"):
+            mids = np.round((bids + asks) / 2.0 / ticks, 1)
         if len(quotes):
             uid, bid, ask = int(quotes["uid"][-1]), float(quotes["bid"][-1]), float(quotes["ask"][-1])
         if len(sizes):
             tick = float(sizes["tick"][-1])
         known = np.flatnonzero(~np.isnan(mids))
         if len(known) == 0:
-            return (upto + 1, samples, uid, bid, ask, tick, mid, s1, s2), None
+            return (upto + 1, samples, uid, bid, ask, tick, mid, *sums), None
         mids, cells = mids[known[0] :], at[known[0] :]  # once quote and size are known they stay known
         before = np.concatenate([[mids[0] if mid is None else mid], mids[:-1]])
-        x = np.rint((mids - before) * 10).astype(np.int64)
-        p1, p2 = s1 + np.cumsum(x), s2 + np.cumsum(x * x)
+        with np.errstate(invalid="ignore", over="ignore"):
+            tenths = np.rint((mids - before) * 10)
+            usable = np.abs(tenths) <= self.largest  # not so for infinite mids either
+        x = np.where(usable, tenths, 0.0).astype(np.int64)
+        # sums may run over the ends of a long: the difference of two of them is right all the same
+        sums = [np.int64(s) + np.cumsum(v) for s, v in zip(sums, (x, x * x, (~usable).astype(np.int64)), strict=True)]
         counts = samples + 1 + np.arange(len(mids))
-        vols = self._volatilities(counts, samples, p1, p2)
-        self._store(samples, p1, p2)
+        vols = self._volatilities(counts, samples, sums)
+        self._store(samples, sums)
         out = pd.DataFrame(
             {
                 "symbol": key[0],
@@ -166,44 +175,44 @@ class LiveVolatility(StatefulProcessor):
                 **{f"v{k}": v for k, v in enumerate(vols)},
             }
         )
-        return (upto + 1, int(counts[-1]), uid, bid, ask, tick, float(mids[-1]), int(p1[-1]), int(p2[-1])), out
+        return (upto + 1, int(counts[-1]), uid, bid, ask, tick, float(mids[-1]), *(int(s[-1]) for s in sums)), out
 
-    def _volatilities(self, counts, samples, p1, p2):
+    def _volatilities(self, counts, samples, sums):
         """Population std per window; sample ``k`` (from 1) has its sums at position ``k``."""
         out = []
         for w in self.windows:
-            b1, b2 = self._sums_at(counts - w, samples, p1, p2)
-            a, b = (p1 - b1).astype(float), (p2 - b2).astype(float)
+            a, b, bad = (s - far for s, far in zip(sums, self._sums_at(counts - w, samples, sums), strict=True))
+            a, b = a.astype(float), b.astype(float)
             std = np.sqrt(np.maximum(w * b - a * a, 0.0) / (100.0 * w * w))
-            out.append(np.where(counts < w, np.nan, std))
+            out.append(np.where((counts < w) | (bad > 0), np.nan, std))
         return out
 
-    def _sums_at(self, pos, samples, p1, p2):
+    def _sums_at(self, pos, samples, sums):
         """Prefix sums at consecutive sample positions; zero at and before position 0."""
-        b1, b2 = np.zeros(len(pos), np.int64), np.zeros(len(pos), np.int64)
+        found = [np.zeros(len(pos), np.int64) for _ in sums]
         new = pos > samples
-        b1[new], b2[new] = p1[pos[new] - samples - 1], p2[pos[new] - samples - 1]
+        for f, s in zip(found, sums, strict=True):
+            f[new] = s[pos[new] - samples - 1]
         old = np.flatnonzero((pos > 0) & ~new)
         if len(old):
             index = pos[old] - 1
             for chunk in range(int(index[0]) // self.chunk, int(index[-1]) // self.chunk + 1):
-                c1, c2 = (np.frombuffer(v, np.int64) for v in self.sums.getValue((chunk,)))
                 here = index // self.chunk == chunk
-                b1[old[here]], b2[old[here]] = c1[index[here] % self.chunk], c2[index[here] % self.chunk]
-        return b1, b2
+                for f, kept in zip(found, self.sums.getValue((chunk,)), strict=True):
+                    f[old[here]] = np.frombuffer(kept, np.int64)[index[here] % self.chunk]
+        return found
 
-    def _store(self, samples, p1, p2):
+    def _store(self, samples, sums):
         """Append the new sums to their chunks and drop chunks no window reaches any more."""
-        index = samples + np.arange(len(p1))
+        index = samples + np.arange(len(sums[0]))
         for chunk in range(int(index[0]) // self.chunk, int(index[-1]) // self.chunk + 1):
             here = index // self.chunk == chunk
-            n1, n2 = p1[here].tobytes(), p2[here].tobytes()
+            new = [s[here].tobytes() for s in sums]
             if index[here][0] % self.chunk:
-                o1, o2 = self.sums.getValue((chunk,))
-                n1, n2 = bytes(o1) + n1, bytes(o2) + n2
-            self.sums.updateValue((chunk,), (n1, n2))
+                new = [bytes(o) + n for o, n in zip(self.sums.getValue((chunk,)), new, strict=True)]
+            self.sums.updateValue((chunk,), tuple(new))
         oldest = (int(index[-1]) + 1 - max(self.windows)) // self.chunk - 1
-        for chunk in range(oldest, max(oldest - len(p1) // self.chunk - 2, -1), -1):
+        for chunk in range(oldest, max(oldest - len(sums[0]) // self.chunk - 2, -1), -1):
             if chunk >= 0 and self.sums.containsKey((chunk,)):
                 self.sums.removeKey((chunk,))
 
@@ -223,16 +232,41 @@ def _in_force(at: np.ndarray, cells: np.ndarray, values: np.ndarray, before: flo
     return np.concatenate([[np.nan if before is None else before], values])[k]
 
 
+def clock(spark: SparkSession, per_second: int = 1) -> DataFrame:
+    """A stream of the times at which it is read, as ``time_us``."""
+    ticks = spark.readStream.format("rate").option("rowsPerSecond", per_second).load()
+    return ticks.select(F.unix_micros("timestamp").alias("time_us"))
+
+
 def live_features(
-    events: DataFrame, cfg: FeatureConfig, warmup_minutes: int, delay: str = "1 second", chunk: int = CHUNK
+    events: DataFrame,
+    cfg: FeatureConfig,
+    warmup_minutes: int,
+    delay: str = "1 second",
+    chunk: int = CHUNK,
+    ticks: DataFrame | None = None,
+    max_ahead_s: int = 60,
+    max_age_s: int | None = None,
 ) -> DataFrame:
-    """Feature rows per grid instant from a stream of JSON events in column ``value``."""
+    """Feature rows per grid instant from a stream of JSON events in column ``value``.
+
+    Event time moves on with the messages and, with a stream ``ticks`` of times (``clock``), also while no
+    message comes: every instant is then emitted with the quote that is still in force. A message whose time lies more than
+    ``max_ahead_s`` after its arrival, or more than ``max_age_s`` before it, is skipped: it would move all symbols
+    to its time, or a new symbol's first instant back to it. Without ``max_age_s`` a recorded feed can be played.
+    """
     grid = cfg.grid
     ns = F.col("time_us") * 1000 - F.lit(grid.origin_ns)
     cell = floor_div(ns + F.lit(grid.interval_ns - 1), grid.interval_ns)
+    arrived = F.unix_micros(F.current_timestamp())
+    timely = F.col("time_us") <= arrived + max_ahead_s * 1_000_000
+    if max_age_s is not None:
+        timely = timely & (F.col("time_us") >= arrived - max_age_s * 1_000_000)
+    messages = live_messages(events).where(F.col("time_us").isNull() | timely)
+    if ticks is not None:
+        messages = messages.unionByName(ticks.select("time_us", F.lit(CLOCK).alias("route")), allowMissingColumns=True)
     rows = (
-        live_messages(events)
-        .withColumn("cell", cell)
+        messages.withColumn("cell", cell)
         .withColumn("event_time", F.when(F.col("route") != SYMBOL, F.timestamp_micros("time_us")))
         .withWatermark("event_time", delay)
         # The watermark only drives the timers: without the time column no late row is dropped,
