@@ -17,11 +17,11 @@ rows without a language are not learnt from; other columns are not looked at.
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,7 +37,7 @@ NARROW = 0.02  # of the smallest size; a second look below
 REJECT = 0.01  # of the smallest size; not accepted below
 SLICE = 1 << 20
 
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")  # numbers that are words, such as Roman numerals or fractions, are no letters
 _ASCII = bytes(c if chr(c).isalpha() or c >= 128 else 32 for c in range(256))
 
 

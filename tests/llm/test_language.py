@@ -1,4 +1,6 @@
 import odd
+import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from quotegrid.llm import language as X
@@ -45,3 +47,32 @@ def test_a_common_opening_does_not_fill_the_dictionary(spark):
     model = X.learn(spark.createDataFrame([(header + body(i), "en") for i in range(100)], "text string, lang string"))
     raw = model.dictionaries["en"]
     assert len(raw) > 20 * X.PIECE and raw.count(b"publisher") < 60
+
+
+@pytest.mark.parametrize("text", ["½ ² 12", "Ⅷ ⅷ ①", "٣٤ _", "\u0300 \u20dd", "…!?"])
+def test_texts_without_a_letter_have_no_language(text):
+    classifier = X.Classifier(X.LanguageModel({"aa": b"lorem ipsum dolor sit amet " * 4}))
+    assert classifier.predict(text)[0] == "und" and classifier.predict(text + "ª")[0] == "aa"
+
+
+def test_languages_equal_plain_compression(spark):
+    """Against one call of the library for each language and text, with nothing prepared or cut into a fast and a deep look."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = X.learn(docs.where(~held_out(F.col("doc_id"))))
+    texts = dict(tuple(r) for r in docs.select("doc_id", "text").collect())
+    seen = 0
+    for r in X.predict_languages(docs, model).collect():
+        raw = X.letters(texts[r.doc_id] or "")
+        if r.lang_pred == "und":
+            assert not raw or not any(c.isalpha() for c in texts[r.doc_id])
+            continue
+        sizes = {}
+        for lang, words in model.dictionaries.items():
+            held = zstandard.ZstdCompressionDict(words, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            plain = zstandard.ZstdCompressor(level=X.LEVEL, dict_data=held, write_content_size=False, write_dict_id=False)
+            sizes[lang] = sum(len(plain.compress(raw[k : k + X.BLOCK])) for k in range(0, len(raw), X.BLOCK))
+        first, second = sorted(sizes.values())[:2]
+        if second - first > max(8, 2 * X.NARROW * first):
+            assert r.lang_pred == min(sizes, key=sizes.get), (r, sizes)
+            seen += 1
+    assert seen > 800
