@@ -1,7 +1,7 @@
 """Fuzzy line deduplication across documents, with DataFrame operations only.
 
 Lines are normalised to their lower-cased words. A line's SimHash is taken over its pairs of neighbouring words (single words
-would give all lines of a language nearly the same bits): 64 counters, two in each of 32 sums, are added up while pairs stream by. Two lines within ``radius`` bits agree in two of five blocks
+would give all lines of a language nearly the same bits): 64 counters, four in each of 16 sums, are added up while pairs stream by. Two lines within ``radius`` bits agree in two of five blocks
 of the SimHash at least (pigeonhole), so each pair of blocks is a join key. In a group of equal keys every line is compared
 with the group's first one; those it does not match are compared with all of the group that is not connected to them by then,
 so that thousands of copies make a star and not all pairs, and no link between groups is lost. Candidates within the radius and of fitting
@@ -12,8 +12,7 @@ Texts are not shuffled to find the groups. Where lines have to be fetched for ve
 rewritten, a bit set sends on only the documents concerned.
 
 Defined results: lines of fewer than ``min_words`` words are no candidates and stay, blank ones too; a null text stays null;
-rows that repeat a document (same id and text) are one document and are rewritten alike (a counter holds
-2^29 pairs of words of a line, over all rows that repeat it); a null id comes first;
+rows that repeat a document (same id and text) are one document and are rewritten alike; a null id comes first;
 a document may be left without a line (its text is then empty); other columns stay as they are.
 """
 
@@ -33,6 +32,7 @@ from quotegrid.session import materialize
 
 BLOCKS = (13, 13, 13, 13, 12)  # bits
 FEW = (6, 24)  # edits that are tried first
+SHORT = 1 << 14  # words of a line whose counters have 14 bits
 
 
 @dataclass(frozen=True)
@@ -55,37 +55,56 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def _lanes(word_hash: Column) -> list[Column]:
-    """32 sums; the lower half counts one bit, the upper half the bit 32 places on."""
-    mask = F.lit((1 << 32) + 1)
-    return [F.sum(F.shiftrightunsigned(word_hash, i).bitwiseAND(mask)).alias(f"s{i}") for i in range(32)]
+def _ones(lanes: int) -> int:
+    """A bit at the foot of each of the lanes of a word."""
+    return sum(1 << (64 // lanes * k) for k in range(lanes))
 
 
-def _majority(n: Column) -> Column:
-    """The bits that are set in more than half of the features, two counters at a time.
+def _lane_sums(word_hash: Column, lanes: int) -> list[Column]:
+    """64 / lanes sums; each lane of a sum counts one bit of the hashes."""
+    one = F.lit(_ones(lanes))
+    return [F.sum(F.shiftrightunsigned(word_hash, i).bitwiseAND(one)).alias(f"s{i}") for i in range(64 // lanes)]
 
-    Twice a count and 2^30 - 1 - n reaches bit 30 of its half if, and only if, it is more than n.
-    """
-    reach = (F.lit((1 << 30) - 1) - n) * F.lit((1 << 32) + 1)
-    both = [F.shiftrightunsigned(2 * F.col(f"s{i}") + reach, 30).bitwiseAND(F.lit((1 << 32) + 1)) for i in range(32)]
-    return reduce(lambda a, b: a.bitwiseOR(b), [F.shiftleft(x, i) for i, x in enumerate(both)])
 
+def _majority(n: Column, lanes: int) -> Column:
+    """The bits that are set in more than half of the n features, a lane of counters at a time.
 
-def line_table(docs: DataFrame, cfg: LineConfig = LineConfig()) -> DataFrame:
-    """doc_id, t (hash of the text), pos, h (hash of the normalised line), sim, chars of each line long enough."""
-    rows = docs.where("text is not null").select("doc_id", F.xxhash64("text").alias("t"), "text")
-    split = rows.select("doc_id", "t", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
-    norm = split.select("doc_id", "t", "pos", normal(F.col("line")).alias("norm"))
+    With ``top`` two bits below a lane's end, twice a count and 2^top - 1 - n reaches bit ``top`` if, and only if, it is more than n.
+    """
+    top, one = 64 // lanes - 2, F.lit(_ones(lanes))
+    reach = (F.lit((1 << top) - 1) - n) * one
+    every = [F.shiftrightunsigned(2 * F.col(f"s{i}") + reach, top).bitwiseAND(one) for i in range(64 // lanes)]
+    return reduce(lambda a, b: a.bitwiseOR(b), [F.shiftleft(x, i) for i, x in enumerate(every)])
+
+
+def _signed_lines(docs: DataFrame, cfg: LineConfig, lanes: int, words: tuple[int, int]) -> DataFrame:
+    """The line table for lines of a number of words between the two bounds. A word of a sum has that many lanes."""
+    # rows that repeat a document are kept apart: their counters must not be added up
+    row = F.monotonically_increasing_id().alias("row")
+    rows = docs.select(row, "doc_id", F.xxhash64("text").alias("t"), "text")
+    split = rows.select("row", "doc_id", "t", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
+    norm = split.select("row", "doc_id", "t", "pos", normal(F.col("line")).alias("norm"))
     # the line's own columns before its words are dealt out, or they would be computed for each word
-    chars = F.length("norm").alias("chars")
-    marked = norm.select("doc_id", "t", "pos", F.split("norm", " ", -1).alias("words"), F.xxhash64("norm").alias("h"), chars)
-    pairs = F.explode(F.sequence(F.lit(0), F.greatest(F.size("words") - 2, F.lit(0)))).alias("i")
-    each = marked.select("doc_id", "t", "pos", "h", "chars", "words", pairs)
+    own = ("row", "doc_id", "t", "pos", "h", "chars")
+    line = norm.select("row", "doc_id", "t", "pos", F.xxhash64("norm").alias("h"), F.length("norm").alias("chars"), F.split("norm", " ", -1).alias("words"))
+    line = line.select(*own, "words", F.size("words").alias("n"))
+    # lines of other lengths pass with one pair and go after the sums: a filter that reached this place would cut lines into words twice
+    last = F.when(F.col("n").between(*words), F.col("n") - 2).otherwise(0)
+    each = line.select(*own, "n", "words", F.explode(F.sequence(F.lit(0), last)).alias("i"))
     pair = F.xxhash64(F.get("words", F.col("i")), F.get("words", F.col("i") + 1))
-    each = each.select("doc_id", "t", "pos", "h", "chars", pair.alias("wh"))
-    sums = each.groupBy("doc_id", "t", "pos", "h", "chars").agg(F.count("*").alias("n"), *_lanes(F.col("wh")))
-    # short lines go here, as a filter ahead of the words would cut every line into words twice
-    return sums.where(F.col("n") >= cfg.min_words - 1).select("doc_id", "t", "pos", "h", _majority(F.col("n")).alias("sim"), "chars")
+    sums = each.select(*own, "n", pair.alias("wh")).groupBy(*own).agg(F.max("n").alias("n"), *_lane_sums(F.col("wh"), lanes))
+    return sums.where(F.col("n").between(*words)).select("doc_id", "t", "pos", "h", _majority(F.col("n") - 1, lanes).alias("sim"), "chars")
+
+
+def line_table(docs: DataFrame, cfg: LineConfig = LineConfig()) -> DataFrame:
+    """doc_id, t (hash of the text), pos, h (hash of the normalised line), sim, chars of each line long enough.
+
+    Counters have 14 bits for lines of up to ``SHORT`` words and 30 for longer ones, which only texts of many characters have.
+    """
+    docs = docs.where("text is not null")
+    short = _signed_lines(docs, cfg, 4, (max(cfg.min_words, 2), SHORT))
+    long_ = _signed_lines(docs.where(F.length("text") > 2 * SHORT), cfg, 2, (max(cfg.min_words, SHORT + 1), 1 << 30))
+    return short.unionByName(long_)
 
 
 def _keys() -> Column:

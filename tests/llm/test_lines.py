@@ -120,6 +120,26 @@ def test_odd_rows(spark):
     assert X.dedup_lines(odd.documents(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("copies", [2, 4])
+def test_rows_that_repeat_a_document_lose_no_short_line(spark, copies):
+    base = [(1, "x y z\nalpha\n\n\n" + BASE), (2, "x y z\nbeta\n\n"), (3, BASE + "\n\nx y z")]
+    docs = spark.createDataFrame(base * copies, "doc_id long, text string")
+    got = X.dedup_lines(docs).collect()
+    want = {1: base[0][1], 2: base[1][1], 3: "\nx y z"}
+    assert len(got) == 3 * copies
+    assert {(r.doc_id, r.text) for r in got} == set(want.items())
+
+
+def test_lines_of_very_many_words(spark, monkeypatch):
+    """Counters of 14 and of 30 bits give the same hashes."""
+    rows = [(1, " ".join(f"w{i % 97}" for i in range(40))), (2, " ".join(f"w{i % 89}" for i in range(40_000)) + "\nfive words are in here")]
+    docs = spark.createDataFrame(rows + rows[1:], "doc_id long, text string")
+    found = {(r.doc_id, r.pos): r.sim % 2**64 for r in X.line_table(docs).collect()}
+    assert found == {(d, i): simhash(words(line)) for d, text in rows for i, line in enumerate(text.split("\n"))}
+    monkeypatch.setattr(X, "SHORT", 16)
+    assert {(r.doc_id, r.pos): r.sim % 2**64 for r in X.line_table(docs).collect()} == found
+
+
 def test_documents_of_very_many_lines(spark):
     text = "\n".join(f"this is line number {i % 50} of them" for i in range(5000))
     got = X.dedup_lines(spark.createDataFrame([(1, text)], "doc_id long, text string")).first().text
