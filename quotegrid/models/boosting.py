@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from quotegrid.config import TrainConfig
 from quotegrid.models.worker import MISSING, predicted_volatility
 from quotegrid.operators.metrics import downsample_last
-from quotegrid.operators.quantiles import collect_quantiles, exact_quantiles, from_normal, to_normal
+from quotegrid.operators.quantiles import exact_quantiles, from_normal, quantile_array, to_normal
 from quotegrid.session import small_side
 
 
@@ -34,9 +34,7 @@ class VolatilityModel:
     def score(self, rows: DataFrame, out: str = "y_pred") -> DataFrame:
         """Add the predicted volatility."""
         scored = self.trees.transform(assemble(rows, self.features)).drop("features")
-        table = {self.symbol: self.quantiles}
-        back = from_normal(table, F.lit(self.symbol), F.col("prediction"))
-        return scored.withColumn(out, back).drop("prediction")
+        return scored.withColumn(out, from_normal(self.quantiles, F.col("prediction"))).drop("prediction")
 
     def importance(self, spark: SparkSession) -> DataFrame:
         """Gain share and split count per feature, highest gain first."""
@@ -131,8 +129,8 @@ def fit_model(
     train, val = labelled(train, label), labelled(val, label)
     if train.isEmpty() or val.isEmpty():
         raise ValueError(f"{symbol}: train or validation data is empty")
-    tables = collect_quantiles(exact_quantiles(train, ["symbol"], label, count=cfg.quantiles), "symbol")
-    z = to_normal(tables, F.lit(symbol), F.col(label)).alias("z")
+    quantiles = quantile_array(exact_quantiles(train, ["symbol"], label, count=cfg.quantiles))
+    z = to_normal(quantiles, F.col(label)).alias("z")
     rows, held = (assemble(df, features).select("features", z) for df in (train, val))
     grower = GBTRegressor(
         featuresCol="features",
@@ -157,7 +155,7 @@ def fit_model(
             grown = min(cfg.max_iter, 2 * grown)
     finally:
         rows.unpersist()
-    return VolatilityModel(symbol, first_trees(trees, best), tables[symbol], features)
+    return VolatilityModel(symbol, first_trees(trees, best), quantiles, features)
 
 
 def best_iteration(errors: Sequence[float], patience: int) -> int:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from math import erfc
 from statistics import NormalDist
 
 import numpy as np
@@ -12,15 +11,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quotegrid.session import materialize
+from quotegrid.session import materialize, small_side
 
 # Distance to the outer quantiles that counts as outside, and the end of the normal scale.
 EDGE = 1e-7
 NORMAL_LIMIT = NormalDist().inv_cdf(1 - (EDGE - 2.0**-52))
 
-# Quantile tables are small per group; this bounds how many groups one map may hold.
-MAX_GROUPS = 5_000
-
 
 def exact_quantiles(
     df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float] | None = None, count: int | None = None
@@ -111,12 +107,12 @@ def describe(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     )
 
 
-def collect_quantiles(table: DataFrame, key: str) -> dict[str, np.ndarray]:
-    """The quantile arrays by key, for use inside tasks. Refuses more groups than are sure to be small."""
-    rows = table.select(key, "quantiles").limit(MAX_GROUPS + 1).collect()
-    if len(rows) > MAX_GROUPS:
-        raise ValueError(f"more than {MAX_GROUPS} quantile groups; map them in parts")
-    return {r[0]: np.asarray(r[1], dtype=float) for r in rows}
+def quantile_array(table: DataFrame) -> np.ndarray:
+    """The quantiles of a table of one group, to be kept with the model they belong to."""
+    rows = table.select("quantiles").limit(2).collect()
+    if len(rows) != 1:
+        raise ValueError("the quantiles of exactly one group are wanted")
+    return np.asarray(rows[0][0], dtype=float)
 
 
 # Coefficients of algorithm AS 241 (Wichura 1988) for the normal quantile,
@@ -175,34 +171,169 @@ def to_normal_array(x: np.ndarray, q: np.ndarray) -> np.ndarray:
     return np.clip(normal_quantile(u), -NORMAL_LIMIT, NORMAL_LIMIT)
 
 
+# The distribution function at multiples of 1 / GRID, where it is developed into a series.
+GRID = 256
+_AT = np.arange(-8 * GRID, 8 * GRID + 1) / GRID
+_CDF = np.array([0.5 * math.erfc(-x * math.sqrt(0.5)) for x in _AT])
+_DENSITY = np.exp(-0.5 * _AT * _AT) / math.sqrt(2 * math.pi)
+
+
+def normal_cdf(z: np.ndarray) -> np.ndarray:
+    """The normal distribution function, from five terms of its series at the nearest grid point."""
+    x = np.clip(z, -8.0, 8.0)
+    with np.errstate(invalid="ignore"):
+        k = np.where(np.isnan(x), 0.0, np.rint(x * GRID)).astype(np.int64) + 8 * GRID
+    c, d = _AT[k], x - _AT[k]
+    terms = 1 - d / 2 * (c - d / 3 * ((c * c - 1) - d / 4 * ((c * c - 3) * c - d / 5 * ((c * c - 6) * c * c + 3))))
+    return _CDF[k] + _DENSITY[k] * d * terms
+
+
 def from_normal_array(z: np.ndarray, q: np.ndarray) -> np.ndarray:
-    u = np.array([0.5 * erfc(v) for v in (z * -math.sqrt(0.5)).tolist()], dtype=float)
+    u = normal_cdf(z)
     x = np.interp(u, np.linspace(0.0, 1.0, len(q)), q)
     x[u + EDGE > 1] = q[-1]
     x[u - EDGE < 0] = q[0]
     return x
 
 
-def _mapped(fn, tables: dict[str, np.ndarray], key: Column, value: Column) -> Column:
+def _mapped(fn, q: np.ndarray, value: Column) -> Column:
     @F.pandas_udf("double")
-    def apply(k: pd.Series, v: pd.Series) -> pd.Series:
+    def apply(v: pd.Series) -> pd.Series:
         out = pd.Series(np.nan, index=v.index, dtype=float)
-        for name, part in v.groupby(k):
-            good = part.dropna()
-            if name in tables and len(good):
-                out.loc[good.index] = fn(good.to_numpy(dtype=float).copy(), tables[name])
+        good = v.dropna()
+        if len(good):
+            out.loc[good.index] = fn(good.to_numpy(dtype=float).copy(), q)
         return out
 
-    return apply(key, value)
+    return apply(value)
+
+
+def to_normal(q: np.ndarray, value: Column) -> Column:
+    """A model's own label on the normal scale."""
+    return _mapped(to_normal_array, q, value)
+
+
+def from_normal(q: np.ndarray, value: Column) -> Column:
+    return _mapped(from_normal_array, q, value)
+
+
+# -- all groups at once: quantiles are rows, and are met by joins
+
+
+def quantile_steps(table: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows ``q``, ``p0`` and ``p`` (its first and last rank), ``q2`` and ``p2`` (the next quantile, its first rank), ``lo``, ``hi``.
+
+    One for each different quantile, and one that begins below all values. A group has as many as its table, so few.
+    """
+    keys = list(keys)
+    ranked = table.select(*keys, F.size("quantiles").alias("_m"), F.posexplode("quantiles").alias("_k", "q"))
+    p = F.when(F.col("_m") > 1, F.col("_k") / (F.col("_m") - 1)).otherwise(0.0)
+    each = ranked.groupBy(*keys, "q").agg(F.min(p).alias("p0"), F.max(p).alias("p"))
+    low = table.select(*keys, F.lit(float("-inf")).alias("q"), F.lit(0.0).alias("p0"), F.lit(0.0).alias("p"))
+    group = Window.partitionBy(*keys)
+    ends = {"lo": F.min(F.when(F.col("q") > float("-inf"), F.col("q"))).over(group), "hi": F.max("q").over(group)}
+    after = {c: F.lead(of).over(group.orderBy("q")) for c, of in (("q2", "q"), ("p2", "p0"))}
+    return each.unionByName(low).withColumns(ends | after)
+
 
+STEP = ("q", "p0", "p", "q2", "p2", "lo", "hi")
 
-def to_uniform(tables: dict[str, np.ndarray], key: Column, value: Column) -> Column:
-    return _mapped(to_uniform_array, tables, key, value)
 
+def with_steps(df: DataFrame, steps: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """``df`` with ``step``: the last one at or below each value; null for a group without steps.
 
-def to_normal(tables: dict[str, np.ndarray], key: Column, value: Column) -> Column:
-    return _mapped(to_normal_array, tables, key, value)
+    Values and steps are dealt into the same ranges, and a range takes the step it begins in from
+    those before it: a group that holds most of the rows is many tasks, and nothing is broadcast or collected.
+    """
+    keys, spark = list(keys), df.sparkSession
+    packed = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    rows = df.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)], F.col(value).alias("_v"), F.lit(1).alias("_kind"), packed.alias("_row"))
+    marks = steps.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)], F.col("q").alias("_v"), F.lit(0).alias("_kind"), F.struct(*STEP).alias("_step"))
+    group = [f"_k{i}" for i in range(len(keys))]
+    both = rows.unionByName(marks, allowMissingColumns=True)
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = both.repartitionByRange(width, *group, "_v", "_kind")
+    cut = materialize(dealt.withColumn("_piece", F.spark_partition_id()), "quantile-steps")
+    last = F.max_by("_step", F.when(F.col("_kind") == 0, F.col("_v"))).alias("_step")
+    pieces = cut.groupBy(*group, "_piece").agg(last)
+    earlier = Window.partitionBy(*group).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    carried = pieces.select(*[F.col(c).alias(f"{c}_") for c in group], F.col("_piece").alias("_piece_"), F.last("_step", True).over(earlier).alias("_before"))
+    here = Window.partitionBy(*group, "_piece").orderBy("_v", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    met = cut.withColumn("_here", F.last("_step", True).over(here)).where("_kind = 1")
+    on = [F.col(c).eqNullSafe(F.col(f"{c}_")) for c in (*group, "_piece")]
+    found = met.join(carried, on, "left")
+    return found.select("_row.*", F.coalesce("_here", "_before").alias("step"))
+
+
+def uniform_score(value: Column, step: Column) -> Column:
+    """Rank in [0, 1]; a value equal to several quantiles takes the middle of their ranks."""
+    slope = (step["p2"] - step["p"]) / (step["q2"] - step["q"])
+    return (
+        F.when(value.isNull() | F.isnan(value) | step.isNull(), F.lit(None))
+        .when(value <= step["lo"], 0.0)
+        .when(value >= step["hi"], 1.0)
+        .when(value == step["q"], (step["p0"] + step["p"]) / 2)
+        .otherwise(step["p"] + (value - step["q"]) * slope)
+    )
+
+
+def _polynomial(coefficients: Sequence[float], x: Column) -> Column:
+    out = F.lit(coefficients[0])
+    for c in coefficients[1:]:
+        out = out * x + c
+    return out
+
+
+def normal_quantile_column(p: Column) -> Column:
+    """Inverse of the normal distribution function for 0 < p < 1."""
+    q = p - 0.5
+    r = F.sqrt(-F.ln(F.least(p, 1 - p)))
+    ratio = lambda k, x: _polynomial(AS241[k][0], x) / _polynomial(AS241[k][1], x)
+    tail = F.when(r <= 5.0, ratio(1, r - 1.6)).otherwise(ratio(2, r - 5.0))
+    return F.when(F.abs(q) <= 0.425, q * ratio(0, 0.180625 - q * q)).otherwise(F.signum(q) * tail)
+
+
+def normal_score(value: Column, step: Column) -> Column:
+    """The value on the normal scale; what lies at or beyond the outer quantiles goes to the scale's ends."""
+    u = uniform_score(value, step)
+    z = normal_quantile_column(F.when((u > 0) & (u < 1), u))
+    inner = F.least(F.greatest(z, F.lit(-NORMAL_LIMIT)), F.lit(NORMAL_LIMIT))
+    return (
+        F.when(u.isNull(), F.lit(None))
+        .when(value - EDGE < step["lo"], -NORMAL_LIMIT)
+        .when(value + EDGE > step["hi"], NORMAL_LIMIT)
+        .otherwise(inner)
+    )
 
 
-def from_normal(tables: dict[str, np.ndarray], key: Column, value: Column) -> Column:
-    return _mapped(from_normal_array, tables, key, value)
+def normal_cdf_column(z: Column | str) -> Column:
+    @F.pandas_udf("double")
+    def cdf(v: pd.Series) -> pd.Series:
+        return pd.Series(normal_cdf(v.to_numpy(dtype=float)), index=v.index)
+
+    return cdf(z)
+
+
+def with_values(df: DataFrame, table: DataFrame, keys: Sequence[str], score: str, out: str) -> DataFrame:
+    """``df`` with the value ``out`` that each normal score stands for; null for a group without quantiles.
+
+    A score's rank tells the two quantiles around it, which are met by an equi-join on group and rank.
+    """
+    keys = list(keys)
+    names = {c: f"_k{i}" for i, c in enumerate(keys)}
+    sizes = table.select(*[F.col(c).alias(n) for c, n in names.items()], F.size("quantiles").alias("_m"))
+    on = lambda: [F.col(c).eqNullSafe(F.col(n)) for c, n in names.items()]
+    ranked = df.withColumn("_u", normal_cdf_column(score)).join(small_side(sizes), on(), "left").drop(*names.values())
+    ranked = ranked.withColumn("_pos", F.col("_u") * (F.col("_m") - 1))
+    ranked = ranked.withColumn("_at", F.least(F.floor("_pos"), F.greatest(F.col("_m") - 2, F.lit(0))))
+    pairs = table.select(
+        *[F.col(c).alias(n) for c, n in names.items()],
+        F.array_min("quantiles").alias("_lo"),
+        F.array_max("quantiles").alias("_hi"),
+        F.posexplode(F.transform("quantiles", lambda x, i: F.struct(x.alias("a"), F.get("quantiles", i + 1).alias("b")))).alias("_i", "_q"),
+    )
+    met = ranked.join(pairs, [*on(), F.col("_at") == F.col("_i")], "left")
+    inner = F.col("_q.a") + (F.coalesce("_q.b", "_q.a") - F.col("_q.a")) * (F.col("_pos") - F.col("_at"))
+    known = F.col(score).isNotNull() & ~F.isnan(score)
+    value = F.when(F.col("_u") - EDGE < 0, F.col("_lo")).when(F.col("_u") + EDGE > 1, F.col("_hi")).otherwise(inner)
+    return met.select(*df.columns, F.when(known, value).alias(out))

@@ -14,13 +14,15 @@ from quotegrid.operators.quality import drop_null_rows
 from quotegrid.operators.quantiles import (
     EDGE,
     NORMAL_LIMIT,
-    collect_quantiles,
     describe,
     exact_quantiles,
-    from_normal,
-    to_normal,
-    to_uniform,
+    normal_score,
+    quantile_steps,
+    uniform_score,
+    with_steps,
+    with_values,
 )
+from quotegrid.session import materialize
 from quotegrid.operators.rolling import mid_price, mid_tick
 from quotegrid.plans.catalog import (
     QUOTES_SQL,
@@ -405,7 +407,8 @@ def scaled_vol_mean_query(spark, sf):
     round(quantile_cont(vol_60m, 0.75), 6) AS p75, max(vol_60m) AS "max" FROM f WHERE {KEPT_SQL} GROUP BY symbol""",
 )
 def describe_vol_query(spark, sf):
-    out = describe(features(spark, sf), ["symbol"], "vol_60m")
+    vols = materialize(features(spark, sf).select("symbol", "vol_60m"), "volatilities")  # read for moments and quantiles
+    out = describe(vols, ["symbol"], "vol_60m")
     return out.withColumns({c: F.round(c, 6) for c in ("mean", "std", "p25", "p50", "p75")})
 
 
@@ -451,10 +454,18 @@ RANKS_SQL = f"""{QUANTILES_SQL},
       round(CASE WHEN y = lo THEN 0.0 WHEN y = hi THEN 1.0 ELSE u END, 6) AS u FROM ranks""",
 )
 def label_uniform_query(spark, sf):
-    f = features(spark, sf)
-    tables = collect_quantiles(label_quantile_table(f), "symbol")
-    u = to_uniform(tables, F.col("symbol"), F.col("y_vol_30m"))
-    return f.select("symbol", "feature_date", "timestamp", F.round(u, 6).alias("u"))
+    u = uniform_score(F.col("y_vol_30m"), F.col("step"))
+    return labels_with_steps(spark, sf).select("symbol", "feature_date", "timestamp", F.round(u, 6).alias("u"))
+
+
+def labels(spark, sf):
+    """The labels alone, written once: they are read for their quantiles and to be mapped."""
+    return materialize(features(spark, sf).select("symbol", "feature_date", "timestamp", "y_vol_30m"), "labels")
+
+
+def labels_with_steps(spark, sf):
+    y = labels(spark, sf)
+    return with_steps(y, quantile_steps(label_quantile_table(y), ["symbol"]), ["symbol"], "y_vol_30m")
 
 
 @query(
@@ -463,19 +474,21 @@ def label_uniform_query(spark, sf):
       WHEN y + {EDGE!r} > hi THEN {NORMAL_LIMIT!r}::DOUBLE ELSE {normal_quantile_sql("u")} END, 6) AS z FROM ranks""",
 )
 def label_normal_query(spark, sf):
-    f = features(spark, sf)
-    tables = collect_quantiles(label_quantile_table(f), "symbol")
-    z = to_normal(tables, F.col("symbol"), F.col("y_vol_30m"))
-    return f.select("symbol", "feature_date", "timestamp", F.round(z, 6).alias("z"))
+    z = normal_score(F.col("y_vol_30m"), F.col("step"))
+    return labels_with_steps(spark, sf).select("symbol", "feature_date", "timestamp", F.round(z, 6).alias("z"))
 
 
-@query("inverse_transform", f"WITH {COARSE_SQL} SELECT symbol, count(*) AS n, count(*) AS n_back FROM f WHERE {KEPT_SQL} GROUP BY symbol")
+@query(
+    "inverse_transform",
+    f"""WITH {QUANTILES_SQL}, e AS (SELECT symbol, min(q) AS lo, max(q) AS hi FROM qt GROUP BY symbol)
+    SELECT symbol, feature_date, t AS "timestamp",
+      round(CASE WHEN y - {EDGE!r} < lo THEN lo WHEN y + {EDGE!r} > hi THEN hi ELSE y END, 5) AS back FROM y JOIN e USING (symbol)""",
+)
 def inverse_transform_query(spark, sf):
-    """Every label must come back from the normal scale."""
-    f = features(spark, sf)
-    tables = collect_quantiles(label_quantile_table(f), "symbol")
-    y = F.col("y_vol_30m")
-    there = f.select("symbol", "y_vol_30m", to_normal(tables, F.col("symbol"), y).alias("z"))
-    back = there.withColumn("back", from_normal(tables, F.col("symbol"), F.col("z")))
-    near = F.abs(F.col("back") - y) <= F.greatest(F.abs(y), F.lit(1.0)) * 1e-6
-    return back.groupBy("symbol").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(near, 1)).alias("n_back"))
+    """Labels to the normal scale and back: the label again, or the outer quantile it lies at."""
+    y = labels(spark, sf)
+    table = materialize(label_quantile_table(y), "quantiles")
+    there = with_steps(y, quantile_steps(table, ["symbol"]), ["symbol"], "y_vol_30m")
+    scored = there.select("symbol", "feature_date", "timestamp", normal_score(F.col("y_vol_30m"), F.col("step")).alias("z"))
+    back = with_values(scored, table, ["symbol"], "z", "back")
+    return back.select("symbol", "feature_date", "timestamp", F.round("back", 5).alias("back"))
