@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quotegrid.config import TrainConfig
-from quotegrid.models.worker import MISSING, predicted_volatility
+from quotegrid.models.worker import MISSING, model_list, predicted_volatility
 from quotegrid.operators.metrics import downsample_last
 from quotegrid.operators.quantiles import exact_quantiles, from_normal, quantile_array, to_normal
 from quotegrid.session import small_side
@@ -227,5 +227,5 @@ def score_stored(rows: DataFrame, paths: dict[str, str], label: str, features: S
     models = rows.sparkSession.createDataFrame(sorted(paths.items()), "symbol string, path string")
     named = labelled(rows, label).join(small_side(models), "symbol")
     names = [c for c in features if c in rows.columns]
-    scored = predicted_volatility(F.col("symbol"), F.col("path"), F.lit(0), names)
+    scored = predicted_volatility(model_list((F.col("path"), F.lit(0))), names)
     return named.select("symbol", *keys, F.col(label).alias("y_true"), scored.alias("y_pred"))

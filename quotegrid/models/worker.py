@@ -6,6 +6,7 @@ folder and keeps them, so neither the driver nor a broadcast holds all models.
 
 from __future__ import annotations
 
+import json
 from collections import OrderedDict
 from collections.abc import Sequence
 
@@ -70,44 +71,55 @@ class TreeArrays:
 
 
 class ModelCache:
-    """The newest model of each symbol. A path published again is read anew.
+    """Models by path. A path published again is read anew; at most ``KEEP`` are kept, others are read when they are met.
 
-    If that fails the symbol's model so far is used, and the new one is tried again at the next rows. At most
-    ``KEEP`` models are kept; others are read when they are met.
+    What cannot be read is not kept in any form: whichever worker asks, the answer depends on the store alone.
     """
 
     def __init__(self):
-        self.models: OrderedDict[str, tuple[str, object, TreeArrays]] = OrderedDict()
+        self.models: OrderedDict[str, tuple[str, TreeArrays]] = OrderedDict()
 
-    def get(self, symbol: str, path: str, version) -> TreeArrays | None:
-        known = self.models.get(symbol)
-        if known is None or known[:2] != (path, version):
+    def get(self, path: str, version: str) -> TreeArrays | None:
+        known = self.models.get(path)
+        if known is None or known[0] != version:
+            self.models.pop(path, None)
             try:
-                self.models[symbol] = known = (path, version, TreeArrays(path))
+                self.models[path] = known = (version, TreeArrays(path))
             except Exception:
-                if known is None:
-                    return None
-        self.models.move_to_end(symbol)
+                return None
+        self.models.move_to_end(path)
         while len(self.models) > KEEP:
             self.models.popitem(last=False)
-        return known[2]
+        return known[1]
+
+    def first(self, asked: str, names: Sequence[str]) -> TreeArrays | None:
+        """The first model of a JSON list of ``path`` and ``version`` that can be read and knows no other features."""
+        for m in json.loads(asked):
+            found = self.get(m["path"], m["version"])
+            if found is not None and set(found.features) <= set(names):
+                return found
+        return None
 
 
 _CACHE = ModelCache()
 
 
-def predicted_volatility(symbol: Column, path: Column, version: Column, names: Sequence[str]) -> Column:
-    """Prediction of the model at ``path``; null without a path or a readable model."""
+def model_list(*models: tuple[Column, Column]) -> Column:
+    """Models (path, version) to be tried one after the other."""
+    return F.array(*[F.struct(p.alias("path"), v.cast("string").alias("version")) for p, v in models])
+
+
+def predicted_volatility(models: Column, names: Sequence[str]) -> Column:
+    """Prediction of the first readable one of ``models`` (structs of path and version); null without one."""
     names = list(names)
 
     @F.pandas_udf("double")
-    def score(s: pd.Series, p: pd.Series, v: pd.Series, x: pd.DataFrame) -> pd.Series:
-        out = pd.Series(np.nan, index=s.index, dtype=float)
-        asked = p.notna()
-        for (one, where, at), rows in x[asked].groupby([s[asked], p[asked], v[asked]]):
-            model = _CACHE.get(one, where, at)
-            if model is not None and set(model.features) <= set(names):
+    def score(asked: pd.Series, x: pd.DataFrame) -> pd.Series:
+        out = pd.Series(np.nan, index=asked.index, dtype=float)
+        given = asked.notna()
+        for one, rows in x[given].groupby(asked[given]):
+            if model := _CACHE.first(one, names):
                 out.loc[rows.index] = model.predict(rows[model.features].to_numpy(dtype=float))
         return out  # NaN leaves pandas as null
 
-    return score(symbol, path, version, F.struct(*names))
+    return score(F.to_json(models), F.struct(*names))

@@ -41,3 +41,14 @@ def latest_models(asks: DataFrame, registry: DataFrame, lookback_days: int) -> D
     return asks.join(best, ["symbol", "date"], "left").select(
         *asks.columns, *[F.col(f"m.{c}").alias(c) for c in ("model_date", "path", "updated_at")]
     )
+
+
+def candidate_models(asks: DataFrame, registry: DataFrame, lookback_days: int) -> DataFrame:
+    """The models that may serve each ask, as ``models``: newest date first, one for each date, so ``lookback_days`` at most."""
+    served = registry.select(
+        "symbol",
+        F.explode(F.sequence("model_date", F.date_add("model_date", lookback_days - 1))).alias("date"),
+        F.struct("model_date", "updated_at", "path").alias("m"),
+    )
+    listed = served.groupBy("symbol", "date").agg(F.sort_array(F.collect_set("m"), asc=False).alias("models"))
+    return asks.join(listed, ["symbol", "date"], "left").select(*asks.columns, "models")

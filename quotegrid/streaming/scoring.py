@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quotegrid.config import GridConfig
 from quotegrid.functions.time import day_of_ns
 from quotegrid.models.worker import predicted_volatility
-from quotegrid.operators.registry import current_models, latest_models
+from quotegrid.operators.registry import candidate_models, current_models
 from quotegrid.streaming.events import status_message, status_of
 
 
@@ -19,14 +19,15 @@ def score_live(
 ) -> DataFrame:
     """Add ``status`` and ``volatility`` to feature rows, all symbols in one pass.
 
-    The registry names the model of each symbol and day; a row whose model cannot
-    be read has status ``no_model``.
+    The registry names the models that may serve each symbol and day, newest first. The newest that can be read is
+    taken, by whichever worker; a row without one has status ``no_model``.
     """
     dated = rows.withColumn("date", day_of_ns(F.col("timestamp"), grid))
     asks = dated.where("warm").select("symbol", "date").distinct()
-    models = latest_models(asks, current_models(registry), lookback_days).withColumn("warm", F.lit(True))
+    models = candidate_models(asks, current_models(registry), lookback_days).withColumn("warm", F.lit(True))
     found = dated.join(models, ["symbol", "date", "warm"], "left")
-    vol = predicted_volatility(F.col("symbol"), F.col("path"), F.col("updated_at"), features)
+    listed = F.transform("models", lambda m: F.struct(m["path"].alias("path"), m["updated_at"].cast("string").alias("version")))
+    vol = predicted_volatility(listed, features)
     scored = found.withColumn("volatility", vol)
     return scored.withColumn("status", status_of(F.col("warm"), F.col("volatility").isNotNull()))
 

@@ -1,12 +1,14 @@
 import datetime as dt
+import json
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from brute import DAY, QUOTE_SCHEMA, random_quotes
 from quotegrid.config import FeatureConfig, GridConfig, TrainConfig
-from quotegrid.models.boosting import VolatilityModel, fit_model, fit_symbols, verify_model
+from quotegrid.models.boosting import VolatilityModel, fit_model, fit_symbols, labelled, score_stored, stored_importance, verify_model
 from quotegrid.models.worker import ModelCache
 from quotegrid.operators import registry as rg
 from quotegrid.plans.jobs import Store, build_features, day_batches, run_production, run_walk_forward
@@ -173,14 +175,97 @@ def test_live_scoring_equals_batch_scoring_and_reloads(spark, store, tmp_path):
     check(second, scored(NOW + dt.timedelta(hours=1)))
 
 
-def test_a_worker_keeps_the_last_good_model(spark, store, tmp_path):
+def test_workers_agree_on_the_model_in_force(spark, store, tmp_path):
+    """The newest model that can be read, also for a worker that knew another one before."""
     rows = spark.read.parquet(store.path("features")).where("symbol = 'a'")
     m = fit_model("a", rows.where(F.col("date") <= day(4)), rows.where(F.col("date") == day(5)), FEATURES.feature_columns, FEATURES.label_column, CFG)
-    m.save(str(tmp_path / "m"))
-    cache = ModelCache()
-    assert cache.get("a", str(tmp_path / "gone"), 1) is None
-    good = cache.get("a", "file:" + str(tmp_path / "m"), 1)
-    assert cache.get("a", "file:" + str(tmp_path / "m"), 1) is good
-    assert cache.get("a", str(tmp_path / "gone"), 2) is good
-    assert cache.get("b", str(tmp_path / "gone"), 3) is None
-    assert cache.get("a", "file:" + str(tmp_path / "m"), 2) is not good
+    m.save(str(tmp_path / "old"))
+    m.save(str(tmp_path / "new"))
+    old, new = ({"path": str(tmp_path / p), "version": "1"} for p in ("old", "new"))
+    names = FEATURES.feature_columns
+    asked = json.dumps([new, old])
+    veteran, novice = ModelCache(), ModelCache()
+    kept = veteran.first(asked, names)
+    assert kept is veteran.first(asked, names) and kept is veteran.get(new["path"], "1")
+    for f in (tmp_path / "new" / "nodes").glob("*.parquet"):
+        f.write_bytes(b"broken")
+    again = json.dumps([dict(new, version="2"), old])  # published once more, and broken
+    for worker in (veteran, novice):
+        found = worker.first(again, names)
+        assert found is worker.get(old["path"], "1") and found is not None
+        assert worker.first(json.dumps([dict(new, version="2")]), names) is None
+        assert worker.first(json.dumps([old]), names[:2]) is None
+    assert veteran.get("file:" + old["path"], "1") is not None
+
+
+def test_a_broken_model_gives_way_to_the_one_before(spark, store, tmp_path):
+    rows = spark.read.parquet(store.path("features")).where("symbol = 'a'")
+    m = fit_model("a", rows.where(F.col("date") <= day(4)), rows.where(F.col("date") == day(5)), FEATURES.feature_columns, FEATURES.label_column, CFG)
+    m.save(str(tmp_path / "old"))
+    live = rows.where(F.col("date") == day(7)).drop("date").withColumn("warm", F.lit(True))
+    registry = spark.createDataFrame([("a", day(5), str(tmp_path / "old"), NOW), ("a", day(6), str(tmp_path / "gone"), NOW)], rg.REGISTRY_SCHEMA)
+    got = {r.timestamp: r.volatility for r in score_live(live, registry, FEATURES.feature_columns, 3, FEATURES.grid).where("status = 'ok'").collect()}
+    want = {r.timestamp: r.y_pred for r in m.score(live).collect()}
+    assert got.keys() == want.keys() and all(got[t] == pytest.approx(want[t], rel=1e-9) for t in got)
+    short = score_live(live, registry, FEATURES.feature_columns, 1, FEATURES.grid)
+    assert {r.status for r in short.select("status").distinct().collect()} == {"no_model"}
+
+
+def test_importances_of_stored_nodes_equal_the_models_own(spark, store, tmp_path):
+    rows = spark.read.parquet(store.path("features"))
+    paths, own = [], {}
+    for symbol in "ab":
+        mine = rows.where(F.col("symbol") == symbol)
+        m = fit_model(symbol, mine.where(F.col("date") <= day(4)), mine.where(F.col("date") == day(5)), FEATURES.feature_columns, FEATURES.label_column, CFG)
+        m.save(path := str(tmp_path / symbol))
+        paths.append(path)
+        own |= {(symbol, r.feature): (r.importance_gain, r.importance_split) for r in m.importance(spark).collect()}
+    got = {(r.symbol, r.feature): (r.importance_gain, r.importance_split) for r in stored_importance(spark, paths).collect()}
+    assert got.keys() == own.keys()
+    for k, (gain, splits) in own.items():
+        assert got[k][0] == pytest.approx(gain, abs=1e-9) and got[k][1] == splits
+    assert stored_importance(spark, []).count() == 0
+
+
+def test_all_symbols_are_scored_in_one_pass(spark, store, tmp_path):
+    rows = spark.read.parquet(store.path("features"))
+    test, paths, want = rows.where(F.col("date") == day(6)), {}, {}
+    for symbol in "ab":
+        mine = rows.where(F.col("symbol") == symbol)
+        m = fit_model(symbol, mine.where(F.col("date") <= day(4)), mine.where(F.col("date") == day(5)), FEATURES.feature_columns, FEATURES.label_column, CFG)
+        m.save(path := str(tmp_path / symbol))
+        paths[symbol] = path
+        scored = m.score(labelled(test.where(F.col("symbol") == symbol), FEATURES.label_column))
+        want |= {(symbol, r.timestamp): r.y_pred for r in scored.collect()}
+    out = score_stored(test, paths, FEATURES.label_column, FEATURES.feature_columns, ["timestamp"])
+    got = {(r.symbol, r.timestamp): r.y_pred for r in out.collect()}
+    assert got.keys() == want.keys() and len(got) > 100
+    assert all(got[k] == pytest.approx(want[k], rel=1e-9) for k in got)
+
+
+def test_an_overfitting_fit_stops_growing(spark, monkeypatch):
+    """It grows little more than the trees up to the best one and ``patience`` more, and the same ones as a long fit."""
+    import quotegrid.models.boosting as boosting
+
+    rng = np.random.default_rng(4)
+    x = rng.uniform(0, 1, (300, len(FEATURES.feature_columns)))
+    names = ", ".join(f"`{c}` double" for c in [*FEATURES.feature_columns, FEATURES.label_column])
+    data = [(*map(float, r), float(1 + 0.2 * r[0] + rng.uniform(0, 1))) for r in x]
+    train, val = (spark.createDataFrame(part, names).withColumn("symbol", F.lit("a")) for part in (data[:200], data[200:]))
+    grown = []
+
+    class Counted(boosting.GBTRegressor):
+        def fit(self, rows):
+            grown.append(self.getMaxIter())
+            return super().fit(rows)
+
+    monkeypatch.setattr(boosting, "GBTRegressor", Counted)
+    short = TrainConfig(max_iter=400, max_depth=2, step_size=0.05, min_instances=2, max_bins=16, patience=4)
+    m = fit_model("a", train, val, FEATURES.feature_columns, FEATURES.label_column, short)
+    assert grown[0] == 10 and all(b == 2 * a for a, b in zip(grown, grown[1:], strict=False))
+    assert m.trees.getNumTrees + 4 <= grown[-1] < 400
+    grown.clear()
+    whole = TrainConfig(max_iter=40, max_depth=2, step_size=0.05, min_instances=2, max_bins=16, patience=40)
+    n = fit_model("a", train, val, FEATURES.feature_columns, FEATURES.label_column, whole)
+    both = min(m.trees.getNumTrees, n.trees.getNumTrees)
+    assert [t.toDebugString.split("\n", 1)[1] for t in m.trees.trees[:both]] == [t.toDebugString.split("\n", 1)[1] for t in n.trees.trees[:both]]
