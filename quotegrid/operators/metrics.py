@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quotegrid.functions.time import floor_div
@@ -47,6 +47,63 @@ def evaluate(df: DataFrame, keys: Sequence[str], y: str = "y_true", yhat: str =
     )
 
 
+# What the scores of rows follow from: sums, and moments about the means.
+STATE = ("n", "sum_sq", "sum_abs", "sum_qlike", "mean_y", "mean_p", "m_yy", "m_pp", "m_yp")
+
+
+def score_states(df: DataFrame, keys: Sequence[str], y: str = "y_true", yhat: str = "y_pred") -> DataFrame:
+    """A mergeable state of the scores per group, see ``STATE``; stored by day it serves any longer span."""
+    ok = F.col(y).isNotNull() & F.col(yhat).isNotNull() & ~F.isnan(y) & ~F.isnan(yhat)
+    a, b = F.when(ok, F.col(y)), F.when(ok, F.col(yhat))
+    n = F.count(F.when(ok, 1))
+    none = F.lit(0.0)
+    return df.groupBy(*keys).agg(
+        n.alias("n"),
+        F.coalesce(F.sum((a - b) * (a - b)), none).alias("sum_sq"),
+        F.coalesce(F.sum(F.abs(a - b)), none).alias("sum_abs"),
+        F.coalesce(F.sum(F.when(ok, qlike_term(a, b))), none).alias("sum_qlike"),
+        F.coalesce(F.avg(a), none).alias("mean_y"),
+        F.coalesce(F.avg(b), none).alias("mean_p"),
+        F.coalesce(F.var_pop(a) * n, none).alias("m_yy"),
+        F.coalesce(F.var_pop(b) * n, none).alias("m_pp"),
+        F.coalesce(F.covar_pop(a, b) * n, none).alias("m_yp"),
+    )
+
+
+def merge_states(states: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One state per group out of many, in any order and grouping."""
+    group = Window.partitionBy(*keys)
+    n = F.sum("n").over(group)
+    mean = lambda c: F.coalesce(F.try_divide(F.sum(F.col("n") * F.col(c)).over(group), n), F.lit(0.0))
+    rows = states.withColumns({"_y": mean("mean_y"), "_p": mean("mean_p")})
+    dy, dp = F.col("mean_y") - F.col("_y"), F.col("mean_p") - F.col("_p")
+    about = lambda c, by: F.sum(F.col(c) + F.col("n") * by).alias(c)
+    return rows.groupBy(*keys).agg(
+        F.sum("n").alias("n"),
+        *[F.sum(c).alias(c) for c in ("sum_sq", "sum_abs", "sum_qlike")],
+        F.first("_y").alias("mean_y"),
+        F.first("_p").alias("mean_p"),
+        about("m_yy", dy * dy),
+        about("m_pp", dp * dp),
+        about("m_yp", dy * dp),
+    )
+
+
+def scores_of(states: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The columns of ``evaluate`` from states."""
+    nan = F.lit(NAN)
+    share = lambda c: F.coalesce(F.try_divide(F.col(c), F.col("n")), nan)
+    spread = F.sqrt(F.greatest("m_yy", F.lit(0.0))) * F.sqrt(F.greatest("m_pp", F.lit(0.0)))
+    return states.select(
+        *keys,
+        "n",
+        F.sqrt(share("sum_sq")).alias("rmse"),
+        share("sum_abs").alias("mae"),
+        F.coalesce(F.when((F.col("n") > 1) & (spread > 0), F.try_divide(F.col("m_yp"), spread)), nan).alias("corr"),
+        share("sum_qlike").alias("qlike"),
+    )
+
+
 def downsample_last(df: DataFrame, freq_ns: int, ts_col: str = "timestamp", keys: Sequence[str] = ("symbol",)) -> DataFrame:
     """Last whole row of each time bucket, stamped with the bucket's start."""
     bucket = floor_div(F.col(ts_col), freq_ns) * F.lit(freq_ns).cast("bigint")

@@ -9,7 +9,7 @@ from quotegrid.config import MINUTE_NS, FeatureConfig, GridConfig
 from quotegrid.functions.time import time_of_day_columns
 from quotegrid.operators import features as ft
 from quotegrid.operators.asof import QUOTE_FIELDS, asof_sample, sessions_of, valid_quotes
-from quotegrid.operators.metrics import downsample_last, evaluate
+from quotegrid.operators.metrics import downsample_last, evaluate, merge_states, score_states, scores_of
 from quotegrid.operators.quality import drop_null_rows
 from quotegrid.operators.quantiles import (
     EDGE,
@@ -391,6 +391,21 @@ def persistence_metrics_query(spark, sf):
     return out.select("symbol", "n", F.round("rmse", 6).alias("rmse"), F.round("mae", 6).alias("mae"))
 
 
+@query(
+    "merged_scores",
+    f"""WITH {COARSE_SQL} SELECT symbol, count(*) AS n, round(sqrt(avg((y_vol_30m - vol_30m)*(y_vol_30m - vol_30m))), 6) AS rmse,
+     round(avg(abs(y_vol_30m - vol_30m)), 6) AS mae, round(corr(y_vol_30m, vol_30m), 6) AS corr, count(DISTINCT feature_date) AS days
+     FROM f WHERE {KEPT_SQL} AND vol_30m IS NOT NULL GROUP BY symbol""",
+)
+def merged_scores_query(spark, sf):
+    """Scores of all days from one state per symbol-day, without looking at the rows again."""
+    f = features(spark, sf).where(~F.isnan("vol_30m")).withColumnsRenamed({"y_vol_30m": "y_true", "vol_30m": "y_pred"})
+    states = score_states(f, ["symbol", "feature_date"])
+    merged = merge_states(states, ["symbol"]).join(states.groupBy("symbol").agg(F.count(F.lit(1)).alias("days")), "symbol")
+    out = scores_of(merged, ["symbol", "days"])
+    return out.select("symbol", "n", *[F.round(c, 6).alias(c) for c in ("rmse", "mae", "corr")], "days")
+
+
 @query(
     "scaled_vol_mean",
     f"WITH {COARSE_SQL} SELECT symbol, round(avg(vol_60m*sqrt(50)), 6) AS scaled_vol FROM f WHERE {KEPT_SQL} GROUP BY symbol",

@@ -17,7 +17,7 @@ from quotegrid.operators import ledger as lg
 from quotegrid.operators import registry as rg
 from quotegrid.operators import splits as sp
 from quotegrid.operators.features import feature_layout, feature_matrix
-from quotegrid.operators.metrics import evaluate
+from quotegrid.operators.metrics import merge_states, score_states, scores_of
 from quotegrid.session import materialize, small_side
 from quotegrid.sources.quotes import QuoteFiles, quotes_for, write_by_symbol_day
 from quotegrid.sources.rawdays import BackfilledQuotes
@@ -159,9 +159,9 @@ def save_model(model: VolatilityModel, store: Store, model_date: date) -> str:
 def save_results(
     paths: dict[str, str], test: DataFrame, features: Sequence[str], label: str, cfg: TrainConfig, store: Store, prefix: str, model_date: date
 ) -> DataFrame:
-    """Score the test rows of all fits of a window and store predictions, importances and summaries; returns the predictions.
+    """Score the test rows of all fits of a window; store predictions, score states by day, importances and summaries.
 
-    Each table is written once for all symbols. A rerun replaces the symbol-days it tests and no others.
+    Returns the states, from which scores over any days follow without the predictions. Each table is written once for all symbols. A rerun replaces the symbol-days it tests and no others.
     """
     spark = test.sparkSession
     scored = score_stored(test, paths, label, features, ["date", "timestamp"])
@@ -171,7 +171,9 @@ def save_results(
     params = F.create_map(*[F.lit(v) for kv in cfg.tree_params().items() for v in kv])
     of = spark.createDataFrame(sorted(paths.items()), "symbol string, path string")
     importance = materialize(stored_importance(spark, sorted(paths.values())))
-    summary = evaluate(stored, ["symbol", "date"]).join(of, "symbol")
+    states = materialize(score_states(stored, ["symbol", "date"]))
+    _write_days(states, store.path(f"{prefix}score_states"))
+    summary = scores_of(states, ["symbol", "date"]).join(of, "symbol")
     summary = summary.select(
         "symbol",
         "date",
@@ -184,7 +186,7 @@ def save_results(
     _write_days(summary, store.path(f"{prefix}run_summary"))
     # Importances are the same for all test days of a fit.
     _write_days(importance.join(days, "symbol"), store.path(f"{prefix}feature_importance"))
-    return stored
+    return states
 
 
 def _split_rows(table: DataFrame, split: DataFrame) -> DataFrame:
@@ -280,8 +282,8 @@ def run_production(
         unfit |= failed
     if published:
         val = rows.where("role = 'val'").drop("role")
-        scored = save_results(published, val, fcfg.feature_columns, fcfg.label_column, cfg, store, "production_", model_date)
-        production_summary(scored, split, published, fcfg, cfg, store, model_date, now)
+        states = save_results(published, val, fcfg.feature_columns, fcfg.label_column, cfg, store, "production_", model_date)
+        production_summary(states, split, published, fcfg, cfg, store, model_date, now)
         entries = [(s, model_date, p, now) for s, p in sorted(published.items())]
         rg.register(spark.createDataFrame(entries, rg.REGISTRY_SCHEMA), store.path("registry"))
     if reasons is not None:
@@ -294,14 +296,14 @@ def run_production(
 
 
 def production_summary(
-    scored: DataFrame, split: DataFrame, paths: dict[str, str], fcfg: FeatureConfig, cfg: TrainConfig, store: Store, model_date: date, now: datetime
+    states: DataFrame, split: DataFrame, paths: dict[str, str], fcfg: FeatureConfig, cfg: TrainConfig, store: Store, model_date: date, now: datetime
 ) -> None:
     """One row per published model: its train and validation dates, and its scores over all validation rows."""
-    spark = scored.sparkSession
+    spark = states.sparkSession
     dates = lambda role: F.array_sort(F.collect_set(F.when(F.col("role") == role, F.col("date"))))
     days = split.groupBy("symbol").agg(dates("train").alias("train_dates"), dates("val").alias("val_dates"))
     of = spark.createDataFrame(sorted(paths.items()), "symbol string, path string")
-    overall = evaluate(scored, ["symbol"]).join(of, "symbol").join(days, "symbol")
+    overall = scores_of(merge_states(states, ["symbol"]), ["symbol"]).join(of, "symbol").join(days, "symbol")
     params = F.create_map(*[F.lit(v) for kv in cfg.tree_params().items() for v in kv])
     rows = overall.select(
         "symbol",

@@ -10,10 +10,13 @@ from quotegrid.operators.quantiles import (
     exact_quantiles,
     from_normal,
     from_normal_array,
+    merge_sketches,
     normal_cdf,
     normal_score,
     quantile_array,
+    quantile_sketches,
     quantile_steps,
+    sketched_quantiles,
     to_normal,
     to_normal_array,
     to_uniform_array,
@@ -133,3 +136,22 @@ def test_a_large_group_is_met_in_many_pieces(spark):
     met = with_steps(df, quantile_steps(table, ["k"]), ["k"], "v")
     got = met.select("v", uniform_score(F.col("v"), F.col("step")).alias("u")).toPandas()
     np.testing.assert_allclose(got.u, to_uniform_array(got.v.to_numpy().copy(), np.array([0.0, 1.0, 19_999.0])), atol=1e-12)
+
+
+def test_merged_sketches_stay_within_their_rank_error(spark):
+    """A sketch per day, merged over the days, next to the exact quantiles of all rows."""
+    rng = np.random.default_rng(11)
+    values = {"wide": rng.lognormal(0, 3, 60_000), "ties": rng.integers(0, 40, 30_000).astype(float), "two": np.array([1.0, 2.0]), "one": np.array([3.0])}
+    rows = [(k, int(i % 9), float(v)) for k, vs in values.items() for i, v in enumerate(vs)]
+    df = spark.createDataFrame(rows, "k string, d int, v double").unionByName(spark.sql("select 'one' k, 1 d, double('nan') v"))
+    days = quantile_sketches(df, ["k", "d"], "v")
+    assert days.count() == 9 * 2 + 2 + 1
+    merged = merge_sketches(days.withColumn("half", F.col("d") % 2), ["k", "half"])
+    got = {r.k: r for r in sketched_quantiles(merge_sketches(merged, ["k"]), ["k"], 101).collect()}
+    for k, vs in values.items():
+        q = np.asarray(got[k].quantiles)
+        assert got[k].n == len(vs) and len(q) == 101 and q[0] == vs.min() and q[-1] == vs.max()
+        s = np.sort(vs)
+        for want, x in zip(np.linspace(0, 1, 101), q, strict=True):
+            low, high = np.searchsorted(s, x, "left") / len(s), np.searchsorted(s, x, "right") / len(s)
+            assert low - 0.004 <= want <= high + 0.004, (k, want, low, high)

@@ -234,3 +234,24 @@ def test_vendor_hours_cover_the_days_once():
     assert len(got) == 48
     assert got[0] == "receiveTime >= '2024-02-28 00:00:00' AND receiveTime < '2024-02-28 01:00:00'"
     assert got[-1].endswith("receiveTime < '2024-03-01 00:00:00'")
+
+
+def test_merged_score_states_equal_a_full_pass(spark):
+    """However rows are dealt out to states, and states to merges; with NaN, null, constant and one-row groups."""
+    import math
+
+    from quotegrid.operators.metrics import evaluate, merge_states, score_states, scores_of
+
+    rng = np.random.default_rng(2)
+    rows = [("a", int(rng.integers(0, 12)), float(1e6 + y), float(1e6 + y + e)) for y, e in rng.normal(size=(500, 2))]
+    rows += [("b", d, 2.0, 1.0 + d) for d in range(5)] + [("c", 0, 1.0, 2.0), ("d", 0, float("nan"), 1.0), ("d", 1, None, 1.0)]
+    rows += [("e", 0, 0.0, 1.0), ("e", 1, 1.0, 1.0), ("a", 3, float("nan"), 1.0)]
+    df = spark.createDataFrame(rows, "symbol string, date int, y_true double, y_pred double")
+    states = score_states(df, ["symbol", "date"])
+    halves = merge_states(states.withColumn("half", F.col("date") % 2), ["symbol", "half"])
+    got = {r.symbol: r for r in scores_of(merge_states(halves, ["symbol"]), ["symbol"]).collect()}
+    for want in evaluate(df, ["symbol"]).collect():
+        r = got[want.symbol]
+        assert r.n == want.n
+        for c in ("rmse", "mae", "corr", "qlike"):
+            assert r[c] == pytest.approx(want[c], rel=1e-9) or (math.isnan(r[c]) and math.isnan(want[c])), (want.symbol, c)
