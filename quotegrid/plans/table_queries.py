@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from quotegrid.config import GridConfig
+from quotegrid.config import GridConfig, TrainConfig
 from quotegrid.functions.epochs import epoch_to_micros, exchange_name
 from quotegrid.operators import ledger as lg
 from quotegrid.operators import quality as qa
@@ -16,7 +16,8 @@ from quotegrid.operators.asof import sessions_of
 from quotegrid.operators.updates import accepted_updates, latest_by_update_id
 from quotegrid.plans.catalog import QUOTES_SQL, query
 from quotegrid.plans.grid_queries import ASSETS_SQL, COARSE, COARSE_SQL, KEPT_SQL, features
-from quotegrid.session import scratch_path
+from quotegrid.plans.jobs import Store, build_features, run_walk_forward
+from quotegrid.session import materialize, scratch_path, small_side
 from quotegrid.sources import testdata as td
 from quotegrid.sources.assets import join_tick_size, parse_assets, unknown_symbols
 from quotegrid.sources.quotes import (
@@ -41,6 +42,10 @@ TRAIN_DAYS, VAL_DAYS, TEST_DAYS = 7, 1, 2
 LOOKBACK_DAYS = 2
 
 DAYS_SQL = "sd AS (SELECT DISTINCT event_type AS symbol, CAST(ts AS DATE) AS date FROM events)"
+CALENDAR_SQL = """sd AS (SELECT DISTINCT event_type AS symbol, CAST(ts AS DATE) AS date FROM events),
+b AS (SELECT min(date) AS first_day, max(date) AS last_day FROM sd),
+spans AS (SELECT DISTINCT symbol, first_day, last_day FROM sd, b),
+cal AS (SELECT symbol, CAST(unnest(generate_series(first_day, last_day, INTERVAL 1 DAY)) AS DATE) AS date FROM spans)"""
 SPANS_SQL = f"""{DAYS_SQL}, b AS (SELECT min(date) AS first_day, max(date) AS last_day FROM sd),
 spans AS (SELECT DISTINCT symbol, first_day, last_day FROM sd, b),
 cal AS (SELECT symbol, CAST(unnest(generate_series(first_day, last_day, INTERVAL 1 DAY)) AS DATE) AS date FROM spans)"""
@@ -399,6 +404,57 @@ def dup_monotonic_check(spark, sf):
     return qa.duplicates_and_order(arrivals(spark, sf), "arrival", "seen_ns", chunk=100_000)
 
 
+@query(
+    "audit_by_file",
+    f"""WITH {ARRIVALS_SQL}, l AS (SELECT *, seen_ns < lag(seen_ns) OVER (PARTITION BY symbol ORDER BY arrival) AS falls FROM ar)
+    SELECT symbol, count(*) AS rows, count(*) > count(DISTINCT seen_ns) AS has_duplicates, NOT bool_or(coalesce(falls, false)) AS is_monotonic
+    FROM l GROUP BY symbol""",
+)
+def audit_by_file(spark, sf):
+    """The same verdict from one summary per symbol-day; only days that run into each other are read again."""
+    rows = materialize(arrivals(spark, sf).select("symbol", "arrival", "seen_ns", F.to_date(F.timestamp_micros(F.expr("local_ts_ns div 1000"))).alias("file")), "arrivals")
+    audits = qa.audit_files(rows, "arrival", "seen_ns", "file", chunk=100_000)
+    again = lambda files: rows.join(small_side(files), ["symbol", "file"], "left_semi")
+    return qa.merge_audits(audits, again, "arrival", "seen_ns", chunk=100_000)
+
+
+@query(
+    "build_outcomes",
+    f"""WITH {COARSE_SQL}, {CALENDAR_SQL},
+    fc AS (SELECT symbol, feature_date AS date, count(*) AS n FROM f WHERE {KEPT_SQL} AND symbol <> 'error' GROUP BY ALL)
+    SELECT symbol, date, CASE WHEN n IS NULL THEN 'failed' ELSE 'built' END AS outcome, n AS rows FROM cal LEFT JOIN fc USING (symbol, date)""",
+)
+def build_outcomes(spark, sf):
+    """A feature build of every calendar day: what was built and recorded, and what failed."""
+    store = Store(scratch_path(spark, "outcomes"))
+    tasks = sp.calendar(td.symbol_spans(spark, sf), "first_day", "last_day").select("symbol", "date")
+    quotes = td.quotes(spark, sf)
+    sizes = quotes.select("symbol").distinct().where("symbol <> 'error'").withColumn("tick_size", F.lit(0.01))
+    failed = build_features(quotes, tasks, sizes, COARSE, store, INGEST_TIME)
+    built = store.ledger(spark, "feature_ledger").select("symbol", "date", F.lit("built").alias("outcome"), "rows")
+    lost = failed.select("symbol", F.col("feature_date").alias("date"), F.lit("failed").alias("outcome"))
+    return built.unionByName(lost, allowMissingColumns=True)
+
+
+@query(
+    "window_failures",
+    f"""WITH {WINDOWS_SQL}, lost AS (SELECT DISTINCT rd.symbol, rd.window_id, rd.date FROM rd LEFT JOIN fd ON rd.symbol = fd.symbol AND rd.date = fd.date
+      WHERE fd.date IS NULL OR day(rd.date) % 5 = 0)
+    SELECT symbol, window_id::BIGINT AS window_id, 'missing feature days: ' || string_agg(date::VARCHAR, ', ' ORDER BY date) AS why FROM lost GROUP BY ALL""",
+)
+def window_failures(spark, sf):
+    """A walk-forward run over a feature table with gaps, so wide that every window has one."""
+    store = Store(scratch_path(spark, "gaps"))
+    stored = sessions_of(td.quotes(spark, sf), COARSE.grid).withColumnRenamed("feature_date", "date").where(F.day("date") % 5 != 0)
+    rows = stored.select("symbol", "date", F.lit(0).cast("bigint").alias("timestamp"))
+    write_by_symbol_day(rows, store.path("features"), "timestamp")
+    cfg = TrainConfig(train_days=TRAIN_DAYS, val_days=VAL_DAYS, test_days=TEST_DAYS)
+    failures = run_walk_forward(td.symbol_spans(spark, sf), COARSE.feature_columns, COARSE.label_column, cfg, store, INGEST_TIME)
+    listed = [(*key.rsplit("/", 1), why) for key, why in failures.items()]
+    found = spark.createDataFrame(listed, "symbol string, window_id string, why string")
+    return found.select("symbol", F.col("window_id").cast("bigint").alias("window_id"), "why")
+
+
 @query(
     "latest_by_update_id",
     f"""WITH {QUOTES_SQL} SELECT symbol, max(update_id) AS update_id, arg_max(bid_price, update_id) AS bid_price,

@@ -255,3 +255,34 @@ def test_merged_score_states_equal_a_full_pass(spark):
         assert r.n == want.n
         for c in ("rmse", "mae", "corr", "qlike"):
             assert r[c] == pytest.approx(want[c], rel=1e-9) or (math.isnan(r[c]) and math.isnan(want[c])), (want.symbol, c)
+
+
+@pytest.mark.parametrize("files", [1, 7, 40])
+def test_audits_by_file_equal_the_full_audit(spark, files):
+    """However the rows are dealt out to files; rows are read again only where files overlap."""
+    rng = np.random.default_rng(files)
+    rows = []
+    for s, step, falls, repeat in (("good", 3, 0, 0), ("falls", 3, 2, 0), ("repeats", 3, 0, 2), ("both", 3, 2, 2)):
+        t = np.arange(300) * step
+        for k in rng.integers(1, 299, falls):
+            t[k] -= 4 * step
+        for k in rng.integers(1, 299, repeat):
+            t[k] = t[k - 1]
+        rows += [(s, int(i), int(x), int(i * files // 300)) for i, x in enumerate(t)]
+    rows += [("mixed", i, i * 3, int(rng.integers(0, files))) for i in range(300)]
+    df = spark.createDataFrame(rows, "symbol string, arrival long, t long, file long")
+    asked = []
+
+    def rows_of(wanted):
+        asked.extend((r.symbol, r.file) for r in wanted.collect())
+        return df.join(wanted, ["symbol", "file"], "left_semi")
+
+    audits = qa.audit_files(df, "arrival", "t", "file", chunk=50)
+    got = {tuple(r) for r in qa.merge_audits(audits, rows_of, "arrival", "t", chunk=50).collect()}
+    assert got == {tuple(r) for r in qa.duplicates_and_order(df, "arrival", "t", chunk=50).collect()}
+    read = {s for s, _ in asked}
+    assert "good" not in read and (files == 1 or "mixed" in read)
+    # a new day's summary is put to the others; these are not made again
+    old, new = df.where(f"file < {files - 1}"), df.where(f"file = {files - 1}")
+    parts = qa.audit_files(old, "arrival", "t", "file", chunk=50).unionByName(qa.audit_files(new, "arrival", "t", "file", chunk=50))
+    assert {tuple(r) for r in qa.merge_audits(parts, rows_of, "arrival", "t", chunk=50).collect()} == got
