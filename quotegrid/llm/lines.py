@@ -32,6 +32,7 @@ from quotegrid.session import materialize
 
 BLOCKS = (13, 13, 13, 13, 12)  # bits
 FEW = (6, 24)  # edits that are tried first
+AT_ONCE = 2  # pairs of words a row carries to the sums
 SHORT = 1 << 14  # words of a line whose counters have 14 bits
 
 
@@ -60,10 +61,11 @@ def _ones(lanes: int) -> int:
     return sum(1 << (64 // lanes * k) for k in range(lanes))
 
 
-def _lane_sums(word_hash: Column, lanes: int) -> list[Column]:
-    """64 / lanes sums; each lane of a sum counts one bit of the hashes."""
+def _lane_sums(hashes: list[str], lanes: int) -> list[Column]:
+    """64 / lanes sums over some columns of hashes; each lane of a sum counts one bit of them."""
     one = F.lit(_ones(lanes))
-    return [F.sum(F.shiftrightunsigned(word_hash, i).bitwiseAND(one)).alias(f"s{i}") for i in range(64 // lanes)]
+    bits = lambda i: reduce(lambda a, b: a + b, [F.shiftrightunsigned(h, i).bitwiseAND(one) for h in hashes])
+    return [F.sum(bits(i)).alias(f"s{i}") for i in range(64 // lanes)]
 
 
 def _majority(n: Column, lanes: int) -> Column:
@@ -83,6 +85,8 @@ def _signed_lines(docs: DataFrame, cfg: LineConfig, lanes: int, words: tuple[int
     row = F.monotonically_increasing_id().alias("row")
     rows = docs.select(row, "doc_id", F.xxhash64("text").alias("t"), "text")
     split = rows.select("row", "doc_id", "t", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
+    if words[0] > SHORT:  # a line of so many words has twice as many characters
+        split = split.where(F.length("line") > 2 * SHORT)
     norm = split.select("row", "doc_id", "t", "pos", normal(F.col("line")).alias("norm"))
     # the line's own columns before its words are dealt out, or they would be computed for each word
     own = ("row", "doc_id", "t", "pos", "h", "chars")
@@ -90,9 +94,12 @@ def _signed_lines(docs: DataFrame, cfg: LineConfig, lanes: int, words: tuple[int
     line = line.select(*own, "words", F.size("words").alias("n"))
     # lines of other lengths pass with one pair and go after the sums: a filter that reached this place would cut lines into words twice
     last = F.when(F.col("n").between(*words), F.col("n") - 2).otherwise(0)
-    each = line.select(*own, "n", "words", F.explode(F.sequence(F.lit(0), last)).alias("i"))
-    pair = F.xxhash64(F.get("words", F.col("i")), F.get("words", F.col("i") + 1))
-    sums = each.select(*own, "n", pair.alias("wh")).groupBy(*own).agg(F.max("n").alias("n"), *_lane_sums(F.col("wh"), lanes))
+    each = line.select(*own, "n", "words", F.explode(F.sequence(F.lit(0), last, F.lit(AT_ONCE))).alias("i"))
+    word = [F.get("words", F.col("i") + k) for k in range(AT_ONCE + 1)]
+    # behind the last pair stands 0, which counts nothing
+    pairs = [F.when(b.isNotNull(), F.xxhash64(a, b)).otherwise(F.lit(0).cast("long")).alias(f"w{k}") for k, (a, b) in enumerate(zip(word, word[1:], strict=False))]
+    sums = each.select(*own, "n", *pairs).groupBy(*own)
+    sums = sums.agg(F.max("n").alias("n"), *_lane_sums([f"w{k}" for k in range(AT_ONCE)], lanes))
     return sums.where(F.col("n").between(*words)).select("doc_id", "t", "pos", "h", _majority(F.col("n") - 1, lanes).alias("sim"), "chars")
 
 
