@@ -31,7 +31,7 @@ from quotegrid.llm.components import connected_components
 from quotegrid.session import materialize
 
 BLOCKS = (13, 13, 13, 13, 12)  # bits
-FEW = (6, 24)  # edits that are tried first
+FEW = (6, 24, 96, 384)  # edits that are tried first, as far as the similarity allows them
 AT_ONCE = 2  # pairs of words a row carries to the sums
 SHORT = 1 << 14  # words of a line whose counters have 14 bits
 
