@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 from quotegrid.functions.time import day_of_ns
 from quotegrid.operators.registry import current_models, latest_models
 from quotegrid.plans.catalog import query
-from quotegrid.plans.grid_queries import COARSE, LIVE_SQL, LIVE_WARMUP_MINUTES, VOLS_SQL, live, nan_to_null
+from quotegrid.plans.grid_queries import COARSE, LIVE_SQL, LIVE_WARMUP_MINUTES, STEP_S, VOLS_SQL, live, nan_to_null
 from quotegrid.plans.table_queries import LOOKBACK_DAYS
 from quotegrid.session import scratch_path
 from quotegrid.sources import testdata as td
 from quotegrid.streaming.events import depth_levels, parse, read_event_files, route, status_message, status_of, tag_messages
 from quotegrid.streaming.live import live_features, use_rocksdb
+from quotegrid.streaming.scoring import score_and_send
+from quotegrid.streaming.sinks import CommitLog, folder_sink, sent_once
 
 DELAY_MS = 1000
 
@@ -73,18 +75,59 @@ def status_json(spark, sf):
 )
 def stream_vs_batch_asof(spark, sf):
     """The live stream run over files of messages; its SQL is the batch form up to the last watermark."""
-    folder, out, state = (scratch_path(spark, n) for n in ("messages", "live", "state"))
-    messages = td.quote_messages(spark, sf)
+    rows = streamed(spark, td.quote_messages(spark, sf))
+    return nan_to_null(rows.select("symbol", "timestamp", "samples", "warm", "mid_tick", *COARSE.vol_columns), COARSE.vol_columns)
+
+
+def message_stream(spark, messages):
+    """Live features of messages (``us``, ``value``) that are written to files in order of time."""
+    folder = scratch_path(spark, "messages")
     messages.repartitionByRange(4, "us").sortWithinPartitions("us").select("value").write.text(folder)
     use_rocksdb(spark)
-    stream = live_features(read_event_files(spark, folder), COARSE, LIVE_WARMUP_MINUTES, delay=f"{DELAY_MS} milliseconds")
-    q = (
-        stream.writeStream.format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", state)
-        .trigger(availableNow=True)
-        .start()
+    return live_features(read_event_files(spark, folder), COARSE, LIVE_WARMUP_MINUTES, delay=f"{DELAY_MS} milliseconds")
+
+
+def streamed(spark, messages):
+    """The rows of that stream."""
+    out, state = (scratch_path(spark, n) for n in ("live", "state"))
+    writer = message_stream(spark, messages).writeStream.format("parquet").option("path", out).option("checkpointLocation", state)
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(out)
+
+
+@query(
+    "live_tick_size",
+    f"""WITH {LIVE_SQL}, wm AS (SELECT (max(local_ts_ns)//1000000 - {DELAY_MS})*1000000 AS until FROM v)
+    SELECT g.symbol, g.c*{STEP_S}000000000 AS "timestamp", g.c - g.c0 + 1 AS samples,
+      round((ask_price + bid_price)/2/(CASE WHEN day(CAST(make_timestamp(g.c*{STEP_S}000000) AS DATE)) % 2 = 0 THEN 0.01 ELSE 0.005 END), 1) AS mid_tick
+    FROM g ASOF JOIN v ON g.symbol = v.symbol AND g.c*{STEP_S}000000000 >= v.local_ts_ns, wm WHERE g.c*{STEP_S}000000000 < until""",
+)
+def live_tick_size(spark, sf):
+    """Live mid prices in ticks while the feed changes each symbol's tick size at midnight."""
+    days = td.symbol_days(spark, sf).select("symbol", "date").distinct()
+    us = F.unix_date("date").cast("bigint") * 86_400_000_000
+    size = F.when(F.day("date") % 2 == 0, 0.01).otherwise(0.005)
+    told = F.struct(F.lit("symbol").alias("Event"), F.col("symbol").alias("Symbol"), size.alias("TickSize"), us.alias("updateTime"))
+    rows = streamed(spark, td.quote_messages(spark, sf).unionByName(days.select(us.alias("us"), F.to_json(told).alias("value"))))
+    return rows.select("symbol", "timestamp", "samples", "mid_tick")
+
+
+@query(
+    "pushed_messages",
+    f"""WITH {LIVE_SQL}, wm AS (SELECT (max(local_ts_ns)//1000000 - {DELAY_MS})*1000000 AS until FROM v)
+    SELECT symbol, CAST(make_timestamp(t//1000) AS DATE) AS date, CASE WHEN warm THEN 'no_model' ELSE 'warmup' END AS status,
+      count(*) AS messages, count(DISTINCT t) AS instants FROM live, wm WHERE t < until GROUP BY ALL""",
+)
+def pushed_messages(spark, sf):
+    """The live job's messages as its sink got them. The stream is run twice over the same feed; no batch is sent twice."""
+    out, log = scratch_path(spark, "pushed"), CommitLog(spark, scratch_path(spark, "pushed-log"))
+    registry = td.registry(spark, sf)  # names models that no store has
+    body = score_and_send(lambda: registry, sent_once(folder_sink(out), log), COARSE.feature_columns, LOOKBACK_DAYS, COARSE.grid)
+    stream = message_stream(spark, td.quote_messages(spark, sf))
+    for _ in range(2):
+        writer = stream.writeStream.foreachBatch(body).option("checkpointLocation", scratch_path(spark, "state"))
+        writer.trigger(availableNow=True).start().awaitTermination()
+    sent = spark.read.text(out).select(F.from_json("value", "timestamp bigint, symbol string, status string").alias("m")).select("m.*")
+    return sent.groupBy("symbol", day_of_ns(F.col("timestamp"), COARSE.grid).alias("date"), "status").agg(
+        F.count(F.lit(1)).alias("messages"), F.count_distinct("timestamp").alias("instants")
     )
-    q.awaitTermination()
-    rows = spark.read.parquet(out).select("symbol", "timestamp", "samples", "warm", "mid_tick", *COARSE.vol_columns)
-    return nan_to_null(rows, COARSE.vol_columns)
