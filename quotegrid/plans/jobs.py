@@ -8,7 +8,7 @@ from datetime import date, datetime
 from uuid import uuid4
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from quotegrid.config import FeatureConfig, TrainConfig
@@ -38,19 +38,44 @@ class Store:
         except AnalysisException:
             return None
 
+    def day_folders(self, spark: SparkSession, name: str, days: DataFrame) -> list[str]:
+        """The folders that there are of these ``(symbol, date)``s. Only their symbols' folders are listed.
+
+        The driver holds the asked days, a span of a job; the store may have any number of others.
+        """
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        base = hadoop.Path(self.path(name))
+        fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        by_symbol = days.select("symbol", "date").distinct().groupBy("symbol").agg(F.collect_list(F.col("date").cast("string")).alias("dates"))
+        found = []
+        for r in by_symbol.collect():
+            folder = hadoop.Path(base, f"symbol={partition_name(r['symbol'])}")
+            if fs.exists(folder):
+                there = {f.getPath().getName(): f.getPath().toString() for f in fs.listStatus(folder)}
+                found += [there[d] for d in (f"date={x}" for x in r["dates"]) if d in there]
+        return sorted(found)
+
+    def _days(self, spark: SparkSession, name: str, days: DataFrame | None, reader: DataFrameReader) -> DataFrame | None:
+        """A scan of some days of a table, or of all."""
+        paths = [self.path(name)] if days is None else self.day_folders(spark, name, days)
+        if not paths:
+            return None
+        try:
+            return reader.option("basePath", self.path(name)).load(paths)
+        except AnalysisException:
+            return None
+
     def stats(self, spark: SparkSession, name: str, only: DataFrame | None = None) -> DataFrame:
-        """Rows of each stored symbol-day; ``only`` prunes the scan to its symbol-days.
+        """Rows of each stored symbol-day; with ``only`` nothing but its symbol-days is listed and read.
 
         A symbol-day with a file that cannot be read counts as empty: what is left of it is not the day.
         """
-        table = self.read(spark, name, skip_corrupt=True)
+        keys = spark.read.schema("symbol string, date date").option("ignoreCorruptFiles", True).format("parquet")
+        table = self._days(spark, name, only, keys)
         if table is None:
             return spark.createDataFrame([], "symbol string, date date, rows bigint")
-        days = None if only is None else small_side(only.select("symbol", "date").distinct())
-        files = self.files(spark, name, days).groupBy("symbol", "date").agg(F.count("*").alias("stored"))
+        files = self.files(spark, name, only).groupBy("symbol", "date").agg(F.count("*").alias("stored"))
         rows = table.select("symbol", "date", F.col("_metadata.file_name").alias("file"))
-        if days is not None:
-            rows = rows.join(days, ["symbol", "date"], "left_semi")
         read = rows.groupBy("symbol", "date", "file").agg(F.count("*").alias("n"))
         read = read.groupBy("symbol", "date").agg(F.sum("n").alias("n"), F.count("*").alias("readable"))
         whole = F.when(F.col("readable") == F.col("stored"), F.col("n"))
@@ -58,9 +83,11 @@ class Store:
 
     def files(self, spark: SparkSession, name: str, days: DataFrame | None = None) -> DataFrame:
         """``symbol, date, file`` of the stored files, from the listing alone."""
-        listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(self.path(name))
-        listed = listed.select("symbol", F.col("date").cast("date").alias("date"), F.element_at(F.split("path", "/"), -1).alias("file"))
-        return listed if days is None else listed.join(days, ["symbol", "date"], "left_semi")
+        listed = self._days(spark, name, days, spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet"))
+        if listed is None:
+            return spark.createDataFrame([], "symbol string, date date, file string")
+        name_of = F.element_at(F.split("path", "/"), -1).alias("file")
+        return listed.select(F.col("symbol").cast("string").alias("symbol"), F.col("date").cast("date").alias("date"), name_of)
 
     def ledger(self, spark: SparkSession, name: str) -> DataFrame:
         return lg.read_ledger(spark, self.path(name))
@@ -71,6 +98,15 @@ class Store:
         materialize(fresh).coalesce(1).write.mode("append").parquet(self.path(name))
 
 
+# Characters that Spark writes as % and two hexadecimal digits in the name of a partition's folder.
+ESCAPED = "\"#%'*/:=?\\\x7f{[]^"
+
+
+def partition_name(value: str) -> str:
+    """The value of a partition column as its folder is named."""
+    return "".join(f"%{ord(c):02X}" if c in ESCAPED or ord(c) < 32 else c for c in value)
+
+
 def day_batches(pending: DataFrame, cfg: FeatureConfig, blocks_per_task: int) -> list[tuple[date, date]]:
     """Spans of feature dates, each small enough that a task sorts few blocks of grid points."""
     width = int(pending.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -111,8 +147,7 @@ def build_features(
         store.record(spark, "feature_ledger", store.stats(spark, "features", found), now)
     pending = plan.where("action = 'build'").select("symbol", F.col("date").alias("feature_date"))
     wanted = pending.withColumnRenamed("feature_date", "date")
-    there = store.read(spark, "features") is not None
-    old = materialize(store.files(spark, "features", small_side(wanted))) if there else None
+    old = materialize(store.files(spark, "features", wanted))
     for first, last in day_batches(pending, cfg, blocks_per_task):
         batch = pending.where(F.col("feature_date").between(first, last))
         raw, days = quotes_for(quotes, batch, cfg.grid)
@@ -127,12 +162,9 @@ def build_features(
     return materialize(pending.join(present, ["symbol", "feature_date"], "left_anti"))
 
 
-def _written(store: Store, spark: SparkSession, days: DataFrame, old: DataFrame | None) -> DataFrame:
+def _written(store: Store, spark: SparkSession, days: DataFrame, old: DataFrame) -> DataFrame:
     """Those of the days that have a file which was not there before."""
-    if store.read(spark, "features") is None:
-        return days.where(F.lit(False))
-    now = store.files(spark, "features", small_side(days))
-    new = now if old is None else now.join(old, ["symbol", "date", "file"], "left_anti")
+    new = store.files(spark, "features", days).join(old, ["symbol", "date", "file"], "left_anti")
     return materialize(new.select("symbol", "date").distinct())
 
 

@@ -76,6 +76,31 @@ def test_a_partly_readable_partition_is_not_the_day(spark, rows, sizes, tmp_path
     assert [r.rows for r in s.stats(spark, "features").collect()] == [0]
 
 
+def test_only_the_asked_days_are_listed(spark, rows, sizes, tmp_path):
+    """Other days of the store may be anything: they are neither listed nor read."""
+    s = Store(str(tmp_path))
+    build_features(frame(spark, rows), tasks(spark, ["a"], [2, 3]), sizes, FEATURES, s, NOW)
+    asked = tasks(spark, ["a"], [2, 9]).unionByName(tasks(spark, ["nobody"], [2]))
+    assert [f.rsplit("/", 2)[1:] for f in s.day_folders(spark, "features", asked)] == [["symbol=a", f"date={day(2)}"]]
+    other = tmp_path / "features" / "symbol=a" / f"date={day(3)}"
+    for f in other.glob("*.parquet"):
+        f.write_bytes(b"broken")
+    assert {r.date for r in s.files(spark, "features", asked).collect()} == {day(2)}
+    assert [(r.date, r.rows > 0) for r in s.stats(spark, "features", asked).collect()] == [(day(2), True)]
+    assert s.files(spark, "features", tasks(spark, ["b"], [1])).count() == 0
+    assert s.files(spark, "nothing", asked).count() == 0 and s.stats(spark, "nothing").count() == 0
+
+
+def test_folders_of_odd_symbols_are_found(spark, tmp_path):
+    odd = ["A/B:C", "x y", "50%", "é", "a=b{1}"]
+    s = Store(str(tmp_path))
+    rows = spark.createDataFrame([(x, day(1), 5) for x in odd], "symbol string, date date, timestamp bigint")
+    rows.write.partitionBy("symbol", "date").parquet(s.path("features"))
+    asked = rows.select("symbol", "date")
+    assert len(s.day_folders(spark, "features", asked)) == len(odd)
+    assert {(r.symbol, r.rows) for r in s.stats(spark, "features", asked).collect()} == {(x, 1) for x in odd}
+
+
 def test_a_window_with_missing_days_is_a_failure(spark, rows, sizes, tmp_path):
     s = Store(str(tmp_path))
     build_features(frame(spark, rows), tasks(spark, ["a"], [2, 3, 5]), sizes, FEATURES, s, NOW)
