@@ -90,3 +90,15 @@ def test_sql_and_plan(spark):
     df = X.quality_verdicts(docs, labels)
     assert [tuple(r) for r in df.orderBy("doc_id").collect()] == want
     assert not plans.python_nodes(df) and not plans.cross_joins(df)
+
+
+def test_sql_with_certified_cutoffs(spark):
+    """A table with labels enough for cutoffs: the operator's method decides rows, and SQL agrees on each."""
+    sf = "/root/testdata/sf0.1"
+    con = duckdb.connect()
+    for t in ("documents", "labels"):
+        con.execute(f"create view {t} as select * from '{sf}/{t}.parquet'")
+    want = con.execute(f"select * from ({sql.OP9}) order by doc_id").fetchall()
+    got = X.quality_verdicts(*(spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))).orderBy("doc_id").collect()
+    assert [tuple(r) for r in got] == want
+    assert sum(not r.kept and not r.base_failed for r in got) > 100
