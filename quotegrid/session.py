@@ -10,8 +10,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A side is broadcast only when it was counted and has at most this many rows.
+# A side is broadcast only when it was counted and measured, and has at most so many rows and bytes.
 MAX_BROADCAST_ROWS = 200_000
+MAX_BROADCAST_BYTES = 32 << 20
 
 
 def build_session(app: str = "quotegrid", master: str | None = None, **conf: str) -> SparkSession:
@@ -66,11 +67,25 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast if ``df`` is counted to be small; else leave the join to Catalyst."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+def _row_bytes(df: DataFrame):
+    """About the bytes of a row: texts by their length, nested columns by their JSON, other columns 8 each."""
+    out = F.lit(0)
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        kind = f.dataType.typeName()
+        if kind in ("string", "binary"):
+            out = out + F.coalesce(F.octet_length(c), F.lit(0))
+        elif kind in ("array", "map", "struct"):
+            out = out + F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
+        else:
+            out = out + F.lit(8)
+    return out.cast("bigint")
+
+
+def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast if ``df`` was counted and measured to be small; else leave the join to Catalyst."""
+    rows, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(_row_bytes(df)), F.lit(0))).first()
+    return F.broadcast(df) if rows <= max_rows and size <= max_bytes else df
 
 
 def compile_wide_projections(spark: SparkSession) -> None:

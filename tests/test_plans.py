@@ -62,6 +62,10 @@ def test_small_side_is_checked(spark):
     joined = big.join(small_side(key(50), max_rows=49), "k")
     assert "ResolvedHint" not in joined._jdf.queryExecution().analyzed().toString()
     assert MAX_BROADCAST_ROWS <= 1_000_000
+    hinted = lambda df, **most: "ResolvedHint" in big.join(small_side(df, **most), "k")._jdf.queryExecution().analyzed().toString()
+    wide = key(3).withColumn("text", F.repeat(F.lit("x"), 1000)).withColumn("list", F.array_repeat(F.lit(1234567), 200))
+    assert not hinted(wide, max_bytes=7000) and hinted(wide, max_bytes=9000)
+    assert hinted(key(0)) and hinted(key(3).withColumn("text", F.lit(None).cast("string")))
 
 
 def test_stages_go_to_the_named_shared_folder(spark):
