@@ -1,30 +1,37 @@
 """Toxicity by the nearest labelled examples, with exact TF-IDF cosines from a block-max inverted index.
 
-Terms are a text's words and the first letters of its longer words, both lower-cased. The vocabulary are the
-terms that go with the label: of the terms in a bounded sample of labelled documents, those that come more often
-in toxic ones, several times as often by a chi-square test that is corrected for the number of terms tested. Term frequencies of this vocabulary are taken from every whole text, and
-document frequencies counted over all of them. The sample's vectors form an inverted index in blocks of
-``BLOCK`` examples that knows each term's largest weight in each block, and so the cosine that a block can at most
-reach. A search looks at the highest blocks first, and then only at blocks that can reach the k-th best cosine, so
-the nearest examples are exact. They vote with weights that fall with distance. Votes of the examples
-themselves, each left out of its own search, calibrate the vote (isotonic). The nearest examples are the evidence.
-
-Labels are taken from the given rows only; a classifier needs at most ``PER_CLASS`` of either label,
-whatever the corpus. Weights restore the share of the labels.
-
-Defined results: null and empty texts, and texts without a term of the vocabulary, get the share of toxic examples among
-the examples without one; without labels the score is 0. Several labels of one document are toxic if one is; null labels
-are none. Equal cosines go to the smaller id. Repeated rows give repeated rows; other columns are not looked at.
+Terms are all lower-cased words of a text, and the first letters of its longer words, both as 20-bit hashes. Document frequencies
+are counted over all documents. Every word has its TF-IDF weight. Terms that go with the label weigh ``LIFTED``
+times as much: those that come more often in the toxic ones of a bounded sample of labelled documents, several times
+as often and by a chi-square test that is corrected for the number of terms tested. First letters weigh nothing without it. So texts
+are near by such terms if they have any, and by their other words in any case: a copy of an example has cosine 1.
+
+The examples' vectors form an inverted index in blocks of ``BLOCK`` examples that knows each term's largest weight in
+each block, and so the cosine that a block can at most reach. A search looks at the highest blocks first, and then only
+at blocks that can reach the k-th best cosine, so the nearest examples are exact. They vote with weights that fall with
+distance. Votes of the examples themselves, each left out of its own search, calibrate the vote (isotonic).
+The nearest examples are the evidence.
+
+Labels are taken from the given rows only; terms are tested on about ``PER_CLASS`` documents of either label at most, and about ``INDEXED``
+of either are examples, whatever the corpus. Weights restore the share of the labels.
+
+Defined results: null and empty texts, and texts that share no term with an example, get the share of toxic examples among
+the examples without a term (of all examples, if each has one); without labels the score is 0. Several labels of one document are
+toxic if one is; null labels are none. Examples of equal texts and labels are one, of the smallest id. Equal cosines go to the smaller id. Repeated rows give
+repeated rows; an empty table gives no rows; very long texts are read whole; other columns are not looked at.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from hashlib import md5
+from itertools import chain
 from statistics import NormalDist
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -34,29 +41,71 @@ from pyspark.sql import functions as F
 from quotegrid.llm.common import row_slices, texts
 from quotegrid.session import materialize
 
-PER_CLASS = 8192  # labelled examples of each label that are learnt from
-VOCABULARY = 4096  # terms
-LEAST = 3  # toxic examples that have a term
+PER_CLASS = 8192  # labelled documents of each label that terms are tested on
+INDEXED = 2048  # of each label that are examples
+TERMS = 1 << 20  # words are hashed to; first letters to as many behind them
+LEAST = 3  # toxic documents that have a term which goes with the label
 LIFT = 3  # times as often in toxic documents, at least
 CHANCE = 0.01  # that any term is taken without going with the label
+LIFTED = 100.0
 STEM = 4  # letters
 NEIGHBOURS = 16
-BLOCK = 64
-FIRST = 8  # blocks looked at first
-KNOWN = 10_000  # vectors whose scores a task keeps
+BLOCK = 32
+FIRST = 2  # blocks looked at first
+PRIOR = 0.02  # votes for the share of toxic examples
+KNOWN = 10_000  # texts whose scores a task keeps
+WORDS_KNOWN = 200_000  # words whose hashes a task keeps
 SLICE = 1 << 20
 
 _WORDS = re.compile(r"[^\W\d_]+").findall
 
 
-def term_counts(text: str) -> Counter:
-    """Terms of a text; the first letters of a longer word are marked with a caret."""
-    words = Counter(_WORDS(text.lower()))
-    stems: Counter = Counter()
-    for w, n in words.items():
-        if len(w) > STEM:
-            stems["^" + w[:STEM]] += n
-    return words + stems
+class _Hashes(dict):
+    """The hash of a word, or of its first letters, computed once; -1 if it is not among the terms wanted."""
+
+    def __init__(self, stems: bool, wanted: np.ndarray | None) -> None:
+        self.stems, self.wanted = stems, wanted
+
+    def __missing__(self, word: str) -> int:
+        if self.stems:
+            at = TERMS + crc32(word[:STEM].encode("utf-8", "surrogatepass")) % TERMS if len(word) > STEM else -1
+        else:
+            at = crc32(word.encode("utf-8", "surrogatepass")) % TERMS
+        if at >= 0 and self.wanted is not None and not self.wanted[at]:
+            at = -1
+        self[word] = at
+        return at
+
+
+class TermCounter:
+    """Terms (ascending) and counts of texts: hashes of words, and behind them of the first letters of longer words."""
+
+    def __init__(self, wanted: np.ndarray | None = None) -> None:
+        self.words, self.stems = _Hashes(False, wanted), _Hashes(True, wanted)
+
+    def _room(self) -> None:
+        if len(self.words) > WORDS_KNOWN:
+            self.words.clear()
+            self.stems.clear()
+
+    def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        self._room()
+        words = Counter(_WORDS(text.lower()))
+        at = np.fromiter(chain(map(self.words.__getitem__, words), map(self.stems.__getitem__, words)), np.int64, 2 * len(words))
+        some = np.flatnonzero(at >= 0)
+        n = np.fromiter(words.values(), np.int64, len(words))[some % max(1, len(words))]
+        at = at[some]
+        order = np.argsort(at)
+        at, n = at[order], n[order]
+        first = np.flatnonzero(np.diff(at, prepend=-1))
+        return at[first], np.add.reduceat(n, first) if first.size else n
+
+    def present(self, text: str) -> np.ndarray:
+        """The terms alone, in any order; some may be listed twice."""
+        self._room()
+        words = set(_WORDS(text.lower()))
+        at = np.fromiter(chain(map(self.words.__getitem__, words), map(self.stems.__getitem__, words)), np.int64, 2 * len(words))
+        return at[at >= 0]
 
 
 def sampled_labels(labels: DataFrame, per_class: int = PER_CLASS) -> DataFrame:
@@ -71,143 +120,190 @@ def sampled_labels(labels: DataFrame, per_class: int = PER_CLASS) -> DataFrame:
     return once.where(chance < of).withColumn("weight", 1 / of)
 
 
-def vocabulary(examples: DataFrame) -> list[str]:
-    """Terms that go with the label, from ``text`` and ``toxic`` of the sample."""
+def document_frequencies(docs: DataFrame, wanted: np.ndarray | None = None) -> DataFrame:
+    """term, n: how many rows of ``text`` have it. A task counts its own rows before the shuffle."""
+    held = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in row_slices(batches, "text", 4 * SLICE):
-            seen: dict[str, list[int]] = defaultdict(lambda: [0, 0])
-            for text, toxic in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                for term in term_counts(text):
-                    seen[term][toxic] += 1
-            yield pa.RecordBatch.from_pydict(
-                {"term": pa.array(seen.keys(), pa.string()), "clean": [x[0] for x in seen.values()], "toxic": [x[1] for x in seen.values()]}
-            )
+        terms, seen = TermCounter(held.value), np.zeros(2 * TERMS, np.int64)
+        for part in row_slices(batches, "text", SLICE):
+            for text in part.column(0).to_pylist():
+                seen[terms.present(text)] += 1  # once, if listed twice
+        at = np.flatnonzero(seen)
+        for i in range(0, at.size, 1 << 16):
+            some = at[i : i + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(seen[some])], names=["term", "n"])
 
-    totals = {r["toxic"]: r["count"] for r in examples.groupBy("toxic").count().collect()}
-    n1, n0 = totals.get(1, 0), totals.get(0, 0)
-    counted = examples.select("text", F.col("toxic").cast("int")).mapInArrow(count, "term string, clean long, toxic long")
-    per = counted.groupBy("term").agg(F.sum("clean").alias("c"), F.sum("toxic").alias("a")).where(F.col("a") >= LEAST)
-    n, with_term = n0 + n1, F.col("a") + F.col("c")
-    lean = F.col("a") * n0 - F.col("c") * n1
-    chi = lean.cast("double") * lean / n1 * n / n0 / with_term / F.greatest(n - with_term, F.lit(1)) if n0 and n1 else F.lit(0.0)
-    per = materialize(per, "terms")
-    z = NormalDist().inv_cdf(1 - CHANCE / 2 / max(1, per.count()))
-    often = F.col("a") * n0 >= LIFT * F.col("c") * n1
-    best = per.withColumn("chi", chi).where((lean > 0) & often & (F.col("chi") >= z * z))
-    return [r["term"] for r in best.orderBy(F.desc("chi"), "term").limit(VOCABULARY).collect()]
+    return docs.select("text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
 
 
-def term_vectors(docs: DataFrame, terms: list[str]) -> DataFrame:
-    """doc_id, ``terms`` (places in the vocabulary) and ``counts`` of each whole text."""
-    place = {t: i for i, t in enumerate(terms)}
+def _dense(counted: DataFrame) -> np.ndarray:
+    """The counts of all hashes, of which there are 2 * ``TERMS``."""
+    found, out = counted.toArrow(), np.zeros(2 * TERMS, np.int64)
+    out[found.column("term").to_numpy()] = found.column("n").to_numpy()
+    return out
+
+
+def lifted(clean: np.ndarray, toxic: np.ndarray, n0: int, n1: int) -> np.ndarray:
+    """Whether a term goes with the label, from the clean and the toxic documents that have it, of ``n0`` and ``n1``."""
+    tested = toxic >= LEAST
+    if not (n0 and n1 and tested.any()):
+        return np.zeros(toxic.size, bool)
+    c, a, n = clean.astype(np.float64), toxic.astype(np.float64), n0 + n1
+    lean = a * n0 - c * n1
+    chi = lean * lean / n1 * n / n0 / np.maximum(a + c, 1) / np.maximum(n - a - c, 1)
+    z = NormalDist().inv_cdf(1 - CHANCE / 2 / tested.sum())
+    return tested & (lean > 0) & (a * n0 >= LIFT * c * n1) & (chi >= z * z)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = place.keys()
-        for part in row_slices(batches, "text", SLICE):
-            found = []
-            for text in part.column(1).to_pylist():
-                words = Counter(_WORDS(text.lower()))
-                hits = Counter({w: words[w] for w in known & words.keys()})
-                for w, n in words.items():
-                    if len(w) > STEM and (stem := "^" + w[:STEM]) in known:
-                        hits[stem] += n
-                found.append(sorted((place[t], n) for t, n in hits.items()))
-            at = pa.array([[i for i, _ in f] for f in found], pa.list_(pa.int32()))
-            n = pa.array([[n for _, n in f] for f in found], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([part.column(0), at, n], names=["doc_id", "terms", "counts"])
 
-    return texts(docs).mapInArrow(run, "doc_id long, terms array<int>, counts array<int>")
+def term_weights(df: np.ndarray, total: int, goes: np.ndarray) -> np.ndarray:
+    """The weight of every term: that of rare words, more for terms that go with the label, none for other first letters."""
+    idf = np.log((1 + total) / (1 + np.minimum(df, total)))
+    factor = np.where(goes, LIFTED, 1.0)
+    factor[TERMS:][~goes[TERMS:]] = 0
+    return (idf * factor).astype(np.float32)
 
 
-def _unit(terms, counts, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    at = np.asarray(terms, np.int64)
-    w = (1 + np.log(np.asarray(counts, np.float64))) * idf[at]
-    length = math.sqrt(float(w @ w))
-    return at, (w / length if length else w)
+def _unit(terms: np.ndarray, counts: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Terms of some weight, and their parts of a vector of length 1."""
+    w = (1 + np.log(np.asarray(counts, np.float64))) * weights[terms]
+    some = w > 0
+    at, w = np.asarray(terms)[some], w[some]
+    return at, w / math.sqrt(float(w @ w)) if w.size else w
+
+
+def _spans(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start, start + 1 ... of each span, one behind the other."""
+    before = np.cumsum(size) - size
+    return np.repeat(start - before, size) + np.arange(int(size.sum()))
 
 
 @dataclass
 class BlockMaxIndex:
     """Postings of the examples by term, cut into blocks, with each term's largest weight in a block."""
 
-    idf: np.ndarray
-    ids: np.ndarray  # of the examples, ascending inside a block order
+    weights: np.ndarray  # of terms
+    ids: np.ndarray  # of the examples
     toxic: np.ndarray
     weight: np.ndarray
-    # of each term: rows, weights, blocks, largest weight in each block
-    postings: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=dict)
-    plain: float = 0.0  # share of toxic examples among those without a term
+    plain: float  # share of toxic examples among those without a term, or of all
+    # postings by term: its place, examples and weights; the blocks by term with the largest weights
+    terms: np.ndarray
+    first: np.ndarray
+    rows: np.ndarray
+    parts: np.ndarray
+    first_block: np.ndarray
+    blocks: np.ndarray
+    most: np.ndarray
+    # the same by example, for single blocks; terms by their place in ``terms``
+    own_first: np.ndarray
+    own_terms: np.ndarray
+    own_parts: np.ndarray
+    _query: np.ndarray | None = None  # a query's parts while blocks are looked at
 
     @classmethod
-    def build(cls, examples: list[tuple], idf: np.ndarray) -> BlockMaxIndex:
+    def build(cls, examples: list[tuple], weights: np.ndarray) -> BlockMaxIndex:
         """``examples``: (doc_id, toxic, weight, terms, counts)."""
-        some = [(e, *_unit(e[3], e[4], idf)) for e in examples if len(e[3])]
-        some = [x for x in some if x[2].any()]
+        units = [(e, *_unit(e[3], e[4], weights)) for e in examples]
+        bare = [e for e, at, _ in units if not at.size] or examples
+        whole = sum(e[2] for e in bare)
+        some = [x for x in units if x[1].size]
         # examples with the same leading term share blocks, so that the largest weights say more
         some.sort(key=lambda x: (int(x[1][np.argmax(x[2])]), x[0][0]))
-        bare = [e for e in examples if not len(e[3])]
-        whole = sum(e[2] for e in bare)
-        out = cls(
-            idf,
+        size = np.array([x[1].size for x in some], np.int64)
+        own_terms = np.concatenate([x[1] for x in some]) if some else np.empty(0, np.int64)
+        own_parts = np.concatenate([x[2] for x in some]) if some else np.empty(0)
+        row = np.repeat(np.arange(len(some)), size)
+        order = np.lexsort((row, own_terms))
+        of, rows, parts = own_terms[order], row[order], own_parts[order]
+        terms, first = np.unique(of, return_index=True)
+        new = np.flatnonzero(np.diff(of, prepend=-1) | np.diff(rows // BLOCK, prepend=-1)) if rows.size else np.empty(0, np.int64)
+        end = lambda at, n: np.append(at, n).astype(np.int64)
+        return cls(
+            weights,
             np.array([x[0][0] for x in some], np.int64),
             np.array([x[0][1] for x in some], np.float64),
             np.array([x[0][2] for x in some], np.float64),
-            plain=sum(e[2] for e in bare if e[1]) / whole if whole else 0.0,
+            sum(e[2] for e in bare if e[1]) / whole if whole else 0.0,
+            terms,
+            end(first, rows.size),
+            rows.astype(np.int32),
+            parts,
+            end(np.searchsorted(new, first), new.size),
+            (rows[new] // BLOCK).astype(np.int32),
+            np.maximum.reduceat(parts, new) if new.size else parts,
+            end(np.cumsum(size) - size, own_terms.size),
+            np.searchsorted(terms, own_terms).astype(np.int32),
+            own_parts,
         )
-        by_term: dict[int, list[tuple[int, float]]] = defaultdict(list)
-        for row, (_, at, w) in enumerate(some):
-            for t, v in zip(at.tolist(), w.tolist(), strict=True):
-                by_term[t].append((row, v))
-        for t, found in by_term.items():
-            rows = np.array([r for r, _ in found])
-            w = np.array([v for _, v in found])
-            blocks, first = np.unique(rows // BLOCK, return_index=True)
-            out.postings[t] = (rows, w, blocks, np.maximum.reduceat(w, first))
-        return out
 
     def search(self, terms, counts, k: int = NEIGHBOURS, without: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Rows and cosines of the k nearest examples with a term in common, nearest first."""
-        at, q = _unit(terms, counts, self.idf)
-        mine = [(w, *self.postings[t]) for t, w in zip(at.tolist(), q.tolist(), strict=True) if t in self.postings and w > 0]
-        if not mine:
+        at, q = _unit(np.asarray(terms, np.int64), counts, self.weights)
+        place = np.searchsorted(self.terms, at)
+        here = place < self.terms.size
+        here[here] = self.terms[place[here]] == at[here]
+        return self.search_places(place[here], q[here], k, without)
+
+    def search_places(self, place: np.ndarray, w: np.ndarray, k: int = NEIGHBOURS, without: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The same, of places in ``terms`` and the parts there of a vector of length 1."""
+        if not place.size:
             return np.empty(0, np.int64), np.empty(0)
         n = -(-self.ids.size // BLOCK)
-        bound = np.bincount(
-            np.concatenate([m[3] for m in mine]), np.concatenate([m[0] * m[4] for m in mine]), minlength=n
-        )
-        rows = np.concatenate([m[1] for m in mine])
-        parts = np.concatenate([m[0] * m[2] for m in mine])
-        of = rows // BLOCK
+        start = self.first_block[place]
+        size = self.first_block[place + 1] - start
+        spans = _spans(start, size)
+        bound = np.bincount(self.blocks[spans], np.repeat(w, size) * self.most[spans], minlength=n)
         # the blocks with the highest bounds give a k-th best; then all blocks that may still reach it
-        chosen = np.zeros(n, bool)
-        chosen[np.argpartition(bound, -FIRST)[-FIRST:] if n > FIRST else slice(None)] = True
-        best, cosines = self._exact(rows, parts, of, chosen, k, without)
-        least = cosines[-1] if best.size == k else 0.0
-        more = bound >= least - 1e-9
-        if best.size < k or (more & ~chosen).any():
-            best, cosines = self._exact(rows, parts, of, more & (bound > 0), k, without)
-        return best, cosines
-
-    def _exact(self, rows, parts, of, chosen, k, without):
-        """The k best of the chosen blocks."""
-        inside = chosen[of]
-        score = np.bincount(rows[inside], parts[inside], minlength=self.ids.size)
+        top = np.argpartition(bound, -FIRST)[-FIRST:] if n > FIRST else np.arange(n)
+        rows, cosines = self._best(*self._blocks(np.sort(top), place, w), k, without)
+        least = cosines[-1] if rows.size == k else 0.0
+        more = (bound >= least - 1e-9) & (bound > 0)
+        more[top] = False
+        if not more.any():
+            return rows, cosines
+        if 8 * more.sum() < n:
+            return self._best(*self._blocks(np.sort(np.append(top, np.flatnonzero(more))), place, w), k, without)
+        # many blocks: along the postings instead
+        start = self.first[place]
+        size = self.first[place + 1] - start
+        spans = _spans(start, size)
+        score = np.bincount(self.rows[spans], np.repeat(w, size) * self.parts[spans], minlength=self.ids.size)
         got = np.flatnonzero(score)
+        return self._best(got, score[got], k, without)
+
+    def _blocks(self, blocks: np.ndarray, place: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows and cosines of the examples of some blocks that share a term."""
+        if self._query is None:
+            self._query = np.zeros(self.terms.size)
+        query = self._query
+        query[place] = w
+        rows, score = [], []
+        for block in blocks.tolist():
+            first = self.own_first[block * BLOCK : (block + 1) * BLOCK + 1]
+            part = query[self.own_terms[first[0] : first[-1]]]
+            part *= self.own_parts[first[0] : first[-1]]
+            score.append(np.add.reduceat(part, first[:-1] - first[0]))
+            rows.append(block * BLOCK + np.arange(first.size - 1))
+        query[place] = 0
+        rows, score = np.concatenate(rows), np.concatenate(score)
+        return rows[score > 0], score[score > 0]
+
+    def _best(self, rows: np.ndarray, score: np.ndarray, k: int, without: int | None) -> tuple[np.ndarray, np.ndarray]:
         if without is not None:
-            got = got[self.ids[got] != without]
-        value = np.round(score[got], 12)
-        if got.size > 4 * k:  # ties of the k-th stay for the id to decide
+            rows, score = rows[self.ids[rows] != without], score[self.ids[rows] != without]
+        value = np.round(score, 12)
+        if rows.size > 4 * k:  # ties of the k-th stay for the id to decide
             near = value >= np.partition(value, -k)[-k]
-            got, value = got[near], value[near]
-        order = np.lexsort((self.ids[got], -value))[:k]
-        return got[order], value[order]
+            rows, value = rows[near], value[near]
+        order = np.lexsort((self.ids[rows], -value))[:k]
+        return rows[order], value[order]
 
     def vote(self, rows: np.ndarray, cosines: np.ndarray) -> float:
-        """Share of toxic examples; one with cosine c weighs c / (1.1 - c), and examples without a term weigh 1."""
+        """Share of toxic examples; one with cosine c weighs c^2 / (1.02 - c), beside ``PRIOR`` for the share without neighbours."""
         near = np.minimum(cosines, 1.0)
-        w = self.weight[rows] * near / (1.1 - near)
-        return float(((w * self.toxic[rows]).sum() + self.plain) / (w.sum() + 1.0))
+        w = self.weight[rows] * near * near / (1.02 - near)
+        return float(((w * self.toxic[rows]).sum() + PRIOR * self.plain) / (w.sum() + PRIOR))
 
 
 @dataclass
@@ -235,85 +331,99 @@ class Calibration:
     def __call__(self, vote: float) -> float:
         if not self.votes.size:
             return vote
-        return float(self.shares[min(np.searchsorted(self.votes, vote), self.votes.size - 1)])
+        if vote > self.votes[-1]:  # nearer than any example had one: on the line to a vote of 1, which is certain
+            return float(np.interp(vote, [self.votes[-1], max(1.0, vote)], [self.shares[-1], 1.0]))
+        return float(self.shares[np.searchsorted(self.votes, vote)])
 
 
 @dataclass
 class ToxicityModel:
-    terms: list[str]
     index: BlockMaxIndex
     calibration: Calibration
 
     def score(self, terms, counts) -> tuple[float, list[tuple[int, float, int]]]:
-        rows, cosines = self.index.search(terms, counts) if len(terms) else (np.empty(0, np.int64), None)
+        rows, cosines = self.index.search(terms, counts)
         if not rows.size:
             return self.index.plain, []
         near = [(int(self.index.ids[r]), float(c), int(self.index.toxic[r])) for r, c in zip(rows[:3], cosines, strict=False)]
         return self.calibration(self.index.vote(rows, cosines)), near
 
 
-def learn(docs: DataFrame, labels: DataFrame) -> tuple[ToxicityModel, DataFrame]:
-    """The model, and the vectors of all documents (written once, read for frequencies and for scores)."""
-    spark = docs.sparkSession
+def _examples(found: DataFrame) -> list[tuple]:
+    """(doc_id, toxic, weight, terms, counts) of the examples, ascending."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = TermCounter()
+        for part in row_slices(batches, "text", SLICE):
+            both = [count(t) for t in part.column(3).to_pylist()]
+            lists = [pa.array([b[k].tolist() for b in both], pa.list_(pa.int32())) for k in range(2)]
+            yield pa.RecordBatch.from_arrays([*part.columns[:3], *lists], names=["doc_id", "toxic", "weight", "terms", "counts"])
+
+    rows = found.select("doc_id", F.col("toxic").cast("int"), F.col("weight").cast("double"), "text")
+    got = rows.mapInArrow(run, "doc_id long, toxic int, weight double, terms array<int>, counts array<int>").toArrow()
+    some = lambda c: [np.asarray(x.values) for x in got.column(c)]
+    plain = [got.column(c).to_pylist() for c in ("doc_id", "toxic", "weight")]
+    return sorted(zip(*plain, some("terms"), some("counts"), strict=True), key=lambda e: e[:3])
+
+
+def learn(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
+    """The model; labels of ``PER_CLASS`` documents and vectors of ``INDEXED`` examples are all that reaches the driver, and counts by hash."""
+    spark, rows = docs.sparkSession, texts(docs)
     sample = F.broadcast(sampled_labels(labels))  # 2 * PER_CLASS rows, about
-    terms = vocabulary(texts(docs).join(sample, "doc_id").dropDuplicates(["text", "toxic"]))  # copies once
-    vectors = materialize(term_vectors(docs, terms), "vectors")
-    total = vectors.count()
-    df = np.zeros(len(terms))
-    for r in vectors.select(F.explode("terms").alias("t")).groupBy("t").count().collect():
-        df[r["t"]] = r["count"]
-    idf = np.log((1 + total) / (1 + df)) if terms else df
-    examples = vectors.join(sample, "doc_id").dropDuplicates(["doc_id"])
-    examples = materialize(examples.select("doc_id", "toxic", "weight", "terms", "counts"), "examples")
-    index = BlockMaxIndex.build(sorted(tuple(r) for r in examples.collect()), idf)
+    once = lambda s: rows.join(s, "doc_id").groupBy("text", "toxic").agg(F.min("doc_id").alias("doc_id"), F.max("weight").alias("weight"))
+    tested = materialize(once(sample), "tested")  # copies once
+    totals = {r["toxic"]: r["count"] for r in tested.groupBy("toxic").count().collect()}
+    clean, toxic = (_dense(document_frequencies(tested.where(F.col("toxic") == y))) for y in (0, 1))
+    goes = lifted(clean, toxic, totals.get(0, 0), totals.get(1, 0))
+    wanted = goes.copy()
+    wanted[:TERMS] = True  # first letters that weigh nothing are not counted
+    weights = term_weights(_dense(document_frequencies(rows, wanted)), rows.count(), goes)
+    index = BlockMaxIndex.build(_examples(once(F.broadcast(sampled_labels(labels, INDEXED)))), weights)
     held = spark.sparkContext.broadcast(index)
 
     def leave_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = held.value
         for batch in batches:
             out = []
-            for r in batch.to_pylist():
-                rows, cosines = held.value.search(r["terms"], r["counts"], without=r["doc_id"])
-                if rows.size:
-                    out.append((held.value.vote(rows, cosines), float(r["toxic"]), r["weight"]))
+            for row in batch.column(0).to_pylist():
+                own = slice(index.own_first[row], index.own_first[row + 1])
+                found, cosines = index.search_places(index.own_terms[own], index.own_parts[own], without=int(index.ids[row]))
+                if found.size:
+                    out.append((index.vote(found, cosines), index.toxic[row], index.weight[row]))
             cols = list(zip(*out, strict=True)) if out else [[]] * 3
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.float64()) for c in cols], names=["vote", "toxic", "weight"])
 
-    spread = examples.where(F.size("terms") > 0).repartition(16, "doc_id")
-    votes = spread.mapInArrow(leave_out, "vote double, toxic double, weight double").collect()
+    votes = spark.range(index.ids.size).mapInArrow(leave_out, "vote double, toxic double, weight double").collect()
     v = np.array([tuple(r) for r in sorted(votes)]).reshape(-1, 3)
-    return ToxicityModel(terms, index, Calibration.fit(*v.T)), vectors
+    return ToxicityModel(index, Calibration.fit(*v.T))
 
 
-def scores(vectors: DataFrame, model: ToxicityModel) -> DataFrame:
+def scores(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """doc_id, score, evidence: the three nearest examples with cosine and label."""
-    held = vectors.sparkSession.sparkContext.broadcast(model)
+    held = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))
-        known: dict[tuple, tuple] = {}
+        count, known = TermCounter(held.value.index.weights > 0), {}
 
-        def look(terms: list[int], counts: list[int]) -> tuple:
-            key = (*terms, *counts) if len(terms) > 1 else tuple(terms)  # one term has one direction
+        def look(text: str) -> tuple:
+            key = md5(text.encode("utf-8", "surrogatepass"), usedforsecurity=False).digest()
             if key not in known:
                 if len(known) > KNOWN:
                     known.clear()
-                known[key] = held.value.score(terms, counts)
+                known[key] = held.value.score(*count(text))
             return known[key]
 
-        for batch in batches:
-            terms, counts = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-            found = [look(t, c) for t, c in zip(terms, counts, strict=True)]
+        for part in row_slices(batches, "text", SLICE):
+            found = [look(t) for t in part.column(1).to_pylist()]
             near = [[{"doc_id": i, "cosine": c, "toxic": y} for i, c, y in e] for _, e in found]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([s for s, _ in found], pa.float64()), pa.array(near, kind)], names=["doc_id", "score", "evidence"]
+                [part.column(0), pa.array([s for s, _ in found], pa.float64()), pa.array(near, kind)], names=["doc_id", "score", "evidence"]
             )
 
-    return vectors.select("doc_id", "terms", "counts").mapInArrow(
-        run, "doc_id long, score double, evidence array<struct<doc_id:long,cosine:double,toxic:int>>"
-    )
+    return texts(docs).mapInArrow(run, "doc_id long, score double, evidence array<struct<doc_id:long,cosine:double,toxic:int>>")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, score, predicted (1 from 0.5 on) and evidence of every document, learnt from ``labels``."""
-    model, vectors = learn(docs, labels)
-    return scores(vectors, model).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    return scores(docs, learn(docs, labels)).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
