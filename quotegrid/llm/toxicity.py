@@ -8,7 +8,8 @@ are near by such terms if they have any, and by their other words in any case: a
 
 The examples' vectors form an inverted index in blocks of ``BLOCK`` examples that knows each term's largest weight in
 each block, and so the cosine that a block can at most reach. A search looks at the highest blocks first, and then only
-at blocks that can reach the k-th best cosine, so the nearest examples are exact. They vote with weights that fall with
+at blocks that can reach the k-th best cosine, so the nearest examples are exact; where no term has half of the text's weight, bounds
+exclude no block, and all postings of the text's terms are added up at once. Neighbours vote with weights that fall with
 distance. Votes of the examples themselves, each left out of its own search, calibrate the vote (isotonic).
 The nearest examples are the evidence.
 
@@ -24,14 +25,12 @@ repeated rows; an empty table gives no rows; very long texts are read whole; oth
 from __future__ import annotations
 
 import math
-import re
-from collections import Counter
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 from hashlib import md5
-from itertools import chain
 from statistics import NormalDist
-from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +42,10 @@ from quotegrid.session import materialize
 
 PER_CLASS = 8192  # labelled documents of each label that terms are tested on
 INDEXED = 2048  # of each label that are examples
-TERMS = 1 << 20  # words are hashed to; first letters to as many behind them
+TERM_BITS = 20
+TERMS = 1 << TERM_BITS  # words are hashed to; first letters to as many behind them
+PRIME, MIX = 0x100000001B3, 0x9E3779B97F4A7C15  # of the hash
+LONG = 64  # letters; a longer word is hashed as a whole
 LEAST = 3  # toxic documents that have a term which goes with the label
 LIFT = 3  # times as often in toxic documents, at least
 CHANCE = 0.01  # that any term is taken without going with the label
@@ -54,58 +56,63 @@ BLOCK = 32
 FIRST = 2  # blocks looked at first
 PRIOR = 0.02  # votes for the share of toxic examples
 KNOWN = 10_000  # texts whose scores a task keeps
-WORDS_KNOWN = 200_000  # words whose hashes a task keeps
+COMMON = 16  # a term is common if one in so many examples has it
+AT_ONCE = 64  # texts whose common terms are looked up together
+HEAVY = 0.5  # part of a vector from which bounds are asked first
 SLICE = 1 << 20
 
-_WORDS = re.compile(r"[^\W\d_]+").findall
 
-
-class _Hashes(dict):
-    """The hash of a word, or of its first letters, computed once; -1 if it is not among the terms wanted."""
-
-    def __init__(self, stems: bool, wanted: np.ndarray | None) -> None:
-        self.stems, self.wanted = stems, wanted
-
-    def __missing__(self, word: str) -> int:
-        if self.stems:
-            at = TERMS + crc32(word[:STEM].encode("utf-8", "surrogatepass")) % TERMS if len(word) > STEM else -1
-        else:
-            at = crc32(word.encode("utf-8", "surrogatepass")) % TERMS
-        if at >= 0 and self.wanted is not None and not self.wanted[at]:
-            at = -1
-        self[word] = at
-        return at
-
-
-class TermCounter:
-    """Terms (ascending) and counts of texts: hashes of words, and behind them of the first letters of longer words."""
-
-    def __init__(self, wanted: np.ndarray | None = None) -> None:
-        self.words, self.stems = _Hashes(False, wanted), _Hashes(True, wanted)
-
-    def _room(self) -> None:
-        if len(self.words) > WORDS_KNOWN:
-            self.words.clear()
-            self.stems.clear()
-
-    def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        self._room()
-        words = Counter(_WORDS(text.lower()))
-        at = np.fromiter(chain(map(self.words.__getitem__, words), map(self.stems.__getitem__, words)), np.int64, 2 * len(words))
-        some = np.flatnonzero(at >= 0)
-        n = np.fromiter(words.values(), np.int64, len(words))[some % max(1, len(words))]
-        at = at[some]
-        order = np.argsort(at)
-        at, n = at[order], n[order]
-        first = np.flatnonzero(np.diff(at, prepend=-1))
-        return at[first], np.add.reduceat(n, first) if first.size else n
-
-    def present(self, text: str) -> np.ndarray:
-        """The terms alone, in any order; some may be listed twice."""
-        self._room()
-        words = set(_WORDS(text.lower()))
-        at = np.fromiter(chain(map(self.words.__getitem__, words), map(self.stems.__getitem__, words)), np.int64, 2 * len(words))
-        return at[at >= 0]
+@lru_cache
+def _letters() -> np.ndarray:
+    """Whether a code point stands in words: letters and numbers that are no decimal digits."""
+    every = np.arange(sys.maxunicode + 1, dtype=np.uint32)
+    every[0xD800:0xE000] = 0  # no characters
+    chars = every.view("U1")
+    return np.char.isalnum(chars) & ~np.char.isdecimal(chars)
+
+
+def _hash(h: np.ndarray) -> np.ndarray:
+    """The upper bits of a product, as a place among the ``TERMS``."""
+    return ((h * np.uint64(MIX)) >> np.uint64(64 - TERM_BITS)).astype(np.int64)
+
+
+def term_lists(rows: list[str], wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Terms (ascending in a text) and counts of some texts, one behind the other, and where each text's begin.
+
+    Words are hashed letter by letter, all words at once; behind the words' hashes lie those of the first letters of longer words.
+    """
+    lower = [t.lower() for t in rows]
+    codes = np.frombuffer("\n".join(lower).encode("utf-32-le", "surrogatepass"), np.uint32)
+    edges = np.flatnonzero(np.diff(_letters()[codes], prepend=False, append=False))
+    start, size = edges[::2], edges[1::2] - edges[::2]
+    of = np.searchsorted(np.cumsum([0] + [len(t) + 1 for t in lower[:-1]]), start, "right") - 1
+    h, stem, live = np.zeros(start.size, np.uint64), np.zeros(start.size, np.uint64), np.flatnonzero(size <= LONG)
+    for k in range(min(LONG, int(size.max(initial=0)))):
+        live = live[size[live] > k]
+        h[live] = h[live] * np.uint64(PRIME) + codes[start[live] + k]
+        if k + 1 == STEM:
+            stem[live] = h[live]
+    for i in np.flatnonzero(size > LONG).tolist():
+        word = codes[start[i] : start[i] + size[i]]
+        h[i] = int.from_bytes(md5(word.tobytes(), usedforsecurity=False).digest()[:8], "little")
+        for c in word[:STEM].tolist():
+            stem[i] = (int(stem[i]) * PRIME + c) % (1 << 64)
+    longer = size > STEM
+    at = np.concatenate([_hash(h), TERMS + _hash(stem[longer])])
+    of = np.concatenate([of, of[longer]])
+    if wanted is not None:
+        some = wanted[at]
+        at, of = at[some], of[some]
+    key = np.sort(of * (2 * TERMS) + at)
+    first = np.flatnonzero(np.diff(key, prepend=-1))
+    key, n = key[first], np.diff(first, append=key.size)
+    return key % (2 * TERMS), n, np.searchsorted(key, np.arange(len(rows) + 1) * (2 * TERMS))
+
+
+def term_counts(rows: list[str], wanted: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Terms and counts of each of some texts."""
+    at, n, first = term_lists(rows, wanted)
+    return [(at[i:j], n[i:j]) for i, j in zip(first.tolist(), first[1:].tolist(), strict=False)]
 
 
 def sampled_labels(labels: DataFrame, per_class: int = PER_CLASS) -> DataFrame:
@@ -125,10 +132,9 @@ def document_frequencies(docs: DataFrame, wanted: np.ndarray | None = None) -> D
     held = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms, seen = TermCounter(held.value), np.zeros(2 * TERMS, np.int64)
+        seen = np.zeros(2 * TERMS, np.int64)
         for part in row_slices(batches, "text", SLICE):
-            for text in part.column(0).to_pylist():
-                seen[terms.present(text)] += 1  # once, if listed twice
+            seen += np.bincount(term_lists(part.column(0).to_pylist(), held.value)[0], minlength=2 * TERMS)
         at = np.flatnonzero(seen)
         for i in range(0, at.size, 1 << 16):
             some = at[i : i + (1 << 16)]
@@ -200,6 +206,7 @@ class BlockMaxIndex:
     own_terms: np.ndarray
     own_parts: np.ndarray
     _query: np.ndarray | None = None  # a query's parts while blocks are looked at
+    _common: tuple[np.ndarray, np.ndarray] | None = None  # see ``common``
 
     @classmethod
     def build(cls, examples: list[tuple], weights: np.ndarray) -> BlockMaxIndex:
@@ -239,36 +246,73 @@ class BlockMaxIndex:
 
     def search(self, terms, counts, k: int = NEIGHBOURS, without: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Rows and cosines of the k nearest examples with a term in common, nearest first."""
+        return self.search_places(*self._places(terms, counts), k, without)
+
+    def search_many(self, queries: list[tuple], k: int = NEIGHBOURS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The same for several (terms, counts); the postings of common terms are added up for ``AT_ONCE`` of them at a time."""
+        order, full = self.common()
+        for i in range(0, len(queries), AT_ONCE):
+            found = [self._places(*q) for q in queries[i : i + AT_ONCE]]
+            parts = np.zeros((len(found), full.shape[0]))
+            for row, (place, w) in zip(parts, found, strict=True):
+                of = order[place]
+                row[of[of >= 0]] = w[of >= 0]
+            for (place, w), head in zip(found, parts @ full, strict=True):
+                yield self.search_places(place, w, k, head=head)
+
+    def common(self) -> tuple[np.ndarray, np.ndarray]:
+        """The number of each term among those that at least one in ``COMMON`` examples have, else -1; and their postings as rows."""
+        if self._common is None:
+            often = np.flatnonzero(np.diff(self.first) * COMMON >= max(1, self.ids.size))
+            order, full = np.full(self.terms.size, -1), np.zeros((often.size, self.ids.size))
+            order[often] = np.arange(often.size)
+            for row, t in zip(full, often.tolist(), strict=True):
+                row[self.rows[self.first[t] : self.first[t + 1]]] = self.parts[self.first[t] : self.first[t + 1]]
+            self._common = order, full
+        return self._common
+
+    def _places(self, terms, counts) -> tuple[np.ndarray, np.ndarray]:
+        """A text's terms that examples have, by their place in ``terms``, and their parts of its vector of length 1."""
         at, q = _unit(np.asarray(terms, np.int64), counts, self.weights)
         place = np.searchsorted(self.terms, at)
         here = place < self.terms.size
         here[here] = self.terms[place[here]] == at[here]
-        return self.search_places(place[here], q[here], k, without)
+        return place[here], q[here]
 
-    def search_places(self, place: np.ndarray, w: np.ndarray, k: int = NEIGHBOURS, without: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """The same, of places in ``terms`` and the parts there of a vector of length 1."""
+    def search_places(
+        self, place: np.ndarray, w: np.ndarray, k: int = NEIGHBOURS, without: int | None = None, head: np.ndarray | None = None
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """The same, of places and parts; ``head`` are all examples' cosines by common terms alone, if known."""
         if not place.size:
             return np.empty(0, np.int64), np.empty(0)
-        n = -(-self.ids.size // BLOCK)
-        start = self.first_block[place]
-        size = self.first_block[place + 1] - start
-        spans = _spans(start, size)
-        bound = np.bincount(self.blocks[spans], np.repeat(w, size) * self.most[spans], minlength=n)
-        # the blocks with the highest bounds give a k-th best; then all blocks that may still reach it
-        top = np.argpartition(bound, -FIRST)[-FIRST:] if n > FIRST else np.arange(n)
-        rows, cosines = self._best(*self._blocks(np.sort(top), place, w), k, without)
-        least = cosines[-1] if rows.size == k else 0.0
-        more = (bound >= least - 1e-9) & (bound > 0)
-        more[top] = False
-        if not more.any():
-            return rows, cosines
-        if 8 * more.sum() < n:
-            return self._best(*self._blocks(np.sort(np.append(top, np.flatnonzero(more))), place, w), k, without)
-        # many blocks: along the postings instead
+        # without a heavy term no block is out of reach of the k-th best: then at once along the postings
+        if w.max() >= HEAVY:
+            n = -(-self.ids.size // BLOCK)
+            start = self.first_block[place]
+            size = self.first_block[place + 1] - start
+            spans = _spans(start, size)
+            bound = np.bincount(self.blocks[spans], np.repeat(w, size) * self.most[spans], minlength=n)
+            # the blocks with the highest bounds give a k-th best; then all blocks that may still reach it
+            top = np.argpartition(bound, -FIRST)[-FIRST:] if n > FIRST else np.arange(n)
+            rows, cosines = self._best(*self._blocks(np.sort(top), place, w), k, without)
+            least = cosines[-1] if rows.size == k else 0.0
+            more = (bound >= least - 1e-9) & (bound > 0)
+            more[top] = False
+            if not more.any():
+                return rows, cosines
+            if 8 * more.sum() < n:
+                return self._best(*self._blocks(np.sort(np.append(top, np.flatnonzero(more))), place, w), k, without)
+        if head is not None:
+            rare = self.common()[0][place] < 0
+            place, w = place[rare], w[rare]
         start = self.first[place]
         size = self.first[place + 1] - start
         spans = _spans(start, size)
-        score = np.bincount(self.rows[spans], np.repeat(w, size) * self.parts[spans], minlength=self.ids.size)
+        part = np.repeat(w, size)
+        part *= self.parts[spans]
+        score = np.bincount(self.rows[spans], part, minlength=self.ids.size)
+        if head is not None:
+            score = score + head
         got = np.flatnonzero(score)
         return self._best(got, score[got], k, without)
 
@@ -341,21 +385,21 @@ class ToxicityModel:
     index: BlockMaxIndex
     calibration: Calibration
 
-    def score(self, terms, counts) -> tuple[float, list[tuple[int, float, int]]]:
-        rows, cosines = self.index.search(terms, counts)
-        if not rows.size:
-            return self.index.plain, []
-        near = [(int(self.index.ids[r]), float(c), int(self.index.toxic[r])) for r, c in zip(rows[:3], cosines, strict=False)]
-        return self.calibration(self.index.vote(rows, cosines)), near
+    def scores(self, queries: list[tuple]) -> Iterator[tuple[float, list[tuple[int, float, int]]]]:
+        for rows, cosines in self.index.search_many(queries):
+            if rows.size:
+                near = [(int(self.index.ids[r]), float(c), int(self.index.toxic[r])) for r, c in zip(rows[:3], cosines, strict=False)]
+                yield self.calibration(self.index.vote(rows, cosines)), near
+            else:
+                yield self.index.plain, []
 
 
 def _examples(found: DataFrame) -> list[tuple]:
     """(doc_id, toxic, weight, terms, counts) of the examples, ascending."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = TermCounter()
         for part in row_slices(batches, "text", SLICE):
-            both = [count(t) for t in part.column(3).to_pylist()]
+            both = term_counts(part.column(3).to_pylist())
             lists = [pa.array([b[k].tolist() for b in both], pa.list_(pa.int32())) for k in range(2)]
             yield pa.RecordBatch.from_arrays([*part.columns[:3], *lists], names=["doc_id", "toxic", "weight", "terms", "counts"])
 
@@ -404,18 +448,16 @@ def scores(docs: DataFrame, model: ToxicityModel) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))
-        count, known = TermCounter(held.value.index.weights > 0), {}
-
-        def look(text: str) -> tuple:
-            key = md5(text.encode("utf-8", "surrogatepass"), usedforsecurity=False).digest()
-            if key not in known:
-                if len(known) > KNOWN:
-                    known.clear()
-                known[key] = held.value.score(*count(text))
-            return known[key]
-
+        known: dict[bytes, tuple] = {}
+        model, wanted = held.value, held.value.index.weights > 0
         for part in row_slices(batches, "text", SLICE):
-            found = [look(t) for t in part.column(1).to_pylist()]
+            lines = part.column(1).to_pylist()
+            keys = [md5(t.encode("utf-8", "surrogatepass"), usedforsecurity=False).digest() for t in lines]
+            if len(known) > KNOWN:
+                known.clear()
+            new = {k: t for k, t in zip(keys, lines, strict=True) if k not in known}  # copies once
+            known.update(zip(new, model.scores(term_counts(list(new.values()), wanted)), strict=True))
+            found = [known[k] for k in keys]
             near = [[{"doc_id": i, "cosine": c, "toxic": y} for i, c, y in e] for _, e in found]
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array([s for s, _ in found], pa.float64()), pa.array(near, kind)], names=["doc_id", "score", "evidence"]

@@ -1,3 +1,6 @@
+import re
+from hashlib import md5
+
 import numpy as np
 import odd
 from pyspark.sql import functions as F
@@ -7,16 +10,19 @@ from quotegrid.llm.common import held_out
 
 
 def word(w):
-    return X.crc32(w.encode()) % X.TERMS
+    h = 0
+    for c in w:
+        h = (h * X.PRIME + ord(c)) % (1 << 64)
+    return (h * X.MIX % (1 << 64)) >> 44
 
 
 def stem(w):
-    return X.TERMS + X.crc32(w[:4].encode()) % X.TERMS
+    return X.TERMS + word(w[:4])
 
 
 def counts(text, wanted=None):
-    at, n = X.TermCounter(wanted)(text)
-    assert (np.diff(at) > 0).all() and set(X.TermCounter(wanted).present(text).tolist()) == set(at.tolist())
+    at, n = X.term_counts([text], wanted)[0]
+    assert (np.diff(at) > 0).all()
     return dict(zip(at.tolist(), n.tolist(), strict=True))
 
 
@@ -27,6 +33,15 @@ def test_terms():
     wanted = np.ones(2 * X.TERMS, bool)
     wanted[X.TERMS :] = False
     assert counts(text, wanted) == want and counts("") == counts(" 12 _") == {}
+    assert counts("a" * 64)[word("a" * 64)] == 1 and len(counts("b" * 65 + " " + "b" * 65)) == 2 and counts("b" * 65)[stem("bbbb")] == 1
+    each = ["", text, "İİ ½ Ⅷ", "\U0001f600 \ud800x", text, "", "日本語 " * 5000]
+    for got, t in zip(X.term_counts(each), each, strict=True):
+        by_hand = {}
+        for w in re.findall(r"[^\W\d_]+", t.lower()):
+            for h in [word(w)] + [stem(w)] * (len(w) > 4):
+                by_hand[h] = by_hand.get(h, 0) + 1
+        assert dict(zip(*(x.tolist() for x in got), strict=True)) == by_hand
+    assert X.term_counts([]) == []
 
 
 def dense(examples, weights):
@@ -42,13 +57,18 @@ def test_block_max_search_is_exact():
     weights = rng.uniform(0.5, 5, 60)
     weights[:5] *= 100
     weights[59] = 0
-    vector = lambda: sorted(rng.choice(60, rng.integers(1, 9), replace=False).tolist())
+    often = np.arange(60, 0, -1) / 1830
+    vector = lambda: sorted(rng.choice(60, rng.integers(1, 9), replace=False, p=often).tolist())
     examples = [(i * 3, int(rng.integers(2)), 1.0, t := vector(), rng.integers(1, 5, len(t)).tolist()) for i in range(3000)]
     examples += [(9001, 1, 2.0, [], []), (9002, 0, 5.0, [], []), (9003, 0, 1.0, [59], [2])]
     index = X.BlockMaxIndex.build(examples, weights)
     bare = [e for e in examples if not set(e[3]) - {59}]
     assert index.plain == sum(e[2] for e in bare if e[1]) / sum(e[2] for e in bare)
     of = dense(examples, weights)
+    some = [examples[row][3:] for row in range(0, 3000, 50)] + [([], []), ([59], [1])]
+    for one, many in zip((index.search(*q) for q in some), index.search_many(some), strict=True):
+        assert one[0].tolist() == many[0].tolist() and np.allclose(one[1], many[1], atol=1e-9)
+    assert 0 < (index.common()[0] >= 0).sum() < 60
     for row in range(0, 3000, 50):
         doc_id, _, _, t, c = examples[row]
         cosine = np.round(of @ of[row], 12)
@@ -69,7 +89,10 @@ def test_a_search_skips_blocks(monkeypatch):
     monkeypatch.setattr(X.BlockMaxIndex, "_blocks", lambda self, blocks, *a: seen.extend(blocks.tolist()) or plain(self, blocks, *a))
     rows, cosines = index.search([0, 20], [1, 1])
     assert index.ids[rows].tolist() == [7000 + 2 * i for i in range(16)] and np.allclose(cosines, 1)
-    assert len(set(seen)) <= 3 and len(index.own_first) == 6441
+    assert len(set(seen)) <= 4 and len(index.own_first) == 6441
+    seen.clear()
+    index.search([0, 1, 7, 8, 9], [1] * 5)  # no heavy term
+    assert not seen
 
 
 def test_scores_equal_dense_cosines(spark):
@@ -101,7 +124,7 @@ def test_scores_equal_dense_cosines(spark):
 
 
 def test_copies_of_toxic_examples_of_rare_words_are_found(spark):
-    name = lambda i, k: "".join(chr(97 + x % 26) for x in X.md5(f"{i} {k}".encode()).digest()[:9])
+    name = lambda i, k: "".join(chr(97 + x % 26) for x in md5(f"{i} {k}".encode()).digest()[:9])
     toxic = [" ".join(name(i, k) for k in range(12)) for i in range(50)]
     clean = [f"the river and the bank of town {'north south east west'.split()[i % 4]} {name(900 + i, 1)} went by" for i in range(400)]
     rows = [(i, t, 1) for i, t in enumerate(toxic)] + [(100 + i, t, 0) for i, t in enumerate(clean)]
