@@ -107,3 +107,38 @@ def test_a_notice_behind_a_long_page_is_template():
     get = lambda i: "<body><div class=x>" + "".join(f"<p>{i} {k}</p><h2>h {i} {k}</h2>" for k in range(1500)) + "</div><div class=end>Imprint</div></body>"
     w = X.infer([get(i) for i in range(4)])
     assert ["body/div.end", "Imprint"] in w["template"] and "Imprint" not in X.extract(get(5), w)
+
+
+def layouts(i):
+    """Pages without article tags: most have a notice at the end, few have links beside the text, a name that holds all text, or no head."""
+    rail = f"<div class=rail><a href=/>see {i}</a></div>" * (i % 40 == 7)
+    end = "<div class=end>Imprint</div>" * (i % 10 > 0)
+    head = f"<h1>Head {i}</h1>" * (i % 25 != 3)
+    return f"<body>{rail}<div class=page>{head}<div class='social-post'>{f'<p>Story {i} of it</p>' * (1 + i % 3)}</div></div>{end}</body>"
+
+
+def test_a_wrapper_comes_from_all_pages_of_its_host(spark, monkeypatch):
+    monkeypatch.setattr(X, "AT_ONCE", 2, raising=False)  # streams are aligned in rounds
+    html = [layouts(i) for i in range(120)]
+    rows = [(i, f"http://a.example/{i}", h) for i, h in enumerate(html)] + [(200 + i, f"http://b.example/{i}", page(i, i % 2 == 1)) for i in range(9)]
+    rows += [(300 + i, f"http://a.example/copy/{i}", html[7]) for i in range(400)]  # copies count once
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.host: json.loads(r.wrapper) for r in X.infer_wrappers(pages).collect()}
+    assert set(got) == {"a.example", "b.example"}
+    for host, of in (("a.example", html), ("b.example", [page(i, i % 2 == 1) for i in range(9)])):
+        want = X.infer(of)
+        assert {k: v for k, v in got[host].items() if k != "expression"} == {k: v for k, v in want.items() if k != "expression"}
+        for h in of:
+            stream = "".join("#" if x.startswith("#") else x for x in X.read_page(h, stream=True).stream)
+            assert re.fullmatch(got[host]["expression"], stream) and re.fullmatch(want["expression"], stream)
+    assert got["a.example"]["links"] and got["a.example"]["template"] == [["body/div.end", "Imprint"]]
+    texts = {r.page_id: r.text for r in X.main_texts(pages).collect()}
+    assert texts[7] == texts[399] == "Head 7 Story 7 of it Story 7 of it"
+
+
+def test_alignment_takes_long_streams_whole():
+    one = [(f"<a{i}>", False) for i in range(9000)]
+    assert X.align(one, [x for x, _ in one if x != "<a8000>"]) == [(x, x == "<a8000>") for x, _ in one]
+    long = "".join(f"<div class=x{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}><p>{i}</p></div>" for i in range(1500))
+    w = X.infer([f"<body>{long}</body>", f"<body>{long}<div class=end>b</div></body>"])
+    assert w["expression"].endswith("(<div.end>#</div.end>)?</body>")
