@@ -110,7 +110,7 @@ def line_table(docs: DataFrame, cfg: LineConfig = LineConfig()) -> DataFrame:
     """
     docs = docs.where("text is not null")
     short = _signed_lines(docs, cfg, 4, (max(cfg.min_words, 2), SHORT))
-    long_ = _signed_lines(docs.where(F.length("text") > 2 * SHORT), cfg, 2, (max(cfg.min_words, SHORT + 1), 1 << 30))
+    long_ = _signed_lines(docs.where((F.octet_length("text") > 2 * SHORT) & (F.length("text") > 2 * SHORT)), cfg, 2, (max(cfg.min_words, SHORT + 1), 1 << 30))
     return short.unionByName(long_)
 
 
@@ -150,6 +150,13 @@ def _fetch(docs: DataFrame, occurrences: DataFrame, wanted: DataFrame) -> DataFr
     return materialize(met.select("h", normal(line).alias("line")).distinct(), "lines")
 
 
+def _word_edits(x: str, y: str) -> Column:
+    """No fewer edits than turn x into y: each word for the word in its place. Null if the lines differ in their number of words."""
+    a, b = F.split(x, " ", -1), F.split(y, " ", -1)
+    each = F.zip_with(a, b, lambda v, w: F.when(v == w, 0).otherwise(F.greatest(F.length(v), F.length(w))))
+    return F.when(F.size(a) == F.size(b), F.aggregate(each, F.lit(0), lambda n, e: n + e))
+
+
 def _verified(pairs: DataFrame, lines: DataFrame, cfg: LineConfig) -> DataFrame:
     """The pairs a, b whose edit similarity is high enough."""
     both = pairs.join(lines.select(F.col("h").alias("a"), F.col("line").alias("x")), "a")
@@ -158,7 +165,8 @@ def _verified(pairs: DataFrame, lines: DataFrame, cfg: LineConfig) -> DataFrame:
     # as many edits as the similarity allows; -1 stands for more. Copies have few, and few are found fast
     allowed = F.floor((1 - F.lit(cfg.similarity)) * most + 1e-9).cast("int")
     within = lambda n: F.call_function("levenshtein", F.col("x"), F.col("y"), n) >= 0
-    found = within(F.least(allowed, F.lit(FEW[0])))
+    # most near copies differ in a few words and need no edit distance
+    found = (F.coalesce(_word_edits("x", "y"), allowed + 1) <= allowed) | within(F.least(allowed, F.lit(FEW[0])))
     for few, more in zip(FEW, (*(F.least(allowed, F.lit(n)) for n in FEW[1:]), allowed), strict=True):
         found = found | ((allowed > few) & within(more))
     return both.where(found).select("a", "b")

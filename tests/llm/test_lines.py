@@ -140,6 +140,25 @@ def test_lines_of_very_many_words(spark, monkeypatch):
     assert {(r.doc_id, r.pos): r.sim % 2**64 for r in X.line_table(docs).collect()} == found
 
 
+def test_replaced_words_need_no_edit_distance_and_no_pair_is_lost(spark):
+    """Word by word there are never fewer edits; pairs it says nothing about, or too many for, go by the edit distance."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for k in range(60):
+        ws = [f"wörd{rng.integers(90)}" for _ in range(5 + k % 9)]
+        other = [w if rng.random() < 0.8 else f"v{rng.integers(9)}" for w in ws]
+        if k % 3 == 0:
+            other.insert(int(rng.integers(len(ws))), "more")
+        rows.append((2 * k, 2 * k + 1, " ".join(ws), " ".join(other)))
+    pairs = spark.createDataFrame(rows, "a long, b long, x string, y string")
+    bound = {r.a: r.n for r in pairs.select("a", X._word_edits("x", "y").alias("n")).collect()}
+    assert all((bound[a] is None) == (a % 6 == 0) and (bound[a] is None or bound[a] >= edits(x, y)) for a, _, x, y in rows)
+    assert sum(n == 0 for n in bound.values()) == sum(x == y for _, _, x, y in rows)
+    both = spark.createDataFrame([(h, s) for a, b, x, y in rows for h, s in ((a, x), (b, y))], "h long, line string")
+    want = {(a, b) for a, b, x, y in rows if edits(x, y) <= int(0.2 * max(len(x), len(y)) + 1e-9)}
+    assert {tuple(r) for r in X._verified(pairs.select("a", "b"), both, CFG).collect()} == want and 0 < len(want) < 60
+
+
 def test_documents_of_very_many_lines(spark):
     text = "\n".join(f"this is line number {i % 50} of them" for i in range(5000))
     got = X.dedup_lines(spark.createDataFrame([(1, text)], "doc_id long, text string")).first().text
