@@ -27,20 +27,31 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return tied.union(least.select("u", F.col("m").alias("v"))).where("u > v").distinct()
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Whether every node is tied to one smaller node that is tied to none."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionAll(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return nodes.where("up > 1 or (up > 0 and down > 0)").isEmpty()
+
+
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``node`` and ``component`` (its smallest member) of every node that has a link to another one.
 
     Links with a null end or from a node to itself say nothing. Each round is written to the shared
-    folder, so a lost executor costs one round; the driver gets two numbers per round.
+    folder, so a lost executor costs one round; the driver gets one row per round at most.
     """
     ends = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
     now = materialize(ends.where("u > v").distinct(), "links")
-    state = None
-    while True:
-        check = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(check) == state or check[0] == 0:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
-                now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-            )
-        state = tuple(check)
+    while not _settled(now):
         now = materialize(_small_star(_large_star(now)), "links")
+    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
+        now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
+    )
+
+
+def with_links(found: DataFrame, more: DataFrame) -> DataFrame:
+    """What ``connected_components`` gives for the links behind ``found`` and these further ones, ``a`` and ``b``."""
+    tied = found.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return connected_components(tied.unionByName(more.select("a", "b")))

@@ -1,8 +1,9 @@
 """Fuzzy line deduplication across documents, with DataFrame operations only.
 
 Lines are normalised to their lower-cased words. A line's SimHash is taken over its pairs of neighbouring words (single words
-would give all lines of a language nearly the same bits): 64 counters, four in each of 16 sums, are added up while pairs stream by. Two lines within ``radius`` bits agree in two of five blocks
-of the SimHash at least (pigeonhole), so each pair of blocks is a join key. In a group of equal keys every line is compared
+would give all lines of a language nearly the same bits): 64 counters, eight in each of 8 sums, are added up while pairs stream by. Two lines within ``radius`` bits agree in two of five blocks
+of the SimHash at least (pigeonhole), so each pair of blocks is a join key. Two lines that alone have a key are compared while
+keys are counted. In a larger group of equal keys every line is compared
 with the group's first one; those it does not match are compared with all of the group that is not connected to them by then,
 so that thousands of copies make a star and not all pairs, and no link between groups is lost. Candidates within the radius and of fitting
 lengths are verified by edit similarity of the normalised lines. Of each connected group of lines the first
@@ -27,13 +28,13 @@ from pyspark.sql import functions as F
 
 from quotegrid.llm.bitfilter import bit_filter
 from quotegrid.llm.common import packed
-from quotegrid.llm.components import connected_components
+from quotegrid.llm.components import connected_components, with_links
 from quotegrid.session import materialize
 
 BLOCKS = (13, 13, 13, 13, 12)  # bits
 FEW = (6, 24, 96, 384)  # edits that are tried first, as far as the similarity allows them
 AT_ONCE = 2  # pairs of words a row carries to the sums
-SHORT = 1 << 14  # words of a line whose counters have 14 bits
+SHORT = 126  # pairs of words whose counters have 8 bits, the sign bit unused; an even number
 
 
 @dataclass(frozen=True)
@@ -68,50 +69,57 @@ def _lane_sums(hashes: list[str], lanes: int) -> list[Column]:
     return [F.sum(bits(i)).alias(f"s{i}") for i in range(64 // lanes)]
 
 
-def _majority(n: Column, lanes: int) -> Column:
+def _widened(lanes: int) -> list[Column]:
+    """The 64 / lanes sums of that many lanes that hold what eight sums of eight lanes hold."""
+    mask = F.lit(255 * _ones(lanes))
+    return [F.shiftrightunsigned(f"s{i % 8}", i - i % 8).bitwiseAND(mask) for i in range(64 // lanes)]
+
+
+def _majority(n: Column, lanes: int, sums: list[Column]) -> Column:
     """The bits that are set in more than half of the n features, a lane of counters at a time.
 
     With ``top`` two bits below a lane's end, twice a count and 2^top - 1 - n reaches bit ``top`` if, and only if, it is more than n.
     """
     top, one = 64 // lanes - 2, F.lit(_ones(lanes))
     reach = (F.lit((1 << top) - 1) - n) * one
-    every = [F.shiftrightunsigned(2 * F.col(f"s{i}") + reach, top).bitwiseAND(one) for i in range(64 // lanes)]
+    every = [F.shiftrightunsigned(2 * x + reach, top).bitwiseAND(one) for x in sums]
     return reduce(lambda a, b: a.bitwiseOR(b), [F.shiftleft(x, i) for i, x in enumerate(every)])
 
 
-def _signed_lines(docs: DataFrame, cfg: LineConfig, lanes: int, words: tuple[int, int]) -> DataFrame:
-    """The line table for lines of a number of words between the two bounds. A word of a sum has that many lanes."""
+def line_table(docs: DataFrame, cfg: LineConfig = LineConfig()) -> DataFrame:
+    """doc_id, t (hash of the text), pos, h (hash of the normalised line), sim, chars of each line long enough.
+
+    Counters have 8 bits for every ``SHORT`` pairs of words; those of longer lines are added up in counters of 30 bits.
+    """
     # rows that repeat a document are kept apart: their counters must not be added up
     row = F.monotonically_increasing_id().alias("row")
-    rows = docs.select(row, "doc_id", F.xxhash64("text").alias("t"), "text")
+    rows = docs.where("text is not null").select(row, "doc_id", F.xxhash64("text").alias("t"), "text")
     split = rows.select("row", "doc_id", "t", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
-    if words[0] > SHORT:  # a line of so many words has twice as many characters
-        split = split.where(F.length("line") > 2 * SHORT)
     norm = split.select("row", "doc_id", "t", "pos", normal(F.col("line")).alias("norm"))
     # the line's own columns before its words are dealt out, or they would be computed for each word
     own = ("row", "doc_id", "t", "pos", "h", "chars")
     line = norm.select("row", "doc_id", "t", "pos", F.xxhash64("norm").alias("h"), F.length("norm").alias("chars"), F.split("norm", " ", -1).alias("words"))
     line = line.select(*own, "words", F.size("words").alias("n"))
-    # lines of other lengths pass with one pair and go after the sums: a filter that reached this place would cut lines into words twice
-    last = F.when(F.col("n").between(*words), F.col("n") - 2).otherwise(0)
+    # short lines pass with one pair and go after the sums: a filter that reached this place would cut lines into words twice
+    least = max(cfg.min_words, 2)
+    last = F.when(F.col("n") >= least, F.col("n") - 2).otherwise(0)
     each = line.select(*own, "n", "words", F.explode(F.sequence(F.lit(0), last, F.lit(AT_ONCE))).alias("i"))
     word = [F.get("words", F.col("i") + k) for k in range(AT_ONCE + 1)]
     # behind the last pair stands 0, which counts nothing
     pairs = [F.when(b.isNotNull(), F.xxhash64(a, b)).otherwise(F.lit(0).cast("long")).alias(f"w{k}") for k, (a, b) in enumerate(zip(word, word[1:], strict=False))]
-    sums = each.select(*own, "n", *pairs).groupBy(*own)
-    sums = sums.agg(F.max("n").alias("n"), *_lane_sums([f"w{k}" for k in range(AT_ONCE)], lanes))
-    return sums.where(F.col("n").between(*words)).select("doc_id", "t", "pos", "h", _majority(F.col("n") - 1, lanes).alias("sim"), "chars")
-
-
-def line_table(docs: DataFrame, cfg: LineConfig = LineConfig()) -> DataFrame:
-    """doc_id, t (hash of the text), pos, h (hash of the normalised line), sim, chars of each line long enough.
-
-    Counters have 14 bits for lines of up to ``SHORT`` words and 30 for longer ones, which only texts of many characters have.
-    """
-    docs = docs.where("text is not null")
-    short = _signed_lines(docs, cfg, 4, (max(cfg.min_words, 2), SHORT))
-    long_ = _signed_lines(docs.where((F.octet_length("text") > 2 * SHORT) & (F.length("text") > 2 * SHORT)), cfg, 2, (max(cfg.min_words, SHORT + 1), 1 << 30))
-    return short.unionByName(long_)
+    sums = each.select(*own, "n", F.expr(f"i div {SHORT}").alias("part"), *pairs).groupBy(*own, "part")
+    sums = sums.agg(F.max("n").alias("n"), *_lane_sums([f"w{k}" for k in range(AT_ONCE)], 8)).where(F.col("n") >= least)
+    whole = F.col("n") - 1 <= SHORT
+    sim = F.when(whole, _majority(F.col("n") - 1, 4, _widened(4))).alias("sim")
+    parts = [F.when(~whole, F.col(f"s{i}")).alias(f"s{i}") for i in range(8)]
+    every = materialize(sums.select(*own, "n", sim, *parts), "lines")
+    columns = ("doc_id", "t", "pos", "h", "sim", "chars")
+    short, long_ = every.where("sim is not null").select(*columns), every.where("sim is null")
+    if long_.isEmpty():
+        return short
+    sums = long_.groupBy(*own).agg(F.max("n").alias("n"), *[F.sum(x).alias(f"w{i}") for i, x in enumerate(_widened(2))])
+    long_ = sums.withColumn("sim", _majority(F.col("n") - 1, 2, [F.col(f"w{i}") for i in range(32)])).select(*columns)
+    return short.unionByName(materialize(long_, "lines"))
 
 
 def _keys() -> Column:
@@ -172,37 +180,46 @@ def _verified(pairs: DataFrame, lines: DataFrame, cfg: LineConfig) -> DataFrame:
     return both.where(found).select("a", "b")
 
 
-def _apart(pairs: DataFrame, linked: DataFrame) -> DataFrame:
-    """The pairs whose ends the links do not connect."""
-    of = materialize(connected_components(linked), "groups")
-    side = lambda c: of.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}"))
+def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """The pairs whose ends are not in one component."""
+    side = lambda c: found.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}"))
     both = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
     return both.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
 
 
-def line_links(docs: DataFrame, occurrences: DataFrame, cfg: LineConfig = LineConfig()) -> DataFrame:
-    """Links ``a``, ``b`` between hashes of different normalised lines; they connect all that is similar."""
-    unique = occurrences.groupBy("h").agg(F.max("sim").alias("sim"), F.max("chars").alias("chars"))
-    unique = materialize(unique, "unique-lines")
+def unique_lines(occurrences: DataFrame) -> DataFrame:
+    """h, sim, chars of the different normalised lines, and n, how often a line occurs."""
+    unique = occurrences.groupBy("h").agg(F.max("sim").alias("sim"), F.max("chars").alias("chars"), F.count("*").alias("n"))
+    return materialize(unique, "unique-lines")
+
+
+def similar_lines(docs: DataFrame, occurrences: DataFrame, unique: DataFrame, cfg: LineConfig = LineConfig()) -> DataFrame:
+    """``node`` and ``component`` of each normalised line, by its hash, that is similar to a different one."""
     keyed = unique.select("h", "sim", "chars", F.explode(_keys()).alias("key"))
-    shared = keyed.groupBy("key").agg(F.min("h").alias("first"), F.count("*").alias("n")).where("n > 1")
-    shared = materialize(shared, "shared-keys")
-    members = keyed.where(bit_filter(shared, "key")(F.col("key"))).join(shared, "key")
-    members = materialize(members.where("h <> first"), "members")
+    # two lines of a key are a pair at once, or far apart and none: what chance brings together is joined with nothing
+    shared = keyed.groupBy("key").agg(
+        F.min("h").alias("first"), F.count("*").alias("n"), F.bit_xor("h").alias("ends"), F.bit_xor("sim").alias("apart")
+    )
+    shared = materialize(shared.where((F.col("n") > 2) | (F.col("n") == 2) & (F.bit_count("apart") <= cfg.radius)), "shared-keys")
+    two = shared.where("n = 2").select(F.col("first").alias("a"), F.col("first").bitwiseXOR(F.col("ends")).alias("b"))
+    large = shared.where("n > 2").select("key", "first")
+    members = materialize(keyed.where(bit_filter(large, "key")(F.col("key"))).join(large, "key"), "members")
     # every member with the first of its group
-    star = members.select("first", "h").distinct().alias("m")
-    heads = unique.withColumnRenamed("h", "first")
-    near = star.join(unique, "h").alias("x").join(heads.alias("y"), "first").where(_near("x", "y", cfg))
-    near = materialize(near.select(F.col("first").alias("a"), F.col("h").alias("b")), "near")
+    others, heads = members.where("h <> first"), members.where("h = first").select("key", "sim", "chars")
+    near = others.alias("x").join(heads.alias("y"), F.col("x.key") == F.col("y.key")).where(_near("x", "y", cfg))
+    near = near.select(F.col("x.first").alias("a"), F.col("x.h").alias("b"))
+    near = materialize(near.unionByName(two).distinct(), "near")
     lines = _fetch(docs, occurrences, near.select(F.explode(F.array("a", "b")).alias("h")).distinct())
     # one first line for each line, then the others as far as they would connect more
     one = near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     linked = materialize(_verified(one, lines, cfg), "linked")
-    more = _apart(near.join(one, ["a", "b"], "left_anti"), linked)
-    linked = materialize(linked.unionByName(_verified(more, lines, cfg)), "linked")
+    found = materialize(connected_components(linked), "groups")
+    more = materialize(_verified(_apart(near.join(one, ["a", "b"], "left_anti"), found), lines, cfg), "linked")
+    if not more.isEmpty():
+        linked, found = linked.unionByName(more), materialize(with_links(found, more), "groups")
     # the others with the rest of their group, as far as the stars have not connected them already
-    groups = materialize(connected_components(linked), "groups").withColumnRenamed("node", "h")
-    large = members.where("n > 2").join(groups, "h", "left").withColumn("group", F.coalesce("component", "h"))
+    groups = found.withColumnRenamed("node", "h")
+    large = others.join(groups, "h", "left").withColumn("group", F.coalesce("component", "h"))
     large = materialize(large.select("key", "first", "h", "sim", "chars", "group"), "members")
     tied = linked.select(F.col("a").alias("first"), F.col("b").alias("h"))
     loose = large.join(tied, ["first", "h"], "left_anti").alias("x")
@@ -210,22 +227,23 @@ def line_links(docs: DataFrame, occurrences: DataFrame, cfg: LineConfig = LineCo
     rest = rest.where((F.col("x.group") != F.col("y.group")) & _near("x", "y", cfg))
     pairs = rest.select(F.least("x.h", "y.h").alias("a"), F.greatest("x.h", "y.h").alias("b")).distinct()
     pairs = materialize(pairs, "near")
+    if pairs.isEmpty():
+        return found
     missing = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct().join(lines, "h", "left_anti")
     missing = materialize(missing, "missing")
-    if missing.limit(1).count():
+    if not missing.isEmpty():
         lines = lines.unionByName(_fetch(docs, occurrences, missing))
-    return linked.unionByName(_verified(pairs, lines, cfg))
+    return materialize(with_links(found, _verified(pairs, lines, cfg)), "groups")
 
 
 def dropped_lines(docs: DataFrame, cfg: LineConfig = LineConfig()) -> DataFrame:
     """doc_id, t, pos of every line that is not the first of its group."""
-    found = materialize(line_table(docs, cfg), "lines")
-    groups = connected_components(line_links(docs, found, cfg))
-    sizes = found.groupBy("h").agg(F.count("*").alias("n"))
-    of = sizes.join(groups.withColumnRenamed("node", "h"), "h", "left")
+    found = line_table(docs, cfg)
+    unique = unique_lines(found)
+    groups = similar_lines(docs, found, unique, cfg).withColumnRenamed("node", "h")
     # only lines that repeat, or have a similar one
-    of = of.where("n > 1 or component is not null").select("h", F.coalesce("component", "h").alias("group"))
-    of = materialize(of, "groups")
+    alone = unique.where("n > 1").select("h", F.col("h").alias("group")).join(groups, "h", "left_anti")
+    of = materialize(alone.unionByName(groups.select("h", F.col("component").alias("group"))), "groups")
     repeated = found.where(bit_filter(of, "h")(F.col("h"))).join(of, "h").select("doc_id", "t", "pos", "group")
     repeated = materialize(repeated, "repeated")
     first = repeated.groupBy("group").agg(F.min(F.struct("doc_id", "t", "pos")).alias("first"))

@@ -5,6 +5,7 @@ import pytest
 import regex
 import xxhash
 
+from quotegrid.llm import components
 from quotegrid.llm import lines as X
 from quotegrid.llm.bitfilter import bit_filter, without_ids
 
@@ -182,3 +183,60 @@ def test_without_ids(spark):
     docs = odd.documents(spark)
     left = without_ids(docs, spark.createDataFrame([(5,), (None,), (77,)], "doc_id long"))
     assert left.columns == docs.columns and {r.doc_id for r in left.collect()} == {r[0] for r in odd.DOCS} - {5, None}
+
+
+@pytest.mark.parametrize("n", [127, 128, 129, 700])
+def test_counters_of_eight_bits_do_not_overflow(spark, n):
+    """A line of one pair repeated has counters as large as the line is long."""
+    lines = ["same " * n, " ".join(f"w{i % 3}" for i in range(n)), BASE]
+    docs = spark.createDataFrame([(1, "\n".join(lines))] * 2, "doc_id long, text string")
+    want = [(i, simhash(words(line))) for i, line in enumerate(lines)]
+    assert sorted((r.pos, r.sim % 2**64) for r in X.line_table(docs).collect()) == sorted(want * 2)
+
+
+def test_lines_that_share_a_key_by_chance_are_joined_with_nothing(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, BASE)], "doc_id long, text string")
+    occurrences, written, keep = X.line_table(docs), {}, X.materialize
+
+    def materialize(df, name):
+        out = keep(df, name)
+        written.setdefault(name, out)
+        return out
+
+    monkeypatch.setattr(X, "materialize", materialize)
+    unique = spark.createDataFrame([(1, 0, 9, 1), (2, -1 << 26, 9, 1), (3, 5, 9, 1)], "h long, sim long, chars int, n long")
+    X.similar_lines(docs, occurrences, unique)
+    groups = written["shared-keys"].collect()
+    assert {(r.first, r.first ^ r.ends) for r in groups if r.n == 2} == {(1, 3)} and {r.n for r in groups} == {2}
+    assert {tuple(r) for r in written["near"].collect()} == {(1, 3)}
+
+
+def test_groups_take_few_queries(spark, monkeypatch):
+    """Each query leaves its plan, code and figures in the driver."""
+    written = []
+    for module in (X, components):
+        monkeypatch.setattr(module, "materialize", lambda df, name="stage", f=module.materialize: written.append(name) or f(df, name))
+    rows = [(k, BASE if k % 2 else BASE + f" and {k}\n" + BASE.replace("nine", f"n{k}")) for k in range(6)]
+    got = X.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, got)) == sorted(brute(rows)) and len(written) <= 18, written
+
+
+def test_further_links_join_components_that_are_known(spark):
+    rng = np.random.default_rng(7)
+    pairs = [tuple(map(int, rng.integers(0, 200, 2))) for _ in range(150)]
+    frame = lambda p: spark.createDataFrame(p, "a long, b long")
+    at_once = components.connected_components(frame(pairs))
+    later = components.with_links(components.connected_components(frame(pairs[:90])), frame(pairs[90:]))
+    assert sorted(map(tuple, at_once.collect())) == sorted(map(tuple, later.collect()))
+
+
+def test_stars_are_taken_for_components_without_a_round(spark, monkeypatch):
+    rounds = []
+    monkeypatch.setattr(components, "_large_star", lambda edges, f=components._large_star: rounds.append(1) or f(edges))
+    frame = lambda p: spark.createDataFrame(p, "a long, b long")
+    stars = components.connected_components(frame([(1, 5), (6, 1), (2, 9), (9, 2), (3, 3)]))
+    assert sorted(map(tuple, stars.collect())) == [(1, 1), (2, 2), (5, 1), (6, 1), (9, 2)] and not rounds
+    for links in ([(1, 5), (5, 7)], [(1, 5), (2, 5)]):
+        least = min(min(p) for p in links)
+        assert {tuple(r) for r in components.connected_components(frame(links)).collect()} == {(n, least) for p in links for n in p} and rounds.pop()
+        rounds.clear()
