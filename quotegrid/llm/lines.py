@@ -35,6 +35,8 @@ BLOCKS = (13, 13, 13, 13, 12)  # bits
 FEW = (6, 24, 96, 384)  # edits that are tried first, as far as the similarity allows them
 AT_ONCE = 2  # pairs of words a row carries to the sums
 SHORT = 126  # pairs of words whose counters have 8 bits, the sign bit unused; an even number
+# ASCII characters that are no letters or digits, one by one: Java looks these up in a table and tries ranges one after the other
+NO_WORD = "".join(rf"\x{c:02X}" for c in range(128) if not chr(c).isalnum())
 
 
 @dataclass(frozen=True)
@@ -46,7 +48,7 @@ class LineConfig:
 
 def normal(line: Column) -> Column:
     """Lower case; one space for every run of ASCII characters that are no letters or digits."""
-    return F.trim(F.regexp_replace(F.lower(line), r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", " "))
+    return F.trim(F.regexp_replace(F.lower(line), f"[{NO_WORD}]+", " "))
 
 
 def n_words(norm: Column) -> Column:

@@ -211,6 +211,11 @@ def test_lines_that_share_a_key_by_chance_are_joined_with_nothing(spark, monkeyp
     assert {tuple(r) for r in written["near"].collect()} == {(1, 3)}
 
 
+def test_every_character_that_parts_words(spark):
+    line = "".join(f"Ab{chr(c)}" for c in range(400) if chr(c) != "\n") + " z"
+    assert spark.createDataFrame([(line,)], "line string").select(X.normal("line")).first()[0] == " ".join(words(line))
+
+
 def test_groups_take_few_queries(spark, monkeypatch):
     """Each query leaves its plan, code and figures in the driver."""
     written = []
